@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postline.operators.timeline import latest_per_key
+from postline.session import stage
 
 
 def require_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -19,7 +20,11 @@ def require_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def replace_keys(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    """The target without the source's keys, and the source; the source has one row per key."""
+    """The target without the source's keys, and the source.
+
+    For a source with one row per key that is stored: the planner then knows
+    its size, and a small one leaves the target unshuffled.
+    """
     kept = target.join(source.select(*keys), keys, "left_anti")
     return kept.unionByName(source.select(*target.columns))
 
@@ -29,6 +34,8 @@ def upsert_by_key(
 ) -> DataFrame:
     """The target with the source's newest row of each key put in or added.
 
-    The source is cut to one row per key first, so no key is large in the join.
+    The source is cut to one row per key first, so no key is large in the
+    join, and stored, so that it is worked out once for both of its uses.
     """
-    return replace_keys(target, latest_per_key(require_keys(source, keys), keys, newest), keys)
+    batch = stage(latest_per_key(require_keys(source, keys), keys, newest), "upsert_batch")
+    return replace_keys(target, batch, keys)

@@ -36,20 +36,21 @@ def _columns_sql(schema: T.StructType) -> str:
 
 
 def create_table(
-    spark: SparkSession,
-    table: str,
-    schema: T.StructType,
-    location: str,
-    partition_by: str | None = None,
+    spark: SparkSession, table: str, schema: T.StructType, location: str, partition_by: str
 ) -> None:
-    """Create a table where absent; overwriting a partitioned one replaces only the written folders."""
-    partitioning = (
-        f"OPTIONS ({DYNAMIC} 'dynamic') PARTITIONED BY (`{partition_by}`)" if partition_by else ""
-    )
+    """Create a table in folders where absent, over the data its location may hold already.
+
+    Overwriting the table replaces only the folders that are written.
+    """
+    if spark.catalog.tableExists(table):
+        return
+    # Appending nothing makes sure that there is a folder to look for partitions in.
+    spark.createDataFrame([], schema).write.mode("append").partitionBy(partition_by).parquet(location)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({_columns_sql(schema)}) USING parquet "
-        f"{partitioning} LOCATION '{location}'"
+        f"OPTIONS ({DYNAMIC} 'dynamic') PARTITIONED BY (`{partition_by}`) LOCATION '{location}'"
     )
+    spark.catalog.recoverPartitions(table)
 
 
 def create_tables(spark: SparkSession, db: str, location: str) -> None:
@@ -134,11 +135,8 @@ def load_accounts(
     last = states.filter(F.col("as_of") == states.agg(F.max("as_of").alias("as_of")).scalar())
     others = [name for name in accounts.columns if name not in ("date", *keys)]
     batch = latest_per_key(require_keys(accounts, keys), keys, ["date", *others])
-    state = replace_keys(
-        last.withColumn("as_of", F.lit(as_of)),
-        _in_table_order(batch.withColumn("as_of", F.lit(as_of)), table),
-        keys,
-    )
+    batch = _in_table_order(batch.withColumn("as_of", F.lit(as_of)), table)
+    state = replace_keys(last.withColumn("as_of", F.lit(as_of)), stage(batch, "account_batch"), keys)
     _overwrite_partitions(sort_key_layout(_in_table_order(state, table), keys), table)
 
 
@@ -152,11 +150,12 @@ def load_posts(spark: SparkSession, posts: DataFrame, db: str) -> DataFrame:
     """
     table, keys = f"{db}.{fixed.POSTS_TABLE}", schemas.POST_KEY
     target = spark.table(table)
-    batch = latest_per_key(require_keys(posts, keys), keys, [
-        name for name in posts.columns if name not in keys
-    ])
-    dates = stage(posts.select(F.col("date").alias("_date")).distinct(), "touched_dates")
-    touched = target.join(dates, F.col("date").eqNullSafe(F.col("_date")), "left_semi")
+    # Among copies of a post the one with the greater counts was collected later.
+    newest = ["date", "favorite_count", "retweet_count", "date_creation", "text"]
+    batch = latest_per_key(require_keys(posts, keys), keys, newest)
+    # One value per calendar day; as a subquery on the partition column it limits the scan.
+    dates = stage(posts.agg(F.collect_set("date").alias("dates")), "touched_dates")
+    touched = target.filter(F.array_contains(dates.scalar(), F.col("date")) | F.col("date").isNull())
     batch = stage(
         touched.select("id", *keys).join(warehouse_types(batch, fixed.POSTS_TABLE), keys, "right"),
         "post_batch",
