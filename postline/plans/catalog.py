@@ -202,7 +202,7 @@ def profile_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     record = F.struct(
         columns.whole_number(F.col("c_acctbal")).alias("followers_count"),
         F.col("c_nationkey").cast("bigint").alias("following_count"),
-        F.lit(datetime.datetime(2020, 1, 1)).cast("timestamp_ntz").alias("created_at"),
+        F.lit("2020-01-01").cast("timestamp_ntz").alias("created_at"),
         F.col("c_mktsegment").alias("description"),
     )
     people = _table(spark, sf_dir, "customer")
@@ -575,7 +575,7 @@ def daily_timeline_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     mark = incremental.high_water_mark(
         loaded.withColumn("d", dates.day_of(F.col("ts"))), "d", DAY_2
     )
-    newest = timeline.timeline_top_n(posts, "user_id", ("ts", "event_id"))
+    newest = timeline.timeline_top_n(posts, "user_id", ("ts", "event_id"), counted=events)
     opened = incremental.gate_timelines(newest, "user_id", "ts", mark.scalar())
     statuses = events.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_status"))
     return (
