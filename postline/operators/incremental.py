@@ -38,32 +38,40 @@ def gate_batch(
     return batch.filter(newest.scalar() > mark.select("mark").scalar())
 
 
+def _newest_times(rows: DataFrame, batch: list[str], time: str, granularity: str) -> DataFrame:
+    """Aggregated partially before the shuffle, so a batch may be of any size."""
+    return rows.groupBy(*batch).agg(F.max(at_granularity(time, granularity)).alias("newest"))
+
+
 def gate_batches(
     rows: DataFrame, batch: list[str], time: str, mark: DataFrame, granularity: str = "day"
 ) -> DataFrame:
     """All rows of the batches whose newest time is past the mark.
 
-    The newest times are aggregated partially before their shuffle, so a batch
-    may be of any size. The accepted batches are stored, so that the planner
-    knows their size: small, they are broadcast and the rows are not shuffled;
-    large, the join is sort-merge with skewed batches split.
+    The accepted batches are stored, so that the planner knows their size:
+    small, they are broadcast and the rows are not shuffled; large, the join is
+    sort-merge with skewed batches split.
     """
-    accepted = (
-        rows.groupBy(*batch)
-        .agg(F.max(at_granularity(time, granularity)).alias("newest"))
-        .filter(F.col("newest") > mark.select("mark").scalar())
-        .select(*batch)
-    )
+    newest = _newest_times(rows, batch, time, granularity)
+    accepted = newest.filter(F.col("newest") > mark.select("mark").scalar()).select(*batch)
     return rows.join(stage(accepted, "accepted_batches"), batch, "left_semi")
 
 
-def with_marks(
-    timelines: DataFrame, marks: DataFrame, account: str, as_of: datetime.date | None = None
+def opened_accounts(
+    posts: DataFrame,
+    account: str,
+    time: str,
+    marks: DataFrame,
+    as_of: datetime.date | None = None,
+    granularity: str = "day",
 ) -> DataFrame:
-    """Add each account's own mark as `mark`; the day before the run if nothing of it is loaded."""
-    return timelines.join(marks.select(account, "mark"), account, "left").withColumn(
-        "mark", F.coalesce("mark", _day_before(as_of))
-    )
+    """The accounts whose newest post is past their own mark (see `marks_per_key`).
+
+    An account of which nothing is loaded has the day before the run as its mark.
+    """
+    newest = _newest_times(posts, [account], time, granularity)
+    mark = F.coalesce("mark", _day_before(as_of))
+    return newest.join(marks, account, "left").filter(F.col("newest") > mark).select(account)
 
 
 def gate_timelines(

@@ -11,15 +11,19 @@ from postline.functions.dates import date_prefix, day_of, day_text
 from postline.functions.text import clean_text
 from postline.operators.accounts import attach_account_metrics
 from postline.operators.checks import require_rows
-from postline.operators.incremental import gate_timelines, marks_per_key, with_marks
+from postline.operators.incremental import marks_per_key, opened_accounts
 from postline.operators.timeline import timeline_top_n
+from postline.session import stage
 from postline.sources import landing, payload, processed, tables
 
 
 def land(spark: SparkSession, payload_path: str, root: str) -> None:
     """Flatten collected timelines into the three landing tables."""
-    collected = payload.read_payload(spark, payload_path)
-    posts = timeline_top_n(payload.exclude_reposts(payload.timeline_rows(collected)))
+    # Stored in columns first: the text form is parsed once, and what follows reads parts of it.
+    collected = stage(payload.read_payload(spark, payload_path), "payload")
+    posts = payload.exclude_reposts(payload.timeline_rows(collected))
+    times = collected.select("user", F.explode("TWEET_INFO.created_at"))
+    posts = timeline_top_n(posts, counted=times)
     landing.write_landing(posts, root, fixed.POSTS)
     landing.write_landing(payload.profile_rows(collected), root, fixed.ACCOUNTS)
     landing.write_landing(payload.activity_rows(collected), root, fixed.ACTIVITY)
@@ -47,15 +51,16 @@ def transform(spark: SparkSession, root: str, db: str, as_of: datetime.date) ->
     """
     posts = landing.read_landing(spark, root, fixed.POSTS)
     loaded = tables.scan(spark, f"{db}.{fixed.POSTS_TABLE}")
-    marks = marks_per_key(loaded, ["user"], "date_creation")
-    marked = with_marks(posts, marks, "user", as_of)
-    opened = gate_timelines(marked, "user", "date_creation", F.col("mark")).drop("mark")
+    # The table's date folders hold the creation dates, so only the accounts are read.
+    marks = marks_per_key(loaded, ["user"], "date")
+    opened = stage(opened_accounts(posts, "user", "date_creation", marks, as_of), "opened_accounts")
     if opened.isEmpty():
         return False
-    posts_path = processed.processed_path(root, "tweet")
-    processed.write_processed(transform_posts(opened), posts_path)
-    names = processed.read_processed(spark, posts_path).select("user").distinct()
-    accounts = landing.read_landing(spark, root, fixed.ACCOUNTS).join(names, "user", "left_semi")
+    processed.write_processed(
+        transform_posts(posts.join(opened, "user", "left_semi")),
+        processed.processed_path(root, "tweet"),
+    )
+    accounts = landing.read_landing(spark, root, fixed.ACCOUNTS).join(opened, "user", "left_semi")
     activity = landing.read_landing(spark, root, fixed.ACTIVITY)
     processed.write_processed(
         transform_accounts(accounts, activity, as_of), processed.processed_path(root, "user")

@@ -52,9 +52,15 @@ def test_gate_by_time(spark):
 def test_gate_with_each_accounts_own_mark(spark):
     old = spark.createDataFrame([("a", D(2024, 1, 21)), ("a", D(2024, 1, 1))], "k string, d date")
     marks = incremental.marks_per_key(old, ["k"], "d")
-    marked = incremental.with_marks(rows(spark), marks, "k", D(2024, 1, 20))
-    gated = incremental.gate_timelines(marked, "k", "ts", F.col("mark"))
-    assert ids(gated) == [3, 4]
+    for as_of, accounts in ((D(2024, 1, 20), ["b"]), (D(2024, 1, 21), [])):
+        opened = incremental.opened_accounts(rows(spark), "k", "ts", marks, as_of)
+        assert [r.k for r in opened.collect()] == accounts
+
+
+def test_gate_of_cut_timelines(spark):
+    gate = lambda day: incremental.gate_timelines(rows(spark), "k", "ts", F.lit(D(2024, 1, day)))
+    assert ids(gate(19)) == [1, 2, 3, 4] and ids(gate(20)) == [1, 2] and ids(gate(21)) == []
+    assert gate(20).columns == ["k", "i", "ts"]
 
 
 def test_gated_rows_are_not_shuffled_for_few_batches(spark):

@@ -76,7 +76,7 @@ def test_loading_posts_twice_changes_nothing_and_can_be_repeated(spark, db):
     before = loaded(spark, db)
     merged = tables.load_posts(spark, batch, db)
     assert loaded(spark, db) == before
-    tables.replace_partitions(merged, f"{db}.tweets", "date")
+    tables.replace_partitions(merged, f"{db}.tweets", "date", ["user", "post_id"])
     assert loaded(spark, db) == before
 
 
@@ -96,6 +96,13 @@ def test_only_touched_date_folders_are_read(spark, db, monkeypatch):
     assert [metric(s, "numPartitions") for s in tweets] == [2]
 
 
+def test_ids_go_on_after_the_greatest_even_with_gaps(spark, db):
+    tables.load_posts(spark, posts(spark, ("a", 1, 5, 1), ("a", 2, 5, 2)), db)
+    spark.sql(f"ALTER TABLE {db}.tweets DROP PARTITION (date = '2024-01-01')")
+    tables.load_posts(spark, posts(spark, ("a", 3, 5, 3)), db)
+    assert [row[0] for row in loaded(spark, db)] == [2, 3]
+
+
 def test_null_key_fails_the_load(spark, db):
     with pytest.raises(Exception, match="NULL in key column post_id"):
         tables.load_posts(spark, posts(spark, ("a", None, 5, 1)), db)
@@ -139,5 +146,5 @@ def test_a_table_without_folder_overwrite_is_not_overwritten(spark, db):
     spark.sql(f"CREATE TABLE {db}.other (user STRING, date DATE) USING parquet PARTITIONED BY (date)")
     with pytest.raises(ValueError, match="was not created"):
         tables.replace_partitions(
-            accounts(spark, D(2024, 1, 1), ("a", 1)).drop("followers"), f"{db}.other", "date"
+            accounts(spark, D(2024, 1, 1), ("a", 1)).drop("followers"), f"{db}.other", "date", []
         )
