@@ -6,22 +6,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postline import fixed_values as fixed
+from postline import schemas
 from postline.functions.columns import stamp_day
 from postline.functions.dates import date_prefix, day_of, day_text
 from postline.functions.text import clean_text
-from postline.operators.accounts import attach_account_metrics
+from postline.operators.accounts import METRICS, attach_account_metrics
 from postline.operators.checks import require_rows
 from postline.operators.incremental import marks_per_key, opened_accounts
-from postline.operators.timeline import timeline_top_n
+from postline.operators.timeline import latest_per_key, timeline_top_n
 from postline.session import stage
 from postline.sources import landing, payload, processed, tables
 
+# Among copies of a post the one with the greater counts was collected later.
+COUNTS = ["favorite_count", "retweet_count", "date_creation", "text"]
+
 
 def land(spark: SparkSession, payload_path: str, root: str) -> None:
     """Flatten collected timelines into the three landing tables."""
     # Stored in columns first: the text form is parsed once, and what follows reads parts of it.
     collected = stage(payload.read_payload(spark, payload_path), "payload")
     posts = payload.exclude_reposts(payload.timeline_rows(collected))
+    if not _collected_again(collected).isEmpty():
+        posts = latest_per_key(posts, schemas.POST_KEY, COUNTS)
     times = collected.select("user", F.explode("TWEET_INFO.created_at"))
     posts = timeline_top_n(posts, counted=times)
     landing.write_landing(posts, root, fixed.POSTS)
@@ -29,6 +35,11 @@ def land(spark: SparkSession, payload_path: str, root: str) -> None:
     landing.write_landing(payload.activity_rows(collected), root, fixed.ACTIVITY)
 
 
+def _collected_again(collected: DataFrame) -> DataFrame:
+    """Accounts with several payloads, whose posts may come in copies. Reads the names only."""
+    return collected.groupBy("user").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+
+
 def transform_posts(posts: DataFrame) -> DataFrame:
     """Clean the texts and derive the date."""
     return posts.withColumns(
@@ -39,9 +50,15 @@ def transform_posts(posts: DataFrame) -> DataFrame:
 def transform_accounts(
     accounts: DataFrame, activity: DataFrame, as_of: datetime.date | None
 ) -> DataFrame:
-    """Cut the creation time to its date text, stamp the day, attach the activity counts."""
+    """Cut the creation time to its date text, stamp the day, attach the activity counts.
+
+    Of an account that was collected several times, the row with the greatest counts stands.
+    """
+    accounts = latest_per_key(
+        accounts, schemas.ACCOUNT_KEY, ["followers", "following", "date_creation", "description"]
+    )
     dated = accounts.withColumn("date_creation", day_text(F.col("date_creation")))
-    return attach_account_metrics(stamp_day(dated, as_of), activity)
+    return attach_account_metrics(stamp_day(dated, as_of), activity, newest=METRICS)
 
 
 def transform(spark: SparkSession, root: str, db: str, as_of: datetime.date) -> bool:

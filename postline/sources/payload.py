@@ -9,9 +9,12 @@ ZIPPED = ["text", "favorite_count", "created_at", "retweet_count"]
 OPTIONAL = ["post_id", "repost_of"]
 
 
-def read_payload(spark: SparkSession, path: str) -> DataFrame:
-    """JSON payloads, one account per line. A payload holds one collection, so a line is small."""
-    return spark.read.schema(schemas.PAYLOAD).json(path)
+def read_payload(spark: SparkSession, path: str, mode: str = "FAILFAST") -> DataFrame:
+    """JSON payloads, one account per line. A payload holds one collection, so a line is small.
+
+    A malformed line fails the job; `PERMISSIVE` would turn it into NULLs.
+    """
+    return spark.read.schema(schemas.PAYLOAD).option("mode", mode).json(path)
 
 
 def write_payload(payload: DataFrame, path: str) -> None:
@@ -27,12 +30,13 @@ def _zip_to_shortest(lists: list[Column], optional: list[Column]) -> Column:
 
 def timeline_rows(payload: DataFrame) -> DataFrame:
     """One row per post: the text, its counts and time, the account and, if collected, the ids."""
-    posts = [F.col(f"TWEET_INFO.{name}").alias(name) for name in ZIPPED]
+    missing = F.raise_error(F.lit("a timeline lacks one of its lists"))
+    posts = [F.coalesce(F.col(f"TWEET_INFO.{name}"), missing).alias(name) for name in ZIPPED]
     extras = [
         F.coalesce(F.col(f"TWEET_INFO.{name}"), F.array()).alias(name) for name in OPTIONAL
     ]
     names = ZIPPED + OPTIONAL
-    lists = payload.select("user", *posts, *extras)
+    lists = payload.filter(F.col("TWEET_INFO").isNotNull()).select("user", *posts, *extras)
     rows = lists.select(
         "user", F.inline(_zip_to_shortest([F.col(n) for n in ZIPPED], [F.col(n) for n in OPTIONAL]))
     ).toDF("user", *names)

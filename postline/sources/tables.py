@@ -54,10 +54,7 @@ def create_table(
 
 
 def create_tables(spark: SparkSession, db: str, location: str) -> None:
-    """Create the database, its tables and the view, where absent.
-
-    Tables over folders that hold data already show that data.
-    """
+    """Create the database, its tables and the view, where absent."""
     root = location.rstrip("/")
     accounts = schemas.WAREHOUSE[fixed.ACCOUNTS_TABLE]
     states = T.StructType([*accounts.fields, T.StructField("as_of", T.DateType())])

@@ -116,6 +116,18 @@ def test_no_more_than_fifty_posts_per_account(run):
     assert sorted(p.post_id for p in posts) == list(range(10, 60))
 
 
+def test_an_account_collected_again_and_again(run):
+    """Copies neither take the place of other posts nor multiply the account."""
+    newest = [(i, 20, i, "t", None) for i in range(30)]
+    older = [(i, 19, 0, "t", None) for i in range(30, 50)]
+    copies = [collected("ann", n, *((i, d, likes + n, t, o) for i, d, likes, t, o in newest)) for n in (3, 1, 2)]
+    _, posts, users, days = run(20, *copies, collected("ann", 0, *older))
+    assert {p.post_id: p.favorite_count for p in posts} == {
+        **{i: str(i + 3) for i in range(30)}, **{i: "0" for i in range(30, 50)}
+    }
+    assert [(u.user, u.followers) for u in users] == [("ann", "3")] and len(days) == 1
+
+
 def test_command_line(tmp_path):
     """Each step in its own process finds what the last one left."""
     path = payload(tmp_path / "p.json", collected("ann", 7, (2, 20, 1, "two", None)))

@@ -54,6 +54,17 @@ def test_zip_stops_at_the_shortest_list(spark, tmp_path):
     assert payload.activity_rows(collected).filter("user = 'ann'").first()[:2] == (5, 6)
 
 
+def test_malformed_payloads_fail(spark, tmp_path):
+    lacking = write_json(tmp_path / "a.json", account("ann", text=["a"], favorite_count=[1]))
+    with pytest.raises(Exception, match="lacks one of its lists"):
+        payload.timeline_rows(payload.read_payload(spark, lacking)).collect()
+    (tmp_path / "b.json").write_text('{"user": "ann", "TWEET_INFO":')
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        payload.read_payload(spark, str(tmp_path / "b.json")).collect()
+    none = write_json(tmp_path / "c.json", {"user": "ann"})
+    assert payload.timeline_rows(payload.read_payload(spark, none)).isEmpty()
+
+
 def test_payload_round_trip(spark, tmp_path):
     record = account(
         "ann",
