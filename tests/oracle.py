@@ -32,7 +32,7 @@ def _rows(table: pa.Table) -> Counter:
 
 
 def difference(spark_frame, sql: str, con: duckdb.DuckDBPyConnection) -> str | None:
-    ours, theirs = spark_frame.toArrow(), con.execute(sql).to_arrow_table()
+    ours, theirs = spark_frame.toArrow(), con.sql(sql).to_arrow_table()
     if _schema(ours) != _schema(theirs):
         return f"schemas: {_schema(ours)} / {_schema(theirs)}"
     left, right = _rows(ours), _rows(theirs)
