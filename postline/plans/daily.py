@@ -89,8 +89,8 @@ def load(spark: SparkSession, root: str, db: str, as_of: datetime.date) -> None:
     """Processed zone to tables. Posts come last: they move the mark that opens a batch again."""
     accounts = processed.read_processed(spark, processed.processed_path(root, "user"))
     accounts = accounts.withColumn("date_creation", date_prefix(F.col("date_creation")))
-    tables.load_snapshot(accounts, db)
-    tables.load_accounts(spark, accounts, db, as_of)
+    tables.load_snapshot(spark, accounts, db)
+    tables.load_accounts(spark, tables.day_snapshot(spark, db, as_of), db, as_of)
     posts = processed.read_processed(spark, processed.processed_path(root, "tweet"))
     tables.load_posts(spark, posts, db)
     for table in (fixed.ACCOUNTS_TABLE, fixed.POSTS_TABLE):

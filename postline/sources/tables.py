@@ -118,11 +118,33 @@ def _overwrite_partitions(df: DataFrame, table: str) -> None:
     df.write.mode("overwrite").insertInto(table)
 
 
-def load_snapshot(accounts: DataFrame, db: str) -> None:
-    """Keep the accounts' state of a day; loading a day again replaces it."""
-    table = f"{db}.{SNAPSHOTS_TABLE}"
-    accounts = warehouse_types(accounts, fixed.ACCOUNTS_TABLE)
-    replace_partitions(accounts, table, "date", schemas.ACCOUNT_KEY)
+def _touched(target: DataFrame, batch: DataFrame) -> DataFrame:
+    """The target's rows in the date folders that the batch has rows for."""
+    # One value per calendar day; as a subquery on the partition column it limits the scan.
+    dates = stage(batch.agg(F.collect_set("date").alias("dates")), "touched_dates")
+    return target.filter(F.array_contains(dates.scalar(), F.col("date")) | F.col("date").isNull())
+
+
+def _one_per_account(accounts: DataFrame) -> DataFrame:
+    keys = schemas.ACCOUNT_KEY
+    others = [name for name in accounts.columns if name not in ("date", *keys)]
+    return latest_per_key(require_keys(accounts, keys), keys, ["date", *others])
+
+
+def load_snapshot(spark: SparkSession, accounts: DataFrame, db: str) -> None:
+    """Keep the accounts' state of their day.
+
+    Loading an account again on a day replaces its state of that day; the other
+    accounts and days stay.
+    """
+    table, keys = f"{db}.{SNAPSHOTS_TABLE}", [*schemas.ACCOUNT_KEY, "date"]
+    batch = stage(_in_table_order(_one_per_account(accounts), table), "snapshot_batch")
+    merged = replace_keys(_touched(spark.table(table), batch), batch, keys)
+    replace_partitions(stage(merged, "merged_snapshot"), table, "date", schemas.ACCOUNT_KEY)
+
+
+def day_snapshot(spark: SparkSession, db: str, day: datetime.date) -> DataFrame:
+    return spark.table(f"{db}.{SNAPSHOTS_TABLE}").filter(F.col("date") == F.lit(day))
 
 
 def load_accounts(
@@ -130,15 +152,14 @@ def load_accounts(
 ) -> None:
     """Upsert the accounts by name into the latest states.
 
-    The new state starts from the newest one before `as_of`; what a former run
-    of the same day wrote is not read, but replaced.
+    The new state starts from the newest one before `as_of` and replaces what a
+    former run of the same day wrote, so `accounts` are all those loaded that
+    day (see `day_snapshot`). Days are loaded in order.
     """
     table, keys = f"{db}.{STATES_TABLE}", schemas.ACCOUNT_KEY
     states = spark.table(table).filter(F.col("as_of") < F.lit(as_of))
     last = states.filter(F.col("as_of") == states.agg(F.max("as_of").alias("as_of")).scalar())
-    others = [name for name in accounts.columns if name not in ("date", *keys)]
-    batch = latest_per_key(require_keys(accounts, keys), keys, ["date", *others])
-    batch = _in_table_order(batch.withColumn("as_of", F.lit(as_of)), table)
+    batch = _in_table_order(_one_per_account(accounts).withColumn("as_of", F.lit(as_of)), table)
     state = replace_keys(last.withColumn("as_of", F.lit(as_of)), stage(batch, "account_batch"), keys)
     _overwrite_partitions(sort_key_layout(_in_table_order(state, table), keys), table)
 
@@ -156,9 +177,7 @@ def load_posts(spark: SparkSession, posts: DataFrame, db: str) -> DataFrame:
     # Among copies of a post the one with the greater counts was collected later.
     newest = ["date", "favorite_count", "retweet_count", "date_creation", "text"]
     batch = latest_per_key(require_keys(posts, keys), keys, newest)
-    # One value per calendar day; as a subquery on the partition column it limits the scan.
-    dates = stage(posts.agg(F.collect_set("date").alias("dates")), "touched_dates")
-    touched = target.filter(F.array_contains(dates.scalar(), F.col("date")) | F.col("date").isNull())
+    touched = _touched(target, posts)
     batch = stage(
         touched.select("id", *keys).join(warehouse_types(batch, fixed.POSTS_TABLE), keys, "right"),
         "post_batch",

@@ -97,6 +97,14 @@ def test_a_day_run_again_changes_nothing(run):
     assert again[0] is False and again[1:] == first[1:]
 
 
+def test_two_runs_on_one_day_add_up(run):
+    run(20, collected("ann", 7, ANN, (2, 20, 1, "two", None)))
+    done, posts, users, days = run(20, collected("bob", 3, (6, 20, 0, "six", None)))
+    assert done and len(posts) == 3
+    assert [(u.user, u.followers) for u in users] == [("ann", "7"), ("bob", "3")]
+    assert [(d.date.day, d.user) for d in days] == [(20, "ann"), (20, "bob")]
+
+
 def test_an_interrupted_load_is_finished_by_the_next_run(run, monkeypatch):
     account = collected("ann", 7, ANN, (2, 20, 1, "two", None))
     with monkeypatch.context() as patch:

@@ -136,10 +136,12 @@ def test_the_view_reads_the_newest_state_folder_only(spark, db):
 
 
 def test_a_snapshot_day_is_replaced_alone(spark, db):
-    for day, count in ((1, 1), (2, 1), (2, 7)):
-        tables.load_snapshot(accounts(spark, D(2024, 1, day), ("a", count)), db)
+    for day, user, count in ((1, "a", 1), (2, "a", 1), (2, "b", 3), (2, "a", 7)):
+        tables.load_snapshot(spark, accounts(spark, D(2024, 1, day), (user, count)), db)
     rows = spark.table(f"{db}.{tables.SNAPSHOTS_TABLE}").collect()
-    assert sorted((r.date.day, r.followers) for r in rows) == [(1, "1"), (2, "7")]
+    got = sorted((r.date.day, r.user, r.followers) for r in rows)
+    assert got == [(1, "a", "1"), (2, "a", "7"), (2, "b", "3")]
+    assert tables.day_snapshot(spark, db, D(2024, 1, 1)).count() == 1
 
 
 def test_a_table_without_folder_overwrite_is_not_overwritten(spark, db):
