@@ -19,14 +19,18 @@ def require_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def replace_keys(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    """The target without the source's keys, and the source.
+def without_keys(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+    """The target's rows whose key the source does not have.
 
-    For a source with one row per key that is stored: the planner then knows
-    its size, and a small one leaves the target unshuffled.
+    For a source that is stored: the planner then knows its size, and a small
+    one leaves the target unshuffled.
     """
-    kept = target.join(source.select(*keys), keys, "left_anti")
-    return kept.unionByName(source.select(*target.columns))
+    return target.join(source.select(*keys), keys, "left_anti").select(*target.columns)
+
+
+def replace_keys(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+    """The target without the source's keys, and the source, which has one row per key."""
+    return without_keys(target, source, keys).unionByName(source.select(*target.columns))
 
 
 def upsert_by_key(

@@ -22,7 +22,7 @@ from postline import schemas
 from postline.functions.columns import warehouse_types
 from postline.operators.layout import sort_key_layout, surrogate_id
 from postline.operators.timeline import latest_per_key
-from postline.operators.upsert import replace_keys, require_keys
+from postline.operators.upsert import replace_keys, require_keys, without_keys
 from postline.session import stage
 from postline.sources.processed import by_date
 
@@ -45,7 +45,8 @@ def create_table(
     if spark.catalog.tableExists(table):
         return
     # Appending nothing makes sure that there is a folder to look for partitions in.
-    spark.createDataFrame([], schema).write.mode("append").partitionBy(partition_by).parquet(location)
+    nothing = spark.createDataFrame([], schema).limit(0)
+    nothing.write.mode("append").partitionBy(partition_by).parquet(location)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({_columns_sql(schema)}) USING parquet "
         f"OPTIONS ({DYNAMIC} 'dynamic') PARTITIONED BY (`{partition_by}`) LOCATION '{location}'"
@@ -139,8 +140,8 @@ def load_snapshot(spark: SparkSession, accounts: DataFrame, db: str) -> None:
     """
     table, keys = f"{db}.{SNAPSHOTS_TABLE}", [*schemas.ACCOUNT_KEY, "date"]
     batch = stage(_in_table_order(_one_per_account(accounts), table), "snapshot_batch")
-    merged = replace_keys(_touched(spark.table(table), batch), batch, keys)
-    replace_partitions(stage(merged, "merged_snapshot"), table, "date", schemas.ACCOUNT_KEY)
+    kept = stage(without_keys(_touched(spark.table(table), batch), batch, keys), "kept_snapshot")
+    replace_partitions(kept.unionByName(batch), table, "date", schemas.ACCOUNT_KEY)
 
 
 def day_snapshot(spark: SparkSession, db: str, day: datetime.date) -> DataFrame:
@@ -168,9 +169,10 @@ def load_posts(spark: SparkSession, posts: DataFrame, db: str) -> DataFrame:
     """Upsert the posts; a known post keeps its id, a new one gets the next.
 
     A post's date never changes, so only the date folders that the batch
-    touches are read and rewritten, not the table. The merged rows are stored
-    before they replace those folders; they are returned, so that a write that
-    was interrupted can be repeated from them with `replace_partitions`.
+    touches are read and rewritten, not the table. The rows that stay in those
+    folders are stored before the folders are replaced. The merged rows are
+    returned; they are made of stored parts only, so that a write that was
+    interrupted can be repeated from them with `replace_partitions`.
     """
     table, keys = f"{db}.{fixed.POSTS_TABLE}", schemas.POST_KEY
     target = spark.table(table)
@@ -185,12 +187,9 @@ def load_posts(spark: SparkSession, posts: DataFrame, db: str) -> DataFrame:
     fresh = surrogate_id(
         batch.filter(F.col("id").isNull()).drop("id"), ["date", *keys], start=_last_id(target) + 1
     )
-    merged = (
-        touched.join(batch.select(*keys), keys, "left_anti")
-        .unionByName(_in_table_order(batch.filter(F.col("id").isNotNull()), table))
-        .unionByName(_in_table_order(fresh, table))
-    )
-    merged = stage(merged, "merged_posts")
+    kept = stage(without_keys(touched, batch, keys), "kept_posts")
+    known = batch.filter(F.col("id").isNotNull())
+    merged = kept.unionByName(_in_table_order(known, table)).unionByName(_in_table_order(fresh, table))
     replace_partitions(merged, table, "date", keys)
     return merged
 
