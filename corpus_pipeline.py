@@ -1,25 +1,65 @@
-"""The training-data pipeline over `documents`: a list of stages, each a function of the one before."""
+"""The training-data pipeline over `documents`: a list of stages, each a function of the one before.
+
+Each stage takes (spark, docs, sf_dir) and returns documents, the last one
+their tokens. The stages are not expressed in SQL; tests/llm holds each against
+a brute-force form.
+"""
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from postline.llm import near_dedup
+from postline.llm import decontaminate, language, near_dedup, pieces, secret_scan
+from postline.llm.queries import MODEL_FILE
 from postline.session import stage
 
+# Least score of a language; the languages share 1, so this rejects what could be any of several.
+LANGUAGE_SCORE = 0.3
+
+
+def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is recognised; a missing `lang` is filled with it."""
+    found = docs.withColumnsRenamed({"lang_pred": "_lang_pred", "score": "_score"})
+    judged = language.identify(found, language.fit(docs), found.columns)
+    known = judged.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LANGUAGE_SCORE))
+    filled = known.withColumn("lang", F.coalesce("lang", "lang_pred")).drop("lang_pred", "score")
+    return filled.withColumnsRenamed({"_lang_pred": "lang_pred", "_score": "score"}).select(*docs.columns)
+
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
+    """One document of each group of near copies: shingles of five words, similarity 0.8."""
     return near_dedup.near_dedup(docs)
 
 
+def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no item of `benchmark`."""
+    return decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with masked secrets."""
+    return secret_scan.redact(docs, secret_scan.fit(docs))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, lang, source, ids and n_tokens of every document."""
+    encoded = pieces.encode_documents(docs, MODEL_FILE, ["doc_id", "lang", "source"])
+    return encoded.select("doc_id", "lang", "source", "ids", "n_tokens")
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language_id", keep_known_languages),
     ("near_dedup", drop_near_copies),
+    ("decontamination", drop_benchmark_leaks),
+    ("secret_scan", mask_secrets),
+    ("sentencepiece", encode),
 ]
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages applied to `documents`, each stored before the next reads it."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, function in STAGES:
         docs = stage(function(spark, docs, sf_dir), name)

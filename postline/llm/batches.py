@@ -40,8 +40,10 @@ def map_text(
     are taken from a batch, so that long texts do not pile up.
     """
     made = T._parse_datatype_string(schema)
-    kept = df.select(*[F.col(f"`{name}`").alias(f"_k{i}") for i, name in enumerate(keep)], F.col(f"`{text}`").alias("_text"))
-    out = T.StructType([*kept.schema.fields[:-1], *made.fields])
+    names = keep if text in keep else [*keep, text]
+    kept = df.select(*[F.col(f"`{name}`").alias(f"_k{i}") for i, name in enumerate(names)])
+    out = T.StructType([*kept.schema.fields[: len(keep)], *made.fields])
+    source = names.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
@@ -51,7 +53,7 @@ def map_text(
         for batch in batches:
             for start in range(0, batch.num_rows, read):
                 part = batch.slice(start, read)
-                columns = apply(part.column(part.num_columns - 1).to_pylist())
+                columns = apply(part.column(source).to_pylist())
                 arrays = [
                     column if isinstance(column, pa.Array) else pa.array(column, type=field.type)
                     for column, field in zip(columns, list(arrow)[len(keep) :], strict=True)
