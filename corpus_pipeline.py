@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postline.llm import decontaminate, language, near_dedup, pieces, secret_scan
+from postline.llm.batches import unused
 from postline.llm.queries import MODEL_FILE
 from postline.session import stage
 
@@ -20,11 +21,12 @@ LANGUAGE_SCORE = 0.3
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; a missing `lang` is filled with it."""
-    found = docs.withColumnsRenamed({"lang_pred": "_lang_pred", "score": "_score"})
-    judged = language.identify(found, language.fit(docs), found.columns)
+    own = {name: unused(docs, f"_{name}") for name in ("lang_pred", "score")}
+    renamed = docs.withColumnsRenamed(own)
+    judged = language.identify(renamed, language.fit(docs), renamed.columns)
     known = judged.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LANGUAGE_SCORE))
-    filled = known.withColumn("lang", F.coalesce("lang", "lang_pred")).drop("lang_pred", "score")
-    return filled.withColumnsRenamed({"_lang_pred": "lang_pred", "_score": "score"}).select(*docs.columns)
+    filled = known.withColumn("lang", F.coalesce("lang", "lang_pred")).drop(*own)
+    return filled.withColumnsRenamed({there: name for name, there in own.items()}).select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

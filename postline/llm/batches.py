@@ -24,6 +24,14 @@ def chunks(texts: list[str], limit: int = CHUNK_CHARS) -> Iterator[tuple[int, li
         yield first, texts[first:]
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """The name, with as many underscores in front as it takes to be no column of the frame."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def map_text(
     df: DataFrame,
     text: str,

@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postline.llm.batches import map_text
+from postline.llm.batches import map_text, unused
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -209,20 +209,20 @@ def with_matches(
     out. Repeated rows are all returned; an empty table of either kind gives no
     matches. Word positions count from 0.
     """
-    made = docs
+    made, before = docs, unused(docs, "_before")
     for i, items in enumerate(_passes(benchmark)):
 
         def start(items=items):
             index = _index(items, radius, least)
             return lambda texts: [[index.matches(text) for text in texts]]
 
-        held = keep if i == 0 else [*keep, "_before"]
+        held = keep if i == 0 else [*keep, before]
         if i:
-            made = made.withColumnRenamed("matches", "_before")
+            made = made.withColumnRenamed("matches", before)
         names = list(dict.fromkeys([*held, "text"]))
         made = map_text(made, "text", names, f"matches {MATCH}", start)
         if i:
-            made = made.withColumn("matches", F.concat("_before", "matches")).drop("_before")
+            made = made.withColumn("matches", F.concat(before, "matches")).drop(before)
     return made.select(*keep, "matches")
 
 
@@ -234,6 +234,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS, le
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS, least: float = SIMILARITY) -> DataFrame:
     """The documents that hold no benchmark item, with all their columns (see `with_matches`)."""
-    kept = docs.withColumnsRenamed({"matches": "_own_matches"})
+    own = unused(docs, "_matches")
+    kept = docs.withColumnRenamed("matches", own)
     found = with_matches(kept, benchmark, kept.columns, radius, least).filter(F.size("matches") == 0).drop("matches")
-    return found.withColumnsRenamed({"_own_matches": "matches"})
+    return found.withColumnRenamed(own, "matches").select(*docs.columns)

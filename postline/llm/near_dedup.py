@@ -7,8 +7,9 @@ bits are cut into, two fingerprints within the radius agree in all but `radius`;
 so they meet in the table of one choice of blocks, and none is missed.
 
 `near_dedup` links texts whose sets of shingles have a similarity (Jaccard) of
-0.8 or more. Texts meet under their rarest shingles, are compared by a wide
-fingerprint, and what is left is verified on the whole sets.
+0.8 or more. Texts meet in TABLES tables, under the smallest shingles by BAND
+hash functions each; there they are compared by a wide fingerprint, and what is
+left is verified on the whole sets.
 
 In both a group of rows that meet is cut into chunks, and every two chunks meet
 in a group of their own; no task gets more than two chunks of one group. From a
@@ -25,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postline.llm.batches import SPAN, map_text, place
+from postline.llm.batches import map_text, unused
 from postline.llm.bitslice import close_pairs, stars
 from postline.llm.components import components
 from postline.session import stage
@@ -45,12 +46,11 @@ SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 WIDE_BITS = 128
 WIDE_RADIUS = 38
-# Rarest shingles under which a text is looked for. Two texts of similarity s share none of
-# them with a chance of (1 - s) ** (2 * RAREST - 1) or less: 5e-7.
-RAREST = 5
-# Texts from which common shingles are found, and the share of texts that makes one common.
-COMMON_SAMPLE = 5_000
-COMMON_SHARE = 1 / 500
+# Tables in which a text is looked for, and smallest shingles that make up a key of one. Two texts of
+# similarity s meet in none with a chance of (1 - s ** BAND) ** TABLES: 6e-7 at 0.8.
+TABLES = 20
+BAND = 3
+FACTORS = np.random.default_rng(SEED).integers(1, 2**63, (2, TABLES * BAND), dtype=np.int64).view(np.uint64) | np.uint64(1)
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -210,30 +210,18 @@ def fingerprint_classes(docs: DataFrame, radius: int = 4, shingle_words: int = 4
     return printed.join(classes, "print").select("doc_id", hexed.alias("fingerprint"), "component_id")
 
 
-def _common(docs: DataFrame, shingle_words: int) -> np.ndarray:
-    """Sorted hashes of the shingles that about COMMON_SHARE of the texts hold, from a sample.
-
-    No more than 2 / COMMON_SHARE times a text's shingles, however many texts
-    there are. They only come last in the order of rarity: that decides under
-    which shingles texts meet, and whatever the order, similar texts do meet.
-    """
-    share = min(1.0, COMMON_SAMPLE / max(1, docs.count()))
-    sample = docs.filter(place("text") < F.lit(int(share * SPAN))).groupBy(F.xxhash64("text").alias("_raw")).agg(F.min("text").alias("text"))
-
-    def start():
-        return lambda found: [[np.unique(shingle_hashes(words_of(t), shingle_words)).view(np.int64) for t in found]]
-
-    held = map_text(sample, "text", [], "hashes array<bigint>", start).select(F.explode("hashes").alias("hash"))
-    many = max(8, int(COMMON_SAMPLE * COMMON_SHARE))
-    rows = held.groupBy("hash").count().filter(F.col("count") >= many).select("hash").collect()
-    return np.sort(np.array([row.hash for row in rows], np.int64).view(np.uint64))
-
-
-def _rarest(hashes: np.ndarray, common: np.ndarray) -> np.ndarray:
-    if len(common):
-        at = np.minimum(np.searchsorted(common, hashes), len(common) - 1)
-        hashes = hashes[np.argsort(common[at] == hashes, kind="stable")]
-    return hashes[:RAREST]
+def _keys(hashes: np.ndarray) -> np.ndarray:
+    """The TABLES keys of a set of shingles; none for an empty one."""
+    if not len(hashes):
+        return np.zeros(0, np.int64)
+    least = np.full(TABLES * BAND, np.uint64(2**64 - 1))
+    for start in range(0, len(hashes), 1 << 12):
+        part = hashes[start : start + (1 << 12), None] * FACTORS[0] + FACTORS[1]
+        np.minimum(least, part.min(axis=0), out=least)
+    keys = np.arange(1, TABLES + 1, dtype=np.uint64)
+    for k in range(BAND):
+        keys = _mixed(keys ^ least[k * TABLES : (k + 1) * TABLES])
+    return keys.view(np.int64)
 
 
 def _verified(frame: pd.DataFrame, prints: list[str], radius: int, similarity: float) -> Iterator[tuple[int, int]]:
@@ -269,7 +257,6 @@ def _verified(frame: pd.DataFrame, prints: list[str], radius: int, similarity: f
 
 def _sketches(docs: DataFrame, shingle_words: int) -> DataFrame:
     """For each row that has words: `doc_id`, `_raw` (hash of the text), `same` (hash of its words), prints, keys."""
-    common = _common(docs, shingle_words)
     wide = WIDE_BITS // 64
 
     def start():
@@ -282,7 +269,7 @@ def _sketches(docs: DataFrame, shingle_words: int) -> DataFrame:
                 prints = simhash(hashes, wide)
                 for column, value in zip(columns, [_signed(same) if words else None, *prints], strict=False):
                     column.append(value)
-                columns[-1].append(_rarest(hashes, common).view(np.int64))
+                columns[-1].append(_keys(hashes))
             return columns
 
         return apply
@@ -365,12 +352,12 @@ def near_dedup(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, similarity:
     once = kept.filter("n = 1").select(F.col("doc_id").alias("_kid"), F.col("_raw").alias("_kraw"))
     is_kept = F.col("doc_id").eqNullSafe(F.col("_kid")) & (F.col("_raw") == F.col("_kraw"))
     gone = sketched.select("doc_id", "_raw").distinct().join(once, is_kept, "left_anti")
-    gone = stage(gone.select(F.col("doc_id").alias("_gid"), F.col("_raw").alias("_graw")), "gone_texts")
-    repeated = stage(
-        kept.filter("n > 1").select(F.col("doc_id").alias("_gid"), F.col("_raw").alias("_graw")), "repeated_texts"
-    )
-    named = docs.withColumn("_hash", F.xxhash64("text"))
-    is_gone = F.col("doc_id").eqNullSafe(F.col("_gid")) & (F.col("_hash") == F.col("_graw"))
+    key, gone_id, gone_key = (unused(docs, name) for name in ("_key", "_gone_id", "_gone_key"))
+    names = F.col("doc_id").alias(gone_id), F.col("_raw").alias(gone_key)
+    gone = stage(gone.select(*names), "gone_texts")
+    repeated = stage(kept.filter("n > 1").select(*names), "repeated_texts")
+    named = docs.withColumn(key, F.xxhash64("text"))
+    is_gone = F.col("doc_id").eqNullSafe(F.col(gone_id)) & (F.col(key) == F.col(gone_key))
     stays = named.join(gone, is_gone, "left_anti")
-    again = named.join(repeated, is_gone, "left_semi").dropDuplicates(["doc_id", "_hash"])
+    again = named.join(repeated, is_gone, "left_semi").dropDuplicates(["doc_id", key])
     return stays.unionByName(again).select(*docs.columns)

@@ -22,8 +22,8 @@ from postline.llm.batches import map_text
 from postline.session import stage
 
 NEAREST = 20
-TABLES = 4
-PROBED = 20 / 128
+TABLES = 5
+PROBED = 28 / 128
 ROUNDS = 3
 SEED = 5
 CHUNK = 4096

@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postline.llm.batches import chunks, map_text, sample_rows
+from postline.llm.batches import chunks, map_text, sample_rows, unused
 
 # The patterns, and the least length of what counts (of the value, for an assignment).
 ASSIGN = re.compile(
@@ -476,8 +476,9 @@ def redact(docs: DataFrame, field: Field) -> DataFrame:
             [None if t is None else masked(t, spans) for t, spans in zip(texts, scanner(texts), strict=True)]
         ]
 
-    kept = docs.withColumnRenamed("text", "_whole")
-    made = map_text(kept, "_whole", [c for c in kept.columns if c != "_whole"], "text string", start)
+    whole = unused(docs, "_whole")
+    kept = docs.withColumnRenamed("text", whole)
+    made = map_text(kept, whole, [c for c in kept.columns if c != whole], "text string", start)
     if "n_chars" in docs.columns:
         made = made.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return made.select(*docs.columns)
