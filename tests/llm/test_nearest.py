@@ -1,0 +1,97 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from postline.llm import nearest
+
+SF = "/root/testdata/sf0.1"
+
+
+def test_hadamard():
+    matrix = np.array([[1.0]])
+    for _ in range(4):
+        matrix = np.block([[matrix, matrix], [matrix, -matrix]])
+    x = np.random.default_rng(0).normal(size=(5, 16))
+    assert np.allclose(nearest.hadamard(x), x @ matrix / 4)
+    turned = nearest.rotated(x, nearest.signs(1, 16)[0])
+    assert np.allclose(np.linalg.norm(turned, axis=1), np.linalg.norm(x, axis=1))
+
+
+def test_cells_are_nearest_signed_axes():
+    x = np.random.default_rng(1).normal(size=(50, 8))
+    flips = nearest.signs(2, 8)
+    probed = nearest.cells(x, flips, 3)
+    for table in range(2):
+        turned = nearest.rotated(x, flips[table])
+        both = np.concatenate([turned, -turned], axis=1)
+        want = np.argsort(-both, axis=1)[:, :3] + 16 * table
+        assert np.array_equal(np.sort(probed[:, 3 * table : 3 * table + 3], axis=1), np.sort(want, axis=1))
+        assert np.array_equal(nearest.cells(x, flips, 1)[:, table], want[:, 0])
+
+
+def brute(rows, most, step):
+    """{query: [(vec_id, score)]} over all candidates."""
+    ids, x = np.array([i for i, _ in rows]), np.array([v for _, v in rows], np.float64)
+    found = {}
+    for i, q in zip(ids, x):
+        if i % step == 0:
+            scores = x @ q
+            order = [k for k in np.lexsort((ids, -scores)) if ids[k] != i][:most]
+            found[int(i)] = [(int(ids[k]), scores[k]) for k in order]
+    return found
+
+
+def results(frame):
+    found = {}
+    for r in frame.orderBy("query_id", "rank").collect():
+        found.setdefault(r.query_id, []).append((r.vec_id, r.score))
+        assert r["rank"] == len(found[r.query_id])
+    return found
+
+
+def recall(found, want):
+    hits = sum(len({v for v, _ in found.get(q, [])} & {v for v, _ in best}) for q, best in want.items())
+    return hits / sum(map(len, want.values()))
+
+
+@pytest.mark.parametrize("lengths", ["unit", "unequal"])
+def test_recall_against_all_pairs(spark, lengths):
+    vectors = spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id", "embedding")
+    if lengths == "unequal":
+        grow = F.lit(0.5) + F.pmod(F.xxhash64("vec_id"), F.lit(100)) / 50
+        vectors = vectors.withColumn("embedding", F.transform("embedding", lambda x: (x * grow).cast("float")))
+    want = brute([(r.vec_id, r.embedding) for r in vectors.collect()], 20, 20)
+    found = results(nearest.nearest(vectors, vectors.filter("vec_id % 20 = 0")))
+    assert found.keys() == want.keys() and all(len(f) == 20 for f in found.values())
+    assert recall(found, want) >= 0.9
+    exact = {q: dict(brute([(r.vec_id, r.embedding) for r in vectors.collect()], 10**6, 20)[q]) for q in list(want)[:3]}
+    for q in exact:
+        assert all(abs(exact[q][v] - s) < 1e-12 for v, s in found[q])
+        assert found[q] == sorted(found[q], key=lambda x: (-x[1], x[0]))
+
+
+def test_all_cells_give_the_exact_answer_in_any_chunks(spark, monkeypatch):
+    """With every cell probed nothing is missed, with many copies of one vector and in small chunks."""
+    rng = np.random.default_rng(2)
+    rows = [(i, [float(v) for v in np.round(rng.normal(size=8), 2)]) for i in range(200)]
+    rows += [(i, [1.0, *[0.0] * 6, 2.0]) for i in range(200, 320)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    want = brute(rows, 5, 10)
+    for chunk in (4096, 16):
+        monkeypatch.setattr(nearest, "CHUNK", chunk)
+        monkeypatch.setattr(nearest, "QUERY_CHUNK", max(2, chunk // 8))
+        found = results(nearest.nearest(frame, frame.filter("vec_id % 10 = 0"), most=5, probed=1.0))
+        assert {q: [v for v, _ in f] for q, f in found.items()} == {q: [v for v, _ in f] for q, f in want.items()}
+
+
+def test_odd_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [1.0, 0.0]), (1, [2.0, 0.0]), (2, None), (3, [0.0, 0.0]), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, [None, 1.0]), (None, [1.0, 1.0]),
+            (7, [1.0]), (8, [-1.0, 0.0]), (8, [-1.0, 0.0]), (20, [0.0, 3.0]), (40, [nan, 1.0]), (9, [])]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").withColumn("score", F.lit(1)).withColumn("cells", F.lit(1))
+    found = results(nearest.nearest(frame, frame.filter("vec_id % 20 = 0"), probed=1.0))
+    assert found == {0: [(1, 2.0), (20, 0.0), (8, -1.0)], 20: [(0, 0.0), (1, 0.0), (8, 0.0)]}
+    assert nearest.nearest(frame.limit(0), frame).count() == 0
+    assert nearest.nearest(frame, frame.limit(0)).count() == 0
+    alone = frame.filter("vec_id = 0")
+    assert nearest.nearest(alone, alone).count() == 0

@@ -1,0 +1,137 @@
+import math
+import random
+import re
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from postline.llm import queries, url_filter
+from tests.llm.conftest import SF
+
+RULES = queries.RULES
+
+
+def parts(url):
+    """Host and path, as they are stated."""
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    end = min((rest.find(c) for c in "/?#" if c in rest), default=len(rest))
+    host = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in rest[:end])
+    return host, re.split("[?#]", rest[end:])[0]
+
+
+def rule_of(host, path, rules=RULES):
+    fits = [r for r in rules if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+    return max(fits, key=lambda r: (len(r.name), r.name), default=None)
+
+
+def plain_segments(path):
+    found = [s for s in path.split("/") if s]
+    found = [re.sub("[0-9]+", "*", re.sub(url_filter.HEX_NAME, "*", s)) for s in found]
+    if len(found) > url_filter.DEPTH:
+        found = [*found[: url_filter.DEPTH - 1], "/".join(found[url_filter.DEPTH - 1 :])]
+    return tuple(found)
+
+
+def brute(urls):
+    """{(host, segments): (template, purity)} of (url, bad) rows, level by level over plain dicts."""
+    leaves = defaultdict(lambda: [0, 0, 0])
+    for url, bad in urls:
+        host, path = parts(url)
+        leaf = leaves[host, plain_segments(path)]
+        leaf[0] += 1
+        if bad is not None:
+            leaf[1 + bad] += 1
+    template = {key: "" for key in leaves}
+    for level in range(max((len(s) for _, s in leaves), default=0)):
+        nodes = defaultdict(lambda: defaultdict(lambda: [0, 0, 0]))
+        for (host, segs), counts in leaves.items():
+            if len(segs) > level:
+                child = nodes[host, template[host, segs]][segs[level]]
+                for i in range(3):
+                    child[i] += counts[i]
+        grown = {}
+        for node, children in nodes.items():
+            total = [sum(c[i] for c in children.values()) for i in range(3)]
+            for name, (n, good, bad) in children.items():
+                labels, others = good + bad, total[1] + total[2] - good - bad
+                differs = False
+                if labels >= 5 and others >= 5:
+                    p = total[2] / (total[1] + total[2])
+                    spread = math.sqrt(p * (1 - p) * (1 / labels + 1 / others))
+                    differs = abs(bad / labels - (total[2] - bad) / others) > 1.96 * spread
+                varies = len(children) > 10 and n < 0.1 * total[0]
+                grown[node, name] = name if not varies and (differs or len(children) == 1) else "*"
+        for host, segs in leaves:
+            if len(segs) > level:
+                template[host, segs] += "/" + grown[(host, template[host, segs]), segs[level]]
+    good, bad = (sum(c[i] for c in leaves.values()) for i in (1, 2))
+    share = good / (good + bad) if good + bad else 1.0
+    sums = defaultdict(lambda: [0, 0])
+    for (host, segs), counts in leaves.items():
+        for i in range(2):
+            sums[host, template[host, segs]][i] += counts[i + 1]
+    purity = {key: (g + 5 * share) / (g + b + 5) for key, (g, b) in sums.items()}
+    return {(h, s): (t, purity[h, t]) for (h, s), t in template.items()}
+
+
+def expected(pages, urls):
+    tree, want = brute(urls), []
+    for page, url in pages:
+        host, path = parts(url)
+        rule = rule_of(host, path)
+        template, purity = tree[host, plain_segments(path)]
+        verdict = rule.verdict if rule else "block" if purity < 0.5 else "allow"
+        want.append((str(page), host, path, rule.name if rule else None, verdict, template))
+    return sorted(want, key=str)
+
+
+def judged(pages, labels):
+    rows = url_filter.judge_urls(pages, labels, RULES).collect()
+    return sorted(((str(r.page_id), r.host, r.path, r.rule, r.verdict, r.template) for r in rows), key=str)
+
+
+def test_the_whole_table(spark):
+    pages, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("pages", "labels"))
+    urls = [(r.url, r.bad) for r in queries.labelled_urls(pages, labels).collect()]
+    assert len(urls) == pages.count() and any(b is not None for _, b in urls)
+    assert judged(pages, queries.labelled_urls(pages, labels)) == expected([(r.page_id, r.url) for r in pages.collect()], urls)
+
+
+def test_a_grown_tree(spark):
+    """One host with good and bad branches, many values, and deep paths."""
+    rng = random.Random(1)
+    urls = []
+    for i in range(900):
+        branch = rng.choice(["news", "spam", "blog", "casino"])
+        bad = rng.random() < (0.9 if branch in ("spam", "casino") else 0.05)
+        leaf = rng.choice([f"{i}", f"a{i}.html", "".join(rng.choices("abcxyz", k=6)), "x/" * rng.randint(0, 15)])
+        urls.append((f"http://{rng.choice(['Big.example', 'b.example'])}/{branch}/{leaf}?q", int(bad) if rng.random() < 0.8 else None))
+    frame = spark.createDataFrame([(i, *u) for i, u in enumerate(urls)], "page_id bigint, url string, bad int").repartition(3)
+    got = judged(frame, frame.select("url", "bad"))
+    assert got == expected([(i, u) for i, (u, _) in enumerate(urls)], urls)
+    verdicts = defaultdict(list)
+    for row in got:
+        verdicts[row[2].split("/")[1]].append(row[4])
+    # Few labels leave a rare template the overall purity.
+    assert verdicts["spam"].count("block") >= 0.8 * len(verdicts["spam"])
+    assert verdicts["news"].count("allow") >= 0.98 * len(verdicts["news"])
+
+
+def test_odd_rows(spark):
+    urls = [None, "", "no scheme.org/x", "http://", "HTTP://A.ORG", "x://a.org/", "x://org/a", "x://myorg/a", "x://a.example.org/es/1", "x://a.example.org/en/12",
+            "x://é.com/fr/ü?#", "x://b.com/de/1#/fr/", "x://b.com?x=://c", "://d.net//a//", "x://" + "d.net/" + "s/" * 3000, "x://b.com/de/1#/fr/"]
+    pages = spark.createDataFrame([(i if i else None, u) for i, u in enumerate(urls)], "page_id bigint, url string").withColumn("host", F.lit(1)).withColumn("template", F.lit(2))
+    labels = spark.createDataFrame([(u, None) for u in urls], "url string, bad int")
+    assert judged(pages, labels) == expected([(i if i else None, u) for i, u in enumerate(urls)], [(u, None) for u in urls])
+    assert url_filter.judge_urls(pages.limit(0), labels, RULES).count() == 0
+    assert {r.verdict for r in url_filter.judge_urls(pages, labels.limit(0), ()).collect()} == {"allow"}
+
+
+@pytest.mark.parametrize(("url", "rule"), [("x://a.example.org/en/1x", "example.org/en/1"), ("x://a.example.org", None), ("x://org/", "org/"), ("x://www.com/fr/1", "com/fr/")])
+def test_longest_rule(spark, url, rule):
+    row = spark.createDataFrame([(url,)], "url string")
+    host, path = url_filter.host_of(F.col("url")), url_filter.path_of(F.col("url"))
+    assert row.select(url_filter.fitting_rule(host, path, RULES).alias("r")).first().r == rule
