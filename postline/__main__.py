@@ -3,6 +3,7 @@
 import argparse
 import datetime
 
+from postline import fixed_values as fixed
 from postline.plans import daily
 from postline.session import build_session
 from postline.sources.tables import create_tables
@@ -14,20 +15,27 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--root", required=True, help="folder of the zones and the tables")
     parser.add_argument("--payload", help="collected timelines (land, daily)")
     parser.add_argument("--db", default="timelines")
-    parser.add_argument("--as-of", type=datetime.date.fromisoformat, default=datetime.date.today())
+    parser.add_argument(
+        "--as-of", type=datetime.date.fromisoformat, default=datetime.datetime.now(datetime.UTC).date()
+    )
+    parser.add_argument("--newest", type=int, default=fixed.TIMELINE_LENGTH, help="posts per account, 0 for all (land, daily)")
+    parser.add_argument("--account", help="whose the landing files are, if they do not say so (transform, daily)")
     args = parser.parse_args(argv)
-    if args.step in ("land", "daily") and not args.payload:
+    if args.step == "land" and not args.payload or args.step == "daily" and not (args.payload or args.account):
         parser.error(f"{args.step} needs --payload")
     spark = build_session(f"postline {args.step}")
     create_tables(spark, args.db, f"{args.root.rstrip('/')}/warehouse")
     if args.step == "land":
-        daily.land(spark, args.payload, args.root)
+        daily.land(spark, args.payload, args.root, args.newest or None)
     elif args.step == "transform":
-        print("processed" if daily.transform(spark, args.root, args.db, args.as_of) else "nothing new")
+        done = daily.transform(spark, args.root, args.db, args.as_of, args.account)
+        print("processed" if done else "nothing new")
     elif args.step == "load":
         daily.load(spark, args.root, args.db, args.as_of)
     else:
-        loaded = daily.run_day(spark, args.payload, args.root, args.db, args.as_of)
+        loaded = daily.run_day(
+            spark, args.payload, args.root, args.db, args.as_of, args.newest or None, args.account
+        )
         print("loaded" if loaded else "nothing new")
     return 0
 

@@ -11,7 +11,7 @@ DAY_LENGTH = 10
 TIME_FORMAT = "HH:mm:ss"
 CREATION_FORMAT = "yyyy-MM-dd HH:mm:ss+00:00"
 
-# Posts kept per account and collection.
+# Posts kept per account and run, unless the run asks for another number.
 TIMELINE_LENGTH = 50
 
 # Rows shown by a table preview.

@@ -62,16 +62,15 @@ def opened_accounts(
     account: str,
     time: str,
     marks: DataFrame,
-    as_of: datetime.date | None = None,
     granularity: str = "day",
 ) -> DataFrame:
     """The accounts whose newest post is past their own mark (see `marks_per_key`).
 
-    An account of which nothing is loaded has the day before the run as its mark.
+    An account of which nothing is loaded is open, however old its posts are.
     """
     newest = _newest_times(posts, [account], time, granularity)
-    mark = F.coalesce("mark", _day_before(as_of))
-    return newest.join(marks, account, "left").filter(F.col("newest") > mark).select(account)
+    opened = F.col("mark").isNull() | (F.col("newest") > F.col("mark"))
+    return newest.join(marks, account, "left").filter(opened).select(account)
 
 
 def gate_timelines(

@@ -1,21 +1,9 @@
 """Newest rows per account, latest date, preview."""
 
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postline import fixed_values as fixed
-from postline.session import stage
-
-# A key with about this many rows is treated on its own. It decides how the work
-# is split, never what comes out.
-HOT_ROWS = 10_000_000
-# Sampled rows expected of such a key.
-SAMPLED = 1_000
-# Into how many parts the rows of a hot key are split before they meet.
-PARTS = 64
 
 
 def _first_n(df: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFrame:
@@ -23,57 +11,13 @@ def _first_n(df: DataFrame, keys: list[str], order: list[Column], n: int) -> Dat
     return df.withColumn("_rank", rank).filter(F.col("_rank") <= n).drop("_rank")
 
 
-def _same_key(keys: list[str]) -> Column:
-    """Whether a row has the key of a row of `_hidden`; NULL is a key like others."""
-    return reduce(and_, (F.col(key).eqNullSafe(F.col(f"_{key}")) for key in keys))
-
-
-def _hidden(df: DataFrame, keys: list[str]) -> DataFrame:
-    return df.withColumnsRenamed({key: f"_{key}" for key in keys})
-
-
-def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The keys with about `hot_rows` rows or more, found in a sample of the key columns.
-
-    There are at most the frame's rows / half of `hot_rows` of them.
-    """
-    sample = df.select(*keys).sample(min(1.0, SAMPLED / hot_rows), seed=1)
-    counts = sample.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    many = F.col("_rows") >= min(SAMPLED, hot_rows) // 2
-    return stage(counts.filter(many).select(*keys), "hot_keys")
-
-
-def _cut_hot_keys(
-    df: DataFrame, keys: list[str], newest: list[str], n: int, hot: DataFrame
-) -> DataFrame:
-    """The frame with only the n newest rows of the hot keys, all rows of the others.
-
-    The hot keys' n-th newest rows are found on the key and order columns alone:
-    first within parts, then over the parts. A part takes whole input tasks, as
-    each task passes on only its own n newest rows of a key.
-    """
-    order = [F.col(column).desc() for column in newest]
-    narrow = df.select(*keys, *newest).join(F.broadcast(_hidden(hot, keys)), _same_key(keys), "left_semi")
-    parted = narrow.withColumn("_part", F.pmod(F.spark_partition_id(), F.lit(PARTS)))
-    top = _first_n(_first_n(parted, [*keys, "_part"], order, n), keys, order, n)
-    oldest = top.groupBy(*keys).agg(F.min(F.struct(*newest)).alias("_oldest"))
-    kept = F.col("_oldest").isNull() | (F.struct(*newest) >= F.col("_oldest"))
-    limits = stage(_hidden(oldest, keys), "hot_key_limits")
-    return df.join(limits, _same_key(keys), "left").filter(kept).select(*df.columns)
-
-
-def newest_per_key(
-    df: DataFrame, keys: list[str], newest: list[str], n: int, hot: DataFrame | None = None
-) -> DataFrame:
+def newest_per_key(df: DataFrame, keys: list[str], newest: list[str], n: int) -> DataFrame:
     """The n newest rows of each key; `newest` must order the rows of a key without ties.
 
     One shuffle of whole rows, ahead of which each input task keeps only its
-    own n newest rows of a key. With very many input tasks that may still be
-    much for the one task where a key's rows meet, so the rows of `hot` keys
-    (see `hot_keys`) are cut to the n newest before.
+    own n newest rows of a key. So the task where a key's rows meet gets n rows
+    of it from each input task at most, however hot the key is.
     """
-    if hot is not None and not hot.isEmpty():
-        df = _cut_hot_keys(df, keys, newest, n, hot)
     return _first_n(df, keys, [F.col(column).desc() for column in newest], n)
 
 
@@ -81,22 +25,15 @@ def timeline_top_n(
     posts: DataFrame,
     account: str = "user",
     newest: tuple[str, ...] = ("date_creation", "post_id"),
-    n: int = fixed.TIMELINE_LENGTH,
-    hot_rows: int = HOT_ROWS,
-    counted: DataFrame | None = None,
+    n: int | None = fixed.TIMELINE_LENGTH,
 ) -> DataFrame:
-    """The newest posts of each account.
-
-    Accounts with very many posts are looked for in `counted`: the posts, or a
-    frame that has no fewer rows of an account and is cheaper to read.
-    """
-    hot = hot_keys(posts if counted is None else counted, [account], hot_rows)
-    return newest_per_key(posts, [account], list(newest), n, hot)
+    """The n newest posts of each account; all of them if n is None."""
+    return posts if n is None else newest_per_key(posts, [account], list(newest), n)
 
 
 def latest_per_key(df: DataFrame, keys: list[str], newest: list[str]) -> DataFrame:
     """One row per key, the newest. An input task passes on one row of a key, be it hot or not."""
-    return newest_per_key(df, keys, newest, n=1)
+    return newest_per_key(df, keys, newest, 1)
 
 
 def max_date(df: DataFrame, date: str) -> DataFrame:

@@ -4,7 +4,7 @@ import datetime
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,7 +12,8 @@ from postline import fixed_values as fixed
 from postline import schemas
 from postline.functions import columns, dates, text
 from postline.operators import accounts, checks, incremental, layout, timeline, upsert
-from postline.session import scratch_path
+from postline.plans import daily
+from postline.session import scratch_path, stage
 from postline.sources import landing, payload, processed, tables
 from postline.streaming import intake
 
@@ -156,6 +157,8 @@ def _event_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Payload
 
+# Collections without a time.
+COLLECTED = F.lit(None).cast("timestamp").alias("collected_at")
 # Posts per collected payload: event ids are unique, so a payload holds no more.
 PAGE = 1000
 
@@ -187,7 +190,7 @@ def timeline_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "payload")
     payload.write_payload(packed.select("user", F.struct(*lists).alias("TWEET_INFO")), path)
     rows = payload.timeline_rows(payload.read_payload(spark, path))
-    return rows.drop("repost_of").withColumn(
+    return rows.drop("repost_of", "collected_at").withColumn(
         "date_creation", F.col("date_creation").cast("timestamp_ntz")
     )
 
@@ -205,9 +208,8 @@ def profile_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_mktsegment").alias("description"),
     )
     people = _table(spark, sf_dir, "customer")
-    return payload.profile_rows(
-        people.select(F.col("c_name").alias("user"), record.alias("USER_INFO"))
-    )
+    collected = people.select(F.col("c_name").alias("user"), record.alias("USER_INFO"), COLLECTED)
+    return payload.profile_rows(collected).drop("collected_at")
 
 
 @_query(
@@ -220,9 +222,8 @@ def activity_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("s_nationkey").cast("bigint").alias("retweet_count"),
     )
     suppliers = _table(spark, sf_dir, "supplier")
-    return payload.activity_rows(
-        suppliers.select(F.col("s_name").alias("user"), record.alias("USER_ACTIVITY"))
-    )
+    collected = suppliers.select(F.col("s_name").alias("user"), record.alias("USER_ACTIVITY"), COLLECTED)
+    return payload.activity_rows(collected).drop("collected_at")
 
 
 @_query("SELECT event_id, user_id, event_type FROM events WHERE event_type <> 'view'")
@@ -355,6 +356,24 @@ def incremental_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return incremental.gate_batches(weeks, ["week"], "ts", mark)
 
 
+@_query(
+    """SELECT event_id, ts, 'open' AS gate FROM events
+       WHERE (SELECT max(CAST(ts AS DATE)) FROM events) > DATE '2024-01-20'
+       UNION ALL
+       SELECT event_id, ts, 'closed' FROM events
+       WHERE (SELECT max(CAST(ts AS DATE)) FROM events) > DATE '2024-01-31'"""
+)
+def batch_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events as one batch, against a mark before its end and one after it."""
+    events = _table(spark, sf_dir, "events").select("event_id", "ts")
+    gated = []
+    for gate, day in (("open", datetime.date(2024, 1, 20)), ("closed", DAY_2)):
+        loaded = events.select(F.lit(day).alias("d"))
+        mark = incremental.high_water_mark(loaded, "d", DAY_2)
+        gated.append(incremental.gate_batch(events, "ts", mark).withColumn("gate", F.lit(gate)))
+    return gated[0].unionByName(gated[1])
+
+
 @_query(
     """SELECT 'orders' AS name, count(*) > 0 AS has_rows FROM (SELECT 1 FROM orders LIMIT 1)
        UNION ALL
@@ -407,12 +426,30 @@ def surrogate_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.surrogate_id(days, ["d", "o_orderkey"])
 
 
-@_query("SELECT * FROM orders")
+@_query(
+    """SELECT count(*) AS n_rows, sum(o_orderkey)::BIGINT AS key_sum, 8::BIGINT AS files,
+              0::BIGINT AS overlapping, 0::BIGINT AS unsorted FROM orders"""
+)
 def sort_key_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts of the files that the layout gives: all rows, ranges that do not overlap, rows in order."""
     orders = _table(spark, sf_dir, "orders")
-    path = scratch_path(spark, "sorted")
-    layout.sort_key_layout(orders, ["o_orderdate"], ["o_orderkey"]).write.parquet(path)
-    return processed.read_processed(spark, path, orders.schema)
+    path, key = scratch_path(spark, "sorted"), F.struct("o_orderdate", "o_orderkey")
+    ranged = layout.sort_key_layout(orders, ["o_orderdate"], ["o_orderkey"], partitions=8)
+    ranged.write.parquet(path)
+    placed = processed.read_processed(spark, path, orders.schema).select(
+        key.alias("key"), "o_orderkey", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row")
+    )
+    before = F.lag("key").over(Window.partitionBy("file").orderBy("row"))
+    files = placed.withColumn("before", before).groupBy("file").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("key_sum"), F.min("key").alias("low"), F.max("key").alias("high"),
+        F.coalesce(F.sum((F.col("before") >= F.col("key")).cast("bigint")), F.lit(0)).alias("unsorted"),
+    )
+    # One row per file.
+    overlap = (F.lag("high").over(Window.orderBy("low")) >= F.col("low")).cast("bigint")
+    return files.withColumn("overlap", overlap).agg(
+        F.sum("n").alias("n_rows"), F.sum("key_sum").alias("key_sum"), F.count("file").alias("files"),
+        F.coalesce(F.sum("overlap"), F.lit(0)).alias("overlapping"), F.sum("unsorted").alias("unsorted"),
+    )
 
 
 @_query(
@@ -507,12 +544,16 @@ def landing_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landing.read_delimited(spark, path, docs.schema)
 
 
-@_query("SELECT *, CAST(ts AS DATE) AS date FROM events")
+@_query(
+    """SELECT *, CAST(ts AS DATE) AS date, 'date=' || CAST(CAST(ts AS DATE) AS VARCHAR) AS folder FROM events"""
+)
 def processed_partitioned_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _table(spark, sf_dir, "events").withColumn("date", dates.day_of(F.col("ts")))
     path = scratch_path(spark, "processed")
     processed.write_processed(events, path)
-    return processed.read_processed(spark, path, events.schema)
+    # The folder is taken from the file's name, the date from the row.
+    folder = F.regexp_extract(F.col("_metadata.file_path"), "(date=[^/]+)/[^/]+$", 1)
+    return processed.read_processed(spark, path, events.schema).withColumn("folder", folder)
 
 
 @_query("SELECT * FROM events")
@@ -570,12 +611,14 @@ def daily_timeline_load(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .join(docs.select("event_id"), "event_id", "left_semi")
     )
+    posts = stage(posts, "posts")
     loaded = posts.filter(F.col("ts") < F.lit("2024-01-02").cast("timestamp_ntz"))
     mark = incremental.high_water_mark(
         loaded.withColumn("d", dates.day_of(F.col("ts"))), "d", DAY_2
     )
-    newest = timeline.timeline_top_n(posts, "user_id", ("ts", "event_id"), counted=events)
-    opened = incremental.gate_timelines(newest, "user_id", "ts", mark.scalar())
+    newest = timeline.timeline_top_n(posts, "user_id", ("ts", "event_id"))
+    # Stored, so that the planner knows whether the texts can be cut by them before they are shuffled.
+    opened = stage(incremental.gate_timelines(newest, "user_id", "ts", mark.scalar()), "opened")
     statuses = events.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_status"))
     return (
         accounts.attach_account_metrics(opened, statuses, "user_id", metrics=["n_status"])
@@ -593,7 +636,7 @@ def daily_timeline_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query(
     f"""SELECT {CLEAN_SQL} AS text, n_chars AS favorite_count, CAST(user_id AS VARCHAR) AS "user",
-               doc_id AS post_id, CAST(ts AS DATE) AS date
+               doc_id AS post_id, ts AS date_creation, CAST(ts AS DATE) AS date
         FROM documents JOIN events ON doc_id = event_id"""
 )
 def landing_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -608,6 +651,7 @@ def landing_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(0).cast("bigint").alias("retweet_count"),
         F.col("user_id").cast("string").alias("user"),
         F.col("doc_id").alias("post_id"),
+        COLLECTED,
     )
     root, schema = scratch_path(spark, "intake"), schemas.LANDING[fixed.POSTS]
     landing.write_landing(posts, root, fixed.POSTS)
@@ -615,5 +659,134 @@ def landing_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = processed.processed_path(root, "tweet")
     intake.process_landed(landed, done, f"{root}/state").awaitTermination()
     return intake.read_intake(spark, done, schema).select(
-        "text", "favorite_count", "user", "post_id", "date"
+        "text", "favorite_count", "user", "post_id", F.col("date_creation").cast("timestamp_ntz").alias("date_creation"), "date"
+    )
+
+
+# Two days of the real run. On the first, accounts of two in three numbers are collected, some of them
+# twice, the later time with smaller counts; on the second, all accounts: known ones with newer posts
+# and smaller counts, new ones with old posts only.
+RUN_SQL = """posts AS (SELECT event_id, CAST(user_id AS VARCHAR) AS u, user_id, ts, CAST(ts AS DATE) AS d,
+                      CAST(trunc(value) AS BIGINT) AS f, nullif(text, '') AS text
+               FROM events JOIN documents ON event_id = doc_id),
+    d1 AS (SELECT * FROM posts WHERE user_id % 3 <> 0 AND ts < TIMESTAMP '2024-01-15 00:00:00'),
+    m1 AS (SELECT u, max(d) AS mark FROM d1 GROUP BY u),
+    d2 AS (SELECT * FROM posts WHERE ts < CASE WHEN user_id % 3 = 0 THEN TIMESTAMP '2024-01-10 00:00:00'
+                                               ELSE TIMESTAMP '2024-01-30 00:00:00' END),
+    opened AS (SELECT d2.u FROM d2 LEFT JOIN m1 ON d2.u = m1.u GROUP BY d2.u, mark
+               HAVING mark IS NULL OR max(d) > mark)"""
+
+
+def _run_days(spark: SparkSession, sf_dir: str) -> str:
+    docs = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("event_id"), "text")
+    posts = _table(spark, sf_dir, "events").join(docs, "event_id")
+    root, db = scratch_path(spark, "run"), f"postline_{uuid.uuid4().hex}"
+    early = F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz")
+    new = F.col("user_id") % 3 == 0
+    until = F.when(new, "2024-01-10").otherwise("2024-01-30").cast("timestamp_ntz")
+    days = (
+        # (day of the run, [(rows, hour, likes added, followers)])
+        (15, [(early & ~new, 1, 10, 1000), (early & ~new & (F.col("user_id") % 5 == 1), 2, 5, 900)]),
+        (30, [(F.col("ts") < until, 1, 0, 800)]),
     )
+    for day, collections in days:
+        path = f"{root}/in/{day}"
+        for chosen, hour, likes, followers in collections:
+            post = F.struct(
+                "text",
+                (columns.whole_number(F.col("value")) + likes).alias("favorite_count"),
+                F.lit(0).cast("bigint").alias("retweet_count"),
+                F.col("ts").cast("timestamp").alias("created_at"),
+                F.col("event_id").alias("post_id"),
+            )
+            pages = posts.filter(chosen).groupBy("user_id", F.floor(F.col("event_id") / PAGE).alias("page"))
+            packed = pages.agg(F.collect_list(post).alias("posts"))
+            lists = [F.col(f"posts.{n}").alias(n) for n in ("text", "favorite_count", "retweet_count", "created_at", "post_id")]
+            record = F.struct(
+                (F.lit(followers) - F.col("user_id")).alias("followers_count"),
+                F.col("user_id").alias("following_count"),
+                F.lit("2020-01-01").cast("timestamp").alias("created_at"),
+                F.lit("a|b").alias("description"),
+            )
+            activity = F.struct(F.lit(followers).alias("favoris_count"), F.col("user_id").alias("retweet_count"))
+            collected = packed.select(
+                F.col("user_id").cast("string").alias("user"),
+                F.struct(*lists).alias("TWEET_INFO"),
+                record.alias("USER_INFO"),
+                activity.alias("USER_ACTIVITY"),
+                F.lit(f"2024-01-{day} 0{hour}:00:00").cast("timestamp").alias("collected_at"),
+            )
+            payload.write_payload(collected, f"{path}/{hour}")
+        daily.run_day(spark, f"{path}/*", root, db, datetime.date(2024, 1, day), newest=None)
+    return db
+
+
+@_query(
+    f"""WITH {RUN_SQL},
+    fresh AS (SELECT * FROM d2 WHERE u IN (SELECT u FROM opened) AND event_id NOT IN (SELECT event_id FROM d1)),
+    ids AS (SELECT event_id, row_number() OVER (ORDER BY d, u, event_id) AS id FROM d1
+            UNION ALL SELECT event_id, (SELECT count(*) FROM d1) + row_number() OVER (ORDER BY d, u, event_id) FROM fresh)
+    SELECT ids.id, {CLEAN_SQL.replace("text,", "p.text,")} AS text,
+           CAST(f + CASE WHEN u IN (SELECT u FROM opened) THEN 0 WHEN user_id % 5 = 1 THEN 5 ELSE 10 END AS VARCHAR) AS favorite_count,
+           '0' AS retweet_count, d AS date_creation, u AS "user", event_id AS post_id, d AS date
+    FROM posts p JOIN ids USING (event_id)"""
+)
+def daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.scan(spark, f"{_run_days(spark, sf_dir)}.{fixed.POSTS_TABLE}")
+
+
+@_query(
+    f"""WITH {RUN_SQL},
+    seen AS (SELECT u, user_id, CASE WHEN user_id % 5 = 1 THEN 900 ELSE 1000 END AS f, DATE '2024-01-15' AS day
+             FROM d1 WHERE u NOT IN (SELECT u FROM opened)
+             UNION SELECT u, user_id, 800, DATE '2024-01-30' FROM d2 WHERE u IN (SELECT u FROM opened))
+    SELECT u AS "user", 'a|b' AS description, u AS following, CAST(f - user_id AS VARCHAR) AS followers,
+           CAST(f AS VARCHAR) AS favorite_count, u AS retweet_count, DATE '2020-01-01' AS date_creation, day AS date
+    FROM seen"""
+)
+def daily_run_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.scan(spark, f"{_run_days(spark, sf_dir)}.{fixed.ACCOUNTS_TABLE}")
+
+
+@_query(
+    """SELECT row_number() OVER (ORDER BY ts >= TIMESTAMP '2024-01-16 00:00:00', CAST(ts AS DATE),
+                  CAST(user_id AS VARCHAR), CAST(trunc(value) AS BIGINT), event_id) AS id,
+              event_type AS text, CAST(CAST(trunc(value) AS BIGINT) AS VARCHAR) AS favorite_count,
+              CAST(event_id AS VARCHAR) AS retweet_count, CAST(ts AS DATE) AS date_creation,
+              CAST(user_id AS VARCHAR) AS "user", CAST(NULL AS BIGINT) AS post_id, CAST(ts AS DATE) AS date
+       FROM events"""
+)
+def posts_append_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts without post id in two batches: each row is added under the next id."""
+    db, posts = _new_warehouse(spark), _event_posts(spark, sf_dir)
+    half = F.col("date") < datetime.date(2024, 1, 16)
+    for batch in (posts.filter(half), posts.filter(~half)):
+        tables.append_posts(spark, batch, db)
+    return tables.scan(spark, f"{db}.{fixed.POSTS_TABLE}")
+
+
+@_query(
+    f"""SELECT row_number() OVER (ORDER BY CAST(ts AS DATE), n_chars, event_id) AS id, {CLEAN_SQL} AS text,
+              CAST(n_chars AS VARCHAR) AS favorite_count, CAST(event_id AS VARCHAR) AS retweet_count,
+              CAST(ts AS DATE) AS date_creation, 'ann' AS "user", CAST(NULL AS BIGINT) AS post_id,
+              CAST(ts AS DATE) AS date
+       FROM (SELECT event_id, ts, n_chars, nullif(text, '') AS text FROM documents JOIN events ON doc_id = event_id)"""
+)
+def bare_landing_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landing files of one account without ids or its name, through the whole run."""
+    joined = _table(spark, sf_dir, "documents").join(_table(spark, sf_dir, "events"), F.col("doc_id") == F.col("event_id"))
+    time = F.lit("2020-01-01").cast("timestamp").alias("date_creation")
+    one = spark.range(1)
+    landed = {
+        fixed.POSTS: joined.select(
+            "text", F.col("n_chars").alias("favorite_count"), F.col("ts").cast("timestamp").alias("date_creation"),
+            F.col("event_id").alias("retweet_count"),
+        ),
+        fixed.ACCOUNTS: one.select(F.col("id").alias("followers"), F.col("id").alias("following"), time, F.lit("d").alias("description")),
+        fixed.ACTIVITY: one.select(F.col("id").alias("favorite_count"), F.col("id").alias("retweet_count")),
+    }
+    root, db = scratch_path(spark, "bare"), f"postline_{uuid.uuid4().hex}"
+    for name, rows in landed.items():
+        landing.write_delimited(rows, landing.landing_path(root, name))
+    daily.run_day(spark, None, root, db, DAY_2, account="ann")
+    return tables.scan(spark, f"{db}.{fixed.POSTS_TABLE}")

@@ -7,39 +7,47 @@ from pyspark.sql import functions as F
 
 from postline import fixed_values as fixed
 from postline import schemas
-from postline.functions.columns import stamp_day
+from postline.functions.columns import stamp_account, stamp_day
 from postline.functions.dates import date_prefix, day_of, day_text
 from postline.functions.text import clean_text
 from postline.operators.accounts import METRICS, attach_account_metrics
 from postline.operators.checks import require_rows
-from postline.operators.incremental import marks_per_key, opened_accounts
+from postline.operators.incremental import opened_accounts
 from postline.operators.timeline import latest_per_key, timeline_top_n
-from postline.session import stage
-from postline.sources import landing, payload, processed, tables
+from postline.session import require_utc, sized_shuffles, stage
+from postline.sources import folders, landing, payload, processed, tables
 
-# Among copies of a post the one with the greater counts was collected later.
-COUNTS = ["favorite_count", "retweet_count", "date_creation", "text"]
+# Of copies the one that was collected last stands; the rest only decides between copies of one collection.
+POST_COPIES = ["collected_at", "favorite_count", "retweet_count", "date_creation", "text"]
+ACCOUNT_COPIES = ["collected_at", "followers", "following", "date_creation", "description"]
+REJECTED = "_rejected"
+# A bare landing file is small in columns, not in rows: parsed texts take about this times its bytes in memory.
+SPREAD = 2
 
 
-def land(spark: SparkSession, payload_path: str, root: str) -> None:
-    """Flatten collected timelines into the three landing tables."""
+def one_per_post(posts: DataFrame) -> DataFrame:
+    """The posts without copies. Posts without post id are not known to be copies and all stay."""
+    named = latest_per_key(posts.filter(F.col("post_id").isNotNull()), schemas.POST_KEY, POST_COPIES)
+    return named.unionByName(posts.filter(F.col("post_id").isNull()))
+
+
+def land(
+    spark: SparkSession, payload_path: str, root: str, newest: int | None = fixed.TIMELINE_LENGTH
+) -> None:
+    """Flatten collected timelines into the three landing tables.
+
+    Of each account the `newest` posts of the run are landed, or all if None.
+    """
     # Stored in columns first: the text form is parsed once, and what follows reads parts of it.
     collected = stage(payload.read_payload(spark, payload_path), "payload")
-    posts = payload.exclude_reposts(payload.timeline_rows(collected))
-    if not _collected_again(collected).isEmpty():
-        posts = latest_per_key(posts, schemas.POST_KEY, COUNTS)
-    times = collected.select("user", F.explode("TWEET_INFO.created_at"))
-    posts = timeline_top_n(posts, counted=times)
+    posts = one_per_post(payload.exclude_reposts(payload.timeline_rows(collected)))
+    order = ("date_creation", "post_id", *POST_COPIES)
+    posts = timeline_top_n(posts, newest=tuple(dict.fromkeys(order)), n=newest)
     landing.write_landing(posts, root, fixed.POSTS)
     landing.write_landing(payload.profile_rows(collected), root, fixed.ACCOUNTS)
     landing.write_landing(payload.activity_rows(collected), root, fixed.ACTIVITY)
 
 
-def _collected_again(collected: DataFrame) -> DataFrame:
-    """Accounts with several payloads, whose posts may come in copies. Reads the names only."""
-    return collected.groupBy("user").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
-
-
 def transform_posts(posts: DataFrame) -> DataFrame:
     """Clean the texts and derive the date."""
     return posts.withColumns(
@@ -52,58 +60,117 @@ def transform_accounts(
 ) -> DataFrame:
     """Cut the creation time to its date text, stamp the day, attach the activity counts.
 
-    Of an account that was collected several times, the row with the greatest counts stands.
+    Of an account that was collected several times, the last collection stands.
     """
-    accounts = latest_per_key(
-        accounts, schemas.ACCOUNT_KEY, ["followers", "following", "date_creation", "description"]
-    )
+    accounts = latest_per_key(accounts, schemas.ACCOUNT_KEY, ACCOUNT_COPIES)
     dated = accounts.withColumn("date_creation", day_text(F.col("date_creation")))
-    return attach_account_metrics(stamp_day(dated, as_of), activity, newest=METRICS)
+    activity = activity.select("user", "collected_at", *METRICS)
+    return attach_account_metrics(stamp_day(dated, as_of), activity, newest=["collected_at", *METRICS])
+
 
+def _landed(spark: SparkSession, root: str, table: str, account: str | None) -> DataFrame:
+    """The rows of a landing table, parsed once; what could not be parsed is set aside.
 
-def transform(spark: SparkSession, root: str, db: str, as_of: datetime.date) -> bool:
+    Files without account, post id and time of collection are all of one `account`.
+    """
+    rows = landing.read_landing(spark, root, table, bare=account is not None, rejected=REJECTED)
+    rows = stage(rows, f"landed_{table.lower()}")
+    bad = rows.filter(F.col(REJECTED).isNotNull()).select(F.col(REJECTED).alias("value"))
+    if not bad.isEmpty():
+        bad.write.mode("overwrite").text(f"{root.rstrip('/')}/rejected/{table}")
+    rows = rows.drop(REJECTED)
+    if account is None:
+        return rows
+    missing = [field for field in schemas.LANDING[table] if field.name not in (*rows.columns, "user")]
+    return stamp_account(rows, account).withColumns(
+        {field.name: F.lit(None).cast(field.dataType) for field in missing}
+    )
+
+
+def _pending(root: str) -> str:
+    """Says that the processed zone is not loaded yet, and of which day it is."""
+    return processed.processed_path(root, "pending")
+
+
+def transform(
+    spark: SparkSession, root: str, db: str, as_of: datetime.date, account: str | None = None
+) -> bool:
     """Landing to processed zone, for the accounts that have newer posts than are loaded.
 
-    Returns whether there are any; if not, the processed zone stays as it is.
+    `account` is whose the landing files are, if they do not say so. Returns
+    whether there are any newer posts; if not, the processed zone stays as it is.
     """
-    posts = landing.read_landing(spark, root, fixed.POSTS)
-    loaded = tables.scan(spark, f"{db}.{fixed.POSTS_TABLE}")
-    # The table's date folders hold the creation dates, so only the accounts are read.
-    marks = marks_per_key(loaded, ["user"], "date")
-    opened = stage(opened_accounts(posts, "user", "date_creation", marks, as_of), "opened_accounts")
+    posts = _landed(spark, root, fixed.POSTS, account)
+    marks = tables.account_marks(spark, db, posts)
+    opened = stage(opened_accounts(posts, "user", "date_creation", marks), "opened_accounts")
     if opened.isEmpty():
         return False
     processed.write_processed(
         transform_posts(posts.join(opened, "user", "left_semi")),
         processed.processed_path(root, "tweet"),
     )
-    accounts = landing.read_landing(spark, root, fixed.ACCOUNTS).join(opened, "user", "left_semi")
-    activity = landing.read_landing(spark, root, fixed.ACTIVITY)
+    accounts = _landed(spark, root, fixed.ACCOUNTS, account).join(opened, "user", "left_semi")
+    activity = _landed(spark, root, fixed.ACTIVITY, account)
     processed.write_processed(
         transform_accounts(accounts, activity, as_of), processed.processed_path(root, "user")
     )
+    unloaded = spark.createDataFrame([(as_of, tables.last_load(spark, db)[0])], schemas.UNLOADED)
+    unloaded.write.mode("overwrite").parquet(_pending(root))
     return True
 
 
 def load(spark: SparkSession, root: str, db: str, as_of: datetime.date) -> None:
     """Processed zone to tables. Posts come last: they move the mark that opens a batch again."""
-    accounts = processed.read_processed(spark, processed.processed_path(root, "user"))
+    path = processed.processed_path(root, "user")
+    accounts = processed.read_processed(spark, path, schemas.PROCESSED[fixed.ACCOUNTS])
     accounts = accounts.withColumn("date_creation", date_prefix(F.col("date_creation")))
     tables.load_snapshot(spark, accounts, db)
     tables.load_accounts(spark, tables.day_snapshot(spark, db, as_of), db, as_of)
-    posts = processed.read_processed(spark, processed.processed_path(root, "tweet"))
+    path = processed.processed_path(root, "tweet")
+    posts = processed.read_processed(spark, path, schemas.PROCESSED[fixed.POSTS])
     tables.load_posts(spark, posts, db)
     for table in (fixed.ACCOUNTS_TABLE, fixed.POSTS_TABLE):
         require_rows(tables.scan(spark, f"{db}.{table}"), table)
+    folders.remove(spark, _pending(root))
+
+
+def resume(spark: SparkSession, root: str, db: str) -> bool:
+    """Complete what an earlier run has processed and not loaded; returns whether there was anything."""
+    applied = tables.complete_load(spark, db)
+    if not folders.exists(spark, f"{_pending(root)}/_SUCCESS"):
+        return applied
+    unloaded = spark.read.schema(schemas.UNLOADED).parquet(_pending(root)).first()
+    if tables.last_load(spark, db)[0] > unloaded["load"]:
+        # Posts are loaded last, so all of the batch is in the tables.
+        folders.remove(spark, _pending(root))
+    else:
+        load(spark, root, db, unloaded["date"])
+    return True
 
 
 def run_day(
-    spark: SparkSession, payload_path: str, root: str, db: str, as_of: datetime.date
+    spark: SparkSession,
+    payload_path: str | None,
+    root: str,
+    db: str,
+    as_of: datetime.date,
+    newest: int | None = fixed.TIMELINE_LENGTH,
+    account: str | None = None,
 ) -> bool:
-    """One daily run; returns whether it loaded anything. Running a day again changes nothing."""
+    """One daily run; returns whether it loaded anything. Running a day again changes nothing.
+
+    What an earlier run has left unfinished is completed first. Without a
+    payload, what lies in the landing zone is processed; `account` is whose it
+    is, if its files do not say so.
+    """
+    require_utc(spark)
     tables.create_tables(spark, db, f"{root.rstrip('/')}/warehouse")
-    land(spark, payload_path, root)
-    if not transform(spark, root, db, as_of):
-        return False
-    load(spark, root, db, as_of)
+    resume(spark, root, db)
+    source = payload_path or f"{root.rstrip('/')}/{fixed.LANDING_ZONE}"
+    with sized_shuffles(spark, SPREAD * folders.size_of(spark, source)):
+        if payload_path:
+            land(spark, payload_path, root, newest)
+        if not transform(spark, root, db, as_of, account):
+            return False
+        load(spark, root, db, as_of)
     return True

@@ -15,8 +15,10 @@ def _struct(**columns: T.DataType) -> T.StructType:
 
 TEXT, WHOLE, DAY, INSTANT = T.StringType(), T.LongType(), T.DateType(), T.TimestampType()
 
-# One row per collected account. `post_id` and `repost_of` may be missing from
-# a payload; the first four lists are zipped by position.
+# Names of columns and fields below are fixed: existing payloads, files and tables have them.
+
+# One row per collected account. `post_id`, `repost_of` and `collected_at` may be
+# missing from a payload; the first four lists are zipped by position.
 PAYLOAD = _struct(
     user=TEXT,
     TWEET_INFO=_struct(
@@ -31,6 +33,7 @@ PAYLOAD = _struct(
         followers_count=WHOLE, following_count=WHOLE, created_at=INSTANT, description=TEXT
     ),
     USER_ACTIVITY=_struct(favoris_count=WHOLE, retweet_count=WHOLE),
+    collected_at=INSTANT,
 )
 
 # Landing files as an earlier collector wrote them, without account or post id.
@@ -44,16 +47,31 @@ BARE_LANDING = {
     fixed.ACTIVITY: _struct(favorite_count=WHOLE, retweet_count=WHOLE),
 }
 
-# Landing files as written here: the same columns, then the keys.
+# Landing files as written here: the same columns, then the keys and the time of the collection.
+_CARRIED = {
+    fixed.POSTS: _struct(user=TEXT, post_id=WHOLE, collected_at=INSTANT),
+    fixed.ACCOUNTS: _struct(user=TEXT, collected_at=INSTANT),
+    fixed.ACTIVITY: _struct(user=TEXT, collected_at=INSTANT),
+}
 LANDING = {
-    fixed.POSTS: T.StructType(
-        BARE_LANDING[fixed.POSTS].fields + _struct(user=TEXT, post_id=WHOLE).fields
-    ),
-    fixed.ACCOUNTS: T.StructType(
-        BARE_LANDING[fixed.ACCOUNTS].fields + _struct(user=TEXT).fields
-    ),
-    fixed.ACTIVITY: T.StructType(
-        BARE_LANDING[fixed.ACTIVITY].fields + _struct(user=TEXT).fields
+    name: T.StructType(bare.fields + _CARRIED[name].fields) for name, bare in BARE_LANDING.items()
+}
+DATED = _struct(date=DAY)
+# A processed batch that is not loaded yet: its day, and the last load of posts before it.
+UNLOADED = _struct(date=DAY, load=WHOLE)
+# Processed zone: posts with their date; accounts with the date text, the day and the activity.
+PROCESSED = {
+    fixed.POSTS: T.StructType(LANDING[fixed.POSTS].fields + DATED.fields),
+    fixed.ACCOUNTS: _struct(
+        followers=WHOLE,
+        following=WHOLE,
+        date_creation=TEXT,
+        description=TEXT,
+        user=TEXT,
+        collected_at=INSTANT,
+        retweet_count=WHOLE,
+        favorite_count=WHOLE,
+        date=DAY,
     ),
 }
 
@@ -81,5 +99,9 @@ WAREHOUSE = {
         date=DAY,
     ),
 }
+# Where each post is stored: one row per post and load that placed it, in buckets of accounts.
+POST_KEYS = _struct(user=TEXT, post_id=WHOLE, id=WHOLE, date=DAY, bucket=T.IntegerType(), load=WHOLE)
+# The loads of posts, with the greatest id after each.
+POST_LOADS = _struct(last_id=WHOLE, load=WHOLE)
 POST_KEY = ["user", "post_id"]
 ACCOUNT_KEY = ["user"]

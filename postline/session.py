@@ -3,6 +3,8 @@
 import math
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +20,28 @@ def partitions_for(input_bytes: int, cores: int) -> int:
     return max(2 * cores, math.ceil(input_bytes / PARTITION_BYTES))
 
 
+@contextmanager
+def sized_shuffles(spark: SparkSession, input_bytes: int) -> Iterator[None]:
+    """Shuffles of plans that are run meanwhile have the partitions that the input asks for.
+
+    Partitions are numbered before a plan runs; adaptive execution merges small ones and does not split large ones.
+    """
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(partitions_for(input_bytes, spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def require_utc(spark: SparkSession) -> None:
+    """Refuse a session whose days are not those of the stored dates."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "+00:00", "Z", "GMT"):
+        raise ValueError(f"dates are those of UTC; the session is in {zone}")
+
+
 def build_session(app: str = "postline", **conf: object) -> SparkSession:
     """A session with the settings the operators count on; `conf` keys use `__` for dots."""
     settings = {

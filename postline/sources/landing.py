@@ -6,7 +6,6 @@ from pyspark.sql import types as T
 from postline import fixed_values as fixed
 from postline import schemas
 
-# Microseconds are read where present; the collected times have whole seconds.
 _COMMON = {
     "header": True,
     "sep": fixed.SEPARATOR,
@@ -27,7 +26,7 @@ READ_OPTIONS = _COMMON | {
 # An empty text is written as an empty field and comes back as NULL.
 WRITE_OPTIONS = _COMMON | {
     "emptyValue": "",
-    "timestampFormat": "yyyy-MM-dd HH:mm:ssxxx",
+    "timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSSxxx",
     "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS",
 }
 
@@ -47,9 +46,18 @@ def write_delimited(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE
     df.write.mode("overwrite").options(**options).csv(path)
 
 
-def read_delimited(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Read a file or a folder; a value that does not fit its declared type becomes NULL."""
-    return spark.read.schema(schema).options(**READ_OPTIONS).csv(path)
+def read_delimited(
+    spark: SparkSession, path: str, schema: T.StructType, rejected: str | None = None
+) -> DataFrame:
+    """Read a file or a folder; a value that does not fit its declared type becomes NULL.
+
+    So do the fields that a row lacks. `rejected` names a column that then has the text of such a row.
+    """
+    reader = spark.read.options(**READ_OPTIONS)
+    if rejected:
+        schema = T.StructType([*schema.fields, T.StructField(rejected, T.StringType())])
+        reader = reader.option("columnNameOfCorruptRecord", rejected)
+    return reader.schema(schema).csv(path)
 
 
 def write_landing(df: DataFrame, root: str, table: str) -> None:
@@ -58,10 +66,12 @@ def write_landing(df: DataFrame, root: str, table: str) -> None:
     write_delimited(df.select(*columns), landing_path(root, table))
 
 
-def read_landing(spark: SparkSession, root: str, table: str, bare: bool = False) -> DataFrame:
-    """Read a landed table; `bare` is for files without account and post id."""
+def read_landing(
+    spark: SparkSession, root: str, table: str, bare: bool = False, rejected: str | None = None
+) -> DataFrame:
+    """Read a landed table; `bare` is for files without account, post id and time of collection."""
     schema = (schemas.BARE_LANDING if bare else schemas.LANDING)[table]
-    return read_delimited(spark, landing_path(root, table), schema)
+    return read_delimited(spark, landing_path(root, table), schema, rejected)
 
 
 def read_zone(

@@ -29,17 +29,18 @@ def _zip_to_shortest(lists: list[Column], optional: list[Column]) -> Column:
 
 
 def timeline_rows(payload: DataFrame) -> DataFrame:
-    """One row per post: the text, its counts and time, the account and, if collected, the ids."""
+    """One row per post: the text, its counts and time, the account, the collection's time and, if collected, the ids."""
     missing = F.raise_error(F.lit("a timeline lacks one of its lists"))
     posts = [F.coalesce(F.col(f"TWEET_INFO.{name}"), missing).alias(name) for name in ZIPPED]
     extras = [
         F.coalesce(F.col(f"TWEET_INFO.{name}"), F.array()).alias(name) for name in OPTIONAL
     ]
     names = ZIPPED + OPTIONAL
-    lists = payload.filter(F.col("TWEET_INFO").isNotNull()).select("user", *posts, *extras)
+    carried = ["user", "collected_at"]
+    lists = payload.filter(F.col("TWEET_INFO").isNotNull()).select(*carried, *posts, *extras)
     rows = lists.select(
-        "user", F.inline(_zip_to_shortest([F.col(n) for n in ZIPPED], [F.col(n) for n in OPTIONAL]))
-    ).toDF("user", *names)
+        *carried, F.inline(_zip_to_shortest([F.col(n) for n in ZIPPED], [F.col(n) for n in OPTIONAL]))
+    ).toDF(*carried, *names)
     return rows.select(
         "text",
         "favorite_count",
@@ -48,6 +49,7 @@ def timeline_rows(payload: DataFrame) -> DataFrame:
         "user",
         "post_id",
         "repost_of",
+        "collected_at",
     )
 
 
@@ -59,6 +61,7 @@ def profile_rows(payload: DataFrame) -> DataFrame:
         F.col("USER_INFO.created_at").alias("date_creation"),
         F.col("USER_INFO.description").alias("description"),
         "user",
+        "collected_at",
     )
 
 
@@ -72,6 +75,7 @@ def activity_rows(payload: DataFrame) -> DataFrame:
         F.col("USER_ACTIVITY.favoris_count").alias("favorite_count"),
         F.col("USER_ACTIVITY.retweet_count").alias("retweet_count"),
         "user",
+        "collected_at",
     )
 
 

@@ -1,19 +1,25 @@
 """Warehouse tables: creation, append by name, snapshots, upserts, scans.
 
     <db>.tweets           one row per post, in date folders
+    <db>.post_keys        where each post is: account, post id, id, date, in folders of accounts and loads
+    <db>.post_loads       one row per load of posts: the greatest id after it
     <db>.user_snapshots   one row per account and day, in date folders
     <db>.users            a view: one row per account, its latest state
 
 The latest states are a table of their own, `user_states`, in which each run
-writes a whole new state folder (`as_of`) from the last older one. The view
-shows the newest. So a run never overwrites what it reads, a repeated run
-replaces its own folder only, and nothing outside the data says which state is
-current.
+writes a whole new state folder (`as_of`) from the last older one, and then
+turns the view to it. So a run never overwrites what it reads, and a repeated
+run replaces its own folder only.
+
+A load of posts is first stored whole beside the tables, as pending: all rows
+of the folders that it changes, their keys, and last, as the mark that it is
+complete, its number and greatest id. It is then applied by replacing folders,
+which can be repeated; a load that breaks off there is completed by the next.
 """
 
 import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,9 +29,14 @@ from postline.functions.columns import warehouse_types
 from postline.operators.layout import sort_key_layout, surrogate_id
 from postline.operators.timeline import latest_per_key
 from postline.operators.upsert import replace_keys, require_keys, without_keys
-from postline.session import stage
+from postline.session import require_utc, stage
+from postline.sources import folders
 from postline.sources.processed import by_date
 
+KEYS_TABLE = "post_keys"
+LOADS_TABLE = "post_loads"
+# Folders of accounts in the table of keys. A load reads those of its accounts only.
+BUCKETS = 64
 SNAPSHOTS_TABLE = "user_snapshots"
 STATES_TABLE = "user_states"
 DYNAMIC = "partitionOverwriteMode"
@@ -36,7 +47,7 @@ def _columns_sql(schema: T.StructType) -> str:
 
 
 def create_table(
-    spark: SparkSession, table: str, schema: T.StructType, location: str, partition_by: str
+    spark: SparkSession, table: str, schema: T.StructType, location: str, partition_by: list[str]
 ) -> None:
     """Create a table in folders where absent, over the data its location may hold already.
 
@@ -46,10 +57,10 @@ def create_table(
         return
     # Appending nothing makes sure that there is a folder to look for partitions in.
     nothing = spark.createDataFrame([], schema).limit(0)
-    nothing.write.mode("append").partitionBy(partition_by).parquet(location)
+    nothing.write.mode("append").partitionBy(*partition_by).parquet(location)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({_columns_sql(schema)}) USING parquet "
-        f"OPTIONS ({DYNAMIC} 'dynamic') PARTITIONED BY (`{partition_by}`) LOCATION '{location}'"
+        f"OPTIONS ({DYNAMIC} 'dynamic') PARTITIONED BY ({', '.join(partition_by)}) LOCATION '{location}'"
     )
     spark.catalog.recoverPartitions(table)
 
@@ -61,15 +72,30 @@ def create_tables(spark: SparkSession, db: str, location: str) -> None:
     states = T.StructType([*accounts.fields, T.StructField("as_of", T.DateType())])
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{root}'")
     for name, schema, partition_by in (
-        (fixed.POSTS_TABLE, schemas.WAREHOUSE[fixed.POSTS_TABLE], "date"),
-        (SNAPSHOTS_TABLE, accounts, "date"),
-        (STATES_TABLE, states, "as_of"),
+        (fixed.POSTS_TABLE, schemas.WAREHOUSE[fixed.POSTS_TABLE], ["date"]),
+        (KEYS_TABLE, schemas.POST_KEYS, ["bucket", "load"]),
+        (LOADS_TABLE, schemas.POST_LOADS, ["load"]),
+        (SNAPSHOTS_TABLE, accounts, ["date"]),
+        (STATES_TABLE, states, ["as_of"]),
     ):
         create_table(spark, f"{db}.{name}", schema, f"{root}/{name}", partition_by)
-    columns = ", ".join(f"`{name}`" for name in accounts.fieldNames())
+    if not spark.catalog.tableExists(f"{db}.{fixed.ACCOUNTS_TABLE}"):
+        _show_state(spark, db, _last_state(spark, db))
+
+
+def _last_state(spark: SparkSession, db: str) -> datetime.date | None:
+    """The newest state, from the names of the folders."""
+    last = spark.sql(f"SHOW PARTITIONS {db}.{STATES_TABLE}").agg(F.max("partition")).first()[0]
+    return datetime.date.fromisoformat(last.split("=")[1]) if last else None
+
+
+def _show_state(spark: SparkSession, db: str, as_of: datetime.date | None) -> None:
+    """Turn the view to a state; the day is a literal, so no other folder is opened."""
+    columns = ", ".join(f"`{name}`" for name in schemas.WAREHOUSE[fixed.ACCOUNTS_TABLE].fieldNames())
+    shown = f"as_of = DATE '{as_of}'" if as_of else "false"
     spark.sql(
-        f"CREATE VIEW IF NOT EXISTS {db}.{fixed.ACCOUNTS_TABLE} AS SELECT {columns} "
-        f"FROM {db}.{STATES_TABLE} WHERE as_of = (SELECT max(as_of) FROM {db}.{STATES_TABLE})"
+        f"CREATE OR REPLACE VIEW {db}.{fixed.ACCOUNTS_TABLE} AS "
+        f"SELECT {columns} FROM {db}.{STATES_TABLE} WHERE {shown}"
     )
 
 
@@ -81,8 +107,10 @@ def append_by_name(df: DataFrame, table: str) -> None:
     """Append to a table, matching columns by name; a column the frame lacks becomes NULL.
 
     `insertInto` would match by position and take swapped columns of one type
-    without complaint.
+    without complaint. Posts need ids, which `append_posts` gives them.
     """
+    if "id" not in df.columns and table.split(".")[-1] == fixed.POSTS_TABLE:
+        raise ValueError("posts get their ids from append_posts")
     _in_table_order(df, table).write.mode("append").insertInto(table)
 
 
@@ -119,17 +147,27 @@ def _overwrite_partitions(df: DataFrame, table: str) -> None:
     df.write.mode("overwrite").insertInto(table)
 
 
-def _touched(target: DataFrame, batch: DataFrame) -> DataFrame:
-    """The target's rows in the date folders that the batch has rows for."""
-    # One value per calendar day; as a subquery on the partition column it limits the scan.
-    dates = stage(batch.agg(F.collect_set("date").alias("dates")), "touched_dates")
-    return target.filter(F.array_contains(dates.scalar(), F.col("date")) | F.col("date").isNull())
+def _in_folders(target: DataFrame, dates: list[datetime.date | None]) -> DataFrame:
+    """The target's rows of the dates, None for the folder of unknown dates. Only those folders are opened."""
+    known = [day for day in dates if day is not None]
+    touched = F.col("date").isin(known) if known else F.lit(False)
+    return target.filter(touched | F.col("date").isNull() if None in dates else touched)
+
+
+def _dates_of(*frames: DataFrame) -> list[datetime.date | None]:
+    """The distinct dates: one value per calendar day."""
+    dates = frames[0].select("date")
+    for frame in frames[1:]:
+        dates = dates.unionByName(frame.select("date"))
+    days, unknown = dates.agg(F.sort_array(F.collect_set("date")), F.max(F.col("date").isNull())).first()
+    return [*days, *([None] if unknown else [])]
 
 
 def _one_per_account(accounts: DataFrame) -> DataFrame:
     keys = schemas.ACCOUNT_KEY
-    others = [name for name in accounts.columns if name not in ("date", *keys)]
-    return latest_per_key(require_keys(accounts, keys), keys, ["date", *others])
+    first = [name for name in ("date", "collected_at") if name in accounts.columns]
+    others = [name for name in accounts.columns if name not in (*first, *keys)]
+    return latest_per_key(require_keys(accounts, keys), keys, [*first, *others])
 
 
 def load_snapshot(spark: SparkSession, accounts: DataFrame, db: str) -> None:
@@ -139,8 +177,10 @@ def load_snapshot(spark: SparkSession, accounts: DataFrame, db: str) -> None:
     accounts and days stay.
     """
     table, keys = f"{db}.{SNAPSHOTS_TABLE}", [*schemas.ACCOUNT_KEY, "date"]
-    batch = stage(_in_table_order(_one_per_account(accounts), table), "snapshot_batch")
-    kept = stage(without_keys(_touched(spark.table(table), batch), batch, keys), "kept_snapshot")
+    batch = _one_per_account(accounts).drop("collected_at")
+    batch = stage(_in_table_order(batch, table), "snapshot_batch")
+    touched = _in_folders(spark.table(table), _dates_of(batch))
+    kept = stage(without_keys(touched, batch, keys), "kept_snapshot")
     replace_partitions(kept.unionByName(batch), table, "date", schemas.ACCOUNT_KEY)
 
 
@@ -155,49 +195,151 @@ def load_accounts(
 
     The new state starts from the newest one before `as_of` and replaces what a
     former run of the same day wrote, so `accounts` are all those loaded that
-    day (see `day_snapshot`). Days are loaded in order.
+    day (see `day_snapshot`). Days are loaded in order: a day before the newest
+    state is refused, as what it changes would not be seen.
     """
     table, keys = f"{db}.{STATES_TABLE}", schemas.ACCOUNT_KEY
-    states = spark.table(table).filter(F.col("as_of") < F.lit(as_of))
-    last = states.filter(F.col("as_of") == states.agg(F.max("as_of").alias("as_of")).scalar())
-    batch = _in_table_order(_one_per_account(accounts).withColumn("as_of", F.lit(as_of)), table)
-    state = replace_keys(last.withColumn("as_of", F.lit(as_of)), stage(batch, "account_batch"), keys)
+    newest = _last_state(spark, db)
+    if newest and newest > as_of:
+        raise ValueError(f"the state of {newest} is loaded, {as_of} comes too late")
+    states = spark.table(table)
+    before = spark.sql(f"SHOW PARTITIONS {table}").filter(F.col("partition") < f"as_of={as_of}")
+    last = before.agg(F.max("partition")).first()[0]
+    last = states.filter(F.col("as_of") == last.split("=")[1] if last else F.lit(False))
+    batch = _one_per_account(accounts).drop("collected_at").withColumn("as_of", F.lit(as_of))
+    batch = stage(_in_table_order(batch, table), "account_batch")
+    # Stored before it is laid out in ranges, which reads it twice.
+    state = stage(replace_keys(last.withColumn("as_of", F.lit(as_of)), batch, keys), "account_state")
     _overwrite_partitions(sort_key_layout(_in_table_order(state, table), keys), table)
+    _show_state(spark, db, as_of)
 
 
-def load_posts(spark: SparkSession, posts: DataFrame, db: str) -> DataFrame:
-    """Upsert the posts; a known post keeps its id, a new one gets the next.
+# Posts
+
+
+def _bucket() -> Column:
+    return F.pmod(F.xxhash64("user"), F.lit(BUCKETS)).cast("int")
+
+
+def _keys_of(spark: SparkSession, db: str, accounts: DataFrame) -> DataFrame:
+    """The rows of the table of keys in the folders of the accounts."""
+    touched = accounts.select(_bucket().alias("bucket")).agg(F.collect_set("bucket")).first()[0]
+    return spark.table(f"{db}.{KEYS_TABLE}").filter(F.col("bucket").isin(touched) if touched else F.lit(False))
 
-    A post's date never changes, so only the date folders that the batch
-    touches are read and rewritten, not the table. The rows that stay in those
-    folders are stored before the folders are replaced. The merged rows are
-    returned; they are made of stored parts only, so that a write that was
-    interrupted can be repeated from them with `replace_partitions`.
-    """
-    table, keys = f"{db}.{fixed.POSTS_TABLE}", schemas.POST_KEY
-    target = spark.table(table)
-    # Among copies of a post the one with the greater counts was collected later.
-    newest = ["date", "favorite_count", "retweet_count", "date_creation", "text"]
-    batch = latest_per_key(require_keys(posts, keys), keys, newest)
-    touched = _touched(target, posts)
-    batch = stage(
-        touched.select("id", *keys).join(warehouse_types(batch, fixed.POSTS_TABLE), keys, "right"),
-        "post_batch",
-    )
-    fresh = surrogate_id(
-        batch.filter(F.col("id").isNull()).drop("id"), ["date", *keys], start=_last_id(target) + 1
-    )
-    kept = stage(without_keys(touched, batch, keys), "kept_posts")
-    known = batch.filter(F.col("id").isNotNull())
-    merged = kept.unionByName(_in_table_order(known, table)).unionByName(_in_table_order(fresh, table))
-    replace_partitions(merged, table, "date", keys)
-    return merged
 
+def known_posts(spark: SparkSession, db: str, batch: DataFrame) -> DataFrame:
+    """user, post_id, id and date of the batch's posts that are loaded; the latest load says where a post is."""
+    keys = schemas.POST_KEY
+    found = _keys_of(spark, db, batch).join(batch.select(*keys).distinct(), keys, "left_semi")
+    latest = found.groupBy(*keys).agg(F.max_by(F.struct("id", "date"), "load").alias("_at"))
+    return latest.select(*keys, "_at.id", "_at.date")
 
-def _last_id(table: DataFrame) -> int:
-    """The greatest id. Ids are distinct and start at 1, so it is no less than the number of rows.
 
-    The number comes from the file footers; the filter then leaves only the
-    row groups whose statistics reach it.
+def account_marks(spark: SparkSession, db: str, accounts: DataFrame) -> DataFrame:
+    """user and mark: the newest date of the accounts' loaded posts. Reads keys, not posts."""
+    found = _keys_of(spark, db, accounts).join(accounts.select("user").distinct(), "user", "left_semi")
+    latest = found.groupBy("user", "id").agg(F.max_by("date", "load").alias("date"))
+    return latest.groupBy("user").agg(F.max("date").alias("mark"))
+
+
+def _pending(spark: SparkSession, db: str) -> str:
+    return spark.catalog.getDatabase(db).locationUri.rstrip("/") + "/_pending_posts"
+
+
+def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    return spark.read.schema(schema).parquet(path)
+
+
+def last_load(spark: SparkSession, db: str) -> tuple[int, int]:
+    """Number and greatest id of the last load; tables made elsewhere may have ids and no loads."""
+    last = spark.table(f"{db}.{LOADS_TABLE}").agg(F.max(F.struct("load", "last_id")).alias("last")).first().last
+    if last:
+        return last.load, last.last_id
+    return 0, spark.table(f"{db}.{fixed.POSTS_TABLE}").agg(F.max("id")).first()[0] or 0
+
+
+def complete_load(spark: SparkSession, db: str) -> bool:
+    """Apply the pending load, if one is stored whole; returns whether there was one. May be repeated."""
+    pending = _pending(spark, db)
+    if not folders.exists(spark, f"{pending}/loads/_SUCCESS"):
+        return False
+    table = f"{db}.{fixed.POSTS_TABLE}"
+    posts = _stored(spark, f"{pending}/posts", schemas.WAREHOUSE[fixed.POSTS_TABLE])
+    # Stored in folders and order of the table already: copied file by file.
+    _overwrite_partitions(_in_table_order(posts, table), table)
+    touched = _stored(spark, f"{pending}/touched", schemas.DATED)
+    gone = touched.join(posts.select("date").distinct(), "date", "left_anti").filter("date IS NOT NULL")
+    for day in _dates_of(gone):
+        # A folder that all posts have left: what replaces folders by their rows cannot empty it.
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (date = DATE '{day}')")
+        root = spark.catalog.getDatabase(db).locationUri.rstrip("/")
+        folders.remove(spark, f"{root}/{fixed.POSTS_TABLE}/date={day}")
+    for name, schema in ((KEYS_TABLE, schemas.POST_KEYS), (LOADS_TABLE, schemas.POST_LOADS)):
+        rows = _stored(spark, f"{pending}/{'keys' if name == KEYS_TABLE else 'loads'}", schema)
+        _overwrite_partitions(_in_table_order(rows, f"{db}.{name}"), f"{db}.{name}")
+    folders.remove(spark, pending)
+    return True
+
+
+def load_posts(spark: SparkSession, posts: DataFrame, db: str) -> None:
+    """Upsert the posts; a known post keeps its id, a new one gets the next.
+
+    Posts are known by account and post id, whatever date they are stored
+    under: one that has moved leaves its old folder. Posts without post id are
+    added, each with the next id. Only the folders that posts come to or leave
+    are read and rewritten, not the table. Ids are numbered on narrow columns;
+    whole posts are shuffled to meet their ids, and once more by date.
     """
-    return table.filter(F.col("id") >= table.count()).agg(F.max("id")).first()[0] or 0
+    require_utc(spark)
+    complete_load(spark, db)
+    table, keys = f"{db}.{fixed.POSTS_TABLE}", schemas.POST_KEY
+    load, last_id = last_load(spark, db)
+    carried = [name for name in ("collected_at",) if name in posts.columns]
+    # Without the time of the collection, the copy with the greater counts is taken for the later one.
+    newest = [*carried, "favorite_count", "retweet_count", "date_creation", "text", "date"]
+    named = posts.filter(F.col("post_id").isNotNull())
+    batch = stage(latest_per_key(require_keys(named, ["user"]), keys, newest), "post_batch")
+    narrow = batch.select(*keys, "date")
+    known = stage(known_posts(spark, db, narrow), "known_posts")
+    fresh = stage(
+        surrogate_id(without_keys(narrow, known, keys), ["date", *keys], start=last_id + 1).select(*keys, "id"),
+        "fresh_ids",
+    )
+    last_id += fresh.count()
+    unnamed = require_keys(posts.filter(F.col("post_id").isNull()), ["user"])
+    added = stage(surrogate_id(unnamed, ["date", "user", *newest[:-1]], start=last_id + 1), "posts_without_id")
+    last_id += added.count()
+
+    ids = known.select(*keys, "id").unionByName(fresh)
+    whole = batch.join(ids, keys).select(*added.columns).unionByName(added)
+    dates = _dates_of(batch, added, known)
+    kept = without_keys(_in_folders(spark.table(table), dates), batch, keys)
+    placed = known.join(narrow.withColumnRenamed("date", "_to"), keys).filter(~F.col("date").eqNullSafe(F.col("_to")))
+    moved = placed.select(*keys, "id", F.col("_to").alias("date"))
+    entries = narrow.join(fresh, keys).select(*keys, "id", "date").unionByName(moved)
+    entries = entries.unionByName(added.select(*keys, "id", "date"))
+
+    pending = _pending(spark, db)
+    folders.remove(spark, pending)
+    merged = kept.unionByName(_in_table_order(warehouse_types(whole, fixed.POSTS_TABLE), table))
+    by_day = by_date(merged).sortWithinPartitions("date", *keys)
+    by_day.write.partitionBy("date").parquet(f"{pending}/posts")
+    entries = entries.withColumns({"bucket": _bucket(), "load": F.lit(load + 1).cast("bigint")})
+    entries.hint("rebalance", F.col("bucket")).write.parquet(f"{pending}/keys")
+    spark.createDataFrame([(day,) for day in dates], schemas.DATED).write.parquet(f"{pending}/touched")
+    # Stored last: with it, the load is whole.
+    spark.createDataFrame([(last_id, load + 1)], schemas.POST_LOADS).write.parquet(f"{pending}/loads")
+    complete_load(spark, db)
+    require_loaded(spark, db, narrow)
+
+
+def append_posts(spark: SparkSession, posts: DataFrame, db: str) -> None:
+    """Add posts that have no post id, each with the next id."""
+    load_posts(spark, posts.withColumn("post_id", F.lit(None).cast("bigint")), db)
+
+
+def require_loaded(spark: SparkSession, db: str, batch: DataFrame) -> None:
+    """Fail if a post of the batch is not in the tables."""
+    lost = without_keys(batch, known_posts(spark, db, batch), schemas.POST_KEY)
+    if not lost.isEmpty():
+        raise RuntimeError("posts of the load are missing in the tables")
