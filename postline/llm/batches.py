@@ -75,6 +75,26 @@ def map_text(
     return result.select(*[F.col(f"_k{i}").alias(name) for i, name in enumerate(keep)], *made.names)
 
 
+# Slots that keys are thrown into; a set of slots is broadcast, and this bounds it.
+SLOTS = 1 << 20
+
+
+def slot(hashed: Column) -> Column:
+    return F.pmod(hashed, F.lit(SLOTS))
+
+
+def with_slots(df: DataFrame, hashed: Column, keys: DataFrame, key: str, how: str) -> DataFrame:
+    """The rows of `df` that may have (left_semi), or surely do not have (left_anti), one of the keys.
+
+    Keys are hashes. Only their slots are broadcast, SLOTS rows at most, so wide
+    rows that meet no key are told apart without a shuffle. With very many keys
+    all slots are taken and no row is told apart; what follows must be exact.
+    """
+    taken = unused(df, "_slot")
+    slots = keys.select(slot(F.col(key)).alias(taken)).distinct()
+    return df.join(F.broadcast(slots), slot(hashed) == F.col(taken), how)
+
+
 def place(*columns: str) -> Column:
     """A number from 0 to SPAN - 1 that the columns' values decide, evenly spread."""
     return F.pmod(F.xxhash64(*[F.col(f"`{name}`").cast("string") for name in columns]), F.lit(SPAN))

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postline.llm.batches import map_text, unused
+from postline.llm.batches import map_text, unused, with_slots
 from postline.llm.bitslice import close_pairs, stars
 from postline.llm.components import components
 from postline.session import stage
@@ -300,7 +300,9 @@ def near_classes(
     members = distinct.join(clusters, distinct["same"] == clusters["node"]).select(
         "same", "root", *prints, "first.doc_id", "first._raw"
     )
+    members = stage(members, "members")
     again = docs.select("text", F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_hash"))
+    again = with_slots(again, F.col("_hash"), members, "_raw", "left_semi")
     met = again.join(members, (F.col("_id").eqNullSafe(F.col("doc_id"))) & (F.col("_hash") == F.col("_raw")))
     sets = map_text(
         met,
@@ -358,6 +360,11 @@ def near_dedup(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, similarity:
     repeated = stage(kept.filter("n > 1").select(*names), "repeated_texts")
     named = docs.withColumn(key, F.xxhash64("text"))
     is_gone = F.col("doc_id").eqNullSafe(F.col(gone_id)) & (F.col(key) == F.col(gone_key))
-    stays = named.join(gone, is_gone, "left_anti")
-    again = named.join(repeated, is_gone, "left_semi").dropDuplicates(["doc_id", key])
-    return stays.unionByName(again).select(*docs.columns)
+    # Texts that surely stay are not shuffled.
+    clear = with_slots(named, F.col(key), gone, gone_key, "left_anti")
+    unclear = with_slots(named, F.col(key), gone, gone_key, "left_semi").join(gone, is_gone, "left_anti")
+    stays = clear.unionByName(unclear)
+    if not repeated.isEmpty():
+        among = with_slots(named, F.col(key), repeated, gone_key, "left_semi")
+        stays = stays.unionByName(among.join(repeated, is_gone, "left_semi").dropDuplicates(["doc_id", key]))
+    return stays.select(*docs.columns)
