@@ -4,7 +4,7 @@ import datetime
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -157,12 +157,15 @@ def _event_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Payload
 
-# Collections without a time.
-COLLECTED = F.lit(None).cast("timestamp").alias("collected_at")
 # Posts per collected payload: event ids are unique, so a payload holds no more.
 PAGE = 1000
 
 
+def _no_time() -> Column:
+    """Collections without a time."""
+    return F.lit(None).cast("timestamp").alias("collected_at")
+
+
 @_query(
     """SELECT event_type AS text, CAST(trunc(value) AS BIGINT) AS favorite_count,
               ts AS date_creation, CAST(trunc(value * 2) AS BIGINT) AS retweet_count,
@@ -208,7 +211,7 @@ def profile_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_mktsegment").alias("description"),
     )
     people = _table(spark, sf_dir, "customer")
-    collected = people.select(F.col("c_name").alias("user"), record.alias("USER_INFO"), COLLECTED)
+    collected = people.select(F.col("c_name").alias("user"), record.alias("USER_INFO"), _no_time())
     return payload.profile_rows(collected).drop("collected_at")
 
 
@@ -222,7 +225,7 @@ def activity_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("s_nationkey").cast("bigint").alias("retweet_count"),
     )
     suppliers = _table(spark, sf_dir, "supplier")
-    collected = suppliers.select(F.col("s_name").alias("user"), record.alias("USER_ACTIVITY"), COLLECTED)
+    collected = suppliers.select(F.col("s_name").alias("user"), record.alias("USER_ACTIVITY"), _no_time())
     return payload.activity_rows(collected).drop("collected_at")
 
 
@@ -651,7 +654,7 @@ def landing_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(0).cast("bigint").alias("retweet_count"),
         F.col("user_id").cast("string").alias("user"),
         F.col("doc_id").alias("post_id"),
-        COLLECTED,
+        _no_time(),
     )
     root, schema = scratch_path(spark, "intake"), schemas.LANDING[fixed.POSTS]
     landing.write_landing(posts, root, fixed.POSTS)

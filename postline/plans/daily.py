@@ -165,12 +165,12 @@ def run_day(
     """
     require_utc(spark)
     tables.create_tables(spark, db, f"{root.rstrip('/')}/warehouse")
-    resume(spark, root, db)
+    resumed = resume(spark, root, db)
     source = payload_path or f"{root.rstrip('/')}/{fixed.LANDING_ZONE}"
     with sized_shuffles(spark, SPREAD * folders.size_of(spark, source)):
         if payload_path:
             land(spark, payload_path, root, newest)
         if not transform(spark, root, db, as_of, account):
-            return False
+            return resumed
         load(spark, root, db, as_of)
     return True

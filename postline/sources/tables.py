@@ -37,6 +37,8 @@ KEYS_TABLE = "post_keys"
 LOADS_TABLE = "post_loads"
 # Folders of accounts in the table of keys. A load reads those of its accounts only.
 BUCKETS = 64
+# Fixed value: the folder of NULL.
+UNKNOWN_DATE = "__HIVE_DEFAULT_PARTITION__"
 SNAPSHOTS_TABLE = "user_snapshots"
 STATES_TABLE = "user_states"
 DYNAMIC = "partitionOverwriteMode"
@@ -268,12 +270,13 @@ def complete_load(spark: SparkSession, db: str) -> bool:
     # Stored in folders and order of the table already: copied file by file.
     _overwrite_partitions(_in_table_order(posts, table), table)
     touched = _stored(spark, f"{pending}/touched", schemas.DATED)
-    gone = touched.join(posts.select("date").distinct(), "date", "left_anti").filter("date IS NOT NULL")
+    left = posts.select(F.col("date").alias("_date")).distinct()
+    gone = touched.join(left, F.col("date").eqNullSafe(F.col("_date")), "left_anti")
+    root = spark.catalog.getDatabase(db).locationUri.rstrip("/")
     for day in _dates_of(gone):
         # A folder that all posts have left: what replaces folders by their rows cannot empty it.
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (date = DATE '{day}')")
-        root = spark.catalog.getDatabase(db).locationUri.rstrip("/")
-        folders.remove(spark, f"{root}/{fixed.POSTS_TABLE}/date={day}")
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (date = {f"DATE '{day}'" if day else 'NULL'})")
+        folders.remove(spark, f"{root}/{fixed.POSTS_TABLE}/date={day or UNKNOWN_DATE}")
     for name, schema in ((KEYS_TABLE, schemas.POST_KEYS), (LOADS_TABLE, schemas.POST_LOADS)):
         rows = _stored(spark, f"{pending}/{'keys' if name == KEYS_TABLE else 'loads'}", schema)
         _overwrite_partitions(_in_table_order(rows, f"{db}.{name}"), f"{db}.{name}")

@@ -14,11 +14,12 @@ from postline.plans import daily
 REPO = Path(__file__).resolve().parents[1]
 
 
-def collected(user, followers, *posts):
+def collected(user, followers, *posts, hour=None):
     """Posts are (id, day of January, likes, text, id of the original of a repost)."""
     at = lambda day: f"2024-01-{day:02d} 10:00:00+00:00"
     return {
         "user": user,
+        "collected_at": hour and f"2024-01-31 {hour:02d}:00:00+00:00",
         "TWEET_INFO": {
             "text": [p[3] for p in posts],
             "favorite_count": [p[2] for p in posts],
@@ -46,14 +47,15 @@ def payload(path, *accounts):
 def run(spark, tmp_path):
     db = f"d_{uuid.uuid4().hex}"
 
-    def run(day, *accounts):
-        path = payload(tmp_path / f"{uuid.uuid4().hex}.json", *accounts)
-        done = daily.run_day(spark, path, str(tmp_path / "root"), db, dt.date(2024, 1, day))
+    def run(day, *accounts, **options):
+        path = payload(tmp_path / f"{uuid.uuid4().hex}.json", *accounts) if accounts else None
+        done = daily.run_day(spark, path, str(tmp_path / "root"), db, dt.date(2024, 1, day), **options)
         posts = spark.table(f"{db}.tweets").orderBy("id").collect()
         users = spark.table(f"{db}.users").orderBy("user").collect()
         days = spark.table(f"{db}.user_snapshots").orderBy("date", "user").collect()
         return done, posts, users, days
 
+    run.root = tmp_path / "root"
     return run
 
 
@@ -66,11 +68,14 @@ def test_days(run):
     )
     assert done
     assert [(p.id, p.user, p.post_id, p.text, p.favorite_count, p.date.day) for p in posts] == [
-        (1, "ann", 1, "x see   now", "5", 19),
-        (2, "ann", 2, "two", "1", 20),
+        (1, "old", 4, "x", "1", 3),
+        (2, "ann", 1, "x see   now", "5", 19),
+        (3, "ann", 2, "two", "1", 20),
     ]
+    day = dt.date(2024, 1, 20)
     assert [tuple(u) for u in users] == [
-        ("ann", "a|b\nc", "2", "7", "11", "12", dt.date(2024, 1, 1), dt.date(2024, 1, 20))
+        ("ann", "a|b\nc", "2", "7", "11", "12", dt.date(2024, 1, 1), day),
+        ("old", "a|b\nc", "2", "1", "11", "12", dt.date(2024, 1, 1), day),
     ]
 
     # Nothing newer than the 20th: skipped, though the likes changed.
@@ -82,11 +87,11 @@ def test_days(run):
     )
     assert done
     assert [(p.id, p.post_id, p.favorite_count) for p in posts] == [
-        (1, 1, "5"), (2, 2, "4"), (3, 5, "0"), (4, 6, "0")
+        (1, 4, "1"), (2, 1, "5"), (3, 2, "4"), (4, 5, "0"), (5, 6, "0")
     ]
-    assert [(u.user, u.followers) for u in users] == [("ann", "9"), ("bob", "3")]
+    assert [(u.user, u.followers) for u in users] == [("ann", "9"), ("bob", "3"), ("old", "1")]
     assert [(d.date.day, d.user, d.followers) for d in days] == [
-        (20, "ann", "7"), (22, "ann", "9"), (22, "bob", "3")
+        (20, "ann", "7"), (20, "old", "1"), (22, "ann", "9"), (22, "bob", "3")
     ]
 
 
@@ -118,17 +123,81 @@ def test_an_interrupted_load_is_finished_by_the_next_run(run, monkeypatch):
     assert done and len(posts) == 2 and len(users) == 1 and len(days) == 1
 
 
+@pytest.mark.parametrize(("name", "call"), [("load_posts", 1), ("_overwrite_partitions", 3), ("_overwrite_partitions", 5)])
+def test_a_broken_off_run_is_completed_by_the_next_with_another_payload(run, monkeypatch, name, call):
+    """The next payload has nothing of what was collected before, and nothing of it is lost."""
+    real, calls = getattr(daily.tables, name), []
+
+    def fail(*args):
+        calls.append(args)
+        if len(calls) == call:
+            raise OSError("lost")
+        return real(*args)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(daily.tables, name, fail)
+        with pytest.raises(OSError):
+            run(20, collected("ann", 7, ANN, (None, 20, 1, "no id", None)))
+    done, posts, users, days = run(21, collected("bob", 3, (6, 21, 0, "six", None)))
+    assert done and [(p.user, p.post_id) for p in posts] == [("ann", 1), ("ann", None), ("bob", 6)]
+    assert [(d.date.day, d.user) for d in days] == [(20, "ann"), (21, "bob")] and len(users) == 2
+
+
 def test_no_more_than_fifty_posts_per_account(run):
     many = [(i, 20, 0, "t", None) for i in range(60)]
     _, posts, _, _ = run(20, collected("ann", 1, *many))
     assert sorted(p.post_id for p in posts) == list(range(10, 60))
 
 
+@pytest.mark.parametrize(("newest", "kept"), [(3, 3), (None, 60)])
+def test_another_number_of_posts(run, newest, kept):
+    many = [(i, 20, 0, "t", None) for i in range(60)]
+    assert len(run(20, collected("ann", 1, *many), newest=newest)[1]) == kept
+
+
+def test_posts_without_id_all_stay_though_another_account_is_collected_twice(run):
+    ten = [(None, 20, i, "t", None) for i in range(10)]
+    bob = collected("bob", 1, (1, 20, 0, "b", None))
+    _, posts, _, _ = run(20, collected("ann", 1, *ten), bob, bob)
+    assert sorted(p.favorite_count for p in posts if p.user == "ann") == [str(i) for i in range(10)]
+    assert [p.id for p in posts] == list(range(1, 12))
+
+
+def test_the_later_collection_stands_though_its_counts_are_smaller(run):
+    later = collected("ann", 90, (1, 20, 3, "new", None), hour=9)
+    later["USER_ACTIVITY"] = {"favoris_count": 1, "retweet_count": 2}
+    _, posts, users, _ = run(20, later, collected("ann", 100, (1, 20, 5, "old", None), hour=8))
+    assert [(p.favorite_count, p.text) for p in posts] == [("3", "new")]
+    assert [(u.followers, u.favorite_count, u.retweet_count) for u in users] == [("90", "1", "2")]
+
+
+def test_bare_files_of_one_account(spark, run):
+    """Landing files as another collector writes them, one row of them cut off."""
+    zone = run.root / "raw_data"
+    zone.mkdir(parents=True)
+    (zone / "TWEET_INFO.csv").write_text(
+        'text|favorite_count|date_creation|retweet_count\n"a ""b""\n|c"|3|2024-01-20 10:00:00+00:00|4\ncut off|5\nd|x|2024-01-19 10:00:00+00:00|1\n'
+    )
+    (zone / "USER_INFO.csv").write_text("followers|following|date_creation|description\n7|8|2020-01-01 00:00:00+00:00|me\n")
+    (zone / "USER_ACTIVITY.csv").write_text("favorite_count|retweet_count\n5|6\n")
+    done, posts, users, _ = run(20, account="ann")
+    assert done
+    assert sorted((p.text, p.favorite_count, p.user, p.post_id) for p in posts) == [
+        ("a b\nc", "3", "ann", None), ("cut off", "5", "ann", None), ("d", None, "ann", None)
+    ]
+    assert sorted(p.id for p in posts) == [1, 2, 3]
+    assert [(u.user, u.followers, u.favorite_count, u.retweet_count) for u in users] == [("ann", "7", "5", "6")]
+    rejected = spark.read.text(str(run.root / "rejected" / "TWEET_INFO")).collect()
+    assert sorted(r.value for r in rejected) == ["cut off|5", "d|x|2024-01-19 10:00:00+00:00|1"]
+
+
 def test_an_account_collected_again_and_again(run):
     """Copies neither take the place of other posts nor multiply the account."""
     newest = [(i, 20, i, "t", None) for i in range(30)]
     older = [(i, 19, 0, "t", None) for i in range(30, 50)]
-    copies = [collected("ann", n, *((i, d, likes + n, t, o) for i, d, likes, t, o in newest)) for n in (3, 1, 2)]
+    copies = [
+        collected("ann", n, *((i, d, likes + n, t, o) for i, d, likes, t, o in newest), hour=n) for n in (3, 1, 2)
+    ]
     _, posts, users, days = run(20, *copies, collected("ann", 0, *older))
     assert {p.post_id: p.favorite_count for p in posts} == {
         **{i: str(i + 3) for i in range(30)}, **{i: "0" for i in range(30, 50)}

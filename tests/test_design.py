@@ -1,12 +1,14 @@
 """Rules that hold for the whole package."""
 
+import datetime
 import re
 from pathlib import Path
 
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
 from postline import session
+from postline.plans import catalog, daily
+from tests.plans import initial_plan
 
 PACKAGE = Path(session.__file__).parent
 
@@ -16,11 +18,12 @@ PACKAGE = Path(session.__file__).parent
 )
 def test_not_used(word):
     for file in PACKAGE.rglob("*.py"):
-        assert not re.search(word, file.read_text()), file
+        # The training-data operators have rules and tests of their own.
+        assert file.parent.name == "llm" or not re.search(word, file.read_text()), file
 
 
 def test_every_query_has_its_sql():
-    assert queries().keys() == oracle_sql().keys()
+    assert catalog.QUERIES.keys() == catalog.SQL.keys()
 
 
 def test_partitions_grow_with_the_input():
@@ -28,6 +31,29 @@ def test_partitions_grow_with_the_input():
     assert session.partitions_for(1, 4) == 8
 
 
+def test_nothing_imports_the_training_data_operators():
+    for file in [*PACKAGE.rglob("*.py"), PACKAGE.parent / "bench.py"]:
+        assert file.parent.name == "llm" or not re.search(r"postline\.llm|corpus_pipeline", file.read_text()), file
+
+
+def test_a_run_sizes_its_shuffles(spark, monkeypatch, tmp_path):
+    """The window of a run over 100 TB of payloads has partitions of 256 MB."""
+    monkeypatch.setattr(daily.folders, "size_of", lambda *_: 100 << 40)
+    plans = []
+
+    def land(spark, *_):
+        rows = spark.range(10).repartition(3).selectExpr("id AS user", "id AS post_id", "id AS date_creation")
+        plans.append(initial_plan(daily.timeline_top_n(rows)))
+        raise InterruptedError
+
+    monkeypatch.setattr(daily, "land", land)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with pytest.raises(InterruptedError):
+        daily.run_day(spark, "p", str(tmp_path / "r"), "sized", datetime.date(2024, 1, 1))
+    assert re.search(rf"hashpartitioning\(user#\d+L?, {2 * (100 << 40 >> 28)}\)", plans[0])
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
 class Cluster:
     """What shared_dir asks of a session."""
 

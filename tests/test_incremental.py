@@ -52,9 +52,11 @@ def test_gate_by_time(spark):
 def test_gate_with_each_accounts_own_mark(spark):
     old = spark.createDataFrame([("a", D(2024, 1, 21)), ("a", D(2024, 1, 1))], "k string, d date")
     marks = incremental.marks_per_key(old, ["k"], "d")
-    for as_of, accounts in ((D(2024, 1, 20), ["b"]), (D(2024, 1, 21), [])):
-        opened = incremental.opened_accounts(rows(spark), "k", "ts", marks, as_of)
-        assert [r.k for r in opened.collect()] == accounts
+    opened = incremental.opened_accounts(rows(spark), "k", "ts", marks)
+    assert [r.k for r in opened.collect()] == ["b"]  # never loaded, so open
+    marks = incremental.marks_per_key(old.union(spark.createDataFrame([("b", D(2024, 1, 19))], old.schema)), ["k"], "d")
+    assert [r.k for r in incremental.opened_accounts(rows(spark), "k", "ts", marks).collect()] == ["b"]
+    assert incremental.opened_accounts(rows(spark), "k", "ts", marks.withColumn("mark", F.lit(D(2024, 1, 21)))).isEmpty()
 
 
 def test_gate_of_cut_timelines(spark):

@@ -12,7 +12,7 @@ def test_each_landed_file_is_processed_once(spark, tmp_path):
     zone, done, state = (str(tmp_path / name) for name in ("zone", "done", "state"))
 
     def land(name, text, day):
-        row = (text, 1, dt.datetime(2024, 1, day, 9), 2, "ann", day)
+        row = (text, 1, dt.datetime(2024, 1, day, 9), 2, "ann", day, None)
         landing.write_delimited(spark.createDataFrame([row], SCHEMA).coalesce(1), f"{zone}/{name}")
 
     def run():

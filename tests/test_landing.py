@@ -4,6 +4,7 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from postline import fixed_values as fixed
 from postline import schemas
@@ -129,12 +130,12 @@ def test_columns_in_another_order_fail(spark, tmp_path):
 
 def test_landing_replaces_and_has_the_fixed_header(spark, tmp_path):
     for count in (1, 2):
-        rows = spark.createDataFrame([(count, 2, "ann")], schemas.LANDING[fixed.ACTIVITY])
+        rows = spark.createDataFrame([(count, 2, "ann", None)], schemas.LANDING[fixed.ACTIVITY])
         landing.write_landing(rows, str(tmp_path), fixed.ACTIVITY)
     folder = tmp_path / "raw_data" / "USER_ACTIVITY.csv"
     lines = [line for file in folder.glob("*.csv") for line in file.read_text().splitlines()]
-    header = "favorite_count|retweet_count|user"
-    assert [line for line in lines if line != header] == ["2|2|ann"] and header in lines
+    header = "favorite_count|retweet_count|user|collected_at"
+    assert [line for line in lines if line != header] == ["2|2|ann|"] and header in lines
 
 
 def test_large_landing_is_cut_into_files(spark, tmp_path):
@@ -186,3 +187,17 @@ def test_processed_replaces_all_or_only_written_dates(spark, tmp_path):
     assert sorted(r.i for r in processed.read_processed(spark, path).collect()) == [1, 3]
     processed.write_processed(row(4, 5), path)
     assert [r.i for r in processed.read_processed(spark, path).collect()] == [4]
+
+
+def test_fractions_of_seconds_come_back(spark, tmp_path):
+    at = dt.datetime(2024, 1, 5, 10, 0, 1, 987654)
+    rows = spark.createDataFrame([(1, at)], "i int, at timestamp_ntz").withColumn("at", F.col("at").cast("timestamp"))
+    landing.write_delimited(rows, str(tmp_path / "t"))
+    again = landing.read_delimited(spark, str(tmp_path / "t"), rows.schema)
+    assert again.select(F.col("at").cast("timestamp_ntz")).first()[0] == at
+
+
+def test_rows_that_lack_fields_are_named(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("a|b\n1|2\n3\n4|5|6\n")
+    rows = landing.read_delimited(spark, str(tmp_path / "t.csv"), T.StructType.fromDDL("a int, b int"), rejected="bad")
+    assert sorted(r.bad for r in rows.collect() if r.bad) == ["3", "4|5|6"]

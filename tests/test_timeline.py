@@ -32,12 +32,10 @@ def newest(rows, n):
 
 
 @pytest.mark.parametrize("n", [1, 3, 50])
-@pytest.mark.parametrize("hot_rows", [10, 500, timeline.HOT_ROWS])
-def test_newest_per_account_against_brute_force(spark, n, hot_rows):
-    """No matter which accounts are treated as hot: all, the one, or none."""
+def test_newest_per_account_against_brute_force(spark, n):
     rows = posts(3000)
     frame = spark.createDataFrame(rows, POSTS).repartition(16)
-    got = timeline.timeline_top_n(frame, n=n, hot_rows=hot_rows)
+    got = timeline.timeline_top_n(frame, n=n)
     assert sorted(map(tuple, got.collect())) == newest(rows, n)
 
 
@@ -45,7 +43,7 @@ def test_hot_null_account_and_null_times(spark):
     rows = [(None, at(i) if i % 4 else None, i) for i in range(400)] + [("a", None, i) for i in range(20)]
     frame = spark.createDataFrame(rows, POSTS).repartition(8)
     for n in (5, 350):
-        got = timeline.timeline_top_n(frame, n=n, hot_rows=100)
+        got = timeline.timeline_top_n(frame, n=n)
         lowest = dt.datetime(1, 1, 1)
         expected = [
             row
@@ -57,19 +55,16 @@ def test_hot_null_account_and_null_times(spark):
         assert set(map(tuple, got.collect())) == set(expected) and got.count() == len(expected)
 
 
-def test_hot_keys(spark):
-    frame = spark.createDataFrame(posts(30_000), POSTS)
-    assert [r.user for r in timeline.hot_keys(frame, ["user"], 5_000).collect()] == ["hot"]
-    assert timeline.hot_keys(frame, ["user"]).isEmpty()
-
-
 def test_whole_rows_are_shuffled_once_and_cut_before(spark):
     frame = spark.createDataFrame(posts(3000), POSTS).withColumn("text", F.lit("t"))
-    for hot_rows in (500, timeline.HOT_ROWS):
-        plan = initial_plan(timeline.timeline_top_n(frame, hot_rows=hot_rows))
-        assert plan.count("Exchange hashpartitioning") == 1
-        assert "row_number(), 50, Partial" in plan.split("Exchange hashpartitioning")[1]
-    assert "_oldest" not in plan
+    plan = initial_plan(timeline.timeline_top_n(frame))
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "row_number(), 50, Partial" in plan.split("Exchange hashpartitioning")[1]
+
+
+def test_no_limit(spark):
+    frame = spark.createDataFrame(posts(300), POSTS)
+    assert timeline.timeline_top_n(frame, n=None).count() == 300
 
 
 def test_accounts_with_few_posts_and_null_times_are_kept(spark):
