@@ -16,6 +16,7 @@ from postline.llm import (
     secret_scan,
     sharding,
     url_filter,
+    url_sql,
 )
 
 SHARDS = 40
@@ -110,5 +111,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_language_id,
     )
 }
-# None of the ten can be expressed in SQL; tests/llm holds each against a brute-force form.
-SQL: dict[str, str] = {}
+# The others cannot be expressed in SQL; tests/llm holds each against a brute-force form.
+NUMBER = f"regexp_extract({url_sql.PATH}, '/([0-9]{{1,18}})(?:[.]html)?/?$', 1)"
+SQL: dict[str, str] = {
+    "op5_url_filter": url_sql.judged_pages(
+        RULES,
+        f"""SELECT url, bad FROM (SELECT url, CASE WHEN {NUMBER} <> '' THEN CAST({NUMBER} AS BIGINT) END AS doc_id FROM pages)
+            LEFT JOIN (SELECT doc_id, max(CAST(quality = 0 OR toxic = 1 AS INTEGER)) AS bad FROM labels GROUP BY doc_id)
+            USING (doc_id)""",
+    )
+}

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from postline.llm import queries, url_filter
 from tests.llm.conftest import SF
+from tests.oracle import connect, difference
 
 RULES = queries.RULES
 
@@ -135,3 +136,9 @@ def test_longest_rule(spark, url, rule):
     row = spark.createDataFrame([(url,)], "url string")
     host, path = url_filter.host_of(F.col("url")), url_filter.path_of(F.col("url"))
     assert row.select(url_filter.fitting_rule(host, path, RULES).alias("r")).first().r == rule
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_the_query_agrees_with_its_sql(spark, sf):
+    sf_dir = f"/root/testdata/{sf}"
+    assert difference(queries.QUERIES["op5_url_filter"](spark, sf_dir), queries.SQL["op5_url_filter"], connect(sf_dir)) is None
