@@ -2,12 +2,14 @@
 
 BENCH_SF_DIR: the tables (default /root/testdata/sf0.1). BENCH_CPUS: local cores
 (default 8). BENCH_RUNS: timed runs per query, the best counts (default 2, after
-one untimed run).
+one untimed run). BENCH_SCRATCH: the folder of stored intermediate tables
+(default a new temporary folder, as this session is local).
 """
 
 import json
 import os
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -25,6 +27,7 @@ def main() -> None:
         spark__master=f"local[{cpus}]",
         spark__driver__memory="8g",
         spark__sql__shuffle__partitions=cpus,
+        spark__checkpoint__dir=os.environ.get("BENCH_SCRATCH") or tempfile.mkdtemp(prefix="bench-"),
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
     )

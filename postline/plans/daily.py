@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from postline import fixed_values as fixed
 from postline import schemas
 from postline.functions.columns import stamp_account, stamp_day
-from postline.functions.dates import date_prefix, day_of, day_text
-from postline.functions.text import clean_text
+from postline.functions.dates import date_prefix, day_text
 from postline.operators.accounts import METRICS, attach_account_metrics
 from postline.operators.checks import require_rows
 from postline.operators.incremental import opened_accounts
+from postline.operators.posts import transform_posts
 from postline.operators.timeline import latest_per_key, timeline_top_n
 from postline.session import require_utc, sized_shuffles, stage
 from postline.sources import folders, landing, payload, processed, tables
@@ -48,13 +48,6 @@ def land(
     landing.write_landing(payload.activity_rows(collected), root, fixed.ACTIVITY)
 
 
-def transform_posts(posts: DataFrame) -> DataFrame:
-    """Clean the texts and derive the date."""
-    return posts.withColumns(
-        {"text": clean_text(F.col("text")), "date": day_of(F.col("date_creation"))}
-    )
-
-
 def transform_accounts(
     accounts: DataFrame, activity: DataFrame, as_of: datetime.date | None
 ) -> DataFrame:

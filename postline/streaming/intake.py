@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from postline import fixed_values as fixed
-from postline.plans.daily import transform_posts
+from postline.operators.posts import transform_posts
 from postline.sources.landing import READ_OPTIONS
 from postline.sources.processed import by_date
 
