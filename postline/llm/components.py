@@ -9,11 +9,13 @@ from postline.session import stage
 def _star(links: DataFrame, large: bool) -> DataFrame:
     """Hang each node's greater (large star) or smaller (small star) neighbours on its smallest one.
 
-    The minimum is aggregated before it meets the links, so a node with very
-    many links is split like any skewed join key, and never gathered.
+    The minimum of a node is aggregated ahead of the shuffle, and stored before
+    it meets the links: then both sides of the join are plain shuffles, of which
+    adaptive execution splits the parts of a node with very many links, or the
+    minima are small and no link is shuffled.
     """
     sides = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else links
-    least = sides.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("least"))
+    least = stage(sides.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("least")), "least")
     joined = sides.join(least, "a")
     if large:
         hung = joined.filter(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("least").alias("b"))
