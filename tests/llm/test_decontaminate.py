@@ -21,6 +21,8 @@ def brute(text, items, least=0.8):
             continue
         size = min(5, len(own))
         mine = bag(own, size)
+        if not mine.keys() & bag(words, size).keys():
+            continue
         for start in range(max(1, len(words) - len(own) + 1)):
             window = bag(words[start : start + len(own)], size)
             both = sum((mine & window).values())
