@@ -10,6 +10,7 @@ a page marks its article, lines outside it do not count either.
 
 import html
 import re
+from bisect import bisect_right
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,6 +39,8 @@ ASIDE_NAMES = frozenset(
     "recommended recommendations comment comments commentlist disqus reply replies respond responses pagination pager "
     "widget widgets toolbar topbar skip disclaimer copyright form".split()
 )
+# Names that also say what stands beside an element: one with such a name only is kept if it holds the article.
+LAYOUT = frozenset("nav navbar navigation menu menubar sidebar sidebars aside footer banner ad ads widget widgets search form".split())
 KEPT = frozenset("html body article main".split())
 TAG = re.compile(
     rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b[^>]*>.*?(?:</(?P=raw)\b[^>]*>|\Z)|<!\[CDATA\[.*?\]\]>"
@@ -51,7 +54,7 @@ WORD = re.compile(r"[^a-z0-9]+")
 SPACE = re.compile(r"\s+")
 
 
-def _is_aside(name: str, rest: str, in_article: bool) -> bool:
+def _is_aside(name: str, rest: str, in_article: bool, holds_article: bool) -> bool:
     if name in ASIDE or name == "header" and not in_article:
         return True
     if not rest or HIDDEN.search(rest):
@@ -61,8 +64,10 @@ def _is_aside(name: str, rest: str, in_article: bool) -> bool:
         if key.lower() == "role":
             if value.strip() in ASIDE_ROLES and name not in KEPT:
                 return True
-        elif any(part in ASIDE_NAMES for part in WORD.split(value)) and name not in ("html", "body", "main"):
-            return True
+        elif name not in ("html", "body", "main"):
+            parts = ASIDE_NAMES.intersection(WORD.split(value))
+            if parts and not (holds_article and parts <= LAYOUT):
+                return True
     return False
 
 
@@ -112,6 +117,7 @@ def _lines(page: str) -> _Lines:
     tags = list(TAG.finditer(page))
     ends = _closings(tags)
     articles: list[int] = []  # places of the end tags of open articles
+    starts = [i for i, tag in enumerate(tags) if not tag["close"] and (tag["name"] or "").lower() in ("article", "main")]
     at, i, in_link = 0, 0, False
 
     def add(text: str) -> None:
@@ -129,10 +135,12 @@ def _lines(page: str) -> _Lines:
             articles.pop()
         name = (tag["name"] or "").lower()
         if name and not tag["close"]:
-            if name not in EMPTY and i in ends and _is_aside(name, tag["rest"], bool(articles)):
+            end = ends.get(i, i)
+            holds = bisect_right(starts, i) < bisect_right(starts, end)
+            if name not in EMPTY and end > i and _is_aside(name, tag["rest"], bool(articles), holds):
                 lines.end(bool(articles))
                 lines.gap()
-                i = ends[i]
+                i = end
                 at = tags[i].end()
             elif name in ("article", "main"):
                 lines.end(bool(articles))

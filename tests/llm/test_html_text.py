@@ -46,6 +46,12 @@ def test_everything_else_goes(around):
     assert main_text(page) == f"A & B\n{flat}\nshort\nOne two three é\n{flat}\nEnd."
 
 
+@pytest.mark.parametrize(("name", "kept"), [("has-sidebar", True), ("content with-footer", True), ("comments", False), ("sidebar related", False)])
+def test_what_is_named_after_its_neighbours_is_kept_if_it_holds_the_article(name, kept):
+    page = f"<body><div class='{name}'><article><p>{LONG}</p></article></div><p>{LONG} else</p></body>"
+    assert main_text(page) == (LONG.strip() if kept else f"{LONG}else")
+
+
 def test_lines_without_names_are_told_by_their_lengths():
     links = "".join(f"<div><a href='/{i}'>Link number {i}</a></div>" for i in range(12))
     page = f"<body>{links}<p>{LONG}</p><p>Yes.</p><p>{LONG}</p>{links}</body>"
