@@ -3,9 +3,10 @@
 Markup is stripped to lines, one per block element. The text lengths of
 windows of lines next to each other are summed; the main text runs from the
 line where the sums surge to the line after which they dive. Lines that markup
-names as something else (menus, adverts, forms, comments) count as empty, and
-the text of links does not count, so menus without a name do not surge. Where
-a page marks its article, lines outside it do not count either.
+names as something else (menus, adverts, forms, comments) count as empty,
+unless nothing surges without them, and the text of links does not count, so
+menus without a name do not surge. Where a page marks its article, lines
+outside it do not count either.
 """
 
 import html
@@ -21,6 +22,8 @@ from postline.llm.batches import map_text
 LINES = 3
 SHARE = 0.2
 CALM = 120
+# Nested elements that are put back one within the other, before all that is cut is.
+ROUNDS = 8
 
 # Fixed values of HTML.
 RAW = "script|style|noscript|template|textarea|iframe|svg|math|title|select|xmp|noembed|noframes|object|canvas"
@@ -39,8 +42,15 @@ ASIDE_NAMES = frozenset(
     "recommended recommendations comment comments commentlist disqus reply replies respond responses pagination pager "
     "widget widgets toolbar topbar skip disclaimer copyright form".split()
 )
+# Words that make a compound of such names: `site-footer`, `post-comments`, `ad-slot-2`; with any other word a name says nothing.
+BEFORE_NAMES = frozenset("site page global main top bottom left right primary secondary sticky fixed mobile desktop post article entry user".split())
+AFTER_NAMES = frozenset(
+    "bar box block container wrapper wrap list links link item items button buttons icon icons slot unit area inner outer top bottom left "
+    "right primary secondary posts articles stories thread trail law info media".split()
+)
 # Names that also say what stands beside an element: one with such a name only is kept if it holds the article.
 LAYOUT = frozenset("nav navbar navigation menu menubar sidebar sidebars aside footer banner ad ads widget widgets search form".split())
+LAYOUT_TAGS = frozenset("form search header".split())
 KEPT = frozenset("html body article main".split())
 TAG = re.compile(
     rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b[^>]*>.*?(?:</(?P=raw)\b[^>]*>|\Z)|<!\[CDATA\[.*?\]\]>"
@@ -48,27 +58,50 @@ TAG = re.compile(
     r"|<[/!?a-zA-Z][^>]*(?:>|\Z)",
     re.DOTALL | re.IGNORECASE,
 )
-ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
-HIDDEN = re.compile(r"\bhidden\b(?!\s*=)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.IGNORECASE)
-WORD = re.compile(r"[^a-z0-9]+")
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
+UNSEEN = frozenset([("display", "none"), ("visibility", "hidden")])
+NAME_PART = re.compile(r"[^a-z0-9]+")
 SPACE = re.compile(r"\s+")
 
 
-def _is_aside(name: str, rest: str, in_article: bool, holds_article: bool) -> bool:
+def _is_hidden(attributes: dict[str, str]) -> bool:
+    if "hidden" in attributes or attributes.get("aria-hidden", "").strip() == "true":
+        return True
+    declared = (part.partition(":") for part in attributes.get("style", "").split(";"))
+    return any((key.strip(), value.replace("!important", "").strip()) in UNSEEN for key, _, value in declared)
+
+
+def _aside_names(value: str) -> set[str]:
+    """The names of something else among the classes or in the id: whole ones, and compounds of nothing but such names."""
+    found = set()
+    for token in value.split():
+        parts = [part for part in NAME_PART.split(token) if part]
+        names = ASIDE_NAMES.intersection(parts)
+        if not names:
+            continue
+        first = next(i for i, part in enumerate(parts) if part in ASIDE_NAMES)
+        after = (part in ASIDE_NAMES or part in AFTER_NAMES or part.isdigit() for part in parts[first:])
+        if BEFORE_NAMES.issuperset(parts[:first]) and all(after):
+            found |= names
+    return found
+
+
+def _is_aside(name: str, rest: str, in_article: bool, holds_article: bool, holds_main: bool) -> bool:
+    attributes: dict[str, str] = {}
+    for key, *values in ATTRIBUTE.findall(rest or ""):
+        attributes.setdefault(key.lower(), next((v for v in values if v), "").lower())
+    if _is_hidden(attributes):
+        return name not in KEPT
+    if holds_main:
+        return False
     if name in ASIDE or name == "header" and not in_article:
+        return not (holds_article and name in LAYOUT_TAGS)
+    if attributes.get("role", "").strip() in ASIDE_ROLES and name not in KEPT:
         return True
-    if not rest or HIDDEN.search(rest):
-        return bool(rest) and name not in KEPT
-    for key, *values in ATTRIBUTE.findall(rest):
-        value = next((v for v in values if v), "").lower()
-        if key.lower() == "role":
-            if value.strip() in ASIDE_ROLES and name not in KEPT:
-                return True
-        elif name not in ("html", "body", "main"):
-            parts = ASIDE_NAMES.intersection(WORD.split(value))
-            if parts and not (holds_article and parts <= LAYOUT):
-                return True
-    return False
+    if name in ("html", "body", "main"):
+        return False
+    names = _aside_names(attributes.get("class", "")) | _aside_names(attributes.get("id", ""))
+    return bool(names) and not (holds_article and names <= LAYOUT)
 
 
 class _Lines:
@@ -78,6 +111,7 @@ class _Lines:
         self.texts: list[str] = []
         self.weights: list[int] = []
         self.inside: list[bool] = []
+        self.cut: list[tuple[int, int, int]] = []  # of what is something else: start of its tag, start and end of its content
         self.parts: list[str] = []
         self.linked = 0
 
@@ -112,12 +146,15 @@ def _closings(tags: list[re.Match]) -> dict[int, int]:
     return found
 
 
-def _lines(page: str) -> _Lines:
+def _lines(page: str, kept: set[int] | None = None) -> _Lines:
+    """The lines of a page. Elements whose tags start in `kept` are not cut; without it, none is."""
     lines = _Lines()
     tags = list(TAG.finditer(page))
     ends = _closings(tags)
     articles: list[int] = []  # places of the end tags of open articles
-    starts = [i for i, tag in enumerate(tags) if not tag["close"] and (tag["name"] or "").lower() in ("article", "main")]
+    named = [(i, (tag["name"] or "").lower()) for i, tag in enumerate(tags) if not tag["close"]]
+    starts = [i for i, name in named if name in ("article", "main")]
+    mains = [i for i, name in named if name == "main"]
     at, i, in_link = 0, 0, False
 
     def add(text: str) -> None:
@@ -136,10 +173,12 @@ def _lines(page: str) -> _Lines:
         name = (tag["name"] or "").lower()
         if name and not tag["close"]:
             end = ends.get(i, i)
-            holds = bisect_right(starts, i) < bisect_right(starts, end)
-            if name not in EMPTY and end > i and _is_aside(name, tag["rest"], bool(articles), holds):
+            holds, holds_main = (bisect_right(found, i) < bisect_right(found, end) for found in (starts, mains))
+            may_go = kept is not None and name not in EMPTY and end > i and tag.start() not in kept
+            if may_go and _is_aside(name, tag["rest"], bool(articles), holds, holds_main):
                 lines.end(bool(articles))
                 lines.gap()
+                lines.cut.append((tag.start(), tag.end(), tags[end].start()))
                 i = end
                 at = tags[i].end()
             elif name in ("article", "main"):
@@ -159,15 +198,35 @@ def _lines(page: str) -> _Lines:
     return lines
 
 
+def _sums(weights: list[int]) -> list[int]:
+    return [sum(weights[max(0, i - LINES + 1) : i + 1]) for i in range(len(weights) + LINES - 1)]
+
+
+def _page_lines(page: str) -> _Lines:
+    """The lines of a page; where nothing surges without what was cut, what surges in itself is put back, outermost first."""
+    kept: set[int] = set()
+    for _ in range(ROUNDS):
+        lines = _lines(page, kept)
+        largest = max(_sums(lines.weights), default=0)
+        if largest > CALM or not lines.cut:
+            return lines
+        own = {start: max(_sums(_lines(page[first:last]).weights), default=0) for start, first, last in lines.cut}
+        surging = {start for start, total in own.items() if total > CALM}
+        if not surging or largest > SHARE * max(own.values()):
+            return lines
+        kept |= surging
+    return _lines(page)
+
+
 def main_text(page: str | None) -> str:
     """The main text of a page: its blocks, joined by line breaks; empty for a page without any."""
     if not page:
         return ""
-    lines = _lines(page)
+    lines = _page_lines(page)
     marked = any(lines.inside)
     # A line of a marked article always surges; otherwise its text outside links counts.
     weights = [(w + CALM + 1 if i else 0) if marked else w for w, i in zip(lines.weights, lines.inside, strict=True)]
-    sums = [sum(weights[max(0, i - LINES + 1) : i + 1]) for i in range(len(weights) + LINES - 1)]
+    sums = _sums(weights)
     largest = max(sums, default=0)
     if not largest:
         return ""

@@ -52,6 +52,39 @@ def test_what_is_named_after_its_neighbours_is_kept_if_it_holds_the_article(name
     assert main_text(page) == (LONG.strip() if kept else f"{LONG}else")
 
 
+@pytest.mark.parametrize(
+    "attributes",
+    [
+        'class="overflow-hidden"', 'style="overflow:hidden"', 'class="elementor-widget elementor-widget-text-editor"', 'class="content has-sidebar"',
+        'class="related-work"', 'id="form-page"', 'class="skip-x"', 'data-hidden="no"', 'title="display:none"',
+    ],
+)
+@pytest.mark.parametrize("around", ["<div {}><article>{}</article></div>", "<main><div {}>{}</div></main>", "<div {}>{}</div>"])
+def test_names_that_only_hold_a_word_cut_nothing(attributes, around):
+    other = f"<div class='site-footer'><p>{LONG}</p></div>"
+    assert main_text("<body>" + around.format(attributes, f"<p>{LONG}</p>") + other + "</body>") == LONG.strip()
+
+
+@pytest.mark.parametrize("attributes", ["hidden", "hidden=''", "style='color:red; DISPLAY : none !important'", "style=visibility:hidden", "aria-hidden=true", "class='a post-comments'", "id='ad_slot_2'", "class=site-footer"])
+def test_hidden_and_named_elements_go(attributes):
+    assert main_text(f"<body><div {attributes}><p>{LONG} not</p></div><p>{LONG}</p></body>") == LONG.strip()
+
+
+@pytest.mark.parametrize("start", ["<form id=aspnetForm>", "<div class=social>", "<div hidden>", "<form><div class=social><div class=related>", "<aside>" * 5])
+def test_what_is_cut_is_put_back_if_nothing_surges_without_it(start):
+    ends = "".join(f"</{name}>" for name in reversed(re.findall(r"<(\w+)", start)))
+    page = f"<body><nav><p>Menu</p></nav>{start}<p>{LONG}</p><p>{LONG}</p>{ends}<footer>Imprint</footer></body>"
+    assert main_text(page) == f"{LONG.strip()}\n{LONG.strip()}"
+
+
+def test_deeply_nested_elements_lose_nothing():
+    assert LONG.strip() in main_text(f"<body>{'<aside>' * 50}<p>{LONG}</p>{'</aside>' * 50}</body>")
+
+
+def test_forms_around_the_main_element_are_kept():
+    assert main_text(f"<body><form><nav>{LONG}</nav><main><p>{LONG}</p></main></form><p>{LONG}</p></body>") == LONG.strip()
+
+
 def test_lines_without_names_are_told_by_their_lengths():
     links = "".join(f"<div><a href='/{i}'>Link number {i}</a></div>" for i in range(12))
     page = f"<body>{links}<p>{LONG}</p><p>Yes.</p><p>{LONG}</p>{links}</body>"
