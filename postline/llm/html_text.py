@@ -5,8 +5,9 @@ windows of lines next to each other are summed; the main text runs from the
 line where the sums surge to the line after which they dive. Lines that markup
 names as something else (menus, adverts, forms, comments) count as empty,
 unless nothing surges without them, and the text of links does not count, so
-menus without a name do not surge. Where a page marks its article, lines
-outside it do not count either.
+menus without a name do not surge. Where a page marks its article,
+the marks are a bonus: the lines inside count whole and those outside do not,
+unless a surge outside is larger, and then lengths alone decide.
 """
 
 import html
@@ -218,13 +219,34 @@ def _page_lines(page: str) -> _Lines:
     return _lines(page)
 
 
+def _surge(weights: list[int]) -> tuple[int, int]:
+    """The largest window, and the most text of lines on end that lie in windows that surge."""
+    sums = _sums(weights)
+    largest = max(sums, default=0)
+    level = min(CALM, SHARE * largest)
+    most = total = 0
+    for weight, high in zip(weights, (any(s > level for s in sums[i : i + LINES]) for i in range(len(weights))), strict=False):
+        total = total + weight if high else 0
+        most = max(most, total)
+    return largest, most
+
+
+def _mark_decides(lines: _Lines) -> bool:
+    """Whether the surge of the marked lines, with a bonus of CALM, is at least that of the others, in height and in text."""
+    if not any(lines.inside):
+        return False
+    inside = _surge([w if i else 0 for w, i in zip(lines.weights, lines.inside, strict=True)])
+    outside = _surge([0 if i else w for w, i in zip(lines.weights, lines.inside, strict=True)])
+    return all(own + CALM >= other for own, other in zip(inside, outside, strict=True))
+
+
 def main_text(page: str | None) -> str:
     """The main text of a page: its blocks, joined by line breaks; empty for a page without any."""
     if not page:
         return ""
     lines = _page_lines(page)
-    marked = any(lines.inside)
-    # A line of a marked article always surges; otherwise its text outside links counts.
+    marked = _mark_decides(lines)
+    # A line of the marked region has a bonus with which it surges; the lines outside it are no part of the main text.
     weights = [(w + CALM + 1 if i else 0) if marked else w for w, i in zip(lines.weights, lines.inside, strict=True)]
     sums = _sums(weights)
     largest = max(sums, default=0)

@@ -85,6 +85,18 @@ def test_forms_around_the_main_element_are_kept():
     assert main_text(f"<body><form><nav>{LONG}</nav><main><p>{LONG}</p></main></form><p>{LONG}</p></body>") == LONG.strip()
 
 
+@pytest.mark.parametrize("teaser", ["<article><p>A short teaser.</p></article>", "<main><h1>Title</h1></main>", f"<article><p>{LONG}</p></article>"])
+def test_marks_do_not_silence_a_longer_story_outside(teaser):
+    story = "".join(f"<p>{i} {LONG}</p>" for i in range(8))
+    text = main_text(f"<body><nav><a href=x>Menu</a></nav>{teaser}<div>{story}</div><footer>{LONG}</footer></body>")
+    assert "\n".join(f"{i} {LONG.strip()}" for i in range(8)) in text and "Menu" not in text
+
+
+def test_marks_outweigh_what_surges_less():
+    page = f"<body><p>{LONG} else</p><article><h1>T</h1><p>{LONG}</p><p>{LONG}</p><p>End.</p></article><p>{LONG} else</p></body>"
+    assert main_text(page) == f"T\n{LONG.strip()}\n{LONG.strip()}\nEnd."
+
+
 def test_lines_without_names_are_told_by_their_lengths():
     links = "".join(f"<div><a href='/{i}'>Link number {i}</a></div>" for i in range(12))
     page = f"<body>{links}<p>{LONG}</p><p>Yes.</p><p>{LONG}</p>{links}</body>"
