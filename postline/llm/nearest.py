@@ -6,6 +6,12 @@ TABLES rotations give as many cells for each vector; a query looks into the
 cells of the PROBED share of axes nearest to it in each table (multiprobe), and
 what it meets there is ranked by the exact inner product in double precision.
 
+Cells go by direction. Rows are cut into bands of like length, in which the
+nearest by direction are about the nearest by product. A band of WHOLE rows at
+most, as one of outliers or a small table, is a cell of its own that all
+queries look into. Queries that still meet fewer rows than an answer can hold
+are answered exactly, against all rows.
+
 All rows are indexed. A vector that many rows have counts up to as many of its
 rows, the smallest ids, as an answer can hold. Cells are cut into chunks and
 queries too, so that a task gets at most one chunk of each.
@@ -28,8 +34,11 @@ ROUNDS = 3
 SEED = 5
 CHUNK = 4096
 QUERY_CHUNK = 1024
-# Relative spread of lengths up to which vectors count as equally long.
-EVEN = 1e-3
+# Ratio of the lengths in a band, and the rows up to which a band is met whole.
+BAND = 2**0.25
+WHOLE = 4096
+# The cell that all queries look into.
+EVERY = -1
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -76,20 +85,17 @@ def _valid(vectors: DataFrame) -> DataFrame:
     return found.filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & usable & nonzero)
 
 
-def _with_cells(vectors: DataFrame, dims: int, longest: float, even: bool, tables: int, probes: int, is_query: bool) -> DataFrame:
-    size = 1 << max(0, (dims if even else dims + 1) - 1).bit_length()
+def _with_cells(vectors: DataFrame, dims: int, tables: int, probes: int) -> DataFrame:
+    size = 1 << max(0, dims - 1).bit_length()
 
     def start():
         flips = signs(tables, size)
 
         def apply(lists: list) -> list:
             x = np.array(lists, np.float64).reshape(-1, dims)
-            lengths = np.linalg.norm(x, axis=1, keepdims=True)
+            x /= np.abs(x).max(axis=1, keepdims=True)
             padded = np.zeros((len(x), size))
-            # Unequal lengths: one more coordinate makes the inner product that of unit vectors.
-            padded[:, :dims] = x / (lengths if even or is_query else longest)
-            if not even and not is_query:
-                padded[:, dims] = np.sqrt(np.maximum(0, 1 - (lengths[:, 0] / longest) ** 2))
+            padded[:, :dims] = x / np.linalg.norm(x, axis=1, keepdims=True)
             return [list(cells(padded, flips, probes).astype(np.int32))]
 
         return apply
@@ -97,6 +103,15 @@ def _with_cells(vectors: DataFrame, dims: int, longest: float, even: bool, table
     return map_text(vectors, "embedding", ["vec_id", "embedding"], "cells array<int>", start, read=2048)
 
 
+def _by_bands(index: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of large bands, and those of bands that are met whole."""
+    length = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x))
+    band = F.coalesce(F.floor(F.log(length) / math.log(BAND) + 0.5).cast("bigint"), F.lit(-(1 << 62)))
+    banded = stage(index.withColumn("_band", band), "bands")
+    large = F.broadcast(stage(banded.groupBy("_band").count().filter(F.col("count") > WHOLE).select("_band"), "large"))
+    return tuple(banded.join(large, "_band", how).select("vec_id", "embedding") for how in ("left_semi", "left_anti"))
+
+
 def _best(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, most: int) -> tuple:
     """The `most` nearest rows of each query, with all ties at the end; scores do not depend on the chunk."""
     products = q @ x.T
@@ -127,15 +142,12 @@ def nearest(
     rows. Other columns are left out.
     """
     usable = _valid(vectors)
-    length = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x))
-    shapes = usable.groupBy(F.size("embedding").alias("dims")).agg(
-        F.count(F.lit(1)).alias("n"), F.min(length).alias("short"), F.max(length).alias("long")
-    )
+    shapes = usable.groupBy(F.size("embedding").alias("dims")).agg(F.count(F.lit(1)).alias("n"))
     shape = shapes.orderBy(F.desc("n"), "dims").first()
     schema = "query_id bigint, rank int, vec_id bigint, score double"
     if shape is None:
         return vectors.sparkSession.createDataFrame([], schema)
-    dims, even = shape["dims"], shape["long"] - shape["short"] <= EVEN * shape["long"]
+    dims = shape["dims"]
 
     # With its own row, `most` more of one vector's rows may be in an answer; ahead of the shuffle each task keeps no more.
     copies = Window.partitionBy("embedding").orderBy("vec_id")
@@ -144,19 +156,20 @@ def nearest(
     asked = _valid(queries).filter(F.size("embedding") == dims)
     asked = stage(asked, "queries")
     distinct = asked.groupBy("embedding").agg(F.min("vec_id").alias("vec_id"))
-    size = 1 << max(0, (dims if even else dims + 1) - 1).bit_length()
+    size = 1 << max(0, dims - 1).bit_length()
     probes = max(1, min(2 * size, math.ceil(probed * 2 * size)))
-    indexed = stage(_with_cells(index, dims, shape["long"], even, tables, 1, False), "indexed")
-    probing = stage(_with_cells(distinct, dims, shape["long"], even, tables, probes, True), "probing")
+    every = F.array(F.lit(EVERY))
+    large, whole = _by_bands(index)
+    indexed = _with_cells(large, dims, tables, 1).unionByName(whole.withColumn("cells", every))
+    indexed = stage(indexed, "indexed")
+    probing = _with_cells(distinct, dims, tables, probes).withColumn("cells", F.concat("cells", every))
+    probing = stage(probing, "probing")
 
     def chunks(rows: DataFrame, name: str, chunk: int) -> DataFrame:
         counts = rows.select(F.explode("cells").alias("cell")).groupBy("cell").count()
         return counts.select("cell", F.ceil(F.col("count") / chunk).alias(name))
 
-    # One row per cell: 2 * size * tables at most.
-    met = F.broadcast(stage(chunks(indexed, "_i", CHUNK).join(chunks(probing, "_q", QUERY_CHUNK), "cell"), "cells"))
-
-    def dealt(rows: DataFrame, own: str, own_chunk: str, other: str, other_chunk: str) -> DataFrame:
+    def dealt(rows: DataFrame, met: DataFrame, own: str, own_chunk: str, other: str, other_chunk: str) -> DataFrame:
         each = rows.select("vec_id", "embedding", F.explode("cells").alias("cell")).join(met, "cell")
         return each.select(
             "vec_id", "embedding", "cell",
@@ -164,10 +177,6 @@ def nearest(
             F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(other) - 1)).alias(other_chunk),
         )
 
-    keys = ["cell", "_ic", "_qc"]
-    left = dealt(indexed, "_i", "_ic", "_q", "_qc").groupBy(*keys)
-    right = dealt(probing, "_q", "_qc", "_i", "_ic").groupBy(*keys)
-
     def meet(rows: pa.Table, questions: pa.Table) -> pa.Table:
         ids, x, query_ids, q = (
             part
@@ -180,13 +189,27 @@ def nearest(
             query, found, score = _best(ids, x, query_ids, q, most + 1)
         return pa.table({"asked": query, "vec_id": found, "score": score})
 
-    found = left.cogroup(right).applyInArrow(meet, "asked bigint, vec_id bigint, score double")
-    once = found.repartition("asked").groupBy("asked", "vec_id").agg(F.max("score").alias("score"))
-    by_score = Window.partitionBy("asked").orderBy(F.desc("score"), "vec_id")
-    ranked = once.withColumn("_rank", F.row_number().over(by_score)).filter(F.col("_rank") <= most + 1)
-    answers = ranked.groupBy("asked").agg(F.sort_array(F.collect_list(F.struct("_rank", "vec_id", "score"))).alias("answers"))
+    def answers(indexed: DataFrame, probing: DataFrame) -> DataFrame:
+        """asked, answers: the best of what the vectors of `probing` meet in their cells."""
+        # One row per cell: 2 * size * tables and one more at most.
+        met = F.broadcast(stage(chunks(indexed, "_i", CHUNK).join(chunks(probing, "_q", QUERY_CHUNK), "cell"), "cells"))
+        keys = ["cell", "_ic", "_qc"]
+        left = dealt(indexed, met, "_i", "_ic", "_q", "_qc").groupBy(*keys)
+        right = dealt(probing, met, "_q", "_qc", "_i", "_ic").groupBy(*keys)
+        found = left.cogroup(right).applyInArrow(meet, "asked bigint, vec_id bigint, score double")
+        once = found.repartition("asked").groupBy("asked", "vec_id").agg(F.max("score").alias("score"))
+        by_score = Window.partitionBy("asked").orderBy(F.desc("score"), "vec_id")
+        ranked = once.withColumn("_rank", F.row_number().over(by_score)).filter(F.col("_rank") <= most + 1)
+        return ranked.groupBy("asked").agg(F.sort_array(F.collect_list(F.struct("_rank", "vec_id", "score"))).alias("answers"))
+
+    found = stage(answers(indexed, probing), "found")
+    most_found = indexed.select("vec_id").distinct().limit(most + 1).count()
+    full = found.filter(F.size("answers") >= most_found)
+    short = stage(probing.join(full, F.col("vec_id") == F.col("asked"), "left_anti").withColumn("cells", every), "short")
+    if most_found and not short.isEmpty():
+        full = full.unionByName(answers(indexed.withColumn("cells", every), short))
     named = distinct.select(F.col("vec_id").alias("asked"), F.col("embedding").alias("_vector"))
-    answered = stage(answers.join(named, "asked").select("_vector", "answers"), "answers")
+    answered = stage(full.join(named, "asked").select("_vector", "answers"), "answers")
     others = F.slice(F.filter("answers", lambda a: a["vec_id"] != F.col("query_id")), 1, most)
     return (
         asked.select(F.col("vec_id").alias("query_id"), "embedding")

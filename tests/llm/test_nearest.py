@@ -84,6 +84,33 @@ def test_all_cells_give_the_exact_answer_in_any_chunks(spark, monkeypatch):
         assert {q: [v for v, _ in f] for q, f in found.items()} == {q: [v for v, _ in f] for q, f in want.items()}
 
 
+@pytest.mark.parametrize("whole", [nearest.WHOLE, 0])
+@pytest.mark.parametrize("n", [5, 21, 30])
+def test_few_rows_are_all_found(spark, monkeypatch, n, whole):
+    monkeypatch.setattr(nearest, "WHOLE", whole)
+    x = np.random.default_rng(n).normal(size=(n, 64))
+    rows = [(i, [float(v) for v in vector]) for i, vector in enumerate(x)]
+    rows[1] = (1, [-v for v in rows[0][1]])
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    found, want = results(nearest.nearest(frame, frame)), brute(rows, 20, 1)
+    assert all(len(found[q]) == min(20, n - 1) for q in range(n))
+    if whole or n <= 21:
+        assert {q: [v for v, _ in f] for q, f in found.items()} == {q: [v for v, _ in f] for q, f in want.items()}
+
+
+@pytest.mark.parametrize("whole", [nearest.WHOLE, 100])
+def test_one_long_vector_hides_no_others(spark, monkeypatch, whole):
+    monkeypatch.setattr(nearest, "WHOLE", whole)
+    x = np.random.default_rng(7).normal(size=(2000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[7] *= 1000
+    rows = [(i, [float(v) for v in vector]) for i, vector in enumerate(x)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(4)
+    found, want = results(nearest.nearest(frame, frame.filter("vec_id % 20 = 0"))), brute(rows, 20, 20)
+    assert all(len(found[q]) == 20 for q in want) and recall(found, want) >= 0.9
+    assert all((7 in dict(found[q])) == (7 in dict(want[q])) for q in want)
+
+
 def test_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [2.0, 0.0]), (2, None), (3, [0.0, 0.0]), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, [None, 1.0]), (None, [1.0, 1.0]),
