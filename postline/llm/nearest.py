@@ -12,8 +12,8 @@ most, as one of outliers or a small table, is a cell of its own that all
 queries look into. Queries that still meet fewer rows than an answer can hold
 are answered exactly, against all rows.
 
-All rows are indexed. A vector that many rows have counts up to as many of its
-rows, the smallest ids, as an answer can hold. Cells are cut into chunks and
+All rows are indexed. A vector that many ids have counts for as many of them,
+the smallest, as an answer can hold. Cells are cut into chunks and
 queries too, so that a task gets at most one chunk of each.
 """
 
@@ -113,15 +113,24 @@ def _by_bands(index: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _best(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, most: int) -> tuple:
-    """The `most` nearest rows of each query, with all ties at the end; scores do not depend on the chunk."""
+    """The `most` nearest ids of each query, each with its nearest row, with all ties at the end; scores do not depend on the chunk."""
+    order = np.argsort(ids, kind="stable")
+    ids, x = ids[order], x[order]
+    heads = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
     products = q @ x.T
-    if len(ids) > most:
-        least = np.partition(products, len(ids) - most, axis=1)[:, len(ids) - most]
+    of_ids = products if len(heads) == len(ids) else np.maximum.reduceat(products, heads, axis=1)
+    if len(heads) > most:
+        least = np.partition(of_ids, len(heads) - most, axis=1)[:, len(heads) - most]
         keep = products >= (least - 1e-9 * np.maximum(1, np.abs(least)))[:, None]
     else:
         keep = np.ones(products.shape, bool)
     rows, columns = np.nonzero(keep)
     scores = np.einsum("ij,ij->i", q[rows], x[columns])
+    order = np.lexsort((-scores, ids[columns], rows))
+    rows, columns, scores = rows[order], columns[order], scores[order]
+    if len(heads) < len(ids):
+        nearest_row = np.r_[True, (rows[1:] != rows[:-1]) | (ids[columns[1:]] != ids[columns[:-1]])]
+        rows, columns, scores = rows[nearest_row], columns[nearest_row], scores[nearest_row]
     order = np.lexsort((ids[columns], -scores, rows))
     rows, columns, scores = rows[order], columns[order], scores[order]
     rank = np.arange(len(rows)) - np.searchsorted(rows, rows)
@@ -149,10 +158,10 @@ def nearest(
         return vectors.sparkSession.createDataFrame([], schema)
     dims = shape["dims"]
 
-    # With its own row, `most` more of one vector's rows may be in an answer; ahead of the shuffle each task keeps no more.
+    # With its own id, `most` more of one vector's ids may be in an answer; ahead of the shuffle each task keeps no more.
     copies = Window.partitionBy("embedding").orderBy("vec_id")
-    same = usable.filter(F.size("embedding") == dims).withColumn("_copy", F.row_number().over(copies))
-    index = same.filter(F.col("_copy") <= most + 1).drop("_copy").distinct()
+    once = usable.filter(F.size("embedding") == dims).distinct()
+    index = once.withColumn("_copy", F.row_number().over(copies)).filter(F.col("_copy") <= most + 1).drop("_copy")
     asked = _valid(queries).filter(F.size("embedding") == dims)
     asked = stage(asked, "queries")
     distinct = asked.groupBy("embedding").agg(F.min("vec_id").alias("vec_id"))

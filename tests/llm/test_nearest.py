@@ -111,6 +111,21 @@ def test_one_long_vector_hides_no_others(spark, monkeypatch, whole):
     assert all((7 in dict(found[q])) == (7 in dict(want[q])) for q in want)
 
 
+@pytest.mark.parametrize("times", [[21] + [1] * 24, [2] * 25])
+def test_repeated_rows_of_one_vector_hide_no_ids(spark, times):
+    rows = [(i, [1.0, 2.0]) for i, n in enumerate(times, 1) for _ in range(n)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    found = results(nearest.nearest(frame, frame.filter("vec_id = 20")))
+    assert [v for v, _ in found[20]] == [*range(1, 20), 21]
+
+
+def test_an_id_with_many_vectors_hides_no_others():
+    ids = np.array([5] * 40 + [1, 2, 3, 4])
+    x = np.array([[10.0 + i] for i in range(40)] + [[1.0], [2.0], [3.0], [4.0]])
+    query, found, score = nearest._best(ids, x, np.array([9]), np.array([[1.0]]), 3)
+    assert found.tolist() == [5, 4, 3] and score.tolist() == [49.0, 4.0, 3.0] and query.tolist() == [9] * 3
+
+
 def test_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [2.0, 0.0]), (2, None), (3, [0.0, 0.0]), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, [None, 1.0]), (None, [1.0, 1.0]),
