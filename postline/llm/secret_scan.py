@@ -241,6 +241,14 @@ def base_spans(text: str) -> list[tuple[int, int, int, int]]:
     return sorted(found)
 
 
+def _covered(start: int, end: int, spans: list[tuple[int, int, int, int]]) -> bool:
+    """Whether what the patterns match covers the whole of a span."""
+    for first, kind, last, _ in sorted(spans):
+        if kind < 3 and first <= start < last:
+            start = last
+    return start >= end
+
+
 class Scanner:
     """Finds the spans of many texts: per text, (start, number of the kind, end, start of the value), in order."""
 
@@ -255,7 +263,7 @@ class Scanner:
             for start, end in _spans(self.field.tags(tokens), tokens):
                 i = int(np.searchsorted(offsets, start, "right")) - 1
                 start, end, spans = start - int(offsets[i]), end - int(offsets[i]), found[first + i]
-                if not any(s < end and start < e for s, kind, e, _ in spans if kind < 3):
+                if not _covered(start, end, spans):
                     spans.append((start, 3, end, start))
         return [sorted(spans) for spans in found]
 
@@ -279,6 +287,7 @@ def _secret(rng: random.Random) -> str:
             lambda: "eyJh" + some(letters, 16, 40) + "." + some(mixed, 20, 60) + "." + some(letters, 20, 43),
             lambda: "AKIA" + some(string.ascii_uppercase + string.digits, 16, 16),
             lambda: some(string.ascii_letters, 3, 8) + rng.choice("!$#@%&*") + some(letters, 4, 10),
+            lambda: some(letters, 10, 24) + rng.choice("!$#@%&*") + some(letters, 4, 16),
         ]
     )()
 
@@ -325,13 +334,18 @@ def _look_alike(rng: random.Random) -> str:
     )()
 
 
+#: What follows an assigned value behind a sign that the pattern stops at, as part of the value.
+BEYOND = re.compile(r"(?:[!$#@%&*^~?]+[A-Za-z0-9+/_.=-]+)*", re.ASCII)
+
+
 def training_lines(texts: list[str]) -> list[tuple[str, list[tuple[int, int]]]]:
     """Lines with the places of the secrets in them, at most TRAINING_LINES."""
     rng = random.Random(SEED)
     lines = [" ".join(line.split()[:LINE_TOKENS]) for text in texts for line in text.split("\n") if line.strip()]
     rng.shuffle(lines)
     lines = lines[: TRAINING_LINES // 3] or ["of the and to in is"]
-    made = [(line, [(v, e) for _, _, e, v in base_spans(line)]) for line in lines]
+    told = lambda line: [(v, e if k else BEYOND.match(line, e).end(), k) for _, k, e, v in base_spans(line)]
+    made = [(line, [span[:2] for span in told(line)]) for line in lines]
     while len(made) < TRAINING_LINES:
         words = rng.choice(lines).split()[: LINE_TOKENS // 2]
         at = rng.randint(0, len(words))
@@ -340,7 +354,7 @@ def training_lines(texts: list[str]) -> list[tuple[str, list[tuple[int, int]]]]:
         else:
             phrase, value = _look_alike(rng), ""
         line = " ".join([*words[:at], phrase, *words[at:]])
-        spans = [(v, e) for _, k, e, v in base_spans(line) if k < 2 or not value]
+        spans = [(v, e) for v, e, k in told(line) if k < 2 or not value]
         if value:
             place = line.index(value, len(" ".join(words[:at])))
             spans = [s for s in spans if s[1] <= place or s[0] >= place + len(value)] + [(place, place + len(value))]
@@ -437,9 +451,9 @@ def scan(docs: DataFrame, field: Field, keep: list[str]) -> DataFrame:
     """The kept columns, the count of each base kind, `base_sha256`, and `spans` of every whole text.
 
     Places are code points, ends exclusive. NULL and empty texts have no spans,
-    and the checksum of an empty text. Spans that the field adds are those that
-    overlap no base span. Repeated rows are all returned; an empty table gives
-    no rows.
+    and the checksum of an empty text. The field adds its spans but those that base
+    spans cover wholly, so spans may overlap. Repeated rows are all returned;
+    an empty table gives no rows.
     """
 
     def start():

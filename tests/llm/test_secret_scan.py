@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from postline.llm import secret_scan
 from tests.llm.conftest import SF
 
@@ -136,3 +137,23 @@ def test_redaction(make, field):
     assert {r.spans for r in scanned if r.doc_id in (2, 3, 4)} == {""}
     assert secret_scan.scan(docs.limit(0), field, ["doc_id"]).count() == 0
     assert secret_scan.fit(docs.limit(0)).tables
+
+
+@pytest.mark.parametrize("value", ["Abcdefghijkl!mnop9qrst", "Zk9vQ2mXw7LpR4tB#uN8cYs1D"])
+def test_spans_that_reach_beyond_a_pattern_stay(spark, make, field, value):
+    text = f'the settings hold password="{value}" and more'
+    (spans,) = secret_scan.Scanner(field)([text])
+    at = text.index(value)
+    assert set(secret_scan.base_spans(text)) < set(spans)
+    assert max(e for _, _, e, _ in spans) == at + len(value)
+    docs = make((1, text), (2, "no secret here"))
+    for made in (secret_scan.redact(docs, field), corpus_pipeline.mask_secrets(spark, docs, SF)):
+        assert {r.doc_id: r.text for r in made.collect()} == {
+            1: f'the settings hold password="{secret_scan.MASK}" and more', 2: "no secret here"
+        }
+
+
+def test_only_what_patterns_cover_wholly_goes():
+    spans = [(2, 0, 6, 3), (6, 2, 9, 6), (20, 3, 30, 20)]
+    got = [secret_scan._covered(*span, spans) for span in [(2, 9), (3, 8), (1, 9), (2, 10), (7, 12), (21, 25)]]
+    assert got == [True, True, False, False, False, False]
