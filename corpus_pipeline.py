@@ -20,10 +20,18 @@ LANGUAGE_SCORE = 0.3
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised; a missing `lang` is filled with it."""
+    """Documents whose language is recognised; a missing `lang` is filled with it.
+
+    Where no labelled document is there to learn from (all without `lang` or
+    doc_id, or in fold 0), no language can be told: all documents with letters
+    stay, with `lang` as it is.
+    """
+    network = language.fit(docs)
+    if network is None:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
     own = {name: unused(docs, f"_{name}") for name in ("lang_pred", "score")}
     renamed = docs.withColumnsRenamed(own)
-    judged = language.identify(renamed, language.fit(docs), renamed.columns)
+    judged = language.identify(renamed, network, renamed.columns)
     known = judged.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LANGUAGE_SCORE))
     filled = known.withColumn("lang", F.coalesce("lang", "lang_pred")).drop(*own)
     return filled.withColumnsRenamed({there: name for name, there in own.items()}).select(*docs.columns)

@@ -74,6 +74,12 @@ def test_odd_rows(spark, make):
     assert sorted(r.doc_id for r in docs.collect()) == [4, 5]
 
 
+@pytest.mark.parametrize("rows", [[(1, "clean words", None), (2, "12", None), (3, None, None)], [(None, "clean words", "xx"), (None, "", "xx")]])
+def test_documents_stay_where_no_language_can_be_learned(spark, make, rows):
+    kept = corpus_pipeline.keep_known_languages(spark, make(*rows), SF).collect()
+    assert [(r.doc_id, r.text, r.lang) for r in kept] == rows[:1]
+
+
 def test_registered():
     names = [f"op{n}_" for n in range(1, 11)]
     found = [k for k in __spark_entry__.queries() if k.startswith("op")]
