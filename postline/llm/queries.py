@@ -7,14 +7,17 @@ from pyspark.sql import functions as F
 
 from postline.llm import (
     decontaminate,
+    filter_audit,
     html_text,
     language,
     license_scan,
     near_dedup,
     nearest,
+    packing,
     pieces,
     secret_scan,
     sharding,
+    spelling,
     url_filter,
     url_sql,
 )
@@ -22,6 +25,8 @@ from postline.llm import (
 SHARDS = 40
 # The model file of the tokenizer, on the driver.
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
+# The file of the tokenizer that documents are packed by, on the driver.
+TOKENIZER_FILE = "/opt/tokenizers/byte_bpe_50k.json"
 QUERY_STEP = 20
 RULES = (
     url_filter.Rule("allow", "org", "/"),
@@ -96,6 +101,19 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out, "lang_pred", "score")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.word_counts(table(spark, sf_dir, "documents"), least=5, times=3, drop=97)
+    return spelling.variants(words, ratio=2)
+
+
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER_FILE, capacity=2048)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -109,11 +127,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_sentencepiece,
         op9_nearest_neighbours,
         op10_language_id,
+        op11_filter_audit,
+        op12_spelling_variants,
+        op13_best_fit_packing,
     )
 }
 # The others cannot be expressed in SQL; tests/llm holds each against a brute-force form.
 NUMBER = f"regexp_extract({url_sql.PATH}, '/([0-9]{{1,18}})(?:[.]html)?/?$', 1)"
 SQL: dict[str, str] = {
+    "op11_filter_audit": filter_audit.AUDIT_SQL,
     "op5_url_filter": url_sql.judged_pages(
         RULES,
         f"""SELECT url, bad FROM (SELECT url, CASE WHEN {NUMBER} <> '' THEN CAST({NUMBER} AS BIGINT) END AS doc_id FROM pages)

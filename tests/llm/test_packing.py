@@ -1,0 +1,161 @@
+import random
+import zlib
+from collections import Counter, defaultdict
+from itertools import combinations
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from postline.llm import packing
+from postline.llm.queries import TOKENIZER_FILE
+from tests.llm.conftest import SF
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def fewest(lengths, capacity):
+    """The least number of sequences, by trying all: bit masks of pieces, (sequences, fill of the last)."""
+    n = len(lengths)
+    best = [(n + 1, 0)] * (1 << n)
+    best[0] = (0, capacity)
+    for mask in range(1 << n):
+        used, fill = best[mask]
+        for i in range(n):
+            if not mask >> i & 1:
+                after = (used, fill + lengths[i]) if fill + lengths[i] <= capacity else (used + 1, lengths[i])
+                best[mask | 1 << i] = min(best[mask | 1 << i], after)
+    return best[-1][0]
+
+
+def flat(runs):
+    return [held for many, held in runs for _ in range(many)]
+
+
+def brute_dominating(length, others, capacity):
+    """Whether a set of at most two partners dominates every other set that fits beside the length."""
+    room = capacity - length
+    feasible = [s for k in range(len(others) + 1) for s in combinations(others, k) if sum(s) <= room]
+
+    def holds(by, what):
+        """The pieces of `what` can be dealt to those of `by` so that none holds more than itself."""
+        def deal(rooms, rest):
+            if not rest:
+                return True
+            return any(
+                deal([*rooms[:i], r - rest[0], *rooms[i + 1 :]], rest[1:]) for i, r in enumerate(rooms) if r >= rest[0]
+            )
+        return deal(list(by), sorted(what, reverse=True))
+
+    return lambda by: all(holds(by, what) for what in feasible)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(1, 20), min_size=1, max_size=8), st.integers(20, 24))
+def test_what_is_fixed_dominates_all_other_sets(lengths, capacity):
+    length = max(lengths)
+    others = list(lengths)
+    others.remove(length)
+    chosen = packing.dominating(length, packing.Counts(Counter(others)), capacity)
+    if chosen is not None:
+        assert not Counter(chosen) - Counter(others)
+        assert brute_dominating(length, others, capacity)(chosen)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(1, 30), min_size=1, max_size=10), st.integers(30, 40))
+def test_reduction_keeps_an_optimal_packing(lengths, capacity):
+    fixed, rest = packing.reduce_instance(dict(Counter(lengths)), capacity)
+    fixed = flat(fixed)
+    left = [length for length, n in rest.items() for _ in range(n)]
+    assert Counter(x for held in fixed for x in held) + Counter(left) == Counter(lengths)
+    assert all(sum(held) <= capacity for held in fixed)
+    assert len(fixed) + fewest(left, capacity) == fewest(lengths, capacity)
+
+
+def plain_best_fit(lengths, capacity):
+    rooms = []
+    for length in sorted(lengths, reverse=True):
+        fitting = [i for i, room in enumerate(rooms) if room >= length]
+        if fitting:
+            rooms[min(fitting, key=lambda i: rooms[i])] -= length
+        else:
+            rooms.append(capacity - length)
+    return sorted(rooms)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(1, 40), max_size=60), st.integers(40, 60))
+def test_best_fit_of_counts_is_that_of_single_pieces(lengths, capacity):
+    held = flat(packing.best_fit(dict(Counter(lengths)), capacity))
+    assert Counter(x for s in held for x in s) == Counter(lengths)
+    assert sorted(capacity - sum(s) for s in held) == plain_best_fit(lengths, capacity)
+
+
+def test_the_plan_stays_small():
+    rng = random.Random(1)
+    counts = {length: rng.randint(1, 10**9) for length in range(1, 2049)}
+    runs = packing.pack_counts(counts)
+    assert len(runs) < 5 * 2048
+    total, used = sum(k * n for k, n in counts.items()), sum(many for many, _ in runs)
+    assert sum(many * sum(held) for many, held in runs) == total and used >= -(-total // 2048)
+
+
+def test_stretches_are_encoded_as_the_whole(tokenizer):
+    rng = random.Random(2)
+    parts = ["don't", "it's", " ", "  ", "\n", "\t ", "\r\n", " ", "　", "\x1c", "\x85", "é", "中文", "12", "x1²", "!!", "<|endoftext|>", "😀", "_", "​", "́", "'s", "½"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 40))) for _ in range(3000)]
+    with open(TOKENIZER_FILE, encoding="utf-8") as file:
+        found = packing.tokenizer_encoder(file.read())(texts)
+    want = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in found] == want
+
+
+def check(rows, texts, tokenizer, capacity=2048):
+    """The rows are the pieces of the texts, each in a place of its own, without gaps."""
+    wanted = Counter()
+    for doc_id, text in texts:
+        ids = np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 0], "<u4")
+        cuts = [0, *range(len(ids) % capacity or capacity, len(ids) + 1, capacity)] if len(ids) > capacity else [0, len(ids)]
+        for piece, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            wanted[doc_id, piece, a, b - a, zlib.crc32(ids[a:b].tobytes())] += 1
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows) == wanted
+    sequences = defaultdict(list)
+    for r in rows:
+        sequences[r.sequence_id].append((r.offset, r.length))
+    for places in sequences.values():
+        ends = np.cumsum([0, *(length for _, length in sorted(places))])
+        assert [offset for offset, _ in sorted(places)] == ends[:-1].tolist() and ends[-1] <= capacity
+    return sequences
+
+
+def test_documents(spark, tokenizer):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = packing.pack(docs, TOKENIZER_FILE).collect()
+    sequences = check(rows, [(r.doc_id, r.text) for r in docs.collect()], tokenizer)
+    assert len(sequences) <= len(plain_best_fit([r.length for r in rows], 2048))
+    assert len(sequences) <= 1.01 * sum(r.length for r in rows) / 2048 + 1
+
+
+@pytest.mark.parametrize("capacity", [1, 7, 2048])
+def test_odd_rows(make, tokenizer, capacity):
+    texts = [(1, None), (2, ""), (2, ""), (2, ""), (None, None), (None, None), (3, " \n\n  x  "), (4, "word " * 3000), (4, "word " * 3000), (5, "a" * 5000), (6, "<|endoftext|> 'll"), (7, "é中😀 " * 900)]
+    docs = make(*texts)
+    for name in ("piece", "length", "_row", "_number", "sequence_id", "offset"):
+        docs = docs.selectExpr("*", f"'x' AS {name}")
+    rows = packing.pack(docs, TOKENIZER_FILE, capacity).collect()
+    check(rows, texts, tokenizer, capacity)
+    assert packing.pack(docs.limit(0), TOKENIZER_FILE).count() == 0
+
+
+def test_documents_of_exactly_whole_pieces(make, tokenizer):
+    texts = [(i, "a" + " a" * (n - 2)) for i, n in enumerate((2047, 2048, 2049, 4096, 4097))]
+    rows = packing.pack(make(*texts), TOKENIZER_FILE).collect()
+    check(rows, texts, tokenizer)
+    assert sorted((r.doc_id, r.length) for r in rows) == [(0, 2047), (1, 2048), (2, 1), (2, 2048), (3, 2048), (3, 2048), (4, 1), (4, 2048), (4, 2048)]

@@ -81,7 +81,7 @@ def test_documents_stay_where_no_language_can_be_learned(spark, make, rows):
 
 
 def test_registered():
-    names = [f"op{n}_" for n in range(1, 11)]
+    names = [f"op{n}_" for n in range(1, 14)]
     found = [k for k in __spark_entry__.queries() if k.startswith("op")]
-    assert len(found) == 10 and all(any(k.startswith(n) for k in found) for n in names)
+    assert len(found) == 13 and all(any(k.startswith(n) for k in found) for n in names)
     assert __spark_entry__.queries()["pipeline"] is corpus_pipeline.run
