@@ -11,10 +11,11 @@ from pyspark.sql import types as T
 from postline import fixed_values as fixed
 from postline import schemas
 from postline.functions import columns, dates, text
-from postline.operators import accounts, checks, incremental, layout, timeline, upsert
+from postline.operators import accounts, checks, history, incremental, layout, timeline, upsert
 from postline.plans import daily
 from postline.session import scratch_path, stage
 from postline.sources import landing, payload, processed, tables
+from postline.sources import posts as post_table
 from postline.streaming import intake
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -327,6 +328,49 @@ def _with_date(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField("date", T.DateType())])
 
 
+# States over time
+
+# Each account's state of a day: its events of that day that are no errors, by number and by kind of the last.
+STATES_SQL = """states AS (SELECT user_id, CAST(ts AS DATE) AS day, least(count(*), 2)::BIGINT AS level, arg_max(event_type, (ts, event_id)) AS kind
+                FROM events WHERE event_type <> 'error' GROUP BY ALL)"""
+
+
+def _daily_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = _table(spark, sf_dir, "events").filter(F.col("event_type") != "error")
+    days = events.groupBy("user_id", dates.day_of(F.col("ts")).alias("day"))
+    level = F.least(F.count(F.lit(1)), F.lit(2)).alias("level")
+    return days.agg(level, F.max_by("event_type", F.struct("ts", "event_id")).alias("kind"))
+
+
+@_query(
+    f"""WITH {STATES_SQL},
+    changes AS (SELECT *, lag(level) OVER w IS NULL OR level <> lag(level) OVER w OR day - lag(day) OVER w > 7 AS starts
+                FROM states WINDOW w AS (PARTITION BY user_id ORDER BY day)),
+    numbered AS (SELECT *, sum(starts::INT) OVER (PARTITION BY user_id ORDER BY day) AS island FROM changes),
+    islands AS (SELECT user_id, any_value(level) AS level, min(day) AS valid_from, max(day) AS last_day FROM numbered GROUP BY user_id, island)
+    SELECT user_id, level, valid_from,
+           CASE WHEN lead(valid_from) OVER w IS NOT NULL THEN least(lead(valid_from) OVER w, last_day + 7) END AS valid_to
+    FROM islands WINDOW w AS (PARTITION BY user_id ORDER BY valid_from)"""
+)
+def account_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From which day to which an account had a level; a state holds for a week if no other comes."""
+    return history.validity_intervals(_daily_states(spark, sf_dir), ["user_id"], "day", ["level"], max_gap=7)
+
+
+@_query(
+    f"""WITH {STATES_SQL}
+    SELECT f.event_id, f.user_id, f.ts, s.level, s.kind
+    FROM (SELECT event_id, user_id, ts, CAST(ts AS DATE) - 1 AS before FROM events WHERE event_type = 'error') f
+    ASOF LEFT JOIN states s ON f.user_id = s.user_id AND f.before >= s.day"""
+)
+def posts_with_state_of_the_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every error with the account's state at the end of the day before, or the last one before that."""
+    errors = _table(spark, sf_dir, "events").filter(F.col("event_type") == "error")
+    facts = errors.select("event_id", "user_id", "ts", F.date_sub(dates.day_of(F.col("ts")), 1).alias("before"))
+    joined = history.as_of_join(facts, _daily_states(spark, sf_dir), ["user_id"], "before", "day", ["level", "kind"])
+    return joined.drop("before")
+
+
 # Incremental processing
 
 
@@ -528,11 +572,27 @@ def warehouse_posts_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first half of the month, then the whole month with other counts: ids stay, counts change."""
     db = _new_warehouse(spark)
     posts = _event_posts(spark, sf_dir)
-    tables.load_posts(spark, posts.filter(F.col("date") < datetime.date(2024, 1, 16)), db)
-    tables.load_posts(spark, posts.withColumn("favorite_count", F.col("favorite_count") + 1), db)
+    post_table.load_posts(spark, posts.filter(F.col("date") < datetime.date(2024, 1, 16)), db)
+    post_table.load_posts(spark, posts.withColumn("favorite_count", F.col("favorite_count") + 1), db)
     return tables.scan(spark, f"{db}.{fixed.POSTS_TABLE}")
 
 
+@_query(
+    """SELECT row_number() OVER (ORDER BY CAST(ts AS DATE), CAST(user_id AS VARCHAR), event_id) AS id, event_type AS text,
+              CAST(CAST(trunc(value) AS BIGINT) AS VARCHAR) AS favorite_count, CAST(event_id AS VARCHAR) AS retweet_count,
+              CAST(ts AS DATE) AS date_creation, CAST(user_id AS VARCHAR) AS "user", event_id AS post_id, CAST(ts AS DATE) AS date
+       FROM events WHERE ts < TIMESTAMP '2024-01-16 00:00:00'"""
+)
+def posts_before_last_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table as it was before a load that changed, moved and added posts."""
+    db = _new_warehouse(spark)
+    posts = _event_posts(spark, sf_dir)
+    post_table.load_posts(spark, posts.filter(F.col("date") < datetime.date(2024, 1, 16)), db)
+    later = posts.withColumn("favorite_count", F.col("favorite_count") + 1)
+    post_table.load_posts(spark, later.withColumn("date", F.date_add("date", 1)), db)
+    return post_table.posts_after(spark, db, post_table.commits(spark, db)[-2])
+
+
 # Files
 
 
@@ -764,7 +824,7 @@ def posts_append_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
     db, posts = _new_warehouse(spark), _event_posts(spark, sf_dir)
     half = F.col("date") < datetime.date(2024, 1, 16)
     for batch in (posts.filter(half), posts.filter(~half)):
-        tables.append_posts(spark, batch, db)
+        post_table.append_posts(spark, batch, db)
     return tables.scan(spark, f"{db}.{fixed.POSTS_TABLE}")
 
 

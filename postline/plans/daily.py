@@ -16,6 +16,7 @@ from postline.operators.posts import transform_posts
 from postline.operators.timeline import latest_per_key, timeline_top_n
 from postline.session import require_utc, sized_shuffles, stage
 from postline.sources import folders, landing, payload, processed, tables
+from postline.sources import posts as post_table
 
 # Of copies the one that was collected last stands; the rest only decides between copies of one collection.
 POST_COPIES = ["collected_at", "favorite_count", "retweet_count", "date_creation", "text"]
@@ -94,7 +95,7 @@ def transform(
     whether there are any newer posts; if not, the processed zone stays as it is.
     """
     posts = _landed(spark, root, fixed.POSTS, account)
-    marks = tables.account_marks(spark, db, posts)
+    marks = post_table.account_marks(spark, db, posts)
     opened = stage(opened_accounts(posts, "user", "date_creation", marks), "opened_accounts")
     if opened.isEmpty():
         return False
@@ -107,7 +108,7 @@ def transform(
     processed.write_processed(
         transform_accounts(accounts, activity, as_of), processed.processed_path(root, "user")
     )
-    unloaded = spark.createDataFrame([(as_of, tables.last_load(spark, db)[0])], schemas.UNLOADED)
+    unloaded = spark.createDataFrame([(as_of, post_table.last_commit(spark, db).load)], schemas.UNLOADED)
     unloaded.write.mode("overwrite").parquet(_pending(root))
     return True
 
@@ -121,7 +122,7 @@ def load(spark: SparkSession, root: str, db: str, as_of: datetime.date) -> None:
     tables.load_accounts(spark, tables.day_snapshot(spark, db, as_of), db, as_of)
     path = processed.processed_path(root, "tweet")
     posts = processed.read_processed(spark, path, schemas.PROCESSED[fixed.POSTS])
-    tables.load_posts(spark, posts, db)
+    post_table.load_posts(spark, posts, db)
     for table in (fixed.ACCOUNTS_TABLE, fixed.POSTS_TABLE):
         require_rows(tables.scan(spark, f"{db}.{table}"), table)
     folders.remove(spark, _pending(root))
@@ -129,11 +130,11 @@ def load(spark: SparkSession, root: str, db: str, as_of: datetime.date) -> None:
 
 def resume(spark: SparkSession, root: str, db: str) -> bool:
     """Complete what an earlier run has processed and not loaded; returns whether there was anything."""
-    applied = tables.complete_load(spark, db)
+    shown = post_table.show_last(spark, db)
     if not folders.exists(spark, f"{_pending(root)}/_SUCCESS"):
-        return applied
+        return shown
     unloaded = spark.read.schema(schemas.UNLOADED).parquet(_pending(root)).first()
-    if tables.last_load(spark, db)[0] > unloaded["load"]:
+    if post_table.last_commit(spark, db).load > unloaded["load"]:
         # Posts are loaded last, so all of the batch is in the tables.
         folders.remove(spark, _pending(root))
     else:

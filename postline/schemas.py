@@ -99,9 +99,13 @@ WAREHOUSE = {
         date=DAY,
     ),
 }
-# Where each post is stored: one row per post and load that placed it, in buckets of accounts.
-POST_KEYS = _struct(user=TEXT, post_id=WHOLE, id=WHOLE, date=DAY, bucket=T.IntegerType(), load=WHOLE)
-# The loads of posts, with the greatest id after each.
-POST_LOADS = _struct(last_id=WHOLE, load=WHOLE)
+# The folders of posts: as in the warehouse, in folders of loads and dates.
+POST_VERSIONS = T.StructType([*WAREHOUSE[fixed.POSTS_TABLE].fields[:-1], *_struct(load=WHOLE, date=DAY).fields])
+# Where each post is stored: one row per post and load that placed it, until runs are merged.
+POST_KEYS = _struct(
+    user=TEXT, post_id=WHOLE, id=WHOLE, date=DAY, load=WHOLE, run=WHOLE, bucket=T.IntegerType()
+)
+# A commit: folders of posts (number is the load), runs of keys, both as they are and as they are given up; the last id.
+POST_COMMIT = _struct(kind=TEXT, number=WHOLE, date=DAY, level=T.IntegerType(), buckets=T.IntegerType())
 POST_KEY = ["user", "post_id"]
 ACCOUNT_KEY = ["user"]

@@ -25,3 +25,9 @@ def size_of(spark: SparkSession, glob: str) -> int:
     there, store = _at(spark, glob)
     found = store.globStatus(there) or []
     return sum(store.getContentSummary(one.getPath()).getLength() for one in found)
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """What lies in the folder, by name; nothing if it is not there."""
+    there, store = _at(spark, path)
+    return [one.getPath().getName() for one in store.listStatus(there)] if store.exists(there) else []

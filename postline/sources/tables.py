@@ -1,8 +1,6 @@
 """Warehouse tables: creation, append by name, snapshots, upserts, scans.
 
-    <db>.tweets           one row per post, in date folders
-    <db>.post_keys        where each post is: account, post id, id, date, in folders of accounts and loads
-    <db>.post_loads       one row per load of posts: the greatest id after it
+    <db>.tweets           a view: one row per post (see `posts`)
     <db>.user_snapshots   one row per account and day, in date folders
     <db>.users            a view: one row per account, its latest state
 
@@ -10,35 +8,23 @@ The latest states are a table of their own, `user_states`, in which each run
 writes a whole new state folder (`as_of`) from the last older one, and then
 turns the view to it. So a run never overwrites what it reads, and a repeated
 run replaces its own folder only.
-
-A load of posts is first stored whole beside the tables, as pending: all rows
-of the folders that it changes, their keys, and last, as the mark that it is
-complete, its number and greatest id. It is then applied by replacing folders,
-which can be repeated; a load that breaks off there is completed by the next.
 """
 
 import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postline import fixed_values as fixed
 from postline import schemas
-from postline.functions.columns import warehouse_types
-from postline.operators.layout import sort_key_layout, surrogate_id
+from postline.operators.layout import sort_key_layout
 from postline.operators.timeline import latest_per_key
 from postline.operators.upsert import replace_keys, require_keys, without_keys
-from postline.session import require_utc, stage
-from postline.sources import folders
+from postline.session import stage
+from postline.sources import posts
 from postline.sources.processed import by_date
 
-KEYS_TABLE = "post_keys"
-LOADS_TABLE = "post_loads"
-# Folders of accounts in the table of keys. A load reads those of its accounts only.
-BUCKETS = 64
-# Fixed value: the folder of NULL.
-UNKNOWN_DATE = "__HIVE_DEFAULT_PARTITION__"
 SNAPSHOTS_TABLE = "user_snapshots"
 STATES_TABLE = "user_states"
 DYNAMIC = "partitionOverwriteMode"
@@ -74,15 +60,15 @@ def create_tables(spark: SparkSession, db: str, location: str) -> None:
     states = T.StructType([*accounts.fields, T.StructField("as_of", T.DateType())])
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{root}'")
     for name, schema, partition_by in (
-        (fixed.POSTS_TABLE, schemas.WAREHOUSE[fixed.POSTS_TABLE], ["date"]),
-        (KEYS_TABLE, schemas.POST_KEYS, ["bucket", "load"]),
-        (LOADS_TABLE, schemas.POST_LOADS, ["load"]),
+        (posts.VERSIONS_TABLE, schemas.POST_VERSIONS, ["load", "date"]),
+        (posts.KEYS_TABLE, schemas.POST_KEYS, ["run", "bucket"]),
         (SNAPSHOTS_TABLE, accounts, ["date"]),
         (STATES_TABLE, states, ["as_of"]),
     ):
         create_table(spark, f"{db}.{name}", schema, f"{root}/{name}", partition_by)
     if not spark.catalog.tableExists(f"{db}.{fixed.ACCOUNTS_TABLE}"):
         _show_state(spark, db, _last_state(spark, db))
+    posts.show_last(spark, db)
 
 
 def _last_state(spark: SparkSession, db: str) -> datetime.date | None:
@@ -109,10 +95,10 @@ def append_by_name(df: DataFrame, table: str) -> None:
     """Append to a table, matching columns by name; a column the frame lacks becomes NULL.
 
     `insertInto` would match by position and take swapped columns of one type
-    without complaint. Posts need ids, which `append_posts` gives them.
+    without complaint. Posts need ids, and folders of their load.
     """
-    if "id" not in df.columns and table.split(".")[-1] == fixed.POSTS_TABLE:
-        raise ValueError("posts get their ids from append_posts")
+    if table.split(".")[-1] == fixed.POSTS_TABLE:
+        raise ValueError("posts are added by append_posts")
     _in_table_order(df, table).write.mode("append").insertInto(table)
 
 
@@ -215,134 +201,3 @@ def load_accounts(
     _overwrite_partitions(sort_key_layout(_in_table_order(state, table), keys), table)
     _show_state(spark, db, as_of)
 
-
-# Posts
-
-
-def _bucket() -> Column:
-    return F.pmod(F.xxhash64("user"), F.lit(BUCKETS)).cast("int")
-
-
-def _keys_of(spark: SparkSession, db: str, accounts: DataFrame) -> DataFrame:
-    """The rows of the table of keys in the folders of the accounts."""
-    touched = accounts.select(_bucket().alias("bucket")).agg(F.collect_set("bucket")).first()[0]
-    return spark.table(f"{db}.{KEYS_TABLE}").filter(F.col("bucket").isin(touched) if touched else F.lit(False))
-
-
-def known_posts(spark: SparkSession, db: str, batch: DataFrame) -> DataFrame:
-    """user, post_id, id and date of the batch's posts that are loaded; the latest load says where a post is."""
-    keys = schemas.POST_KEY
-    found = _keys_of(spark, db, batch).join(batch.select(*keys).distinct(), keys, "left_semi")
-    latest = found.groupBy(*keys).agg(F.max_by(F.struct("id", "date"), "load").alias("_at"))
-    return latest.select(*keys, "_at.id", "_at.date")
-
-
-def account_marks(spark: SparkSession, db: str, accounts: DataFrame) -> DataFrame:
-    """user and mark: the newest date of the accounts' loaded posts. Reads keys, not posts."""
-    found = _keys_of(spark, db, accounts).join(accounts.select("user").distinct(), "user", "left_semi")
-    latest = found.groupBy("user", "id").agg(F.max_by("date", "load").alias("date"))
-    return latest.groupBy("user").agg(F.max("date").alias("mark"))
-
-
-def _pending(spark: SparkSession, db: str) -> str:
-    return spark.catalog.getDatabase(db).locationUri.rstrip("/") + "/_pending_posts"
-
-
-def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).parquet(path)
-
-
-def last_load(spark: SparkSession, db: str) -> tuple[int, int]:
-    """Number and greatest id of the last load; tables made elsewhere may have ids and no loads."""
-    last = spark.table(f"{db}.{LOADS_TABLE}").agg(F.max(F.struct("load", "last_id")).alias("last")).first().last
-    if last:
-        return last.load, last.last_id
-    return 0, spark.table(f"{db}.{fixed.POSTS_TABLE}").agg(F.max("id")).first()[0] or 0
-
-
-def complete_load(spark: SparkSession, db: str) -> bool:
-    """Apply the pending load, if one is stored whole; returns whether there was one. May be repeated."""
-    pending = _pending(spark, db)
-    if not folders.exists(spark, f"{pending}/loads/_SUCCESS"):
-        return False
-    table = f"{db}.{fixed.POSTS_TABLE}"
-    posts = _stored(spark, f"{pending}/posts", schemas.WAREHOUSE[fixed.POSTS_TABLE])
-    # Stored in folders and order of the table already: copied file by file.
-    _overwrite_partitions(_in_table_order(posts, table), table)
-    touched = _stored(spark, f"{pending}/touched", schemas.DATED)
-    left = posts.select(F.col("date").alias("_date")).distinct()
-    gone = touched.join(left, F.col("date").eqNullSafe(F.col("_date")), "left_anti")
-    root = spark.catalog.getDatabase(db).locationUri.rstrip("/")
-    for day in _dates_of(gone):
-        # A folder that all posts have left: what replaces folders by their rows cannot empty it.
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (date = {f"DATE '{day}'" if day else 'NULL'})")
-        folders.remove(spark, f"{root}/{fixed.POSTS_TABLE}/date={day or UNKNOWN_DATE}")
-    for name, schema in ((KEYS_TABLE, schemas.POST_KEYS), (LOADS_TABLE, schemas.POST_LOADS)):
-        rows = _stored(spark, f"{pending}/{'keys' if name == KEYS_TABLE else 'loads'}", schema)
-        _overwrite_partitions(_in_table_order(rows, f"{db}.{name}"), f"{db}.{name}")
-    folders.remove(spark, pending)
-    return True
-
-
-def load_posts(spark: SparkSession, posts: DataFrame, db: str) -> None:
-    """Upsert the posts; a known post keeps its id, a new one gets the next.
-
-    Posts are known by account and post id, whatever date they are stored
-    under: one that has moved leaves its old folder. Posts without post id are
-    added, each with the next id. Only the folders that posts come to or leave
-    are read and rewritten, not the table. Ids are numbered on narrow columns;
-    whole posts are shuffled to meet their ids, and once more by date.
-    """
-    require_utc(spark)
-    complete_load(spark, db)
-    table, keys = f"{db}.{fixed.POSTS_TABLE}", schemas.POST_KEY
-    load, last_id = last_load(spark, db)
-    carried = [name for name in ("collected_at",) if name in posts.columns]
-    # Without the time of the collection, the copy with the greater counts is taken for the later one.
-    newest = [*carried, "favorite_count", "retweet_count", "date_creation", "text", "date"]
-    named = posts.filter(F.col("post_id").isNotNull())
-    batch = stage(latest_per_key(require_keys(named, ["user"]), keys, newest), "post_batch")
-    narrow = batch.select(*keys, "date")
-    known = stage(known_posts(spark, db, narrow), "known_posts")
-    fresh = stage(
-        surrogate_id(without_keys(narrow, known, keys), ["date", *keys], start=last_id + 1).select(*keys, "id"),
-        "fresh_ids",
-    )
-    last_id += fresh.count()
-    unnamed = require_keys(posts.filter(F.col("post_id").isNull()), ["user"])
-    added = stage(surrogate_id(unnamed, ["date", "user", *newest[:-1]], start=last_id + 1), "posts_without_id")
-    last_id += added.count()
-
-    ids = known.select(*keys, "id").unionByName(fresh)
-    whole = batch.join(ids, keys).select(*added.columns).unionByName(added)
-    dates = _dates_of(batch, added, known)
-    kept = without_keys(_in_folders(spark.table(table), dates), batch, keys)
-    placed = known.join(narrow.withColumnRenamed("date", "_to"), keys).filter(~F.col("date").eqNullSafe(F.col("_to")))
-    moved = placed.select(*keys, "id", F.col("_to").alias("date"))
-    entries = narrow.join(fresh, keys).select(*keys, "id", "date").unionByName(moved)
-    entries = entries.unionByName(added.select(*keys, "id", "date"))
-
-    pending = _pending(spark, db)
-    folders.remove(spark, pending)
-    merged = kept.unionByName(_in_table_order(warehouse_types(whole, fixed.POSTS_TABLE), table))
-    by_day = by_date(merged).sortWithinPartitions("date", *keys)
-    by_day.write.partitionBy("date").parquet(f"{pending}/posts")
-    entries = entries.withColumns({"bucket": _bucket(), "load": F.lit(load + 1).cast("bigint")})
-    entries.hint("rebalance", F.col("bucket")).write.parquet(f"{pending}/keys")
-    spark.createDataFrame([(day,) for day in dates], schemas.DATED).write.parquet(f"{pending}/touched")
-    # Stored last: with it, the load is whole.
-    spark.createDataFrame([(last_id, load + 1)], schemas.POST_LOADS).write.parquet(f"{pending}/loads")
-    complete_load(spark, db)
-    require_loaded(spark, db, narrow)
-
-
-def append_posts(spark: SparkSession, posts: DataFrame, db: str) -> None:
-    """Add posts that have no post id, each with the next id."""
-    load_posts(spark, posts.withColumn("post_id", F.lit(None).cast("bigint")), db)
-
-
-def require_loaded(spark: SparkSession, db: str, batch: DataFrame) -> None:
-    """Fail if a post of the batch is not in the tables."""
-    lost = without_keys(batch, known_posts(spark, db, batch), schemas.POST_KEY)
-    if not lost.isEmpty():
-        raise RuntimeError("posts of the load are missing in the tables")

@@ -1,0 +1,324 @@
+import datetime as dt
+import random
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from postline.sources import folders, tables
+from postline.sources import posts as store
+from tests.plans import initial_plan, metric, run_plan, scans
+
+D = dt.date
+POSTS = "user string, post_id bigint, text string, favorite_count bigint, retweet_count bigint, date_creation timestamp_ntz, date date"
+
+
+@pytest.fixture
+def db(spark, tmp_path):
+    name = f"t_{uuid.uuid4().hex}"
+    tables.create_tables(spark, name, str(tmp_path / "w"))
+    return name
+
+
+def posts(spark, *rows):
+    """Rows of account, post id, likes, day of January (None for an unknown time)."""
+    data = [
+        (user, i, "t", likes, 0, day and dt.datetime(2024, 1, day, 9), day and D(2024, 1, day))
+        for user, i, likes, day in rows
+    ]
+    return spark.createDataFrame(data, POSTS)
+
+
+def rows_of(frame):
+    return [(r.id, r.user, r.post_id, r.favorite_count, r.date) for r in frame.orderBy("id").collect()]
+
+
+def loaded(spark, db):
+    return rows_of(spark.table(f"{db}.tweets"))
+
+
+def again(spark, tmp_path):
+    """The same folders under another name, as a new session sees them."""
+    name = f"t_{uuid.uuid4().hex}"
+    tables.create_tables(spark, name, str(tmp_path / "w"))
+    return name
+
+
+def test_tables_show_data_that_is_already_there(spark, db, tmp_path):
+    store.load_posts(spark, posts(spark, ("a", 1, 5, 1)), db)
+    assert loaded(spark, again(spark, tmp_path)) == loaded(spark, db) != []
+
+
+def test_posts_keep_ids_and_untouched_dates(spark, db):
+    store.load_posts(spark, posts(spark, ("a", 1, 5, 1), ("b", 2, 5, 2), ("c", 3, 5, None)), db)
+    first = {row[2]: row[0] for row in loaded(spark, db)}
+    assert sorted(first.values()) == [1, 2, 3]
+    store.load_posts(spark, posts(spark, ("b", 2, 6, 2), ("d", 4, 1, 2), ("e", 5, 1, 3), ("d", 4, 9, 2)), db)
+    rows = {row[2]: row for row in loaded(spark, db)}
+    assert {i: rows[i][0] for i in (1, 2, 3)} == first
+    assert sorted(row[0] for row in rows.values()) == [1, 2, 3, 4, 5]
+    assert {i: row[3] for i, row in rows.items()} == {1: "5", 2: "6", 3: "5", 4: "9", 5: "1"}
+
+
+def test_loading_posts_twice_changes_nothing(spark, db):
+    batch = posts(spark, ("a", 1, 5, 1), ("b", 2, 5, 2))
+    store.load_posts(spark, batch, db)
+    before = loaded(spark, db)
+    store.load_posts(spark, batch, db)
+    assert loaded(spark, db) == before and not store.show_last(spark, db)
+
+
+def test_an_empty_load(spark, db):
+    for rows in ((), (("a", 1, 5, 1),), ()):
+        store.load_posts(spark, posts(spark, *rows), db)
+    assert len(loaded(spark, db)) == 1 and store.commits(spark, db) == [1, 2, 3]
+
+
+MORE = [("b", 2, 6, 2), ("a", 1, 7, 3), ("d", 4, 1, 4), ("e", 5, 1, None)]
+FIRST = [(1, "a", 1, "5", D(2024, 1, 1)), (2, "b", 2, "5", D(2024, 1, 2)), (3, "c", 3, "5", D(2024, 1, 2))]
+WANT = [(1, "a", 1, "7", D(2024, 1, 3)), (2, "b", 2, "6", D(2024, 1, 2)), (3, "c", 3, "5", D(2024, 1, 2)), (4, "e", 5, "1", None), (5, "d", 4, "1", D(2024, 1, 4))]
+STEPS = ["_clear", "_write_folders", "_write_keys", "_write_commit", "_show", "expire"]
+
+
+@pytest.mark.parametrize("after", [False, True])
+@pytest.mark.parametrize("step", STEPS)
+def test_a_reader_sees_the_state_before_or_after(spark, db, tmp_path, monkeypatch, step, after):
+    """A load that breaks off at any step; who opens the table in between, and the next load."""
+    store.load_posts(spark, posts(spark, ("a", 1, 5, 1), ("b", 2, 5, 2), ("c", 3, 5, 2)), db)
+    real = getattr(store, step)
+
+    def lost(*args):
+        if after:
+            real(*args)
+        raise InterruptedError
+
+    with monkeypatch.context() as patch:
+        patch.setattr(store, step, lost)
+        with pytest.raises(InterruptedError):
+            store.load_posts(spark, posts(spark, *MORE), db)
+    committed = STEPS.index(step) > 3 or (step == "_write_commit" and after)
+    switched = STEPS.index(step) > 4 or (step == "_show" and after)
+    assert loaded(spark, db) == (WANT if switched else FIRST)
+    assert loaded(spark, again(spark, tmp_path)) == (WANT if committed else FIRST)
+    assert store.show_last(spark, db) == (committed and not switched)
+    if not committed:
+        store.load_posts(spark, posts(spark, *MORE), db)
+    store.load_posts(spark, posts(spark, ("f", 6, 1, 9)), db)
+    assert loaded(spark, db) == [*WANT, (6, "f", 6, "1", D(2024, 1, 9))]
+
+
+def test_a_load_that_broke_off_leaves_nothing_of_other_dates(spark, db, monkeypatch):
+    with monkeypatch.context() as patch:
+        patch.setattr(store, "_write_commit", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            store.load_posts(spark, posts(spark, ("a", 1, 5, 1), ("b", 2, 5, None)), db)
+    store.load_posts(spark, posts(spark, ("a", 1, 5, 3)), db)
+    assert loaded(spark, db) == [(1, "a", 1, "5", D(2024, 1, 3))]
+
+
+def test_earlier_states_can_be_read_until_they_expire(spark, db):
+    states = {}
+    for load, day in enumerate((1, 1, 2, None, 3, 3), start=1):
+        store.load_posts(spark, posts(spark, ("a", 1, load, day), ("b", 10 + load, 1, 1)), db)
+        states[load] = loaded(spark, db)
+        assert store.commits(spark, db) == list(range(max(1, load + 1 - store.KEPT), load + 1))
+        for kept in store.commits(spark, db):
+            assert rows_of(store.posts_after(spark, db, kept)) == states[kept]
+    with pytest.raises(ValueError, match="not kept"):
+        store.posts_after(spark, db, 1)
+    # Only folders that a kept commit names are left.
+    named = {(load, day) for c in store.commits(spark, db) for day, loads in store.read_commit(spark, db, c).dates.items() for load in loads}
+    root = f"{store._root(spark, db)}/{store.VERSIONS_TABLE}"
+    found = {(int(n.split("=")[1]), day) for n in folders.names(spark, root) if n.startswith("load=") for day in store._days_in(spark, f"{root}/{n}")}
+    assert found == named and len(spark.sql(f"SHOW PARTITIONS {db}.{store.VERSIONS_TABLE}").collect()) == len(named)
+
+
+def test_a_post_that_moves_to_another_date_stays_one_post(spark, db, tmp_path):
+    store.load_posts(spark, posts(spark, ("a", 1, 5, 1), ("b", 2, 5, 2)), db)
+    for day in (3, None, 2, 1):
+        store.load_posts(spark, posts(spark, ("a", 1, 6, day)), db)
+        assert loaded(spark, db) == [(1, "a", 1, "6", day and D(2024, 1, day)), (2, "b", 2, "5", D(2024, 1, 2))]
+        assert loaded(spark, again(spark, tmp_path)) == loaded(spark, db)
+
+
+def test_a_session_in_another_zone_is_refused(spark, db):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        with pytest.raises(ValueError, match="Asia/Tokyo"):
+            store.load_posts(spark, posts(spark, ("a", 1, 5, 1)), db)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def watched(spark, db, monkeypatch, *rows):
+    """The frames that a load stores, by name."""
+    staged = {}
+    real = store.stage
+
+    def keep(df, name):
+        staged[name] = df
+        return real(df, name)
+
+    monkeypatch.setattr(store, "stage", keep)
+    store.load_posts(spark, posts(spark, *rows), db)
+    monkeypatch.undo()
+    return staged
+
+
+def folders_of(spark, db):
+    return store.last_commit(spark, db).dates
+
+
+def test_new_posts_are_added_without_a_rewrite(spark, db):
+    store.append_posts(spark, posts(spark, ("a", 1, 5, 1), ("a", 2, 5, 2)), db)
+    store.append_posts(spark, posts(spark, ("b", 1, 5, 1)), db)
+    store.load_posts(spark, posts(spark, ("b", 7, 5, 1), ("b", 8, 5, None)), db)
+    assert folders_of(spark, db) == {D(2024, 1, 1): (1, 2, 3), D(2024, 1, 2): (1,), None: (3,)}
+    # A changed post has its date written anew, and no other.
+    store.load_posts(spark, posts(spark, ("b", 7, 6, 1), ("b", 9, 6, 2)), db)
+    assert folders_of(spark, db) == {D(2024, 1, 1): (4,), D(2024, 1, 2): (1, 4), None: (3,)}
+
+
+def test_a_date_of_many_folders_is_written_into_one(spark, db, monkeypatch):
+    monkeypatch.setattr(store, "MOST_FOLDERS", 3)
+    for i in range(5):
+        store.append_posts(spark, posts(spark, ("a", i, i, 1)), db)
+        assert len(folders_of(spark, db)[D(2024, 1, 1)]) <= 3
+    store.load_posts(spark, posts(spark), db)
+    assert [row[3] for row in loaded(spark, db)] == list("01234")
+
+
+def test_only_touched_folders_are_read(spark, db, monkeypatch):
+    store.load_posts(spark, posts(spark, *(("a", day, 1, day) for day in range(1, 11)), ("z", 9, 1, None)), db)
+    seen = []
+    real = store._named
+    monkeypatch.setattr(store, "_named", lambda dates: seen.append(dates) or real(dates))
+    store.load_posts(spark, posts(spark, ("a", 3, 2, 3), ("a", 4, 2, 4), ("a", 50, 1, 9)), db)
+    assert seen[0] == {D(2024, 1, 3): (1,), D(2024, 1, 4): (1,)}
+    found = scans(run_plan(spark.table(f"{db}.{store.VERSIONS_TABLE}").filter(real(seen[0]))))
+    assert [metric(s, "numPartitions") for s in found] == [2]
+    shown = scans(run_plan(spark.table(f"{db}.tweets").filter("date = DATE '2024-01-03'")))
+    assert [metric(s, "numPartitions") for s in shown] == [1]
+
+
+def test_marks_read_keys_only(spark, db):
+    store.load_posts(spark, posts(spark, ("a", 1, 5, 1), ("a", 2, 5, 4), ("b", 3, 5, 2), ("c", 4, 5, 9)), db)
+    store.load_posts(spark, posts(spark, ("a", 2, 5, 3)), db)
+    marks = store.account_marks(spark, db, spark.createDataFrame([("a",), ("b",), ("x",)], "user string"))
+    assert sorted(map(tuple, marks.collect())) == [("a", D(2024, 1, 3)), ("b", D(2024, 1, 2))]
+    assert all(".post_keys" in s.toString() for s in scans(run_plan(marks)))
+
+
+def test_numbering_does_not_move_the_texts(spark, db, monkeypatch):
+    store.load_posts(spark, posts(spark, ("a", 1, 5, 1)), db)
+    staged = watched(spark, db, monkeypatch, ("a", 1, 5, 1), ("b", 2, 5, 2))
+    for name in ("known_posts", "placed_posts"):
+        assert "text#" not in initial_plan(staged[name])
+
+
+def test_ids_are_not_taken_from_the_number_of_rows(spark, db):
+    store.append_posts(spark, posts(spark, ("a", 1, 5, 1), ("a", 2, 5, 1)), db)
+    store.append_posts(spark, posts(spark, ("a", 1, 5, 1)), db)
+    store.load_posts(spark, posts(spark, ("a", 7, 5, 1)), db)
+    assert [(row[0], row[2]) for row in loaded(spark, db)] == [(1, None), (2, None), (3, None), (4, 7)]
+
+
+def test_posts_without_post_id_are_added_and_never_merged(spark, db):
+    batch = posts(spark, ("a", None, 5, 1), ("a", None, 5, 1), ("a", 3, 5, 1), ("a", 3, 6, 1))
+    store.load_posts(spark, batch, db)
+    store.load_posts(spark, posts(spark, ("a", None, 5, 1), ("a", 3, 9, 2)), db)
+    assert [(row[0], row[2], row[3]) for row in loaded(spark, db)] == [
+        (1, 3, "9"), (2, None, "5"), (3, None, "5"), (4, None, "5")
+    ]
+
+
+def test_the_last_collection_stands(spark, db):
+    batch = posts(spark, ("a", 1, 100, 1), ("a", 1, 90, 1))
+    batch = batch.withColumn("collected_at", F.when(F.col("favorite_count") == 90, F.lit("2024-01-02")).otherwise(F.lit("2024-01-01")).cast("timestamp"))
+    store.load_posts(spark, batch, db)
+    assert loaded(spark, db)[0][3] == "90"
+
+
+def test_null_account_fails_the_load(spark, db):
+    for row in ((None, 1, 5, 1), (None, None, 5, 1)):
+        with pytest.raises(Exception, match="NULL in key column user"):
+            store.load_posts(spark, posts(spark, row), db)
+
+
+def test_rows_that_do_not_add_up_fail_the_load(spark, db, monkeypatch):
+    """A post that the keys name and the folders do not have."""
+    store.load_posts(spark, posts(spark, ("a", 1, 5, 1), ("a", 2, 5, 1)), db)
+    before = loaded(spark, db)
+    real = store.known_posts
+    wrong = lambda *args: real(*args).withColumn("id", F.col("id") + 70)
+    monkeypatch.setattr(store, "known_posts", wrong)
+    with pytest.raises(RuntimeError, match="do not match"):
+        store.load_posts(spark, posts(spark, ("a", 2, 6, 1)), db)
+    assert loaded(spark, db) == before
+
+
+# Runs of keys
+
+
+def test_runs_grow_with_the_logarithm_of_the_loads():
+    runs, written, most = (), 0, 0
+    for load in range(1, 1001):
+        new = store.Run(load, 0, 1)
+        merged = store.to_merge((*runs, new))
+        level = max(run.level for run in merged) + 1 if merged else 0
+        written += 1 + sum(store.FANOUT**run.level for run in merged if run.number != load)
+        runs = (*(run for run in runs if run not in merged), store.Run(load, level, 1))
+        most = max(most, len(runs))
+    assert most <= (store.FANOUT - 1) * 5 and written <= 1000 * 6
+    assert sum(store.FANOUT**run.level for run in runs) == 1000
+
+
+def test_buckets_grow_with_the_keys():
+    assert [store.buckets_for(n) for n in (0, 1, 1 << 20, (1 << 20) + 1, 5 << 20, 1 << 50)] == [1, 1, 1, 2, 8, 4096]
+
+
+@pytest.fixture
+def many_loads(spark, db, monkeypatch):
+    """Loads with changes, moves and new posts, and where every post should be after them."""
+    monkeypatch.setattr(store, "FANOUT", 2)
+    monkeypatch.setattr(store, "BUCKET_KEYS", 3)
+    rng, places = random.Random(1), {}
+    for _ in range(7):
+        batch = {(rng.choice("abcd"), rng.randrange(12)): rng.choice([None, 1, 2, 3]) for _ in range(5)}
+        places |= batch
+        store.load_posts(spark, posts(spark, *((u, i, 1, day) for (u, i), day in batch.items())), db)
+    return {key: day and D(2024, 1, day) for key, day in places.items()}
+
+
+def test_merged_runs_answer_like_the_loads(spark, db, many_loads):
+    runs = store.last_commit(spark, db).runs
+    assert [run.level for run in runs] == [2, 1, 0] and max(run.buckets for run in runs) > 2
+    assert {(r[1], r[2]): r[4] for r in loaded(spark, db)} == many_loads
+    asked = posts(spark, *((u, i, 1, 1) for u in "abcx" for i in range(12)))
+    found = store.known_posts(spark, db, asked).collect()
+    ids = {(r[1], r[2]): r[0] for r in loaded(spark, db)}
+    want = {key: (ids[key], day) for key, day in many_loads.items() if key[0] != "d"}
+    assert {(r.user, r.post_id): (r.id, r.date) for r in found} == want and len(found) == len(want)
+
+
+def test_a_lookup_opens_a_bucket_of_each_run(spark, db, many_loads):
+    commit = store.last_commit(spark, db)
+    found = scans(run_plan(store.known_posts(spark, db, posts(spark, ("a", 1, 1, 1)))))
+    opened = [metric(s, "numPartitions") for s in found if ".post_keys" in s.toString()]
+    assert opened and all(n <= len(commit.runs) for n in opened)
+
+
+def test_a_merge_that_breaks_off_leaves_the_runs(spark, db, monkeypatch):
+    monkeypatch.setattr(store, "FANOUT", 2)
+    store.load_posts(spark, posts(spark, ("a", 1, 1, 1), ("b", 2, 1, 1)), db)
+    before = store.last_commit(spark, db)
+    with monkeypatch.context() as patch:
+        patch.setattr(store, "_write_commit", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            store.load_posts(spark, posts(spark, ("a", 1, 1, 2)), db)
+    assert store.last_commit(spark, db) == before
+    asked = posts(spark, ("a", 1, 1, 1), ("b", 2, 1, 1))
+    assert sorted((r.post_id, r.date) for r in store.known_posts(spark, db, asked).collect()) == [(1, D(2024, 1, 1)), (2, D(2024, 1, 1))]
+    store.load_posts(spark, posts(spark, ("a", 1, 1, 3)), db)
+    assert [run.level for run in store.last_commit(spark, db).runs] == [1]
+    assert sorted((r.post_id, r.date) for r in store.known_posts(spark, db, asked).collect()) == [(1, D(2024, 1, 3)), (2, D(2024, 1, 1))]

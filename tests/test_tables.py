@@ -8,7 +8,6 @@ from postline.sources import tables
 from tests.plans import initial_plan, metric, run_plan, scans
 
 D = dt.date
-POSTS = "user string, post_id bigint, text string, favorite_count bigint, retweet_count bigint, date_creation timestamp_ntz, date date"
 
 
 @pytest.fixture
@@ -18,20 +17,6 @@ def db(spark, tmp_path):
     return name
 
 
-def posts(spark, *rows):
-    """Rows of account, post id, likes, day of January (None for an unknown time)."""
-    data = [
-        (user, i, "t", likes, 0, day and dt.datetime(2024, 1, day, 9), day and D(2024, 1, day))
-        for user, i, likes, day in rows
-    ]
-    return spark.createDataFrame(data, POSTS)
-
-
-def loaded(spark, db):
-    rows = spark.table(f"{db}.tweets").orderBy("id")
-    return [(r.id, r.user, r.post_id, r.favorite_count, r.date) for r in rows.collect()]
-
-
 def test_create_twice_and_schemas(spark, db, tmp_path):
     tables.create_tables(spark, db, str(tmp_path / "w"))
     kinds = dict(spark.table(f"{db}.tweets").dtypes)
@@ -41,13 +26,6 @@ def test_create_twice_and_schemas(spark, db, tmp_path):
     ]
 
 
-def test_tables_show_data_that_is_already_there(spark, db, tmp_path):
-    tables.load_posts(spark, posts(spark, ("a", 1, 5, 1)), db)
-    again = f"t_{uuid.uuid4().hex}"
-    tables.create_tables(spark, again, str(tmp_path / "w"))
-    assert loaded(spark, again) == loaded(spark, db) != []
-
-
 def test_append_matches_by_name_and_refuses_unknown_columns(spark, db):
     row = spark.createDataFrame([(7, 8, "ann", D(2024, 1, 1))], "followers int, following int, user string, date date")
     table = f"{db}.{tables.SNAPSHOTS_TABLE}"
@@ -57,211 +35,8 @@ def test_append_matches_by_name_and_refuses_unknown_columns(spark, db):
     assert [(r.user, r.followers, r.following, r.description) for r in got] == [("ann", "7", "8", None)] * 2
     with pytest.raises(ValueError, match="no column extra"):
         tables.append_by_name(row.withColumn("extra", F.lit(1)), table)
-
-
-def test_posts_keep_ids_and_untouched_dates(spark, db):
-    tables.load_posts(spark, posts(spark, ("a", 1, 5, 1), ("b", 2, 5, 2), ("c", 3, 5, None)), db)
-    first = {row[2]: row[0] for row in loaded(spark, db)}
-    assert sorted(first.values()) == [1, 2, 3]
-    tables.load_posts(spark, posts(spark, ("b", 2, 6, 2), ("d", 4, 1, 2), ("e", 5, 1, 3), ("d", 4, 9, 2)), db)
-    rows = {row[2]: row for row in loaded(spark, db)}
-    assert {i: rows[i][0] for i in (1, 2, 3)} == first
-    assert sorted(row[0] for row in rows.values()) == [1, 2, 3, 4, 5]
-    assert {i: row[3] for i, row in rows.items()} == {1: "5", 2: "6", 3: "5", 4: "9", 5: "1"}
-
-
-def test_loading_posts_twice_changes_nothing(spark, db):
-    batch = posts(spark, ("a", 1, 5, 1), ("b", 2, 5, 2))
-    tables.load_posts(spark, batch, db)
-    before = loaded(spark, db)
-    tables.load_posts(spark, batch, db)
-    assert loaded(spark, db) == before
-    assert not tables.complete_load(spark, db)
-
-
-@pytest.fixture
-def lost(monkeypatch):
-    """Breaks off a load at the n-th call of a step of it."""
-
-    class Lost(Exception):
-        pass
-
-    def at(name, call, place=tables, after=False):
-        real, calls = getattr(place, name), []
-
-        def fail(*args):
-            calls.append(args)
-            if len(calls) == call:
-                if after:
-                    real(*args)
-                raise Lost
-            return real(*args)
-
-        monkeypatch.setattr(place, name, fail)
-        return Lost
-
-    yield at
-
-
-MORE = [("b", 2, 6, 2), ("a", 1, 7, 3), ("d", 4, 1, 4), ("e", 5, 1, None)]
-WANT = [(1, "a", 1, "7", D(2024, 1, 3)), (2, "b", 2, "6", D(2024, 1, 2)), (3, "c", 3, "5", D(2024, 1, 2)), (5, "d", 4, "1", D(2024, 1, 4)), (4, "e", 5, "1", None)]
-
-
-@pytest.mark.parametrize(
-    ("name", "call", "after"),
-    [
-        ("_overwrite_partitions", 1, False),  # nothing applied
-        ("_overwrite_partitions", 1, True),  # posts applied, keys not
-        ("_overwrite_partitions", 2, True),  # keys applied, load not counted
-        ("_overwrite_partitions", 3, True),  # all applied, still pending
-    ],
-)
-def test_a_load_that_breaks_off_is_completed_by_the_next(spark, db, lost, monkeypatch, name, call, after):
-    tables.load_posts(spark, posts(spark, ("a", 1, 5, 1), ("b", 2, 5, 2), ("c", 3, 5, 2)), db)
-    with monkeypatch.context():
-        error = lost(name, call, after=after)
-        with pytest.raises(error):
-            tables.load_posts(spark, posts(spark, *MORE), db)
-    monkeypatch.undo()
-    tables.load_posts(spark, posts(spark, ("f", 6, 1, 9)), db)
-    assert sorted(loaded(spark, db), key=lambda r: r[2]) == [*WANT, (6, "f", 6, "1", D(2024, 1, 9))]
-
-
-def test_a_load_that_breaks_off_between_two_folders(spark, db, monkeypatch):
-    """One folder replaced, another deleted and not written yet: all is still in the pending load."""
-    tables.load_posts(spark, posts(spark, ("a", 1, 5, 1), ("b", 2, 5, 2), ("c", 3, 5, 2)), db)
-    real = tables._overwrite_partitions
-
-    def fail(df, table):
-        real(df.filter("date = DATE '2024-01-03'"), table)
-        root = spark.catalog.getDatabase(db).locationUri
-        tables.folders.remove(spark, f"{root}/tweets/date=2024-01-02")
-        raise OSError("lost")
-
-    monkeypatch.setattr(tables, "_overwrite_partitions", fail)
-    with pytest.raises(OSError):
-        tables.load_posts(spark, posts(spark, *MORE), db)
-    monkeypatch.undo()
-    spark.catalog.refreshTable(f"{db}.tweets")
-    assert tables.complete_load(spark, db)
-    assert sorted(loaded(spark, db), key=lambda r: r[2]) == WANT
-
-
-def test_a_load_that_breaks_off_before_it_is_stored_leaves_the_tables(spark, db, monkeypatch):
-    tables.load_posts(spark, posts(spark, ("a", 1, 5, 1)), db)
-    before = loaded(spark, db)
-    with monkeypatch.context() as patch:
-        patch.setattr(tables, "_bucket", lambda: 1 / 0)
-        with pytest.raises(ZeroDivisionError):
-            tables.load_posts(spark, posts(spark, *MORE), db)
-    assert not tables.complete_load(spark, db) and loaded(spark, db) == before
-
-
-def test_a_post_that_moves_to_another_date_stays_one_post(spark, db, tmp_path):
-    tables.load_posts(spark, posts(spark, ("a", 1, 5, 1), ("b", 2, 5, 2)), db)
-    for day in (3, None, 2, 1):
-        tables.load_posts(spark, posts(spark, ("a", 1, 6, day)), db)
-        assert loaded(spark, db) == [(1, "a", 1, "6", day and D(2024, 1, day)), (2, "b", 2, "5", D(2024, 1, 2))]
-        again = f"t_{uuid.uuid4().hex}"
-        tables.create_tables(spark, again, str(tmp_path / "w"))
-        assert loaded(spark, again) == loaded(spark, db)
-
-
-def test_a_session_in_another_zone_is_refused(spark, db):
-    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
-    try:
-        with pytest.raises(ValueError, match="Asia/Tokyo"):
-            tables.load_posts(spark, posts(spark, ("a", 1, 5, 1)), db)
-    finally:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-
-
-def watched(spark, db, monkeypatch, *rows):
-    """The frames that a load stores, by name."""
-    staged = {}
-    real = tables.stage
-
-    def keep(df, name):
-        staged[name] = df
-        return real(df, name)
-
-    monkeypatch.setattr(tables, "stage", keep)
-    tables.load_posts(spark, posts(spark, *rows), db)
-    monkeypatch.undo()
-    return staged
-
-
-def test_only_touched_folders_are_read(spark, db, monkeypatch):
-    tables.load_posts(spark, posts(spark, *(("a", day, 1, day) for day in range(1, 11)), ("z", 9, 1, None)), db)
-    seen = []
-    real = tables._in_folders
-    monkeypatch.setattr(tables, "_in_folders", lambda *a: seen.append(real(*a)) or seen[-1])
-    staged = watched(spark, db, monkeypatch, ("a", 50, 1, 3), ("a", 51, 1, 4))
-    found = [s for s in scans(run_plan(seen[0])) if ".tweets" in s.toString()]
-    assert [metric(s, "numPartitions") for s in found] == [2]  # and not the folder of unknown dates
-    keys = [s for s in scans(run_plan(staged["known_posts"])) if ".post_keys" in s.toString()]
-    assert keys and all(metric(s, "numPartitions") <= 2 for s in keys)  # one folder of accounts, two loads of it
-
-
-def test_marks_read_keys_only(spark, db):
-    tables.load_posts(spark, posts(spark, ("a", 1, 5, 1), ("a", 2, 5, 4), ("b", 3, 5, 2), ("c", 4, 5, 9)), db)
-    tables.load_posts(spark, posts(spark, ("a", 2, 5, 3)), db)
-    marks = tables.account_marks(spark, db, spark.createDataFrame([("a",), ("b",), ("x",)], "user string"))
-    assert sorted(map(tuple, marks.collect())) == [("a", D(2024, 1, 3)), ("b", D(2024, 1, 2))]
-    assert all(".post_keys" in s.toString() for s in scans(run_plan(marks)))
-
-
-def test_whole_posts_are_shuffled_twice_at_most(spark, db, monkeypatch):
-    """Numbering and the search for known posts do not move the texts."""
-    staged = watched(spark, db, monkeypatch, ("a", 1, 5, 1), ("b", 2, 5, 2))
-    for name in ("known_posts", "fresh_ids"):
-        assert "text" not in staged[name].columns
-        assert "text#" not in initial_plan(staged[name])
-
-
-def test_ids_go_on_after_the_greatest_even_with_gaps(spark, db):
-    tables.load_posts(spark, posts(spark, ("a", 1, 5, 1), ("a", 2, 5, 2)), db)
-    spark.sql(f"ALTER TABLE {db}.tweets DROP PARTITION (date = '2024-01-01')")
-    tables.load_posts(spark, posts(spark, ("a", 3, 5, 3)), db)
-    assert [row[0] for row in loaded(spark, db)] == [2, 3]
-
-
-def test_ids_are_not_taken_from_the_number_of_rows(spark, db):
-    tables.append_posts(spark, posts(spark, ("a", 1, 5, 1), ("a", 2, 5, 1)), db)
-    tables.append_posts(spark, posts(spark, ("a", 1, 5, 1)), db)
-    tables.load_posts(spark, posts(spark, ("a", 7, 5, 1)), db)
-    assert [(row[0], row[2]) for row in loaded(spark, db)] == [(1, None), (2, None), (3, None), (4, 7)]
     with pytest.raises(ValueError, match="append_posts"):
-        tables.append_by_name(posts(spark, ("a", 1, 5, 1)), f"{db}.tweets")
-
-
-def test_posts_without_post_id_are_added_and_never_merged(spark, db):
-    batch = posts(spark, ("a", None, 5, 1), ("a", None, 5, 1), ("a", 3, 5, 1), ("a", 3, 6, 1))
-    tables.load_posts(spark, batch, db)
-    tables.load_posts(spark, posts(spark, ("a", None, 5, 1), ("a", 3, 9, 2)), db)
-    assert [(row[0], row[2], row[3]) for row in loaded(spark, db)] == [
-        (1, 3, "9"), (2, None, "5"), (3, None, "5"), (4, None, "5")
-    ]
-
-
-def test_the_last_collection_stands(spark, db):
-    batch = posts(spark, ("a", 1, 100, 1), ("a", 1, 90, 1))
-    batch = batch.withColumn("collected_at", F.when(F.col("favorite_count") == 90, F.lit("2024-01-02")).otherwise(F.lit("2024-01-01")).cast("timestamp"))
-    tables.load_posts(spark, batch, db)
-    assert loaded(spark, db)[0][3] == "90"
-
-
-def test_null_account_fails_the_load(spark, db):
-    for row in ((None, 1, 5, 1), (None, None, 5, 1)):
-        with pytest.raises(Exception, match="NULL in key column user"):
-            tables.load_posts(spark, posts(spark, row), db)
-
-
-def test_lost_posts_fail_the_load(spark, db, monkeypatch):
-    tables.load_posts(spark, posts(spark, ("a", 1, 5, 1)), db)
-    monkeypatch.setattr(tables, "complete_load", lambda *_: False)
-    with pytest.raises(RuntimeError, match="missing"):
-        tables.load_posts(spark, posts(spark, ("a", 2, 5, 1)), db)
+        tables.append_by_name(row, f"{db}.tweets")
 
 
 def accounts(spark, day, *rows):
