@@ -19,17 +19,12 @@ from pyspark.sql import functions as F
 
 from postline.session import stage
 
-# Children of a node from which on it may vary, and the share below which a child of such a node is a value.
-MANY = 10
-SMALL = 0.1
 # Standard deviations by which shares differ, and labels without which a child cannot differ.
 DIFFER = 1.96
 LEAST_LABELS = 5
 # Weight of the overall share of good labels, and the purity below which a template is rejected.
 PRIOR = 5.0
 PURITY = 0.5
-# Levels of the tree; what lies deeper is one last segment.
-DEPTH = 12
 ANY = "*"
 # Digits and long hexadecimal names in a segment.
 DIGITS = "[0-9]+"
@@ -73,13 +68,9 @@ def fitting_rule(host: Column, path: Column, rules: tuple[Rule, ...]) -> Column:
 
 
 def segments(path: Column) -> Column:
-    """The segments of a path with digits and long hexadecimal names as wildcards, DEPTH at most."""
+    """The segments of a path, with digits and long hexadecimal names as wildcards."""
     parts = F.filter(F.split(path, "/"), lambda part: part != "")
-    parts = F.transform(
-        parts, lambda part: F.regexp_replace(F.regexp_replace(part, HEX_NAME, ANY), DIGITS, ANY)
-    )
-    tail = F.array_join(F.slice(parts, DEPTH, 1 << 30), "/")
-    return F.when(F.size(parts) > DEPTH, F.concat(F.slice(parts, 1, DEPTH - 1), F.array(tail))).otherwise(parts)
+    return F.transform(parts, lambda part: F.regexp_replace(F.regexp_replace(part, HEX_NAME, ANY), DIGITS, ANY))
 
 
 def _counts() -> list[Column]:
@@ -87,13 +78,13 @@ def _counts() -> list[Column]:
 
 
 def _level(leaves: DataFrame, level: int) -> DataFrame:
-    """The leaves with their template grown by one segment."""
+    """The leaves with their template grown by one segment; by all that is left, where a node has a single leaf."""
     segment = F.try_element_at("segments", F.lit(level + 1))
     named = leaves.withColumn("_segment", segment)
     node = ["host", "template"]
-    children = named.filter("_segment IS NOT NULL").groupBy(*node, "_segment").agg(*_counts())
+    children = named.filter("_segment IS NOT NULL").groupBy(*node, "_segment").agg(F.count(F.lit(1)).alias("leaves"), *_counts())
     parents = children.groupBy(*node).agg(
-        F.count(F.lit(1)).alias("_kids"), *[F.sum(c).alias(f"_{c}") for c in ("n", "good", "bad")]
+        F.count(F.lit(1)).alias("_kids"), F.sum("leaves").alias("_leaves"), *[F.sum(c).alias(f"_{c}") for c in ("good", "bad")]
     )
     labels, others = F.col("good") + F.col("bad"), F.col("_good") + F.col("_bad") - F.col("good") - F.col("bad")
     # Without labels a share is NULL, and differs from nothing.
@@ -102,13 +93,14 @@ def _level(leaves: DataFrame, level: int) -> DataFrame:
     shares = F.try_divide("bad", labels), F.try_divide(F.col("_bad") - F.col("bad"), others)
     apart = F.abs(shares[0] - shares[1]) > DIFFER * spread
     differs = (labels >= LEAST_LABELS) & (others >= LEAST_LABELS) & F.coalesce(apart, F.lit(False))
-    varies = (F.col("_kids") > MANY) & (F.col("n") < SMALL * F.col("_n"))
     alone = F.col("_kids") == 1
-    grown = F.when(~varies & (differs | alone), F.col("_segment")).otherwise(F.lit(ANY))
-    chosen = children.join(parents, node).select(*node, "_segment", grown.alias("_grown"))
-    joined = named.join(chosen, [*node, "_segment"], "left")
-    longer = F.when(F.col("_grown").isNotNull(), F.concat("template", F.lit("/"), "_grown")).otherwise(F.col("template"))
-    return joined.select("host", "segments", longer.alias("template"), "n", "good", "bad")
+    grown = F.when(differs | alone, F.col("_segment")).otherwise(F.lit(ANY))
+    single = (F.col("_leaves") == 1).alias("_single")
+    chosen = children.join(parents, node).select(*node, "_segment", grown.alias("_grown"), single)
+    joined = named.join(chosen, [*node, "_segment"])
+    rest = F.array_join(F.slice("segments", level + 1, F.size("segments")), "/")
+    longer = F.concat("template", F.lit("/"), F.when(F.col("_single"), rest).otherwise(F.col("_grown")))
+    return joined.select("host", "segments", longer.alias("template"), "n", "good", "bad", F.col("_single").alias("done"))
 
 
 def path_templates(labelled: DataFrame) -> DataFrame:
@@ -122,13 +114,19 @@ def path_templates(labelled: DataFrame) -> DataFrame:
         labelled.select(host.alias("host"), segments(path).alias("segments"), "bad")
         .groupBy("host", "segments")
         .agg(F.count(F.lit(1)).alias("n"), F.coalesce(one(0), F.lit(0)).alias("good"), F.coalesce(one(1), F.lit(0)).alias("bad"))
-        .withColumn("template", F.lit(""))
+        .withColumns({"template": F.lit(""), "done": F.lit(False)})
     )
     leaves = stage(leaves, "paths")
-    totals = leaves.agg(F.max(F.size("segments")), F.sum("good"), F.sum("bad")).first()
-    for level in range(totals[0] or 0):
-        leaves = stage(_level(leaves, level), "paths")
-    good, bad = totals[1] or 0, totals[2] or 0
+    totals = leaves.agg(F.sum("good"), F.sum("bad")).first()
+    level = 0
+    while True:
+        grows = ~F.col("done") & (F.size("segments") > level)
+        if leaves.filter(grows).isEmpty():
+            break
+        grown = _level(leaves.filter(grows).drop("done"), level)
+        leaves = stage(leaves.filter(~grows).select(*grown.columns).unionByName(grown), "paths")
+        level += 1
+    good, bad = totals[0] or 0, totals[1] or 0
     share = good / (good + bad) if good + bad else 1.0
     purity = (F.sum("good") + PRIOR * share) / (F.sum("good") + F.sum("bad") + PRIOR)
     pure = leaves.groupBy("host", "template").agg(purity.alias("purity"))

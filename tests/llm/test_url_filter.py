@@ -30,10 +30,17 @@ def rule_of(host, path, rules=RULES):
 
 def plain_segments(path):
     found = [s for s in path.split("/") if s]
-    found = [re.sub("[0-9]+", "*", re.sub(url_filter.HEX_NAME, "*", s)) for s in found]
-    if len(found) > url_filter.DEPTH:
-        found = [*found[: url_filter.DEPTH - 1], "/".join(found[url_filter.DEPTH - 1 :])]
-    return tuple(found)
+    return tuple(re.sub("[0-9]+", "*", re.sub(url_filter.HEX_NAME, "*", s)) for s in found)
+
+
+def differ(branch, siblings):
+    """The two-proportion test: do (good, bad) labels of a branch and of its siblings come from one share?"""
+    labels, others = sum(branch), sum(siblings)
+    if min(labels, others) < 5:
+        return False
+    shares = branch[1] / labels, siblings[1] / others
+    both = (branch[1] + siblings[1]) / (labels + others)
+    return abs(shares[0] - shares[1]) > 1.96 * math.sqrt(both * (1 - both) * (1 / labels + 1 / others))
 
 
 def brute(urls):
@@ -55,16 +62,9 @@ def brute(urls):
                     child[i] += counts[i]
         grown = {}
         for node, children in nodes.items():
-            total = [sum(c[i] for c in children.values()) for i in range(3)]
-            for name, (n, good, bad) in children.items():
-                labels, others = good + bad, total[1] + total[2] - good - bad
-                differs = False
-                if labels >= 5 and others >= 5:
-                    p = total[2] / (total[1] + total[2])
-                    spread = math.sqrt(p * (1 - p) * (1 / labels + 1 / others))
-                    differs = abs(bad / labels - (total[2] - bad) / others) > 1.96 * spread
-                varies = len(children) > 10 and n < 0.1 * total[0]
-                grown[node, name] = name if not varies and (differs or len(children) == 1) else "*"
+            for name, (_, good, bad) in children.items():
+                siblings = [c for other, c in children.items() if other != name]
+                grown[node, name] = name if not siblings or differ((good, bad), [sum(c[i] for c in siblings) for i in (1, 2)]) else "*"
         for host, segs in leaves:
             if len(segs) > level:
                 template[host, segs] += "/" + grown[(host, template[host, segs]), segs[level]]
@@ -121,9 +121,28 @@ def test_a_grown_tree(spark):
     assert verdicts["news"].count("allow") >= 0.98 * len(verdicts["news"])
 
 
+def test_a_bad_section_among_many_is_blocked(spark):
+    """Twelve sections alike in size, one of them all bad, none of which has a large share."""
+    urls = [(f"http://big.example/s{'abcdefghijkl'[i % 12]}/page{i}", int(i % 12 == 4)) for i in range(1200)]
+    frame = spark.createDataFrame([(i, *u) for i, u in enumerate(urls)], "page_id bigint, url string, bad int").repartition(3)
+    got = judged(frame, frame.select("url", "bad"))
+    assert got == expected([(i, u) for i, (u, _) in enumerate(urls)], urls)
+    assert {row[4] for row in got if row[2].startswith("/se/")} == {"block"}
+    assert {row[4] for row in got if not row[2].startswith("/se/")} == {"allow"}
+
+
+def test_a_bad_branch_deep_in_a_path(spark):
+    deep = "/".join("abcdefghijklmno")
+    urls = [(f"http://d.example/{deep}/{'bad' if i % 3 else 'good'}/{i}", int(i % 3 > 0)) for i in range(90)]
+    frame = spark.createDataFrame([(i, *u) for i, u in enumerate(urls)], "page_id bigint, url string, bad int")
+    got = judged(frame, frame.select("url", "bad"))
+    assert got == expected([(i, u) for i, (u, _) in enumerate(urls)], urls)
+    assert all((row[4] == "block") == ("/bad/" in row[2]) for row in got)
+
+
 def test_odd_rows(spark):
     urls = [None, "", "no scheme.org/x", "http://", "HTTP://A.ORG", "x://a.org/", "x://org/a", "x://myorg/a", "x://a.example.org/es/1", "x://a.example.org/en/12",
-            "x://é.com/fr/ü?#", "x://b.com/de/1#/fr/", "x://b.com?x=://c", "://d.net//a//", "x://" + "d.net/" + "s/" * 3000, "x://b.com/de/1#/fr/"]
+            "x://é.com/fr/ü?#", "x://b.com/de/1#/fr/", "x://b.com?x=://c", "://d.net//a//", "x://" + "d.net/" + "s/" * 300000, "x://b.com/de/1#/fr/"]
     pages = spark.createDataFrame([(i if i else None, u) for i, u in enumerate(urls)], "page_id bigint, url string").withColumn("host", F.lit(1)).withColumn("template", F.lit(2))
     labels = spark.createDataFrame([(u, None) for u in urls], "url string, bad int")
     assert judged(pages, labels) == expected([(i if i else None, u) for i, u in enumerate(urls)], [(u, None) for u in urls])
