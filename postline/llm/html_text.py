@@ -23,15 +23,16 @@ from postline.llm.batches import map_text
 LINES = 3
 SHARE = 0.2
 CALM = 120
-# Nested elements that are put back one within the other, before all that is cut is.
+# Nested elements that are put back one within the other; after these, what is put back is so with all in it.
 ROUNDS = 8
 
-# Fixed values of HTML.
-RAW = "script|style|noscript|template|textarea|iframe|svg|math|title|select|xmp|noembed|noframes|object|canvas"
+# Fixed values of HTML: elements whose content is code, and those whose content is no text of the page.
+CODE = "script|style"
+RAW = "noscript|template|textarea|iframe|svg|title|select|noembed|noframes"
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure "
     "footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre search section "
-    "summary table tbody td tfoot th thead tr ul".split()
+    "summary table tbody td tfoot th thead tr ul xmp".split()
 )
 EMPTY = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 ASIDE = frozenset("nav aside footer form menu dialog button head search".split())
@@ -54,7 +55,9 @@ LAYOUT = frozenset("nav navbar navigation menu menubar sidebar sidebars aside fo
 LAYOUT_TAGS = frozenset("form search header".split())
 KEPT = frozenset("html body article main".split())
 TAG = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b[^>]*>.*?(?:</(?P=raw)\b[^>]*>|\Z)|<!\[CDATA\[.*?\]\]>"
+    rf"<!--.*?(?:-->|\Z)|<(?P<code>{CODE})\b[^>]*>.*?(?:</(?P=code)\b[^>]*>|\Z)|<!\[CDATA\[.*?\]\]>"
+    # Closed by itself, or by its end tag ahead of the next one of its kind; else it is a tag like any other.
+    rf"|<(?P<raw>{RAW})\b(?:[^>]*/>|[^>]*>(?:(?!<(?P=raw)\b).)*?</(?P=raw)\b[^>]*>)"
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<[/!?a-zA-Z][^>]*(?:>|\Z)",
     re.DOTALL | re.IGNORECASE,
@@ -216,7 +219,9 @@ def _page_lines(page: str) -> _Lines:
         if not surging or largest > SHARE * max(own.values()):
             return lines
         kept |= surging
-    return _lines(page)
+    spans = [(first, last) for start, first, last in lines.cut if start in surging]
+    inner = {tag.start() for tag in TAG.finditer(page) if any(first <= tag.start() < last for first, last in spans)}
+    return _lines(page, kept | inner)
 
 
 def _surge(weights: list[int]) -> tuple[int, int]:
@@ -267,9 +272,12 @@ def main_text(page: str | None) -> str:
 def extract_text(pages: DataFrame, page: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
     """The kept columns, `text` and `n_chars` (its code points) of every page.
 
-    A NULL or empty page, and one without text, gives an empty text. Unclosed
-    tags are taken as they stand; markup cut off at the end is no text. Repeated
-    rows are all returned; an empty table gives no rows.
+    A NULL or empty page, and one without text, gives an empty text. Scripts
+    and styles reach to their end tag or the end of the page; other elements
+    without text of the page (frames, drawings, lists of choices) to their end
+    tag, and one that is closed by itself or never holds nothing. Other
+    unclosed tags are taken as they stand; markup cut off at the end is no text.
+    Repeated rows are all returned; an empty table gives no rows.
     """
     read = map_text(pages, page, list(keep), "text string", lambda: lambda found: [[main_text(p) for p in found]])
     return read.withColumn("n_chars", F.length("text").cast("bigint"))

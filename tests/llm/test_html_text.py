@@ -1,4 +1,5 @@
 import html
+import random
 import re
 
 import pytest
@@ -81,6 +82,59 @@ def test_deeply_nested_elements_lose_nothing():
     assert LONG.strip() in main_text(f"<body>{'<aside>' * 50}<p>{LONG}</p>{'</aside>' * 50}</body>")
 
 
+@pytest.mark.parametrize(
+    ("inside", "text"),
+    [
+        ("<svg width='1'/>", ""), ("<svg><path d='x'/><text>no</text></svg>", ""), ("<iframe src='x'/>", ""), ("<iframe src='x'>", ""),
+        ("<iframe src=x>no</iframe>", ""), ("<select><option>no</select>", ""), ("<textarea>", ""), ("<template/>", ""),
+        ("<iframe src=a><p>yes</p><iframe src=b></iframe>", "yes\n"), ("<math><mi>x</mi></math>", "x"), ("<canvas>drawn</canvas>", "drawn"),
+        ("<object data=a>seen</object>", "seen"), ("<xmp>as it is</xmp>", "as it is\n"), ("<script/>no</script>", ""), ("<style>no</style>", ""),
+    ],
+)
+@pytest.mark.parametrize("around", ["<article>{}</article>", "<div>{}</div>"])
+def test_odd_elements_take_nothing_with_them(inside, text, around):
+    page = around.format(f"<p>{LONG}</p>{inside}<p>{LONG}</p><p>Let {inside} hold, {LONG}</p><p>{LONG}</p>")
+    found = main_text(f"<body><nav>Menu</nav>{page}</body>")
+    assert found.count(LONG.strip()) == 4 and found.count("no") == 0 and "Menu" not in found
+    assert found.count(text.strip()) >= 2 if text else "Let hold" in found
+
+
+def test_many_unclosed_elements_are_read_in_one_pass():
+    assert main_text("<iframe src=x>" * 20_000 + f"<p>{LONG}</p>") == LONG.strip()
+
+
+def windows(weights, size=3):
+    """Every run of `size` lines that overlaps the page, with its first and last line and its text."""
+    runs = [range(max(0, at), min(len(weights), at + size)) for at in range(1 - size, len(weights))]
+    return [(run[0], run[-1], sum(weights[i] for i in run)) for run in runs]
+
+
+def surge_and_dive(weights):
+    """The lines from where the sums first rise over the level to where they fall below it for good."""
+    found = windows(weights)
+    level = min(120, 0.2 * max(total for *_, total in found))
+    high = [(first, last) for first, last, total in found if total > level]
+    lines = [i for i in range(high[0][0], high[-1][1] + 1)]
+    real = [i for i in lines if weights[i]]
+    return list(range(real[0], real[-1] + 1))
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_lengths_alone_against_all_windows(seed):
+    """Pages without marks or names: lines of many lengths, empty stretches, and links that do not count."""
+    rng = random.Random(seed)
+    lines = []
+    for _ in range(rng.randint(1, 40)):
+        kind = rng.choice(["text", "text", "short", "link"])
+        length = rng.randint(60, 400) if kind == "text" else rng.randint(1, 30)
+        lines.append(("".join(rng.choices("abcdef ", k=length)).strip() or "x", kind == "link"))
+    page = "".join(f"<p><a href=x>{text}</a></p>" if link else f"<p>{text}</p>" for text, link in lines)
+    texts = [" ".join(text.split()) for text, _ in lines]
+    weights = [0 if link else len(text) for text, (_, link) in zip(texts, lines)]
+    want = "\n".join(texts[i] for i in surge_and_dive(weights)) if any(weights) else ""
+    assert main_text(f"<body>{page}</body>") == want
+
+
 def test_forms_around_the_main_element_are_kept():
     assert main_text(f"<body><form><nav>{LONG}</nav><main><p>{LONG}</p></main></form><p>{LONG}</p></body>") == LONG.strip()
 
