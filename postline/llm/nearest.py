@@ -2,15 +2,18 @@
 
 A vector is turned by a fast pseudo-rotation (three rounds of random signs and
 a Hadamard transform) and belongs to the cell of the signed axis nearest to it.
-TABLES rotations give as many cells for each vector; a query looks into the
-cells of the PROBED share of axes nearest to it in each table (multiprobe), and
-what it meets there is ranked by the exact inner product in double precision.
+Several rotations give as many tables; a query looks into the cells of the axes
+nearest to it in each (multiprobe), and what it meets there is ranked by the
+exact inner product in double precision.
 
 Cells go by direction. Rows are cut into bands of like length, in which the
-nearest by direction are about the nearest by product. A band of WHOLE rows at
-most, as one of outliers or a small table, is a cell of its own that all
-queries look into. Queries that still meet fewer rows than an answer can hold
-are answered exactly, against all rows.
+nearest by direction are about the nearest by product, and every band is
+searched. How many tables and cells of a band are looked into follows from one
+rule: the least work with which a row as near as the last of an answer, were
+the band's rows spread evenly, is missed with a chance of MISS at most. In a
+band of few rows that is all of it; it is never more than all of it. Queries
+that still meet fewer rows than an answer can hold are answered exactly,
+against all rows.
 
 All rows are indexed. A vector that many ids have counts for as many of them,
 the smallest, as an answer can hold. Cells are cut into chunks and
@@ -18,6 +21,9 @@ queries too, so that a task gets at most one chunk of each.
 """
 
 import math
+from dataclasses import dataclass
+from functools import cache
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -28,17 +34,16 @@ from postline.llm.batches import map_text
 from postline.session import stage
 
 NEAREST = 20
-TABLES = 5
-PROBED = 28 / 128
+TABLES = 10
+MISS = 0.1
 ROUNDS = 3
 SEED = 5
 CHUNK = 4096
 QUERY_CHUNK = 1024
-# Ratio of the lengths in a band, and the rows up to which a band is met whole.
+# Ratio of the lengths in a band.
 BAND = 2**0.25
-WHOLE = 4096
-# The cell that all queries look into.
-EVERY = -1
+# Pairs of vectors by which the chance of a miss is found.
+TRIALS = 4000
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -74,6 +79,44 @@ def cells(x: np.ndarray, flips: np.ndarray, probes: int) -> np.ndarray:
     return np.concatenate(found, axis=1)
 
 
+@cache
+def _trials(size: int) -> tuple[np.ndarray, ...]:
+    """Random unit vectors, others at a right angle to them, and the signed axes nearest to the first."""
+    rng = np.random.default_rng(SEED)
+    first, second = rng.normal(size=(2, TRIALS, size))
+    first /= np.linalg.norm(first, axis=1, keepdims=True)
+    second -= (second * first).sum(axis=1, keepdims=True) * first
+    second /= np.maximum(np.linalg.norm(second, axis=1, keepdims=True), 1e-300)
+    return first, second, np.concatenate([first, -first], axis=1).argmax(axis=1)
+
+
+@dataclass(frozen=True)
+class Search:
+    """The tables of a band and the cells that are looked into in each; with one table and no cells, all of the band."""
+
+    tables: int
+    probes: int
+
+
+@cache
+def plan_search(rows: int, dims: int, size: int, most: int, tables: int, miss: float) -> Search:
+    """The search of least work, counted in products a row and query."""
+    everything = Search(1, 0)
+    share = 1 - most / rows
+    if share <= 0.5 or not miss:
+        return everything
+    # The cosine that `most` of so many evenly spread vectors exceed.
+    near = min(0.999, NormalDist().inv_cdf(share) / math.sqrt(dims))
+    row, aside, cell = _trials(size)
+    query = near * row + math.sqrt(1 - near * near) * aside
+    both = np.concatenate([query, -query], axis=1)
+    rank = (both > np.take_along_axis(both, cell[:, None], axis=1)).sum(axis=1)
+    missed = 1 - np.cumsum(np.bincount(rank, minlength=2 * size)) / TRIALS
+    found = [Search(t, 1 + int(np.argmax(missed**t <= miss))) for t in range(1, tables + 1)]
+    best = min(found, key=lambda s: (s.tables * s.probes, s.tables))
+    return best if best.tables * best.probes < 2 * size else everything
+
+
 def _matrix(column: pa.ListArray, size: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, size).astype(np.float64)
 
@@ -85,7 +128,8 @@ def _valid(vectors: DataFrame) -> DataFrame:
     return found.filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & usable & nonzero)
 
 
-def _with_cells(vectors: DataFrame, dims: int, tables: int, probes: int) -> DataFrame:
+def _with_cells(vectors: DataFrame, keep: list[str], dims: int, tables: int, cells_of) -> DataFrame:
+    """The kept columns, embedding and cells: what `cells_of` makes of unit vectors and the sign flips, row by row."""
     size = 1 << max(0, dims - 1).bit_length()
 
     def start():
@@ -96,20 +140,18 @@ def _with_cells(vectors: DataFrame, dims: int, tables: int, probes: int) -> Data
             x /= np.abs(x).max(axis=1, keepdims=True)
             padded = np.zeros((len(x), size))
             padded[:, :dims] = x / np.linalg.norm(x, axis=1, keepdims=True)
-            return [list(cells(padded, flips, probes).astype(np.int32))]
+            return [list(cells_of(padded, flips))]
 
         return apply
 
-    return map_text(vectors, "embedding", ["vec_id", "embedding"], "cells array<int>", start, read=2048)
+    return map_text(vectors, "embedding", [*keep, "embedding"], "cells array<bigint>", start, read=2048)
 
 
-def _by_bands(index: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The rows of large bands, and those of bands that are met whole."""
+def _banded(index: DataFrame) -> DataFrame:
+    """The rows with `_band`: the logarithm of the length."""
     length = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x))
     band = F.coalesce(F.floor(F.log(length) / math.log(BAND) + 0.5).cast("bigint"), F.lit(-(1 << 62)))
-    banded = stage(index.withColumn("_band", band), "bands")
-    large = F.broadcast(stage(banded.groupBy("_band").count().filter(F.col("count") > WHOLE).select("_band"), "large"))
-    return tuple(banded.join(large, "_band", how).select("vec_id", "embedding") for how in ("left_semi", "left_anti"))
+    return index.withColumn("_band", band)
 
 
 def _best(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, most: int) -> tuple:
@@ -139,16 +181,17 @@ def _best(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray,
 
 
 def nearest(
-    vectors: DataFrame, queries: DataFrame, most: int = NEAREST, tables: int = TABLES, probed: float = PROBED
+    vectors: DataFrame, queries: DataFrame, most: int = NEAREST, tables: int = TABLES, miss: float = MISS
 ) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the nearest found of each query, its own vec_id left out.
 
-    Vectors that are NULL, zero, or hold NULL or non-finite components take no
-    part, nor do rows without vec_id or with another number of components than
-    most have. Ties go to the smaller vec_id. Repeated rows count once; a
-    vec_id with several vectors counts with its nearest one, and as a query is
-    answered for each. Queries without any candidate, and empty tables, give no
-    rows. Other columns are left out.
+    With `miss` 0 the answer is exact. Vectors that are NULL, zero, or hold
+    NULL or non-finite components take no part, nor do rows without vec_id or
+    with another number of components than most have. Ties go to the smaller
+    vec_id. Repeated rows count once; a vec_id with several vectors counts with
+    its nearest one, as a candidate and as a query: ranks come once. Queries
+    without any candidate, and empty tables, give no rows. Other columns are
+    left out.
     """
     usable = _valid(vectors)
     shapes = usable.groupBy(F.size("embedding").alias("dims")).agg(F.count(F.lit(1)).alias("n"))
@@ -157,73 +200,89 @@ def nearest(
     if shape is None:
         return vectors.sparkSession.createDataFrame([], schema)
     dims = shape["dims"]
+    size = 1 << max(0, dims - 1).bit_length()
 
     # With its own id, `most` more of one vector's ids may be in an answer; ahead of the shuffle each task keeps no more.
     copies = Window.partitionBy("embedding").orderBy("vec_id")
     once = usable.filter(F.size("embedding") == dims).distinct()
     index = once.withColumn("_copy", F.row_number().over(copies)).filter(F.col("_copy") <= most + 1).drop("_copy")
-    asked = _valid(queries).filter(F.size("embedding") == dims)
-    asked = stage(asked, "queries")
-    distinct = asked.groupBy("embedding").agg(F.min("vec_id").alias("vec_id"))
-    size = 1 << max(0, dims - 1).bit_length()
-    probes = max(1, min(2 * size, math.ceil(probed * 2 * size)))
-    every = F.array(F.lit(EVERY))
-    large, whole = _by_bands(index)
-    indexed = _with_cells(large, dims, tables, 1).unionByName(whole.withColumn("cells", every))
-    indexed = stage(indexed, "indexed")
-    probing = _with_cells(distinct, dims, tables, probes).withColumn("cells", F.concat("cells", every))
-    probing = stage(probing, "probing")
+    index = stage(_banded(index), "bands")
+    # A few bands per power of two of the lengths.
+    counts = {row["_band"]: row["n"] for row in index.groupBy("_band").agg(F.count(F.lit(1)).alias("n")).collect()}
+    plans = {band: plan_search(n, dims, size, most, tables, miss) for band, n in counts.items()}
+    stride = tables * 2 * size
+    first_cell = {band: i * stride for i, band in enumerate(sorted(plans))}
+
+    def own_cells(search: Search, first: int):
+        def cells_of(x: np.ndarray, flips: np.ndarray) -> np.ndarray:
+            if not search.probes:
+                return np.full((len(x), 1), first, np.int64)
+            return first + cells(x, flips[: search.tables], 1)
+
+        return cells_of
+
+    def probed_cells(x: np.ndarray, flips: np.ndarray) -> np.ndarray:
+        found = {search: cells(x, flips[: search.tables], search.probes) for search in {*plans.values()} if search.probes}
+        whole = np.zeros((len(x), 1), np.int64)
+        return np.concatenate([first + found.get(plans[band], whole) for band, first in first_cell.items()], axis=1)
+
+    # The rows of bands that are searched alike are hashed in one pass; a band's first cell is added to theirs.
+    indexed = None
+    for search in sorted({*plans.values()}, key=lambda s: (s.tables, s.probes)):
+        own = [band for band in plans if plans[band] == search]
+        hashed = _with_cells(index.filter(F.col("_band").isin(own)), ["vec_id", "_band"], dims, tables, own_cells(search, 0))
+        starts = F.create_map(*[F.lit(x) for band in own for x in (band, first_cell[band])])
+        moved = hashed.withColumn("cells", F.transform("cells", lambda c: c + F.element_at(starts, F.col("_band"))))
+        indexed = moved if indexed is None else indexed.unionByName(moved)
+    indexed = stage(indexed.select("vec_id", "embedding", "cells"), "indexed")
+
+    asked = stage(_valid(queries).filter(F.size("embedding") == dims).distinct(), "queries")
+    distinct = stage(asked.select("embedding").distinct().withColumn("_q", F.monotonically_increasing_id()), "distinct_queries")
+    probing = stage(_with_cells(distinct, ["_q"], dims, tables, probed_cells), "probing")
 
     def chunks(rows: DataFrame, name: str, chunk: int) -> DataFrame:
         counts = rows.select(F.explode("cells").alias("cell")).groupBy("cell").count()
         return counts.select("cell", F.ceil(F.col("count") / chunk).alias(name))
 
-    def dealt(rows: DataFrame, met: DataFrame, own: str, own_chunk: str, other: str, other_chunk: str) -> DataFrame:
-        each = rows.select("vec_id", "embedding", F.explode("cells").alias("cell")).join(met, "cell")
+    def dealt(rows: DataFrame, key: str, met: DataFrame, own: str, own_chunk: str, other: str, other_chunk: str) -> DataFrame:
+        each = rows.select(key, "embedding", F.explode("cells").alias("cell")).join(met, "cell")
         return each.select(
-            "vec_id", "embedding", "cell",
-            F.pmod(F.xxhash64("vec_id"), F.col(own)).alias(own_chunk),
+            key, "embedding", "cell",
+            F.pmod(F.xxhash64(key), F.col(own)).alias(own_chunk),
             F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(other) - 1)).alias(other_chunk),
         )
 
     def meet(rows: pa.Table, questions: pa.Table) -> pa.Table:
-        ids, x, query_ids, q = (
-            part
-            for table in (rows, questions)
-            for part in (table["vec_id"].to_numpy(), _matrix(table["embedding"].combine_chunks(), dims))
-        )
-        if not len(ids) or not len(query_ids):
+        if not rows.num_rows or not questions.num_rows:
             query, found, score = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
         else:
-            query, found, score = _best(ids, x, query_ids, q, most + 1)
-        return pa.table({"asked": query, "vec_id": found, "score": score})
+            x, q = (_matrix(table["embedding"].combine_chunks(), dims) for table in (rows, questions))
+            query, found, score = _best(rows["vec_id"].to_numpy(), x, questions["_q"].to_numpy(), q, most + 1)
+        return pa.table({"_q": query, "vec_id": found, "score": score})
 
     def answers(indexed: DataFrame, probing: DataFrame) -> DataFrame:
-        """asked, answers: the best of what the vectors of `probing` meet in their cells."""
-        # One row per cell: 2 * size * tables and one more at most.
-        met = F.broadcast(stage(chunks(indexed, "_i", CHUNK).join(chunks(probing, "_q", QUERY_CHUNK), "cell"), "cells"))
-        keys = ["cell", "_ic", "_qc"]
-        left = dealt(indexed, met, "_i", "_ic", "_q", "_qc").groupBy(*keys)
-        right = dealt(probing, met, "_q", "_qc", "_i", "_ic").groupBy(*keys)
-        found = left.cogroup(right).applyInArrow(meet, "asked bigint, vec_id bigint, score double")
-        once = found.repartition("asked").groupBy("asked", "vec_id").agg(F.max("score").alias("score"))
-        by_score = Window.partitionBy("asked").orderBy(F.desc("score"), "vec_id")
+        """_q, answers: the best of what the vectors of `probing` meet in their cells."""
+        met = stage(chunks(indexed, "_i", CHUNK).join(chunks(probing, "_a", QUERY_CHUNK), "cell"), "cells")
+        keys = ["cell", "_ic", "_ac"]
+        left = dealt(indexed, "vec_id", met, "_i", "_ic", "_a", "_ac").groupBy(*keys)
+        right = dealt(probing, "_q", met, "_a", "_ac", "_i", "_ic").groupBy(*keys)
+        found = left.cogroup(right).applyInArrow(meet, "_q bigint, vec_id bigint, score double")
+        once = found.repartition("_q").groupBy("_q", "vec_id").agg(F.max("score").alias("score"))
+        by_score = Window.partitionBy("_q").orderBy(F.desc("score"), "vec_id")
         ranked = once.withColumn("_rank", F.row_number().over(by_score)).filter(F.col("_rank") <= most + 1)
-        return ranked.groupBy("asked").agg(F.sort_array(F.collect_list(F.struct("_rank", "vec_id", "score"))).alias("answers"))
+        return ranked.groupBy("_q").agg(F.collect_list(F.struct("vec_id", "score")).alias("answers"))
 
     found = stage(answers(indexed, probing), "found")
     most_found = indexed.select("vec_id").distinct().limit(most + 1).count()
     full = found.filter(F.size("answers") >= most_found)
-    short = stage(probing.join(full, F.col("vec_id") == F.col("asked"), "left_anti").withColumn("cells", every), "short")
+    every = F.array(F.lit(-1).cast("bigint"))
+    short = stage(probing.join(full, "_q", "left_anti").withColumn("cells", every), "short")
     if most_found and not short.isEmpty():
         full = full.unionByName(answers(indexed.withColumn("cells", every), short))
-    named = distinct.select(F.col("vec_id").alias("asked"), F.col("embedding").alias("_vector"))
-    answered = stage(full.join(named, "asked").select("_vector", "answers"), "answers")
-    others = F.slice(F.filter("answers", lambda a: a["vec_id"] != F.col("query_id")), 1, most)
-    return (
-        asked.select(F.col("vec_id").alias("query_id"), "embedding")
-        .distinct()
-        .join(answered, F.col("embedding") == F.col("_vector"))
-        .select("query_id", F.posexplode(others).alias("_at", "_a"))
-        .select("query_id", (F.col("_at") + 1).cast("int").alias("rank"), "_a.vec_id", "_a.score")
-    )
+    # An id with several vectors has the best of their answers.
+    named = asked.select(F.col("vec_id").alias("query_id"), "embedding").join(distinct, "embedding").select("query_id", "_q")
+    each = named.join(full, "_q").select("query_id", F.inline("answers")).filter(F.col("vec_id") != F.col("query_id"))
+    best = each.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    ranked = best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= most)
+    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

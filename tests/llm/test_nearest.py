@@ -80,27 +80,21 @@ def test_all_cells_give_the_exact_answer_in_any_chunks(spark, monkeypatch):
     for chunk in (4096, 16):
         monkeypatch.setattr(nearest, "CHUNK", chunk)
         monkeypatch.setattr(nearest, "QUERY_CHUNK", max(2, chunk // 8))
-        found = results(nearest.nearest(frame, frame.filter("vec_id % 10 = 0"), most=5, probed=1.0))
+        found = results(nearest.nearest(frame, frame.filter("vec_id % 10 = 0"), most=5, miss=0))
         assert {q: [v for v, _ in f] for q, f in found.items()} == {q: [v for v, _ in f] for q, f in want.items()}
 
 
-@pytest.mark.parametrize("whole", [nearest.WHOLE, 0])
 @pytest.mark.parametrize("n", [5, 21, 30])
-def test_few_rows_are_all_found(spark, monkeypatch, n, whole):
-    monkeypatch.setattr(nearest, "WHOLE", whole)
+def test_few_rows_are_all_found(spark, n):
     x = np.random.default_rng(n).normal(size=(n, 64))
     rows = [(i, [float(v) for v in vector]) for i, vector in enumerate(x)]
     rows[1] = (1, [-v for v in rows[0][1]])
     frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
     found, want = results(nearest.nearest(frame, frame)), brute(rows, 20, 1)
-    assert all(len(found[q]) == min(20, n - 1) for q in range(n))
-    if whole or n <= 21:
-        assert {q: [v for v, _ in f] for q, f in found.items()} == {q: [v for v, _ in f] for q, f in want.items()}
+    assert {q: [v for v, _ in f] for q, f in found.items()} == {q: [v for v, _ in f] for q, f in want.items()}
 
 
-@pytest.mark.parametrize("whole", [nearest.WHOLE, 100])
-def test_one_long_vector_hides_no_others(spark, monkeypatch, whole):
-    monkeypatch.setattr(nearest, "WHOLE", whole)
+def test_one_long_vector_hides_no_others(spark):
     x = np.random.default_rng(7).normal(size=(2000, 64))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     x[7] *= 1000
@@ -111,6 +105,36 @@ def test_one_long_vector_hides_no_others(spark, monkeypatch, whole):
     assert all((7 in dict(found[q])) == (7 in dict(want[q])) for q in want)
 
 
+@pytest.mark.parametrize(("n", "clustered"), [(500, False), (12_000, False), (12_000, True)])
+def test_recall_of_hashing(spark, n, clustered):
+    """Evenly spread vectors, which are the hardest, and groups of close ones; part of the rows is met only."""
+    rng = np.random.default_rng(n)
+    x = rng.normal(size=(n, 64))
+    if clustered:
+        x = x * 0.4 + rng.normal(size=(n // 40, 64))[rng.integers(0, n // 40, n)]
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    search = nearest.plan_search(n, 64, 64, 20, nearest.TABLES, nearest.MISS)
+    assert search.probes and search.tables * search.probes < 0.8 * 128
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>").repartition(4)
+    found, want = results(nearest.nearest(frame, frame.filter("vec_id % 20 = 0"))), brute(list(enumerate(x)), 20, 20)
+    assert 0.9 <= recall(found, want) and (clustered or recall(found, want) < 1)
+
+
+def test_work_is_never_more_than_that_of_all_pairs_and_falls_with_the_rows():
+    work = []
+    for rows in (1, 21, 40, 41, 200, 500, 2_000, 20_000, 10**6, 10**9):
+        search = nearest.plan_search(rows, 64, 64, 20, nearest.TABLES, nearest.MISS)
+        work.append(search.tables * search.probes / 128 if search.probes else 1)
+    assert work == sorted(work, reverse=True) and work[0] == 1 and work[-1] < 0.2
+
+
+def test_vectors_of_one_id_are_answered_apart(spark):
+    rows = [(20, [1.0, 0.0]), (20, [0.0, 1.0]), (40, [1.0, 0.0]), (1, [0.1, 5.0]), (2, [0.3, 0.2]), (2, [0.4, 0.1])]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    found = results(nearest.nearest(frame, frame.filter("vec_id % 20 = 0")))
+    assert found == {20: [(1, 5.0), (40, 1.0), (2, 0.4)], 40: [(20, 1.0), (2, 0.4), (1, 0.1)]}
+
+
 @pytest.mark.parametrize("times", [[21] + [1] * 24, [2] * 25])
 def test_repeated_rows_of_one_vector_hide_no_ids(spark, times):
     rows = [(i, [1.0, 2.0]) for i, n in enumerate(times, 1) for _ in range(n)]
@@ -131,7 +155,7 @@ def test_odd_rows(spark):
     rows = [(0, [1.0, 0.0]), (1, [2.0, 0.0]), (2, None), (3, [0.0, 0.0]), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, [None, 1.0]), (None, [1.0, 1.0]),
             (7, [1.0]), (8, [-1.0, 0.0]), (8, [-1.0, 0.0]), (20, [0.0, 3.0]), (40, [nan, 1.0]), (9, [])]
     frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").withColumn("score", F.lit(1)).withColumn("cells", F.lit(1))
-    found = results(nearest.nearest(frame, frame.filter("vec_id % 20 = 0"), probed=1.0))
+    found = results(nearest.nearest(frame, frame.filter("vec_id % 20 = 0"), miss=0))
     assert found == {0: [(1, 2.0), (20, 0.0), (8, -1.0)], 20: [(0, 0.0), (1, 0.0), (8, 0.0)]}
     assert nearest.nearest(frame.limit(0), frame).count() == 0
     assert nearest.nearest(frame, frame.limit(0)).count() == 0
