@@ -4,7 +4,8 @@ A text and a template are words. Words that are unique in both are anchors;
 the longest run of anchors that is in order in both is kept, and the gaps
 between them are aligned in the same way. The share of the template's words
 that are aligned is its coverage. A notice names its licence, so each template
-has words that must be aligned; the text is aligned around each of them.
+has words that must be aligned, and others that name a relative of it and may
+not stand in the notice; the text is aligned around its first name.
 """
 
 import re
@@ -24,20 +25,75 @@ WORD = re.compile(r"[A-Za-z0-9]+")
 
 @dataclass(frozen=True)
 class Template:
-    """A notice; `names` are words of it that stand for the licence."""
+    """A notice; `names` are words of it that stand for the licence, `strange` words that stand for another."""
 
     license: str
     text: str
     names: tuple[str, ...]
+    strange: tuple[str, ...] = ()
 
     @cached_property
     def words(self) -> list[str]:
-        return [word.lower() for word in WORD.findall(self.text)]
+        return list(words_of(self.text))
 
 
 # The wording of common notices.
+GNU = {
+    "gpl-2.0": ("General", "2", ("lesser", "library", "affero", "3", "1")),
+    "gpl-3.0": ("General", "3", ("lesser", "library", "affero", "2")),
+    "lgpl-2.1": ("Lesser General", "2.1", ("affero", "3")),
+    "lgpl-3.0": ("Lesser General", "3", ("affero", "2")),
+    "agpl-3.0": ("Affero General", "3", ("lesser", "library", "2")),
+}
+CREATIVE_COMMONS = {
+    "by": "Attribution",
+    "by-sa": "Attribution-ShareAlike",
+    "by-nd": "Attribution-NoDerivatives",
+    "by-nc": "Attribution-NonCommercial",
+    "by-nc-sa": "Attribution-NonCommercial-ShareAlike",
+    "by-nc-nd": "Attribution-NonCommercial-NoDerivatives",
+}
+IDENTIFIERS = (
+    "Apache-2.0 MIT ISC MPL-2.0 BSD-2-Clause BSD-3-Clause GPL-2.0 GPL-3.0 LGPL-2.1 LGPL-3.0 AGPL-3.0 CC0-1.0 "
+    "CC-BY-4.0 CC-BY-SA-4.0 CC-BY-ND-4.0 CC-BY-NC-4.0 CC-BY-NC-SA-4.0 CC-BY-NC-ND-4.0 Unlicense"
+).split()
+
+
+def words_of(text: str) -> tuple[str, ...]:
+    return tuple(word.lower() for word in WORD.findall(text))
+
+
+def _gnu(license: str, kind: str, version: str, strange: tuple[str, ...]) -> list[Template]:
+    names = ("gnu", *words_of(kind), *words_of(version))
+    published = f"modify it under the terms of the GNU {kind} Public License as published by the Free Software Foundation"
+    either = f"either version {version} of the License, or (at your option) any later version"
+    return [
+        Template(license, f"This work is licensed under the GNU {kind} Public License, version {version}", names, strange),
+        Template(license, f"GNU {kind} Public License version {version}", names, strange),
+        Template(license, f"GNU {kind} Public License v{version}", ("gnu", *words_of(kind), *words_of(f"v{version}")), strange),
+        *(
+            Template(license, f"This {what} is free software: you can redistribute it and/or {published}, {either}", names, strange)
+            for what in ("program", "library")
+        ),
+    ]
+
+
+def _creative_commons(kind: str, title: str, version: str) -> list[Template]:
+    own = {*words_of(f"{kind} {title}")}
+    strange = tuple(sorted({word for k, t in CREATIVE_COMMONS.items() for word in words_of(f"{k} {t}")} - own))
+    license, names = f"cc-{kind}-{version}", ("cc", *words_of(kind), version[0])
+    long_names = ("creative", *words_of(title), version[0])
+    return [
+        Template(license, f"Licensed under CC {kind} {version}", names, strange),
+        Template(license, f"CC {kind} {version}", names, strange),
+        Template(license, f"Creative Commons {title} {version} International License", long_names, strange),
+        Template(license, f"Creative Commons {title} {version}", long_names, strange),
+    ]
+
+
 TEMPLATES = (
     Template("apache-2.0", "Licensed under the Apache License, Version 2.0", ("apache", "2")),
+    Template("apache-2.0", "Apache License, Version 2.0", ("apache", "2")),
     Template(
         "apache-2.0",
         "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the "
@@ -53,26 +109,62 @@ TEMPLATES = (
         ("permission", "granted"),
     ),
     Template(
-        "gpl-3.0", "This work is licensed under the GNU General Public License, version 3", ("gnu", "general", "3")
+        "isc",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies",
+        ("fee", "granted"),
     ),
+    Template("isc", "Licensed under the ISC License", ("isc", "license")),
     Template(
-        "gpl-3.0",
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
-        "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later "
-        "version",
-        ("gnu", "general", "3"),
+        "mpl-2.0",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+        "distributed with this file, You can obtain one at",
+        ("mozilla", "2"),
+    ),
+    Template("mpl-2.0", "Mozilla Public License, version 2.0", ("mozilla", "2")),
+    Template("mpl-2.0", "Mozilla Public License 2.0", ("mozilla", "2")),
+    Template("cc0-1.0", "Creative Commons Zero 1.0 Universal", ("creative", "zero")),
+    Template("cc0-1.0", "CC0 1.0 Universal (CC0 1.0) Public Domain Dedication", ("cc0", "dedication")),
+    Template("cc0-1.0", "Licensed under CC0 1.0", ("cc0", "1")),
+    Template(
+        "unlicense", "This is free and unencumbered software released into the public domain", ("unencumbered", "domain")
     ),
-    Template("cc-by-nc-4.0", "Licensed under CC BY-NC 4.0", ("cc", "by", "nc", "4")),
-    Template("cc-by-4.0", "Licensed under CC BY 4.0", ("cc", "by", "4")),
     Template(
         "bsd",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
         "following conditions are met",
         ("redistribution", "binary"),
     ),
+    Template(
+        "bsd-3-clause",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+        "derived from this software without specific prior written permission",
+        ("neither", "endorse"),
+    ),
+    Template("bsd-2-clause", "Licensed under the BSD 2-Clause License", ("bsd", "2")),
+    Template("bsd-3-clause", "Licensed under the BSD 3-Clause License", ("bsd", "3")),
+    *(template for license, how in GNU.items() for template in _gnu(license, *how)),
+    *(
+        template
+        for version in ("4.0", "3.0")
+        for kind, title in CREATIVE_COMMONS.items()
+        for template in _creative_commons(kind, title, version)
+    ),
+    *(
+        Template(name.lower(), f"SPDX-License-Identifier: {name}", ("spdx", *words_of(name)), ("nc", "nd", "sa"))
+        if name == "CC-BY-4.0"
+        else Template(name.lower(), f"SPDX-License-Identifier: {name}", ("spdx", *words_of(name)))
+        for name in IDENTIFIERS
+    ),
 )
 
 
+def templates_of(table: DataFrame) -> tuple[Template, ...]:
+    """Templates from a table of license, text, names and strange (lists of words); it is small and goes to every task."""
+    rows = table.orderBy("license", "text").collect()
+    return tuple(Template(r.license, r.text, tuple(r.names or words_of(r.text)), tuple(r.strange or ())) for r in rows)
+
+
 def _unique(words: list[str], low: int, high: int) -> dict[str, int]:
     """Places of the words that occur once from `low` to `high`."""
     seen: dict[str, int] = {}
@@ -129,7 +221,7 @@ def _around(words: list[str], template: Template, name: str) -> list[tuple[int,
     """(first word, end, coverage) of each place where the template's first name stands in a notice."""
     found: list[tuple[int, int, float]] = []
     size, slack = len(template.words), int(SLACK * len(template.words)) + 1
-    place, known = template.words.index(name), set(template.words)
+    place, known, not_here = template.words.index(name), set(template.words), set(template.strange)
     taken = 0
     for at, word in enumerate(words):
         if word != name or at < taken:
@@ -140,7 +232,8 @@ def _around(words: list[str], template: Template, name: str) -> list[tuple[int,
         pairs = patience(words[low:high], template.words)
         aligned = {template.words[j] for _, j in pairs}
         coverage = len(pairs) / size
-        if coverage >= COVERAGE - 1e-9 and aligned.issuperset(template.names):
+        strange = not_here.intersection(words[low + pairs[0][0] : low + pairs[-1][0] + 1]) if pairs else not_here
+        if coverage >= COVERAGE - 1e-9 and aligned.issuperset(template.names) and not strange:
             found.append((low + pairs[0][0], low + pairs[-1][0] + 1, coverage))
             taken = found[-1][1]
     return found
@@ -173,8 +266,9 @@ def scan_licenses(docs: DataFrame, keep: list[str], templates: tuple[Template, .
     """The kept columns and, for every whole text, its `notices` and its `license`.
 
     `license` is the licence with the best covered notice, the first of equals;
-    NULL if there is none, as in NULL and empty texts. Repeated rows are all
-    returned; an empty table gives no rows.
+    NULL if there is none, as in NULL and empty texts. Where notices clash, the
+    one that covers most words stands. Repeated rows are all returned; an empty
+    table gives no rows.
     """
 
     def start():

@@ -88,6 +88,90 @@ def test_changed_notices():
     assert [(n[2], twice[n[0] : n[1]]) for n in license_scan.notices(twice)] == [("mit", "Released under the MIT License")] * 2
 
 
+@pytest.mark.parametrize(
+    ("text", "license"),
+    [
+        ("This work is licensed under the GNU Lesser General Public License, version 3.", "lgpl-3.0"),
+        ("This work is licensed under the GNU Affero General Public License, version 3.", "agpl-3.0"),
+        ("This work is licensed under the GNU General Public License, version 2.", "gpl-2.0"),
+        ("This work is licensed under the GNU Lesser General Public License, version 2.1.", "lgpl-2.1"),
+        (
+            "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License "
+            "as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.", "lgpl-2.1",
+        ),
+        (
+            "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License "
+            "as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.", "lgpl-3.0",
+        ),
+        (
+            "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License "
+            "as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.", "agpl-3.0",
+        ),
+        ("Licensed under CC BY-SA 4.0.", "cc-by-sa-4.0"), ("Licensed under CC BY-ND 4.0.", "cc-by-nd-4.0"), ("Licensed under CC BY 4.0.", "cc-by-4.0"),
+        ("Licensed under CC BY-NC-SA 4.0.", "cc-by-nc-sa-4.0"), ("Licensed under CC BY-NC-ND 4.0", "cc-by-nc-nd-4.0"), ("CC BY-SA 3.0", "cc-by-sa-3.0"),
+        ("the Creative Commons Attribution-NonCommercial 4.0 International License", "cc-by-nc-4.0"),
+        ("the Creative Commons Attribution 4.0 International License", "cc-by-4.0"),
+        ("subject to the terms of the Mozilla Public License, version 2.0", "mpl-2.0"), ("Licensed under the ISC License", "isc"), ("Licensed under CC0 1.0", "cc0-1.0"),
+        ("SPDX-License-Identifier: MIT", "mit"), ("SPDX-License-Identifier: CC-BY-SA-4.0", "cc-by-sa-4.0"), ("SPDX-License-Identifier: GPL-2.0-only", "gpl-2.0"),
+        ("under the GNU Public License, version 9", None), ("CC BY the author, version 4", None), ("Licensed under the GNU Library General Public License, version 2", None),
+    ],
+)
+def test_relatives_are_told_apart(text, license):
+    found = license_scan.notices(f"Some words before. {text} And some after that 3 of them.")
+    assert [n[2] for n in found] == ([license] if license else [])
+
+
+def brute_notices(words, templates):
+    """All stretches of a short text against all templates: covered words, by the best plain alignment."""
+    found = []
+    for order, template in enumerate(templates):
+        for at, word in enumerate(words):
+            if word != template.names[0]:
+                continue
+            size = len(template.words)
+            place, slack = template.words.index(word), int(license_scan.SLACK * size) + 1
+            low, high = max(0, at - place - slack), min(len(words), at - place + size + slack)
+            pairs = sorted(plain_patience(words[low:high], template.words))
+            if not pairs or len(pairs) < license_scan.COVERAGE * size - 1e-9:
+                continue
+            span = range(low + pairs[0][0], low + pairs[-1][0] + 1)
+            named = set(template.names) <= {template.words[j] for _, j in pairs}
+            if named and not set(template.strange) & {words[i] for i in span}:
+                found.append((-len(pairs), -len(pairs) / size, order, span, template.license))
+    kept = []
+    for *_, span, license in sorted(found, key=lambda f: f[:3]):
+        if not any(set(span) & set(other) for other, _ in kept):
+            kept.append((span, license))
+    return sorted((span[0], span[-1], license) for span, license in kept)
+
+
+def test_notices_against_plain_alignment():
+    """Short notices, alone and clashing, with words changed, dropped and put in."""
+    rng = random.Random(8)
+    templates = tuple(t for t in license_scan.TEMPLATES if len(t.words) <= 9)
+    hits = 0
+    for _ in range(300):
+        template = rng.choice(templates)
+        words = [w for w in template.words if rng.random() < 0.95]
+        if rng.random() < 0.4:
+            words.insert(rng.randint(0, len(words)), rng.choice(["lesser", "nc", "sa", "x", "affero", "mit"]))
+        words = [*rng.choices(["p", "q", "r", "under", "license"], k=3), *words, *rng.choices(["s", "t", "version"], k=2)]
+        # Of anchors with several longest runs any may be taken.
+        text = " ".join(words)
+        got = [(len(text[:s].split()), len(text[:e].split()) - 1, license) for s, e, license, _ in license_scan.notices(text, templates)]
+        assert got == brute_notices(words, templates), text
+        hits += bool(got)
+    assert hits > 150
+
+
+def test_templates_from_a_table(spark, make):
+    table = spark.createDataFrame([("house", "Use as our house rules of 2020 allow", ["house", "2020"], None), ("mit", "Released under the MIT License", None, ["not"])],
+                                  "license string, text string, names array<string>, strange array<string>")
+    docs = make((1, "Use as our house rules of 2020 allow."), (2, "Released under the MIT License"), (3, "Released under not the MIT License"))
+    found = license_scan.scan_licenses(docs, ["doc_id"], license_scan.templates_of(table)).collect()
+    assert {r.doc_id: r.license for r in found} == {1: "house", 2: "mit", 3: None}
+
+
 def test_odd_rows(make):
     notice = "Released under the MIT License."
     docs = make((1, None), (2, ""), (None, notice), (3, "w " * 100_000 + notice), (4, notice), (4, notice)).withColumn("license", F.lit(1))
