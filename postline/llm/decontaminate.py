@@ -2,14 +2,14 @@
 
 A window has as many words as the item. Its fingerprint and the item's are sums
 over their shingles of five words; a window slides by taking one shingle off
-and adding one, so all windows of a size come from running sums. Items are
-found by multi-index: of 8 blocks of 8 bits, fingerprints within the radius
-have one that differs in radius / 8 bits or fewer, and all such values are
-listed in a table per block. What is within the radius is then verified on the
-shingles themselves, each weighted by how often it occurs.
-
-A window that shares no shingle with any item has similarity 0 to all of them,
-so windows are made around shared shingles only; nothing is lost by that.
+and adding one, so all windows of a size come from running sums. A window
+meets the items that share a shingle with it, which a list per shingle names;
+with all others its similarity is 0, so nothing is lost by that. What meets is
+compared by multi-index: of 8 blocks of 8 bits, fingerprints within the radius
+have one that differs in radius / 8 bits or fewer. What is within the radius
+is then verified on the shingles themselves, each weighted by how often it
+occurs. So the work of a text depends on the items it shares words with, and
+not on how many there are.
 """
 
 import re
@@ -35,6 +35,8 @@ PASS_CHARS = 8_000_000
 MATCH = "array<struct<item_id:bigint,start:bigint,n_words:bigint,distance:int,similarity:double>>"
 WORD = re.compile(r"\w+")
 GATE_BITS = 20
+# Pairs of a window and an item that are compared at once.
+TILE = 1 << 18
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -79,27 +81,66 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(a) + len(b) - both) if len(a) or len(b) else 0.0
 
 
+def near_blocks(a: np.ndarray, b: np.ndarray, radius: int) -> np.ndarray:
+    """Whether a block of the fingerprints differs in few enough bits; true for all that are within the radius."""
+    apart = np.bitwise_count((a ^ b).view(np.uint8).reshape(-1, BLOCKS))
+    return (apart <= radius // BLOCKS).any(axis=1)
+
+
 @dataclass
 class _Size:
-    """The items of one number of words, and their tables."""
+    """The items of one number of words, and for each of their shingles the items that have it."""
 
     words: int
     shingle: int
     ids: list[int] = field(default_factory=list)
     bags: list[np.ndarray] = field(default_factory=list)
     prints: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
-    tables: np.ndarray = field(default_factory=lambda: np.zeros(0, bool))
+    known: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
+    starts: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
+    owners: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
 
-    def close(self, radius: int) -> None:
+    def close(self) -> None:
         self.prints = np.concatenate([_prints(bag, len(bag)) for bag in self.bags])
-        values = np.arange(1 << BLOCK_BITS, dtype=np.uint64)
-        blocks = _blocks(self.prints)
-        # [block, value, item]: whether the item's block is near enough to the value.
-        self.tables = np.stack([np.bitwise_count(values[:, None] ^ blocks[b]) <= radius // BLOCKS for b in range(BLOCKS)])
-
-
-def _blocks(prints: np.ndarray) -> list[np.ndarray]:
-    return [prints >> np.uint64(b * BLOCK_BITS) & np.uint64((1 << BLOCK_BITS) - 1) for b in range(BLOCKS)]
+        owners = np.repeat(np.arange(len(self.bags)), [len(bag) for bag in self.bags])
+        shingles = np.concatenate(self.bags)
+        order = np.lexsort((owners, shingles))
+        owners, shingles = owners[order], shingles[order]
+        first = np.r_[True, (shingles[1:] != shingles[:-1]) | (owners[1:] != owners[:-1])]
+        self.owners, shingles = owners[first], shingles[first]
+        self.known, places = np.unique(shingles, return_index=True)
+        self.starts = np.r_[places, len(shingles)]
+
+    def meetings(self, shingles: np.ndarray, shared: np.ndarray, held: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(window start, item) for the items that share a shingle with the window, some TILE pairs at a time."""
+        place = np.minimum(np.searchsorted(self.known, shingles[shared]), len(self.known) - 1)
+        own = self.known[place] == shingles[shared]
+        at, place = shared[own], place[own]
+        n = self.starts[place + 1] - self.starts[place]
+        ends = np.cumsum(n)
+        done = 0
+        while done < len(at):
+            # Shared shingles, one after the other, as many as fill a tile; windows that hold several come again.
+            base = ends[done - 1] if done else 0
+            until = max(done + 1, int(np.searchsorted(ends, base + max(1, TILE // held), side="right")))
+            part, many = at[done:until], n[done:until]
+            offset = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            items = self.owners[np.repeat(self.starts[place[done:until]], many) + offset]
+            yield np.repeat(part, many), items
+            done = until
+
+
+def _windows_of(at: np.ndarray, items: np.ndarray, held: int, last: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (window start, item) of the windows that hold the shingles at these places."""
+    low, high = np.maximum(at - held + 1, 0), np.minimum(at, last)
+    order = np.lexsort((low, items))
+    low, high, items = low[order], high[order], items[order]
+    # Per item: a stretch goes on from where the one before ends.
+    reach = np.maximum.accumulate(high + items * (last + 2))[:-1] - items[1:] * (last + 2)
+    low = np.r_[low[:1], np.maximum(low[1:], reach + 1)]
+    n = np.maximum(0, high - low + 1)
+    start = np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    return start, np.repeat(items, n)
 
 
 class Index:
@@ -120,7 +161,7 @@ class Index:
         self.known: dict[int, np.ndarray] = {}
         self.gates: dict[int, np.ndarray] = {}
         for size in self.sizes:
-            size.close(radius)
+            size.close()
             self.known[size.shingle] = np.concatenate([self.known.get(size.shingle, np.zeros(0, np.uint64)), *size.bags])
         for shingle, known in self.known.items():
             self.known[shingle] = np.unique(known)
@@ -143,15 +184,16 @@ class Index:
         new = np.r_[True, first[1:] > np.maximum.accumulate(last)[:-1] + 1]
         lows = first[new]
         highs = np.r_[np.maximum.accumulate(last)[:-1][new[1:]], last.max()]
+        prints = np.zeros(len(shingles) - held + 1, np.uint64)
         for low, high in zip(lows.tolist(), highs.tolist(), strict=True):
-            prints = _prints(shingles[low : high + held], held)
-            near = np.zeros((len(prints), len(size.ids)), bool)
-            for b, block in enumerate(_blocks(prints)):
-                near |= size.tables[b][block.astype(int)]
-            starts, items = np.nonzero(near)
+            prints[low : high + 1] = _prints(shingles[low : high + held], held)
+        for at, items in size.meetings(shingles, shared, held):
+            starts, items = _windows_of(at, items, held, len(prints) - 1)
+            near = near_blocks(prints[starts], size.prints[items], self.radius)
+            starts, items = starts[near], items[near]
             distance = np.bitwise_count(prints[starts] ^ size.prints[items])
             for k in np.flatnonzero(distance <= self.radius).tolist():
-                start, item = low + int(starts[k]), int(items[k])
+                start, item = int(starts[k]), int(items[k])
                 found = similarity(shingles[start : start + held], size.bags[item])
                 if found >= self.least - 1e-9:
                     yield size.ids[item], start, int(distance[k]), found

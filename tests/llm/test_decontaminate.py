@@ -1,6 +1,7 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -58,19 +59,59 @@ def test_matches_against_all_windows(cases):
         assert got == pytest.approx(want), text
 
 
-def test_multi_index_misses_nothing_within_the_radius(cases):
-    """With a small radius, what is found is what all fingerprints within it give."""
+def test_multi_index_misses_nothing_within_the_radius():
+    rng = np.random.default_rng(3)
+    a = rng.integers(0, 2**63, 4000).astype(np.uint64)
+    b = a.copy()
+    for _ in range(24):
+        b ^= np.uint64(1) << rng.integers(0, 64, 4000).astype(np.uint64)
+    b[2000:] = rng.integers(0, 2**63, 2000).astype(np.uint64)
+    for radius in (0, 6, 22):
+        near, within = decontaminate.near_blocks(a, b, radius), np.bitwise_count(a ^ b) <= radius
+        assert (near | ~within).all() and not near.all()
+
+
+def test_meetings_are_all_windows_and_items_that_share_a_shingle(cases, monkeypatch):
+    """In tiles of any size."""
     items, texts = cases
-    index = decontaminate.Index(tuple(items), 6, 0.0)
-    size = max(index.sizes, key=lambda s: len(s.ids))
-    import numpy as np
-
-    prints = np.concatenate([size.prints, size.prints ^ np.uint64(0b1011011 << 20), np.arange(1000, dtype=np.uint64)])
-    near = np.zeros((len(prints), len(size.ids)), bool)
-    for b, block in enumerate(decontaminate._blocks(prints)):
-        near |= size.tables[b][block.astype(int)]
-    within = np.bitwise_count(prints[:, None] ^ size.prints[None, :]) <= 6
-    assert within.any() and (near | ~within).all()
+    index = decontaminate.Index(tuple(items), 22, 0.8)
+    for tile in (1, 50, decontaminate.TILE):
+        monkeypatch.setattr(decontaminate, "TILE", tile)
+        for text in texts[:40]:
+            hashes = decontaminate._word_hashes(decontaminate.words_of(text))
+            for size in index.sizes:
+                shingles = decontaminate._shingles(hashes, size.shingle)
+                held = min(size.words - size.shingle + 1, len(shingles))
+                if not len(shingles):
+                    continue
+                got = set()
+                for at, who in size.meetings(shingles, np.arange(len(shingles)), held):
+                    found = list(zip(*(x.tolist() for x in decontaminate._windows_of(at, who, held, len(shingles) - held))))
+                    assert len(found) == len(set(found))
+                    got |= set(found)
+                want = {
+                    (start, item)
+                    for start in range(len(shingles) - held + 1)
+                    for item, bag_of in enumerate(size.bags)
+                    if set(shingles[start : start + held].tolist()) & set(bag_of.tolist())
+                }
+                assert got == want
+
+
+def test_work_does_not_grow_with_items_that_a_text_does_not_share():
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    items = [(i, " ".join(word() for _ in range(50))) for i in range(30_000)]
+    text = " ".join([word() for _ in range(3000)] + items[7][1].split() + [word() for _ in range(3000)] + items[2000][1].split())
+    counts = []
+    for n in (3_000, 30_000):
+        index = decontaminate.Index(tuple(items[:n]), decontaminate.RADIUS, 0.8)
+        shingles = decontaminate._shingles(decontaminate._word_hashes(decontaminate.words_of(text)), 5)
+        shared = index._shared(shingles, 5)
+        pairs = [len(decontaminate._windows_of(*m, 46, len(shingles) - 46)[0]) for m in index.sizes[0].meetings(shingles, shared, 46)]
+        counts.append(sum(pairs))
+        assert [m["item_id"] for m in index.matches(text)] == [7, 2000]
+    assert counts[0] <= counts[1] <= 2 * counts[0]
 
 
 def test_the_whole_table(spark):
