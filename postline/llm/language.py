@@ -32,7 +32,6 @@ SEED = 7
 # Windows judged at once.
 TILE = 256
 UNKNOWN = "und"
-LETTER = re.compile(r"[^\W\d_]")
 FOLDS = 5
 
 
@@ -143,7 +142,7 @@ class Judge:
 
     def __call__(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         found, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
-        judged = [i for i, text in enumerate(texts) if text and LETTER.search(text)]
+        judged = [i for i, text in enumerate(texts) if text and any(map(str.isalpha, text))]
         held: list[tuple[int, np.ndarray]] = []
         totals: dict[int, np.ndarray] = {}
 

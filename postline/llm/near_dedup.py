@@ -1,18 +1,12 @@
 """Near-duplicates by SimHash, compared in bit planes.
 
-Two forms share the comparison (`bitslice`) and the components:
+Fingerprints within a radius are linked. Of the blocks that the bits are cut
+into, two fingerprints within the radius agree in all but `radius`; so they
+meet in the table of one choice of blocks, and none is missed. What meets is
+compared in bit planes (`bitslice`); classes are the components of the links.
 
-`fingerprint_classes` links fingerprints within a radius. Of the blocks that the
-bits are cut into, two fingerprints within the radius agree in all but `radius`;
-so they meet in the table of one choice of blocks, and none is missed.
-
-`near_dedup` links texts whose sets of shingles have a similarity (Jaccard) of
-0.8 or more. Texts meet in TABLES tables, under the smallest shingles by BAND
-hash functions each; there they are compared by a wide fingerprint, and what is
-left is verified on the whole sets.
-
-In both a group of rows that meet is cut into chunks, and every two chunks meet
-in a group of their own; no task gets more than two chunks of one group. From a
+A group of rows that meet is cut into chunks, and every two chunks meet in a
+group of their own; no task gets more than two chunks of one group. From a
 group come only as many links as connect what it has connected.
 """
 
@@ -40,18 +34,6 @@ PACK = 1 << 15
 # Expected rows that meet by chance in a table of blocks.
 CROWD = 64
 
-# near_dedup: words in a shingle, similarity, bits of its fingerprint, radius. At similarity
-# 0.8 some 19 of 128 bits differ, with a deviation of 4; unrelated texts differ in 64.
-SHINGLE_WORDS = 5
-SIMILARITY = 0.8
-WIDE_BITS = 128
-WIDE_RADIUS = 38
-# Tables in which a text is looked for, and smallest shingles that make up a key of one. Two texts of
-# similarity s meet in none with a chance of (1 - s ** BAND) ** TABLES: 6e-7 at 0.8.
-TABLES = 20
-BAND = 3
-FACTORS = np.random.default_rng(SEED).integers(1, 2**63, (2, TABLES * BAND), dtype=np.int64).view(np.uint64) | np.uint64(1)
-
 
 def words_of(text: str | None) -> list[bytes]:
     """The words of the text with A-Z lower-cased, cut at ASCII white space."""
@@ -73,34 +55,21 @@ def shingle_hashes(words: list[bytes], size: int) -> np.ndarray:
     return np.fromiter((digest(line[a:b], SEED) for a, b in zip(starts, stops, strict=True)), np.uint64, n)
 
 
-def _mixed(hashes: np.ndarray) -> np.ndarray:
-    """A second 64 bits of each hash, as independent of the first as a hash of it."""
-    x = hashes ^ (hashes >> np.uint64(30))
-    x = x * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def simhash(hashes: np.ndarray, words: int = 1) -> list[int]:
-    """64 bits per word: a bit is 1 if it is set in more than half of the hashes."""
-    prints = []
-    for k in range(words):
-        counts = np.zeros(64, np.int64)
-        for start in range(0, len(hashes), 1 << 16):
-            part = hashes[start : start + (1 << 16)]
-            bits = np.unpackbits(part.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-            counts += bits.sum(axis=0, dtype=np.int64)
-        set_bits = np.packbits(counts * 2 > len(hashes), bitorder="little")
-        prints.append(int(set_bits.view("<i8")[0]))
-        hashes = _mixed(hashes) if k + 1 < words else hashes
-    return prints
+def simhash(hashes: np.ndarray) -> int:
+    """64 bits, as a signed number: a bit is 1 if it is set in more than half of the hashes."""
+    counts = np.zeros(64, np.int64)
+    for start in range(0, len(hashes), 1 << 16):
+        part = hashes[start : start + (1 << 16)]
+        bits = np.unpackbits(part.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        counts += bits.sum(axis=0, dtype=np.int64)
+    return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view("<i8")[0])
 
 
 def fingerprints(docs: DataFrame, keep: list[str], shingle_words: int = 4, text: str = "text") -> DataFrame:
     """The kept columns and `print`, the 64-bit SimHash as a bigint; 0 for a text without words."""
 
     def start():
-        return lambda texts: [[simhash(shingle_hashes(words_of(t), shingle_words))[0] for t in texts]]
+        return lambda texts: [[simhash(shingle_hashes(words_of(t), shingle_words)) for t in texts]]
 
     return map_text(docs, text, keep, "print bigint", start)
 
@@ -181,6 +150,21 @@ def _link_near(meetings: DataFrame, prints: list[str], node: str, radius: int) -
     return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
 
 
+def _classes(distinct: DataFrame, radius: int) -> DataFrame:
+    """print and root, a number per class, of stored rows with a `print` of their own each."""
+    tables = F.array(
+        *[
+            F.struct(F.lit(i).alias("table"), F.col("print").bitwiseAND(F.lit(_signed(mask))).alias("key"))
+            for i, mask in enumerate(_masks(radius, distinct.count()))
+        ]
+    )
+    rows = distinct.select("print", F.inline(tables))
+    links = _link_near(_meetings(rows, ["table", "key"], F.col("print")), ["print"], "print", radius)
+    reached = stage(components(links), "components")
+    rooted = distinct.join(reached, distinct["print"] == reached["node"], "left")
+    return rooted.select("print", F.coalesce("root", "print").alias("root"))
+
+
 def fingerprint_classes(docs: DataFrame, radius: int = 4, shingle_words: int = 4) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id: the smallest doc_id that links reach.
 
@@ -192,168 +176,33 @@ def fingerprint_classes(docs: DataFrame, radius: int = 4, shingle_words: int = 4
     """
     printed = stage(fingerprints(docs.select("doc_id", "text"), ["doc_id"], shingle_words), "fingerprints")
     distinct = stage(printed.groupBy("print").agg(F.min("doc_id").alias("doc_id")), "distinct_prints")
-    tables = F.array(
-        *[
-            F.struct(F.lit(i).alias("table"), F.col("print").bitwiseAND(F.lit(_signed(mask))).alias("key"))
-            for i, mask in enumerate(_masks(radius, distinct.count()))
-        ]
-    )
-    rows = distinct.select("print", F.inline(tables))
-    links = _link_near(_meetings(rows, ["table", "key"], F.col("print")), ["print"], "print", radius)
-    reached = stage(components(links), "components")
-    rooted = distinct.join(reached, distinct["print"] == reached["node"], "left").select(
-        "print", "doc_id", F.coalesce("root", "print").alias("root")
-    )
+    rooted = distinct.join(_classes(distinct, radius), "print")
+    rooted = stage(rooted, "rooted_prints")
     least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     classes = stage(rooted.join(least, "root").select("print", "component_id"), "classes")
     hexed = F.lower(F.lpad(F.hex("print"), 16, "0"))
     return printed.join(classes, "print").select("doc_id", hexed.alias("fingerprint"), "component_id")
 
 
-def _keys(hashes: np.ndarray) -> np.ndarray:
-    """The TABLES keys of a set of shingles; none for an empty one."""
-    if not len(hashes):
-        return np.zeros(0, np.int64)
-    least = np.full(TABLES * BAND, np.uint64(2**64 - 1))
-    for start in range(0, len(hashes), 1 << 12):
-        part = hashes[start : start + (1 << 12), None] * FACTORS[0] + FACTORS[1]
-        np.minimum(least, part.min(axis=0), out=least)
-    keys = np.arange(1, TABLES + 1, dtype=np.uint64)
-    for k in range(BAND):
-        keys = _mixed(keys ^ least[k * TABLES : (k + 1) * TABLES])
-    return keys.view(np.int64)
+def keep_first(docs: DataFrame, radius: int = 4, shingle_words: int = 4) -> DataFrame:
+    """The documents without all but one of each class of `fingerprint_classes`: that of the smallest doc_id stays.
 
-
-def _verified(frame: pd.DataFrame, prints: list[str], radius: int, similarity: float) -> Iterator[tuple[int, int]]:
-    """Links of one pack of meetings: rows within the radius whose sets are similar enough.
-
-    Pairs that links of the meeting connect already need no look.
+    So of texts that are NULL or blank one stays. A NULL doc_id counts as the
+    largest; of several texts of one doc_id, and of repeated rows, one stays.
+    All columns are kept. An empty table gives no rows.
     """
-    words = np.stack([frame[name].to_numpy() for name in prints], axis=1).view(np.uint64)
-    first, second = close_pairs(words, _group_numbers(frame["_meet"].to_numpy()), radius)
-    sets = frame["hashes"].to_numpy()
-    sizes = np.fromiter(map(len, sets), int, len(sets))
-    short, long = np.minimum(sizes[first], sizes[second]), np.maximum(sizes[first], sizes[second])
-    able = short >= similarity * long
-    root = list(range(len(frame)))
-
-    def top(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    nodes = frame["same"].to_numpy()
-    for i, j in zip(first[able].tolist(), second[able].tolist(), strict=True):
-        a, b = top(i), top(j)
-        if a != b:
-            both = np.concatenate([sets[i], sets[j]])
-            both.sort()
-            shared = int((both[1:] == both[:-1]).sum())
-            if shared >= similarity * (len(both) - shared) - 1e-9:
-                root[max(a, b)] = min(a, b)
-                yield int(nodes[i]), int(nodes[j])
-
-
-def _sketches(docs: DataFrame, shingle_words: int) -> DataFrame:
-    """For each row that has words: `doc_id`, `_raw` (hash of the text), `same` (hash of its words), prints, keys."""
-    wide = WIDE_BITS // 64
-
-    def start():
-        def apply(found: list[str | None]) -> list:
-            columns: list[list] = [[] for _ in range(wide + 2)]
-            for text in found:
-                words = words_of(text)
-                hashes = np.unique(shingle_hashes(words, shingle_words))
-                same = xxhash.xxh64_intdigest(b" ".join(words), SEED)
-                prints = simhash(hashes, wide)
-                for column, value in zip(columns, [_signed(same) if words else None, *prints], strict=False):
-                    column.append(value)
-                columns[-1].append(_keys(hashes))
-            return columns
-
-        return apply
-
-    schema = ", ".join(["same bigint", *(f"p{k} bigint" for k in range(wide)), "keys array<bigint>"])
     rows = docs.select("doc_id", F.xxhash64("text").alias("_raw"), "text")
-    return map_text(rows, "text", ["doc_id", "_raw"], schema, start).filter("same IS NOT NULL")
-
-
-def near_classes(
-    docs: DataFrame,
-    distinct: DataFrame,
-    shingle_words: int = SHINGLE_WORDS,
-    similarity: float = SIMILARITY,
-) -> DataFrame:
-    """`same` and `class` for the texts that have a near copy.
-
-    Two texts are linked if the sets of their shingles have the similarity or
-    more. Texts of fewer words than a shingle have one, of all their words.
-    `distinct` has one row of `_sketches` per text, with the row `first` that stands for it.
-    """
-    prints = [f"p{k}" for k in range(WIDE_BITS // 64)]
-    keyed = distinct.select("same", *prints, F.explode("keys").alias("key"))
-    near = _link_near(_meetings(keyed, ["key"], F.col("same")), prints, "same", WIDE_RADIUS)
-    clusters = stage(components(near), "clusters")
-
-    # Only the texts in some cluster are cut into shingles again.
-    members = distinct.join(clusters, distinct["same"] == clusters["node"]).select(
-        "same", "root", *prints, "first.doc_id", "first._raw"
-    )
-    members = stage(members, "members")
-    again = docs.select("text", F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_hash"))
-    again = with_slots(again, F.col("_hash"), members, "_raw", "left_semi")
-    met = again.join(members, (F.col("_id").eqNullSafe(F.col("doc_id"))) & (F.col("_hash") == F.col("_raw")))
-    sets = map_text(
-        met,
-        "text",
-        ["same", "root", *prints],
-        "hashes array<bigint>",
-        lambda: lambda found: [[np.unique(shingle_hashes(words_of(t), shingle_words)).view(np.int64) for t in found]],
-    )
-    meetings = _meetings(stage(sets, "shingle_sets"), ["root"], F.col("same"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for frame in _packs(batches, 1):
-            pairs = list(_verified(frame, prints, WIDE_RADIUS, similarity))
-            yield pa.RecordBatch.from_pydict(
-                {"a": pa.array([a for a, _ in pairs], pa.int64()), "b": pa.array([b for _, b in pairs], pa.int64())}
-            )
-
-    links = _dealt(meetings.select("_meet", "same", *prints, "hashes")).mapInArrow(run, "a bigint, b bigint")
-    return components(links).select(F.col("node").alias("same"), F.col("root").alias("class"))
-
-
-def near_dedup(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, similarity: float = SIMILARITY) -> DataFrame:
-    """The documents without all but one of each group of near copies: the one with the smallest doc_id stays.
-
-    Groups are the components of links between texts of the similarity or more
-    (see `near_classes`); texts that are equal but for A-Z case and white space
-    are linked. Texts that are NULL or blank are in no group and stay. A NULL
-    doc_id counts as the largest; of repeated rows one stays. All columns are
-    kept. An empty table gives no rows.
-    """
-    sketched = stage(_sketches(docs, shingle_words), "sketches")
-    prints = [f"p{k}" for k in range(WIDE_BITS // 64)]
-    rows = sketched.groupBy("same", "doc_id", "_raw").agg(
-        F.count(F.lit(1)).alias("n"), *[F.first(name).alias(name) for name in [*prints, "keys"]]
-    )
+    printed = stage(fingerprints(rows, ["doc_id", "_raw"], shingle_words), "fingerprints")
+    counted = printed.groupBy("print", "doc_id", "_raw").agg(F.count(F.lit(1)).alias("n"))
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_raw", "n")
-    distinct = stage(
-        rows.groupBy("same").agg(
-            F.min(order).alias("first"), *[F.first(name).alias(name) for name in [*prints, "keys"]]
-        ),
-        "distinct_texts",
-    )
-    classes = near_classes(docs, distinct, shingle_words, similarity)
-    classed = distinct.select("same", "first").join(classes, "same", "left")
-    kept = classed.groupBy(F.coalesce("class", "same").alias("class")).agg(F.min("first").alias("first"))
-    kept = stage(kept.select("first.doc_id", "first._raw", "first.n"), "kept_texts")
+    distinct = stage(counted.groupBy("print").agg(F.min(order).alias("first")), "distinct_prints")
+    classed = distinct.join(_classes(distinct, radius), "print")
+    kept = stage(classed.groupBy("root").agg(F.min("first").alias("first")).select("first.*"), "kept_texts")
 
     # Texts are matched with what goes, which is the smaller side; repeated rows that stay are added once.
     once = kept.filter("n = 1").select(F.col("doc_id").alias("_kid"), F.col("_raw").alias("_kraw"))
     is_kept = F.col("doc_id").eqNullSafe(F.col("_kid")) & (F.col("_raw") == F.col("_kraw"))
-    gone = sketched.select("doc_id", "_raw").distinct().join(once, is_kept, "left_anti")
+    gone = printed.select("doc_id", "_raw").distinct().join(once, is_kept, "left_anti")
     key, gone_id, gone_key = (unused(docs, name) for name in ("_key", "_gone_id", "_gone_key"))
     names = F.col("doc_id").alias(gone_id), F.col("_raw").alias(gone_key)
     gone = stage(gone.select(*names), "gone_texts")

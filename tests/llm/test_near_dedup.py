@@ -96,21 +96,10 @@ def test_more_blocks_give_the_same(spark, monkeypatch):
     assert sorted(near_dedup.fingerprint_classes(docs).collect()) == before
 
 
-def shingles(text):
-    words = text.encode().lower().split()
-    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
-
-
 def brute_kept(rows):
-    """Ids of the first document of each class of texts, linked from similarity 0.8."""
-    sets = [shingles(text) for _, text in rows]
-    pairs = [
-        (i, j)
-        for i in range(len(rows))
-        for j in range(i)
-        if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) - 1e-9
-    ]
-    top = roots(range(len(rows)), pairs)
+    """Ids of the first document of each class of texts, linked at four bits or fewer."""
+    prints = [print_of(text) for _, text in rows]
+    top = roots(range(len(rows)), [(i, j) for i in range(len(rows)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 4])
     best = {}
     for i, (doc_id, _) in enumerate(rows):
         best[top[i]] = min(best.get(top[i], doc_id), doc_id)
@@ -119,12 +108,12 @@ def brute_kept(rows):
 
 @pytest.fixture(scope="module")
 def copies():
-    """Texts with near copies of many similarities, and a passage that many others share."""
+    """Texts with near copies of many distances, and a passage that many others share."""
     rng = random.Random(3)
     word = lambda: "".join(rng.choices("abcdefgh", k=5))
     rows, passage = [], [word() for _ in range(60)]
     for base in range(6):
-        text = [word() for _ in range(rng.randint(60, 300))]
+        text = [word() for _ in range(rng.randint(200, 900))]
         for _ in range(25):
             changed = list(text)
             for _ in range(rng.randint(0, 12)):
@@ -138,19 +127,19 @@ def copies():
 
 def test_dedup_against_all_pairs(make, copies, monkeypatch):
     want = brute_kept(copies)
-    assert len(want) < len(copies)
-    assert sorted(r.doc_id for r in near_dedup.near_dedup(make(*copies)).collect()) == want
+    assert 80 < len(want) < len(copies)
+    assert sorted(r.doc_id for r in near_dedup.keep_first(make(*copies)).collect()) == want
     # The same with chunks of a few rows, that is with many meetings of one key.
     monkeypatch.setattr(near_dedup, "CHUNK", 8)
-    assert sorted(r.doc_id for r in near_dedup.near_dedup(make(*copies)).collect()) == want
+    assert sorted(r.doc_id for r in near_dedup.keep_first(make(*copies)).collect()) == want
 
 
 def test_dedup_of_odd_rows(make):
     text = "one two three four five six seven"
     docs = make((3, text), (2, text.upper() + " "), (2, text.upper() + " "), (None, text), (4, None), (4, None), (5, ""), (6, "other"), (None, "only null id"))
-    kept = near_dedup.near_dedup(docs.withColumn("same", F.lit(1)).withColumn("_hash", F.lit("h")).withColumn("_key", F.lit(2))).collect()
+    kept = near_dedup.keep_first(docs.withColumn("print", F.lit(1)).withColumn("_raw", F.lit("h")).withColumn("_key", F.lit(2))).collect()
     assert sorted((str(r.doc_id), str(r.text)) for r in kept) == sorted(
-        [("2", text.upper() + " "), ("4", "None"), ("4", "None"), ("5", ""), ("6", "other"), ("None", "only null id")]
+        [("2", text.upper() + " "), ("4", "None"), ("6", "other"), ("None", "only null id")]
     )
-    assert all(r.same == 1 and r._hash == "h" and r._key == 2 for r in kept)
-    assert near_dedup.near_dedup(docs.limit(0)).count() == 0
+    assert all(r.print == 1 and r._raw == "h" and r._key == 2 for r in kept)
+    assert near_dedup.keep_first(docs.limit(0)).count() == 0
