@@ -15,8 +15,13 @@ from postline.llm.batches import unused
 from postline.llm.queries import MODEL_FILE
 from postline.session import stage
 
-# Least score of a language; the languages share 1, so this rejects what could be any of several.
-LANGUAGE_SCORE = 0.3
+# Least score of a language, as a share of the way from a guess among all to certainty.
+SURE = 0.1
+
+
+def least_score(languages: int) -> float:
+    """The languages share 1, so a guess scores 1 / languages: more than that is asked, however many there are."""
+    return (1 + SURE * (languages - 1)) / languages
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,14 +37,14 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     own = {name: unused(docs, f"_{name}") for name in ("lang_pred", "score")}
     renamed = docs.withColumnsRenamed(own)
     judged = language.identify(renamed, network, renamed.columns)
-    known = judged.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LANGUAGE_SCORE))
+    known = judged.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= least_score(len(network.languages))))
     filled = known.withColumn("lang", F.coalesce("lang", "lang_pred")).drop(*own)
     return filled.withColumnsRenamed({there: name for name, there in own.items()}).select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: shingles of five words, similarity 0.8."""
-    return near_dedup.near_dedup(docs)
+    """One document of each group of near copies: shingles of four words, fingerprints at four bits or fewer."""
+    return near_dedup.keep_first(docs, radius=4, shingle_words=4)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
