@@ -17,11 +17,12 @@ import re
 import zlib
 from bisect import bisect_left, bisect_right
 from collections import defaultdict
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,44 +35,117 @@ from postline.session import stage
 CAPACITY = 2048
 END = 0
 ID_BYTES = 4
-# Encoded stretches of text that a task remembers.
-REMEMBERED = 200_000
-# Stretches that are encoded at once, and pieces that a task holds.
+# Encoded stretches of text that a task remembers, and those that are encoded at once.
+REMEMBERED = 1 << 20
 TOGETHER = 20_000
 # A place in a text before ASCII white space and behind what is surely none. The tokenizer's pattern never
 # reaches over such a place, so stretches between them are encoded one by one.
 CUT = re.compile(r"(?<=[!-~\w])(?=[ \t\n\r])")
+# Pairs of which the second space may belong to the white space before it, and signs that may be white space.
+RUNS = ("  ", "\n ", "\t ", "\r ")
+ODD_SPACE = re.compile(r"[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]")
+# Nor does it reach from a letter to a sign behind it.
+WORD_AND_SIGNS = re.compile(r"([ \n]?[A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+# Characters that are encoded at once.
+CHARS = 8_000_000
 # Numbers of a row: the task above this bit, the row in it below.
 TASK_BITS = 40
 
 Run = tuple[int, tuple[int, ...]]
 
 
-class Encoder:
-    """Ids of texts as little-endian unsigned 32-bit numbers; remembers stretches that it has encoded."""
+def _is_plain(text: str) -> bool:
+    """Whether every space of the text surely stands behind a sign or letter."""
+    return not (text.startswith(" ") or any(run in text for run in RUNS) or ODD_SPACE.search(text))
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]]):
-        self.encode, self.known = encode, {}
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        cut = [CUT.split(text) if text else [] for text in texts]
+class Encoder:
+    """Ids of texts as little-endian unsigned 32-bit numbers, by a tokenizer of bytes; remembers stretches."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.known = tokenizer, {}
+        # A token is written with a sign per byte.
+        self.bytes_of = np.zeros(tokenizer.get_vocab_size(), np.int64)
+        for token, number in tokenizer.get_vocab().items():
+            self.bytes_of[number] = len(token)
+
+    def _encode_words(self, words: list[str]) -> None:
+        """Remember the ids of words, each behind white space: they go to the tokenizer as one text."""
+        for start in range(0, len(words), TOGETHER):
+            some = words[start : start + TOGETHER]
+            found = self.tokenizer.encode_batch_fast(["".join(some)], add_special_tokens=False)[0].ids
+            ids = np.array(found, "<u4")
+            ends = np.cumsum(np.fromiter((len(word.encode()) for word in some), np.int64, len(some)))
+            places = np.searchsorted(np.cumsum(self.bytes_of[ids]), ends) + 1
+            raw, at = ids.tobytes(), 0
+            for word, end in zip(some, (places * ID_BYTES).tolist(), strict=True):
+                self.known[word] = raw[at:end]
+                at = end
+
+    def _encode_stretches(self, stretches: list[str]) -> None:
+        for start in range(0, len(stretches), TOGETHER):
+            some = stretches[start : start + TOGETHER]
+            for stretch, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
+                self.known[stretch] = np.array(found.ids, "<u4").tobytes()
+
+    def _learn(self, stretches: list[str]) -> None:
+        """See that the stretches are known."""
         if len(self.known) > REMEMBERED:
             self.known = {}
         known = self.known
-        new = list({stretch for stretches in cut for stretch in stretches if stretch not in known})
-        for start in range(0, len(new), TOGETHER):
-            some = new[start : start + TOGETHER]
-            for stretch, ids in zip(some, self.encode(some), strict=True):
-                known[stretch] = np.array(ids, "<u4").tobytes()
-        return [b"".join([known[stretch] for stretch in stretches]) for stretches in cut]
+        words, others, composed = set(), set(), []
+        for stretch in stretches:
+            if stretch in known:
+                continue
+            match = WORD_AND_SIGNS.fullmatch(stretch)
+            if not match:
+                others.add(stretch)
+                continue
+            word, signs = match.groups()
+            if word not in known:
+                (words if word[0] in " \n" else others).add(word)
+            if signs:
+                composed.append((stretch, word, signs))
+                if signs not in known:
+                    others.add(signs)
+        self._encode_words(list(words))
+        self._encode_stretches(list(others))
+        for stretch, word, signs in composed:
+            known[stretch] = known[word] + known[signs]
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        plain = [i for i, text in enumerate(texts) if text and _is_plain(text)]
+        found = dict(zip(plain, self._plain([texts[i] for i in plain]), strict=True)) if plain else {}
+        return [found[i] if i in found else self._careful(text) for i, text in enumerate(texts)]
+
+    def _plain(self, texts: list[str]) -> list[bytes]:
+        """Of texts in which every space stands behind a sign or letter: each word with the space before it is a stretch."""
+        cut = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        edges = cut.offsets.to_numpy()
+        words = cut.flatten()
+        coded = words.dictionary_encode()
+        stretches = [f" {word}" for word in coded.dictionary.to_numpy(zero_copy_only=False).tolist()]
+        heads = words.take(pa.array(edges[:-1])).to_pylist()
+        stretches += heads
+        self._learn(stretches)
+        order = coded.indices.to_numpy().astype(np.int64)
+        order[edges[:-1]] = np.arange(len(stretches) - len(heads), len(stretches))
+        ids = pa.array([self.known[s] for s in stretches], pa.large_binary()).take(pa.array(order))
+        ends = np.frombuffer(ids.buffers()[1], np.int64, len(ids) + 1, ids.offset * 8)
+        raw = ids.buffers()[2]
+        return [raw[a:b].to_pybytes() for a, b in zip(ends[edges[:-1]].tolist(), ends[edges[1:]].tolist(), strict=True)]
+
+    def _careful(self, text: str) -> bytes:
+        stretches = CUT.split(text) if text else []
+        self._learn(list(set(stretches)))
+        return b"".join([self.known[s] for s in stretches])
 
 
 def tokenizer_encoder(data: str) -> Encoder:
     """The encoder of a tokenizer given as the text of its file, without added special tokens."""
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_str(data)
-    return Encoder(lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+    return Encoder(Tokenizer.from_str(data))
 
 
 def cut_lengths(length: int, capacity: int) -> Iterator[tuple[int, int]]:
@@ -97,10 +171,10 @@ def pieces(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY) -> Da
         encoder, schema = tokenizer_encoder(data.value), to_arrow_schema(made)
         row = TaskContext.get().partitionId() << TASK_BITS
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, 2048):
+                part = batch.slice(at, 2048)
                 texts = [text or "" for text in part.column(1).to_pylist()]
-                for first, some in chunks(texts):
+                for first, some in chunks(texts, CHARS):
                     owner, columns = [], [[] for _ in range(4)]
                     for i, ids in enumerate(encoder(some)):
                         ids = memoryview(ids + END.to_bytes(ID_BYTES, "little"))

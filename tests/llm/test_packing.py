@@ -111,12 +111,24 @@ def test_stretches_are_encoded_as_the_whole(tokenizer):
     rng = random.Random(2)
     parts = ["don't", "it's", " ", "  ", "\n", "\t ", "\r\n", " ", "　", "\x1c", "\x85", "é", "中文", "12", "x1²", "!!", "<|endoftext|>", "😀", "_", "​", "́", "'s", "½"]
     texts = ["".join(rng.choices(parts, k=rng.randint(0, 40))) for _ in range(3000)]
+    words = ["Wort", "été", "a,", "b.)", "c's", "naïve!?", "x1", "<|endoftext|>", "d<|endoftext|>", "中文", "e'", "—f", "g\n\nh", "i\n", "'t", "\x00"]
+    texts += [" ".join(rng.choices(words, k=rng.randint(1, 30))) for _ in range(3000)]
     with open(TOKENIZER_FILE, encoding="utf-8") as file:
-        found = packing.tokenizer_encoder(file.read())(texts)
+        encoder = packing.tokenizer_encoder(file.read())
+    found = [ids for start in range(0, len(texts), 100) for ids in encoder(texts[start : start + 100])]
     want = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
     assert [np.frombuffer(ids, "<u4").tolist() for ids in found] == want
 
 
+def test_what_is_forgotten_is_encoded_again(tokenizer, monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED", 3)
+    monkeypatch.setattr(packing, "TOGETHER", 2)
+    encoder = packing.Encoder(tokenizer)
+    for text in ("one two, three. four five", "one  two, three. four", "five two, three. four", ""):
+        want = tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encoder([text])[0], "<u4").tolist() == want
+
+
 def check(rows, texts, tokenizer, capacity=2048):
     """The rows are the pieces of the texts, each in a place of its own, without gaps."""
     wanted = Counter()
