@@ -71,8 +71,9 @@ def _gnu(license: str, kind: str, version: str, strange: tuple[str, ...]) -> lis
         Template(license, f"This work is licensed under the GNU {kind} Public License, version {version}", names, strange),
         Template(license, f"GNU {kind} Public License version {version}", names, strange),
         Template(license, f"GNU {kind} Public License v{version}", ("gnu", *words_of(kind), *words_of(f"v{version}")), strange),
+        # What is licensed may itself be a library.
         *(
-            Template(license, f"This {what} is free software: you can redistribute it and/or {published}, {either}", names, strange)
+            Template(license, f"This {what} is free software: you can redistribute it and/or {published}, {either}", names, tuple(w for w in strange if w != "library"))
             for what in ("program", "library")
         ),
     ]

@@ -19,16 +19,16 @@ def test_longest_rising(values):
     assert len(run) == max(k for k in range(len(values) + 1) for c in itertools.combinations(values, k) if list(c) == sorted(c))
 
 
-def plain_patience(a, b):
-    """The method as it is stated, by recursion on slices."""
+def plain_patience(a, b, ties):
+    """The method as it is stated, by recursion on slices; `ties` gets a gap that has several longest runs."""
     if not a or not b:
         return []
     unique = [w for w in a if a.count(w) == 1 and b.count(w) == 1]
-    best = []
-    for mask in range(1 << len(unique)):
-        chosen = [w for k, w in enumerate(unique) if mask >> k & 1]
-        if len(chosen) > len(best) and [b.index(w) for w in chosen] == sorted(b.index(w) for w in chosen):
-            best = chosen
+    runs = [[w for k, w in enumerate(unique) if mask >> k & 1] for mask in range(1 << len(unique))]
+    runs = [run for run in runs if [b.index(w) for w in run] == sorted(b.index(w) for w in run)]
+    best = max(runs, key=len)
+    if sum(len(run) == len(best) for run in runs) > 1:
+        ties.append((a, b))
     if not best:
         head = 0
         while head < min(len(a), len(b)) and a[head] == b[head]:
@@ -40,7 +40,7 @@ def plain_patience(a, b):
     found, at, bt = [], 0, 0
     for w in [*best, None]:
         i, j = (a.index(w), b.index(w)) if w is not None else (len(a), len(b))
-        found += [(x + at, y + bt) for x, y in plain_patience(a[at:i], b[bt:j])]
+        found += [(x + at, y + bt) for x, y in plain_patience(a[at:i], b[bt:j], ties)]
         if w is not None:
             found.append((i, j))
         at, bt = i + 1, j + 1
@@ -53,10 +53,10 @@ def test_patience(a, b):
     found = license_scan.patience(a, b)
     assert all(a[i] == b[j] for i, j in found)
     assert [i for i, _ in found] == sorted({i for i, _ in found}) and [j for _, j in found] == sorted({j for _, j in found})
-    # Of several longest runs of anchors any may be taken, so only the number is fixed where they are unique in order.
-    unique = [w for w in a if a.count(w) == 1 and b.count(w) == 1]
-    if [b.index(w) for w in unique] == sorted(b.index(w) for w in unique):
-        assert found == sorted(plain_patience(a, b))
+    # Of several longest runs of anchors any may be taken.
+    ties = []
+    want = sorted(plain_patience(a, b, ties))
+    assert ties or found == want
 
 
 def test_the_whole_table(spark):
@@ -122,8 +122,8 @@ def test_relatives_are_told_apart(text, license):
 
 
 def brute_notices(words, templates):
-    """All stretches of a short text against all templates: covered words, by the best plain alignment."""
-    found = []
+    """All stretches of a short text against all templates: covered words, by the plain alignment; None if it has ties."""
+    found, ties = [], []
     for order, template in enumerate(templates):
         for at, word in enumerate(words):
             if word != template.names[0]:
@@ -131,7 +131,7 @@ def brute_notices(words, templates):
             size = len(template.words)
             place, slack = template.words.index(word), int(license_scan.SLACK * size) + 1
             low, high = max(0, at - place - slack), min(len(words), at - place + size + slack)
-            pairs = sorted(plain_patience(words[low:high], template.words))
+            pairs = sorted(plain_patience(words[low:high], template.words, ties))
             if not pairs or len(pairs) < license_scan.COVERAGE * size - 1e-9:
                 continue
             span = range(low + pairs[0][0], low + pairs[-1][0] + 1)
@@ -142,7 +142,7 @@ def brute_notices(words, templates):
     for *_, span, license in sorted(found, key=lambda f: f[:3]):
         if not any(set(span) & set(other) for other, _ in kept):
             kept.append((span, license))
-    return sorted((span[0], span[-1], license) for span, license in kept)
+    return None if ties else sorted((span[0], span[-1], license) for span, license in kept)
 
 
 def test_notices_against_plain_alignment():
@@ -156,12 +156,11 @@ def test_notices_against_plain_alignment():
         if rng.random() < 0.4:
             words.insert(rng.randint(0, len(words)), rng.choice(["lesser", "nc", "sa", "x", "affero", "mit"]))
         words = [*rng.choices(["p", "q", "r", "under", "license"], k=3), *words, *rng.choices(["s", "t", "version"], k=2)]
-        # Of anchors with several longest runs any may be taken.
-        text = " ".join(words)
+        text, want = " ".join(words), brute_notices(words, templates)
         got = [(len(text[:s].split()), len(text[:e].split()) - 1, license) for s, e, license, _ in license_scan.notices(text, templates)]
-        assert got == brute_notices(words, templates), text
-        hits += bool(got)
-    assert hits > 150
+        assert want is None or got == want, text
+        hits += bool(want)
+    assert hits > 100
 
 
 def test_templates_from_a_table(spark, make):
