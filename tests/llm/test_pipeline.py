@@ -29,12 +29,19 @@ def texts(rows):
 
 def test_languages(spark, stages):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    judge = language.Judge(language.fit(docs))
+    network = language.fit(docs)
+    judge, least = language.Judge(network), corpus_pipeline.least_score(len(network.languages))
     found, scores = judge([r.text for r in stages[0]])
-    kept = {r.doc_id for r, lang, s in zip(stages[0], found, scores) if lang != "und" and s >= corpus_pipeline.LANGUAGE_SCORE}
+    kept = {r.doc_id for r, lang, s in zip(stages[0], found, scores) if lang != "und" and s >= least}
     assert {r.doc_id for r in stages[1]} == kept and len(kept) >= 0.98 * len(stages[0])
 
 
+def test_least_score_is_above_a_guess():
+    scores = [corpus_pipeline.least_score(n) for n in range(1, 50)]
+    assert scores == sorted(scores, reverse=True) and scores[0] == 1
+    assert all(1 / n < score < 1 for n, score in list(enumerate(scores, 1))[1:])
+
+
 def test_near_copies(stages):
     assert sorted(texts(stages[2])) == brute_kept(sorted(texts(stages[1]).items()))
 
