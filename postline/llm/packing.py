@@ -46,6 +46,8 @@ RUNS = ("  ", "\n ", "\t ", "\r ")
 ODD_SPACE = re.compile(r"[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]")
 # Nor does it reach from a letter to a sign behind it.
 WORD_AND_SIGNS = re.compile(r"([ \n]?[A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+# A stretch that neither begins nor ends with what may be white space.
+LINE = re.compile(r"[!-~\w](?:.*[!-~\w])?", re.DOTALL)
 # Characters that are encoded at once.
 CHARS = 8_000_000
 # Numbers of a row: the task above this bit, the row in it below.
@@ -83,6 +85,11 @@ class Encoder:
                 at = end
 
     def _encode_stretches(self, stretches: list[str]) -> None:
+        """Remember the ids of other stretches. A line break cuts off what it stands before, so most can go together, too."""
+        lines = [s for s in stretches if LINE.fullmatch(s)]
+        self._encode_words([part for line in lines for part in ("\n", line)])
+        together = set(lines)
+        stretches = [s for s in stretches if s not in together]
         for start in range(0, len(stretches), TOGETHER):
             some = stretches[start : start + TOGETHER]
             for stretch, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
