@@ -116,17 +116,26 @@ def test_an_interrupted_load_is_finished_by_the_next_run(run, monkeypatch):
         def fail(*_):
             raise OSError("lost")
 
-        patch.setattr(daily.tables, "load_posts", fail)
+        patch.setattr(daily.post_table, "load_posts", fail)
         with pytest.raises(OSError):
             run(20, account)
     done, posts, users, days = run(20, account)
     assert done and len(posts) == 2 and len(users) == 1 and len(days) == 1
 
 
-@pytest.mark.parametrize(("name", "call"), [("load_posts", 1), ("_overwrite_partitions", 3), ("_overwrite_partitions", 5)])
-def test_a_broken_off_run_is_completed_by_the_next_with_another_payload(run, monkeypatch, name, call):
+@pytest.mark.parametrize(
+    ("place", "name", "call"),
+    [
+        ("tables", "_overwrite_partitions", 2),  # accounts loaded in part
+        ("post_table", "load_posts", 1),  # accounts loaded, posts not
+        ("post_table", "_write_commit", 1),  # posts written, not committed
+        ("post_table", "_show", 2),  # committed, not shown; the first call shows the empty table
+    ],
+)
+def test_a_broken_off_run_is_completed_by_the_next_with_another_payload(run, monkeypatch, place, name, call):
     """The next payload has nothing of what was collected before, and nothing of it is lost."""
-    real, calls = getattr(daily.tables, name), []
+    place, calls = getattr(daily, place), []
+    real = getattr(place, name)
 
     def fail(*args):
         calls.append(args)
@@ -135,7 +144,7 @@ def test_a_broken_off_run_is_completed_by_the_next_with_another_payload(run, mon
         return real(*args)
 
     with monkeypatch.context() as patch:
-        patch.setattr(daily.tables, name, fail)
+        patch.setattr(place, name, fail)
         with pytest.raises(OSError):
             run(20, collected("ann", 7, ANN, (None, 20, 1, "no id", None)))
     done, posts, users, days = run(21, collected("bob", 3, (6, 21, 0, "six", None)))
