@@ -36,7 +36,7 @@ CAPACITY = 2048
 END = 0
 ID_BYTES = 4
 # Encoded stretches of text that a task remembers, and those that are encoded at once.
-REMEMBERED = 1 << 20
+REMEMBERED = 3 << 16
 TOGETHER = 20_000
 # A place in a text before ASCII white space and behind what is surely none. The tokenizer's pattern never
 # reaches over such a place, so stretches between them are encoded one by one.
@@ -49,7 +49,7 @@ WORD_AND_SIGNS = re.compile(r"([ \n]?[A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~
 # A stretch that neither begins nor ends with what may be white space.
 LINE = re.compile(r"[!-~\w](?:.*[!-~\w])?", re.DOTALL)
 # Characters that are encoded at once.
-CHARS = 8_000_000
+CHARS = 4_000_000
 # Numbers of a row: the task above this bit, the row in it below.
 TASK_BITS = 40
 
@@ -65,7 +65,9 @@ class Encoder:
     """Ids of texts as little-endian unsigned 32-bit numbers, by a tokenizer of bytes; remembers stretches."""
 
     def __init__(self, tokenizer):
-        self.tokenizer, self.known = tokenizer, {}
+        self.tokenizer = tokenizer
+        self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
         # A token is written with a sign per byte.
         self.bytes_of = np.zeros(tokenizer.get_vocab_size(), np.int64)
         for token, number in tokenizer.get_vocab().items():
@@ -77,7 +79,9 @@ class Encoder:
             some = words[start : start + TOGETHER]
             found = self.tokenizer.encode_batch_fast(["".join(some)], add_special_tokens=False)[0].ids
             ids = np.array(found, "<u4")
-            ends = np.cumsum(np.fromiter((len(word.encode()) for word in some), np.int64, len(some)))
+            text = np.frombuffer("".join(some).encode(), np.uint8)
+            signs = np.r_[np.flatnonzero((text & 0xC0) != 0x80), len(text)]
+            ends = signs[np.cumsum(np.fromiter(map(len, some), np.int64, len(some)))]
             places = np.searchsorted(np.cumsum(self.bytes_of[ids]), ends) + 1
             raw, at = ids.tobytes(), 0
             for word, end in zip(some, (places * ID_BYTES).tolist(), strict=True):
@@ -95,30 +99,35 @@ class Encoder:
             for stretch, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
                 self.known[stretch] = np.array(found.ids, "<u4").tobytes()
 
-    def _learn(self, stretches: list[str]) -> None:
-        """See that the stretches are known."""
+    def _ids(self, stretches: list[str]) -> list[bytes]:
+        """The ids of each stretch. Words and signs are remembered, not what they are put together to."""
         if len(self.known) > REMEMBERED:
-            self.known = {}
-        known = self.known
-        words, others, composed = set(), set(), []
+            # What has been met of late is known for another while.
+            self.before, self.known = self.known, {}
+        known, before = self.known, self.before
+        words, others, composed = set(), set(), {}
         for stretch in stretches:
             if stretch in known:
                 continue
+            if stretch in before:
+                known[stretch] = before[stretch]
+                continue
             match = WORD_AND_SIGNS.fullmatch(stretch)
             if not match:
                 others.add(stretch)
                 continue
             word, signs = match.groups()
-            if word not in known:
-                (words if word[0] in " \n" else others).add(word)
             if signs:
-                composed.append((stretch, word, signs))
-                if signs not in known:
-                    others.add(signs)
+                composed[stretch] = (word, signs)
+            for part in (word, signs) if signs else (word,):
+                if part in before:
+                    known[part] = before[part]
+                elif part not in known:
+                    (words if part[0] in " \n" else others).add(part)
         self._encode_words(list(words))
         self._encode_stretches(list(others))
-        for stretch, word, signs in composed:
-            known[stretch] = known[word] + known[signs]
+        put = {stretch: known[word] + known[signs] for stretch, (word, signs) in composed.items()}
+        return [put[s] if s in put else known[s] for s in stretches]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         plain = [i for i, text in enumerate(texts) if text and _is_plain(text)]
@@ -134,18 +143,16 @@ class Encoder:
         stretches = [f" {word}" for word in coded.dictionary.to_numpy(zero_copy_only=False).tolist()]
         heads = words.take(pa.array(edges[:-1])).to_pylist()
         stretches += heads
-        self._learn(stretches)
+        found = self._ids(stretches)
         order = coded.indices.to_numpy().astype(np.int64)
         order[edges[:-1]] = np.arange(len(stretches) - len(heads), len(stretches))
-        ids = pa.array([self.known[s] for s in stretches], pa.large_binary()).take(pa.array(order))
+        ids = pa.array(found, pa.large_binary()).take(pa.array(order))
         ends = np.frombuffer(ids.buffers()[1], np.int64, len(ids) + 1, ids.offset * 8)
         raw = ids.buffers()[2]
         return [raw[a:b].to_pybytes() for a, b in zip(ends[edges[:-1]].tolist(), ends[edges[1:]].tolist(), strict=True)]
 
     def _careful(self, text: str) -> bytes:
-        stretches = CUT.split(text) if text else []
-        self._learn(list(set(stretches)))
-        return b"".join([self.known[s] for s in stretches])
+        return b"".join(self._ids(CUT.split(text))) if text else b""
 
 
 def tokenizer_encoder(data: str) -> Encoder:

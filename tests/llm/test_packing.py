@@ -121,7 +121,7 @@ def test_stretches_are_encoded_as_the_whole(tokenizer):
 
 
 def test_what_is_forgotten_is_encoded_again(tokenizer, monkeypatch):
-    monkeypatch.setattr(packing, "REMEMBERED", 3)
+    monkeypatch.setattr(packing, "REMEMBERED", 1)
     monkeypatch.setattr(packing, "TOGETHER", 2)
     encoder = packing.Encoder(tokenizer)
     for text in ("one two, three. four five", "one  two, three. four", "five two, three. four", ""):
