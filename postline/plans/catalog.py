@@ -726,6 +726,33 @@ def landing_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query(
+    """SELECT event_type || CASE WHEN ts < TIMESTAMP '2024-01-16 00:00:00' THEN '' ELSE ' again' END AS text,
+              CAST(user_id AS VARCHAR) AS "user", event_id AS post_id, CAST(ts AS DATE) AS date
+       FROM events"""
+)
+def landing_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two collections of which the second has all posts of the first again, each run as a stream to its end."""
+    events = _table(spark, sf_dir, "events")
+    root, schema = scratch_path(spark, "overlap"), schemas.LANDING[fixed.POSTS]
+    done = processed.processed_path(root, "tweet")
+    early = F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")
+    for chosen, suffix, collected in ((early, "", "2024-01-16"), (F.lit(True), " again", "2024-01-31")):
+        posts = events.filter(chosen).select(
+            F.concat("event_type", F.lit(suffix)).alias("text"),
+            F.lit(1).cast("bigint").alias("favorite_count"),
+            F.lit(0).cast("bigint").alias("retweet_count"),
+            F.col("ts").cast("timestamp").alias("date_creation"),
+            F.col("user_id").cast("string").alias("user"),
+            F.col("event_id").alias("post_id"),
+            F.lit(collected).cast("timestamp").alias("collected_at"),
+        )
+        landing.write_landing(posts, root, fixed.POSTS)
+        landed = intake.watch_landing(spark, landing.landing_path(root, fixed.POSTS), schema)
+        intake.process_landed(intake.first_of_posts(landed, "30 days"), done, f"{root}/state").awaitTermination()
+    return intake.read_intake(spark, done, schema).select("text", "user", "post_id", "date")
+
+
 # Two days of the real run. On the first, accounts of two in three numbers are collected, some of them
 # twice, the later time with smaller counts; on the second, all accounts: known ones with newer posts
 # and smaller counts, new ones with old posts only.
