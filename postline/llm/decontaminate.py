@@ -27,7 +27,6 @@ from postline.llm.batches import map_text, unused
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 BLOCKS = 8
-BLOCK_BITS = 8
 # Of 64 bits some 10 differ at similarity 0.8, with a deviation of 3.
 RADIUS = 22
 # Items in one pass over the documents, by their characters: they travel with every task.

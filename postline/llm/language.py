@@ -12,7 +12,6 @@ looked up at once when texts are judged.
 from dataclasses import dataclass
 
 import numpy as np
-import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 

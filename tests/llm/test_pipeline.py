@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
-from postline.llm import decontaminate, language, pieces, secret_scan
+from postline.llm import language, pieces, secret_scan
 from postline.llm.queries import MODEL_FILE
 from tests.llm.conftest import SF
 from tests.llm.test_decontaminate import brute
