@@ -73,6 +73,20 @@ def opened_accounts(
     return newest.join(marks, account, "left").filter(opened).select(account)
 
 
+def rows_of_opened(rows: DataFrame, account: str, accounts: DataFrame, opened: DataFrame) -> DataFrame:
+    """The rows whose account is opened, of `accounts`, which are all that the rows have.
+
+    The shorter list, of the opened or of the other accounts, is stored and
+    looked through: on most days few accounts are closed, or few are open, so
+    it is small enough to leave the rows unshuffled.
+    """
+    known = accounts.select(account).filter(F.col(account).isNotNull()).distinct()
+    closed = stage(known.join(opened, account, "left_anti"), "closed_accounts")
+    if opened.count() <= closed.count():
+        return rows.join(opened, account, "left_semi")
+    return rows.filter(F.col(account).isNotNull()).join(closed, account, "left_anti")
+
+
 def gate_timelines(
     timelines: DataFrame, account: str, time: str, mark: Column, granularity: str = "day"
 ) -> DataFrame:

@@ -3,6 +3,7 @@
 import datetime
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -768,46 +769,69 @@ RUN_SQL = """posts AS (SELECT event_id, CAST(user_id AS VARCHAR) AS u, user_id,
 
 
 def _run_days(spark: SparkSession, sf_dir: str) -> str:
+    """Runs the two days; returns the database. Texts meet their events and are packed once, for all collections."""
     docs = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("event_id"), "text")
-    posts = _table(spark, sf_dir, "events").join(docs, "event_id")
+    events = _table(spark, sf_dir, "events")
     root, db = scratch_path(spark, "run"), f"postline_{uuid.uuid4().hex}"
-    early = F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz")
     new = F.col("user_id") % 3 == 0
+    again = ~new & (F.col("user_id") % 5 == 1)
+    early = lambda ts, some: some & (ts < F.lit("2024-01-15").cast("timestamp_ntz"))
     until = F.when(new, "2024-01-10").otherwise("2024-01-30").cast("timestamp_ntz")
-    days = (
-        # (day of the run, [(rows, hour, likes added, followers)])
-        (15, [(early & ~new, 1, 10, 1000), (early & ~new & (F.col("user_id") % 5 == 1), 2, 5, 900)]),
-        (30, [(F.col("ts") < until, 1, 0, 800)]),
+    collections = (
+        # (day of the run, hour, rows by time, likes added, followers)
+        (15, 1, lambda ts: early(ts, ~new), 10, 1000),
+        (15, 2, lambda ts: early(ts, again), 5, 900),
+        (30, 1, lambda ts: ts < until, 0, 800),
+    )
+    at_any_time = reduce(Column.__or__, (chosen(F.col("ts")) for _, _, chosen, _, _ in collections))
+    # Both tables go by pages, so that the posts of a page are where they are packed: texts are shuffled once.
+    event = F.struct("user_id", "ts", columns.whole_number(F.col("value")).alias("likes"))
+    listed = events.filter(at_any_time).groupBy("event_id").agg(F.collect_list(event).alias("events"))
+    both = docs.withColumn("is_text", F.lit(True)).unionByName(listed, allowMissingColumns=True)
+    paged = both.dropna(subset="event_id").withColumn("page", F.floor(F.col("event_id") / PAGE)).repartition("page")
+    met = paged.withColumn("events", F.max("events").over(Window.partitionBy("page", "event_id"))).filter("is_text")
+    posts = met.select("page", "event_id", "text", F.inline("events"))
+    post = F.struct("text", "likes", "ts", F.col("event_id").alias("post_id"))
+    packed = posts.groupBy("user_id", "page").agg(F.collect_list(post).alias("posts"))
+
+    def collection(day: int, hour: int, chosen: Callable[[Column], Column], likes: int, followers: int) -> Column:
+        as_collected = lambda post: F.struct(
+            post["text"].alias("text"),
+            (post["likes"] + likes).alias("favorite_count"),
+            F.lit(0).cast("bigint").alias("retweet_count"),
+            post["ts"].cast("timestamp").alias("created_at"),
+            post["post_id"].alias("post_id"),
+        )
+        return F.struct(
+            F.lit(day).alias("day"),
+            F.lit(hour).alias("hour"),
+            F.transform(F.filter("posts", lambda post: chosen(post["ts"])), as_collected).alias("posts"),
+            F.lit(followers).alias("followers"),
+            F.lit(f"2024-01-{day} 0{hour}:00:00").cast("timestamp").alias("collected_at"),
+        )
+
+    records = [collection(*each) for each in collections]
+    collected = packed.select("user_id", F.inline(F.array(*records))).filter(F.size("posts") > 0)
+    lists = [F.col(f"posts.{n}").alias(n) for n in ("text", "favorite_count", "retweet_count", "created_at", "post_id")]
+    record = F.struct(
+        (F.col("followers") - F.col("user_id")).alias("followers_count"),
+        F.col("user_id").alias("following_count"),
+        F.lit("2020-01-01").cast("timestamp").alias("created_at"),
+        F.lit("a|b").alias("description"),
+    )
+    activity = F.struct(F.col("followers").alias("favoris_count"), F.col("user_id").alias("retweet_count"))
+    payloads = collected.select(
+        F.col("user_id").cast("string").alias("user"),
+        F.struct(*lists).alias("TWEET_INFO"),
+        record.alias("USER_INFO"),
+        activity.alias("USER_ACTIVITY"),
+        "collected_at",
+        "day",
+        "hour",
     )
-    for day, collections in days:
-        path = f"{root}/in/{day}"
-        for chosen, hour, likes, followers in collections:
-            post = F.struct(
-                "text",
-                (columns.whole_number(F.col("value")) + likes).alias("favorite_count"),
-                F.lit(0).cast("bigint").alias("retweet_count"),
-                F.col("ts").cast("timestamp").alias("created_at"),
-                F.col("event_id").alias("post_id"),
-            )
-            pages = posts.filter(chosen).groupBy("user_id", F.floor(F.col("event_id") / PAGE).alias("page"))
-            packed = pages.agg(F.collect_list(post).alias("posts"))
-            lists = [F.col(f"posts.{n}").alias(n) for n in ("text", "favorite_count", "retweet_count", "created_at", "post_id")]
-            record = F.struct(
-                (F.lit(followers) - F.col("user_id")).alias("followers_count"),
-                F.col("user_id").alias("following_count"),
-                F.lit("2020-01-01").cast("timestamp").alias("created_at"),
-                F.lit("a|b").alias("description"),
-            )
-            activity = F.struct(F.lit(followers).alias("favoris_count"), F.col("user_id").alias("retweet_count"))
-            collected = packed.select(
-                F.col("user_id").cast("string").alias("user"),
-                F.struct(*lists).alias("TWEET_INFO"),
-                record.alias("USER_INFO"),
-                activity.alias("USER_ACTIVITY"),
-                F.lit(f"2024-01-{day} 0{hour}:00:00").cast("timestamp").alias("collected_at"),
-            )
-            payload.write_payload(collected, f"{path}/{hour}")
-        daily.run_day(spark, f"{path}/*", root, db, datetime.date(2024, 1, day), newest=None)
+    payload.write_payload(payloads, f"{root}/in", partition_by=("day", "hour"), compression="gzip")
+    for day in (15, 30):
+        daily.run_day(spark, f"{root}/in/day={day}/*", root, db, datetime.date(2024, 1, day), newest=None)
     return db
 
 

@@ -10,8 +10,8 @@ from postline import schemas
 from postline.functions.columns import stamp_account, stamp_day
 from postline.functions.dates import date_prefix, day_text
 from postline.operators.accounts import METRICS, attach_account_metrics
-from postline.operators.checks import require_rows
-from postline.operators.incremental import opened_accounts
+from postline.operators.checks import has_copies, require_rows
+from postline.operators.incremental import opened_accounts, rows_of_opened
 from postline.operators.posts import transform_posts
 from postline.operators.timeline import latest_per_key, timeline_top_n
 from postline.session import require_utc, sized_shuffles, stage
@@ -39,9 +39,13 @@ def land(
 
     Of each account the `newest` posts of the run are landed, or all if None.
     """
-    # Stored in columns first: the text form is parsed once, and what follows reads parts of it.
-    collected = stage(payload.read_payload(spark, payload_path), "payload")
-    posts = one_per_post(payload.exclude_reposts(payload.timeline_rows(collected)))
+    # Read through and stored without the texts first: a malformed payload fails before the last landing is
+    # replaced, and the texts are shuffled only if there are copies.
+    whole = payload.read_payload(spark, payload_path)
+    collected = stage(payload.without_texts(whole), "payload")
+    posts, narrow = (payload.exclude_reposts(payload.timeline_rows(part)) for part in (whole, collected))
+    if has_copies(narrow.filter(F.col("post_id").isNotNull()), schemas.POST_KEY):
+        posts = one_per_post(posts)
     order = ("date_creation", "post_id", *POST_COPIES)
     posts = timeline_top_n(posts, newest=tuple(dict.fromkeys(order)), n=newest)
     landing.write_landing(posts, root, fixed.POSTS)
@@ -62,17 +66,16 @@ def transform_accounts(
     return attach_account_metrics(stamp_day(dated, as_of), activity, newest=["collected_at", *METRICS])
 
 
-def _landed(spark: SparkSession, root: str, table: str, account: str | None) -> DataFrame:
-    """The rows of a landing table, parsed once; what could not be parsed is set aside.
-
-    Files without account, post id and time of collection are all of one `account`.
-    """
-    rows = landing.read_landing(spark, root, table, bare=account is not None, rejected=REJECTED)
-    rows = stage(rows, f"landed_{table.lower()}")
+def _set_aside(rows: DataFrame, root: str, table: str) -> DataFrame:
+    """The stored rows of a landing table without those fields that could not be parsed, which are written apart."""
     bad = rows.filter(F.col(REJECTED).isNotNull()).select(F.col(REJECTED).alias("value"))
     if not bad.isEmpty():
         bad.write.mode("overwrite").text(f"{root.rstrip('/')}/rejected/{table}")
-    rows = rows.drop(REJECTED)
+    return rows.drop(REJECTED)
+
+
+def _of_account(rows: DataFrame, table: str, account: str | None) -> DataFrame:
+    """All columns of a landing table, for files without account, post id and time of collection, all of one `account`."""
     if account is None:
         return rows
     missing = [field for field in schemas.LANDING[table] if field.name not in (*rows.columns, "user")]
@@ -81,6 +84,20 @@ def _landed(spark: SparkSession, root: str, table: str, account: str | None) ->
     )
 
 
+def _landed(spark: SparkSession, root: str, table: str, account: str | None) -> DataFrame:
+    """The rows of a landing table, parsed once; what could not be parsed is set aside."""
+    rows = landing.read_landing(spark, root, table, bare=account is not None, rejected=REJECTED)
+    return _of_account(_set_aside(stage(rows, f"landed_{table.lower()}"), root, table), table, account)
+
+
+def _landed_posts(spark: SparkSession, root: str, account: str | None) -> tuple[DataFrame, DataFrame]:
+    """The landed posts, to be parsed where they are used, and without their texts, stored. As `_landed` otherwise."""
+    table = fixed.POSTS
+    rows = landing.read_landing(spark, root, table, bare=account is not None, rejected=REJECTED)
+    narrow = _set_aside(stage(rows.drop("text"), f"landed_{table.lower()}"), root, table)
+    return tuple(_of_account(part, table, account) for part in (rows.drop(REJECTED), narrow))
+
+
 def _pending(root: str) -> str:
     """Says that the processed zone is not loaded yet, and of which day it is."""
     return processed.processed_path(root, "pending")
@@ -94,13 +111,13 @@ def transform(
     `account` is whose the landing files are, if they do not say so. Returns
     whether there are any newer posts; if not, the processed zone stays as it is.
     """
-    posts = _landed(spark, root, fixed.POSTS, account)
-    marks = post_table.account_marks(spark, db, posts)
-    opened = stage(opened_accounts(posts, "user", "date_creation", marks), "opened_accounts")
+    posts, narrow = _landed_posts(spark, root, account)
+    marks = post_table.account_marks(spark, db, narrow)
+    opened = stage(opened_accounts(narrow, "user", "date_creation", marks), "opened_accounts")
     if opened.isEmpty():
         return False
     processed.write_processed(
-        transform_posts(posts.join(opened, "user", "left_semi")),
+        transform_posts(rows_of_opened(posts, "user", narrow, opened)),
         processed.processed_path(root, "tweet"),
     )
     accounts = _landed(spark, root, fixed.ACCOUNTS, account).join(opened, "user", "left_semi")
@@ -122,7 +139,7 @@ def load(spark: SparkSession, root: str, db: str, as_of: datetime.date) -> None:
     tables.load_accounts(spark, tables.day_snapshot(spark, db, as_of), db, as_of)
     path = processed.processed_path(root, "tweet")
     posts = processed.read_processed(spark, path, schemas.PROCESSED[fixed.POSTS])
-    post_table.load_posts(spark, posts, db)
+    post_table.load_posts(spark, posts, db, True)
     for table in (fixed.ACCOUNTS_TABLE, fixed.POSTS_TABLE):
         require_rows(tables.scan(spark, f"{db}.{table}"), table)
     folders.remove(spark, _pending(root))

@@ -2,6 +2,8 @@
 
 from pyspark.sql import SparkSession
 
+# Files that are packed, and about how many times their bytes they unpack to.
+PACKED, UNPACKED = ".gz", 3
 
 def _at(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -21,10 +23,13 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 def size_of(spark: SparkSession, glob: str) -> int:
-    """Bytes of the files that the pattern names."""
+    """Bytes of the files that the pattern names; packed ones, there or in the folders named, count for what they unpack to."""
     there, store = _at(spark, glob)
     found = store.globStatus(there) or []
-    return sum(store.getContentSummary(one.getPath()).getLength() for one in found)
+    inside = store.globStatus(_at(spark, f"{glob.rstrip('/')}/*{PACKED}")[0]) or []
+    packed = [one for one in (*found, *inside) if one.isFile() and one.getPath().getName().endswith(PACKED)]
+    size = sum(store.getContentSummary(one.getPath()).getLength() for one in found)
+    return size + (UNPACKED - 1) * sum(one.getLen() for one in packed)
 
 
 def names(spark: SparkSession, path: str) -> list[str]:

@@ -21,19 +21,19 @@ looked through, and a key has been rewritten log(k) times.
 import datetime
 from collections import defaultdict
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from postline import fixed_values as fixed
 from postline import schemas
-from postline.functions.columns import warehouse_types
-from postline.operators.layout import surrogate_id
+from postline.operators.checks import has_copies
+from postline.operators.layout import sort_key_layout, surrogate_id
 from postline.operators.timeline import latest_per_key
 from postline.operators.upsert import require_keys, without_keys
 from postline.session import require_utc, stage
 from postline.sources import folders
-from postline.sources.processed import by_date
 
 VERSIONS_TABLE = "post_versions"
 KEYS_TABLE = "post_keys"
@@ -290,15 +290,22 @@ def account_marks(spark: SparkSession, db: str, accounts: DataFrame) -> DataFram
 # Loads
 
 
-def _batch(posts: DataFrame) -> DataFrame:
-    """One row per named post, all others, and `_row`, a number of each row's own."""
+def _batch(posts: DataFrame, stored: bool) -> DataFrame:
+    """One row per named post, all others, and `_row`, a number of its own for each row without post id.
+
+    Texts are shuffled only if there are copies, which are looked for on the keys alone.
+    """
     carried = [name for name in ("collected_at",) if name in posts.columns]
     # Without the time of the collection, the copy with the greater counts is taken for the later one.
     newest = [*carried, "favorite_count", "retweet_count", "date_creation", "text", "date"]
-    whole = require_keys(posts, ["user"])
-    named = latest_per_key(whole.filter(F.col("post_id").isNotNull()), schemas.POST_KEY, newest)
-    rows = named.unionByName(whole.filter(F.col("post_id").isNull()))
-    return rows.withColumn("_row", F.monotonically_increasing_id())
+    whole = require_keys(posts if stored else stage(posts, "unloaded_posts"), ["user"])
+    named, others = whole.filter(F.col("post_id").isNotNull()), whole.filter(F.col("post_id").isNull())
+    if has_copies(named, schemas.POST_KEY):
+        named = stage(latest_per_key(named, schemas.POST_KEY, newest), "post_batch")
+    named = named.withColumn("_row", F.lit(None).cast("bigint"))
+    if others.isEmpty():
+        return named
+    return named.unionByName(stage(others.withColumn("_row", F.monotonically_increasing_id()), "unnamed_posts"))
 
 
 def _placed(batch: DataFrame, known: DataFrame | None, last_id: int) -> DataFrame:
@@ -320,22 +327,24 @@ def _placed(batch: DataFrame, known: DataFrame | None, last_id: int) -> DataFram
     return stage(rows, "placed_posts")
 
 
-def load_posts(spark: SparkSession, posts: DataFrame, db: str) -> None:
+def load_posts(spark: SparkSession, posts: DataFrame, db: str, stored: bool = False) -> None:
     """Upsert the posts; a known post keeps its id, a new one gets the next.
 
     Posts are known by account and post id, whatever date they are stored
     under: one that has moved leaves its old folder. Posts without post id are
     added, each with the next id. Dates with changed posts are written anew,
     others are added to, and the rest is not touched. Ids are found and
-    numbered on narrow columns; whole posts meet their ids once and are
-    shuffled once more by date. The rows that are read and written are counted
-    on the way; a load in which they do not add up is not committed.
+    numbered on narrow columns; whole posts are shuffled once, in which they
+    meet their ids and are laid out by date. The rows that are read and written
+    are counted on the way; a load in which they do not add up is not committed.
+    Posts that are `stored` are read where they are, as often as needed; others
+    are stored first.
     """
     require_utc(spark)
     before = last_commit(spark, db)
     load = before.load + 1
     _clear(spark, db, load)
-    batch = stage(_batch(posts), "post_batch")
+    batch = _batch(posts, stored)
     rows, named = batch.agg(F.count(F.lit(1)), F.count("post_id")).first()
     known = None
     if named and before.runs:
@@ -361,30 +370,60 @@ def load_posts(spark: SparkSession, posts: DataFrame, db: str) -> None:
     expire(spark, db)
 
 
+def _part(kind: str, rows: DataFrame, own: Column) -> DataFrame:
+    """Rows in the table's types with their kind, and `_own`, which tells those without post id apart."""
+    own = F.when(F.col("post_id").isNull(), own).cast("bigint")
+    fields = [field for field in schemas.WAREHOUSE[fixed.POSTS_TABLE] if field.name in rows.columns]
+    typed = [F.col(field.name).cast(field.dataType).alias(field.name) for field in fields]
+    return rows.select(*typed, own.alias("_own"), F.lit(kind).alias("_kind"))
+
+
+def _staying(stored: DataFrame, known: DataFrame | None) -> tuple[DataFrame, int]:
+    """The stored posts that are not `known`, and how many are stored. By id, which all of them have.
+
+    Which they are is found on ids alone. Texts are then looked through with
+    the shorter list, of those that stay or of those that leave.
+    """
+    count = stored.count()
+    if known is None:
+        return stored, count
+    leaving = known.select("id")
+    staying = stage(stored.select("id").join(leaving, "id", "left_anti"), "staying_posts")
+    if staying.count() <= leaving.count():
+        return stored.join(staying, "id", "left_semi"), count
+    return stored.join(leaving, "id", "left_anti"), count
+
+
 def _write_folders(
     spark: SparkSession, db: str, load: int, before: Commit, anew: set[Day], batch: DataFrame,
     placed: DataFrame, known: DataFrame | None, rows: int, replaced: int,
 ) -> list[Day]:
-    """Write the folders of a load: the batch, and what stays of the dates that are written anew. Returns their dates."""
+    """Write the folders of a load: the batch, and what stays of the dates that are written anew. Returns their dates.
+
+    Posts and the ids of the batch go through one shuffle, in ranges of date
+    and key. There a post meets its id, and from there it is written: no join
+    shuffles the texts of a batch, however many posts it has.
+    """
     table, columns = f"{db}.{VERSIONS_TABLE}", schemas.WAREHOUSE[fixed.POSTS_TABLE].fieldNames()
-    counts = {"batch": Observation(), "read": Observation(), "kept": Observation()}
-    n = F.count(F.lit(1)).alias("n")
-    whole = batch.join(placed.select("_row", "id"), "_row")
-    whole = warehouse_types(whole, fixed.POSTS_TABLE).select(*columns).observe(counts["batch"], n)
     held = {day: before.dates[day] for day in anew if day in before.dates}
+    parts, read = [_part("new", batch, F.col("_row")), _part("id", placed, F.col("_row"))], 0
     if held:
-        stays = spark.table(table).filter(_named(held)).select(*columns).observe(counts["read"], n)
-        if known is not None:
-            # By id, which all stored posts have.
-            stays = stays.join(known.select("id"), "id", "left_anti").select(*columns)
-        whole = whole.unionByName(stays.observe(counts["kept"], n))
+        stays, read = _staying(spark.table(table).filter(_named(held)), known)
+        # Of stored posts without post id the ids, negative ones, as numbers of rows are not.
+        parts.append(_part("old", stays, -F.col("id")))
     if rows or held:
-        sorted_rows = by_date(whole.withColumn("load", F.lit(load).cast("bigint")))
-        sorted_rows = sorted_rows.sortWithinPartitions("date", *schemas.POST_KEY)
-        sorted_rows.select(*columns[:-1], "load", "date").write.mode("overwrite").insertInto(table)
-        found = {name: counts[name].get.get("n", 0) for name in (counts if held else ["batch"])}
-        if found["batch"] != rows or (held and found["read"] - found["kept"] != replaced):
-            raise RuntimeError(f"load {load}: {found} rows do not match {rows} new ones, {replaced} of them known")
+        whole = reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), parts)
+        place, found = ["date", *schemas.POST_KEY, "_own"], Observation()
+        given = F.max(F.when(F.col("_kind") == "id", F.col("id"))).over(Window.partitionBy(*place))
+        met = sort_key_layout(whole, place).withColumn("_id", F.when(F.col("_kind") == "new", given).otherwise(F.col("id")))
+        met = met.filter((F.col("_kind") != "id") & F.col("_id").isNotNull())
+        # Counted behind the shuffle: ranges are found by reading what is ahead of it once more.
+        met = met.observe(found, F.count_if(F.col("_kind") == "new").alias("batch"), F.count_if(F.col("_kind") == "old").alias("kept"))
+        written = met.withColumns({"id": F.col("_id"), "load": F.lit(load).cast("bigint")})
+        written.select(*columns[:-1], "load", "date").write.mode("overwrite").insertInto(table)
+        n = {name: found.get.get(name, 0) for name in ("batch", "kept")}
+        if n["batch"] != rows or (held and read - n["kept"] != replaced):
+            raise RuntimeError(f"load {load}: {n} of {read} stored rows do not match {rows} new ones, {replaced} of them known")
     return _days_in(spark, f"{_root(spark, db)}/{VERSIONS_TABLE}/load={load}")
 
 

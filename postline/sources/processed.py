@@ -25,9 +25,8 @@ def write_processed(
     df: DataFrame, path: str, date: str = "date", replace_dates: bool = False
 ) -> None:
     """Write date folders; replace the whole zone table, or only the dates in the frame."""
-    by_date(df, date).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic" if replace_dates else "static"
-    ).partitionBy(date).parquet(path)
+    options = {"partitionOverwriteMode": "dynamic" if replace_dates else "static", "compression": fixed.CODEC}
+    by_date(df, date).write.mode("overwrite").options(**options).partitionBy(date).parquet(path)
 
 
 def read_processed(spark: SparkSession, path: str, schema=None) -> DataFrame:

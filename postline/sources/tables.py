@@ -48,7 +48,7 @@ def create_table(
     nothing.write.mode("append").partitionBy(*partition_by).parquet(location)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({_columns_sql(schema)}) USING parquet "
-        f"OPTIONS ({DYNAMIC} 'dynamic') PARTITIONED BY ({', '.join(partition_by)}) LOCATION '{location}'"
+        f"OPTIONS ({DYNAMIC} 'dynamic', compression '{fixed.CODEC}') PARTITIONED BY ({', '.join(partition_by)}) LOCATION '{location}'"
     )
     spark.catalog.recoverPartitions(table)
 

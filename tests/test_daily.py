@@ -10,6 +10,7 @@ import pytest
 
 from postline import __main__ as command
 from postline.plans import daily
+from tests.plans import initial_plan
 
 REPO = Path(__file__).resolve().parents[1]
 
@@ -242,3 +243,55 @@ def test_command_line_needs_a_payload(capsys):
     with pytest.raises(SystemExit):
         command.main(["daily", "--root", "r"])
     assert "needs --payload" in capsys.readouterr().err
+
+
+def stored_frames(monkeypatch, *modules):
+    """The frames that are stored on the way, by name."""
+    staged = {}
+    for module in modules:
+        real = module.stage
+        monkeypatch.setattr(module, "stage", lambda df, name, real=real: staged.setdefault(name, real(df, name)))
+    return staged
+
+
+def test_texts_of_posts_are_not_stored_on_the_way(run, monkeypatch):
+    """They go from the payload to the landing, processed and table files, and nowhere else."""
+    staged = stored_frames(monkeypatch, daily, daily.post_table)
+    run(20, collected("ann", 7, ANN, (2, 20, 1, "two", None)))
+    _, posts, _, _ = run(22, collected("ann", 9, (5, 22, 0, "five", None), (2, 20, 4, "two", None)), newest=None)
+    assert [p.text for p in posts] == ["x see   now", "two", "five"]
+    assert {"payload", "landed_tweet_info", "placed_posts"} <= set(staged)
+    for name, frame in staged.items():
+        if name == "payload":
+            assert all(set(row[0]) == {None} for row in frame.select("TWEET_INFO.text").collect())
+        else:
+            assert "text" not in frame.columns, name
+
+
+def test_texts_are_shuffled_for_copies_only(spark, run, monkeypatch):
+    plans = []
+    real = daily.landing.write_landing
+    monkeypatch.setattr(
+        daily.landing, "write_landing", lambda df, root, table: plans.append(initial_plan(df)) or real(df, root, table)
+    )
+    run(20, collected("ann", 7, ANN, (2, 20, 1, "two", None)), newest=None)
+    assert "Exchange" not in plans[0]
+    _, posts, _, _ = run(22, *(collected("ann", 7, (3, 22, h, f"at {h}", None), hour=h) for h in (8, 9)), newest=None)
+    assert "Exchange" in plans[3] and [p.text for p in posts][2:] == ["at "]
+
+
+def test_a_malformed_payload_leaves_the_landing(spark, run):
+    run(20, collected("ann", 7, ANN))
+    bad = collected("ann", 7, (3, 21, 1, "three", None))
+    bad["TWEET_INFO"]["text"] = 3
+    with pytest.raises(Exception, match="(?i)malformed"):
+        run(21, bad)
+    zone = daily.landing.read_landing(spark, str(run.root), "TWEET_INFO")
+    assert [row.post_id for row in zone.collect()] == [1]
+
+
+def test_packed_payloads_count_for_what_they_unpack_to(spark, tmp_path):
+    (tmp_path / "a.json").write_bytes(b"1" * 10)
+    (tmp_path / "b.json.gz").write_bytes(b"1" * 10)
+    for glob in (tmp_path, f"{tmp_path}/*"):
+        assert daily.folders.size_of(spark, str(glob)) == 10 + daily.folders.UNPACKED * 10

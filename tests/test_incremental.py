@@ -89,3 +89,12 @@ def test_row_presence(spark):
     checks.require_rows(spark.range(1), "t")
     with pytest.raises(RuntimeError, match="no rows"):
         checks.require_rows(spark.range(0), "t")
+
+
+def test_rows_of_opened_accounts_by_the_shorter_list(spark):
+    rows = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), ("c", 4), (None, 5)], "user string, n int")
+    for opened, want in ((["a"], [1, 2]), (["a", "b"], [1, 2, 3]), (["a", "b", "c"], [1, 2, 3, 4])):
+        accounts = spark.createDataFrame([(name,) for name in opened], "user string")
+        kept = incremental.rows_of_opened(rows, "user", rows, accounts)
+        assert sorted(row.n for row in kept.collect()) == want
+        assert ("LeftAnti" in initial_plan(kept)) == (len(opened) > 1)

@@ -322,3 +322,42 @@ def test_a_merge_that_breaks_off_leaves_the_runs(spark, db, monkeypatch):
     store.load_posts(spark, posts(spark, ("a", 1, 1, 3)), db)
     assert [run.level for run in store.last_commit(spark, db).runs] == [1]
     assert sorted((r.post_id, r.date) for r in store.known_posts(spark, db, asked).collect()) == [(1, D(2024, 1, 3)), (2, D(2024, 1, 1))]
+
+
+def test_texts_meet_their_ids_in_one_shuffle(spark, db, monkeypatch, tmp_path):
+    """Though no list of ids may be broadcast."""
+    posts(spark, *((user, i, 5, i) for i, user in enumerate("abcdef", 1))).write.parquet(str(tmp_path / "p"))
+    laid = []
+    real = store.sort_key_layout
+    monkeypatch.setattr(store, "sort_key_layout", lambda df, order: laid.append(df) or real(df, order))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        store.load_posts(spark, spark.read.parquet(str(tmp_path / "p")), db, stored=True)
+        plan = initial_plan(laid[0])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange" not in plan and "Join" not in plan
+    assert [row[:3] for row in loaded(spark, db)] == [(i, user, i) for i, user in enumerate("abcdef", 1)]
+
+
+@pytest.mark.parametrize("changed", [1, 5])
+def test_few_or_most_posts_of_a_date_stay(spark, db, changed):
+    first = [("a", i, 5, 1) for i in range(6)] + [("a", None, 5, 1), ("b", None, 5, 1)]
+    store.load_posts(spark, posts(spark, *first), db)
+    store.load_posts(spark, posts(spark, *(("a", i, 9, 1) for i in range(changed)), ("b", None, 7, 1)), db)
+    want = [(i, "9" if i < changed else "5") for i in range(6)]
+    assert [(row[2], row[3]) for row in loaded(spark, db)] == [*want, (None, "5"), (None, "5"), (None, "7")]
+
+
+def test_a_batch_that_is_stored_may_have_copies_and_posts_without_id(spark, db, tmp_path):
+    rows = (("a", 3, 6, 1), ("a", 3, 5, 2), ("a", None, 5, 1), ("a", None, 5, 1), ("a", 4, 5, None))
+    posts(spark, *rows).write.parquet(str(tmp_path / "p"))
+    store.load_posts(spark, spark.read.parquet(str(tmp_path / "p")), db, stored=True)
+    assert [(row[2], row[3]) for row in loaded(spark, db)] == [(4, "5"), (3, "6"), (None, "5"), (None, "5")]
+
+
+def test_files_of_posts_are_packed_and_sorted(spark, db):
+    store.load_posts(spark, posts(spark, *((u, i, 5, 1 + i % 2) for u in "cab" for i in (4, 2, 3, 1))), db)
+    for file in spark.table(f"{db}.{store.VERSIONS_TABLE}").inputFiles():
+        keys = [(row.user, row.post_id) for row in spark.read.parquet(file).collect()]
+        assert ".zstd." in file and keys == sorted(keys)
