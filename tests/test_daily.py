@@ -246,11 +246,18 @@ def test_command_line_needs_a_payload(capsys):
 
 
 def stored_frames(monkeypatch, *modules):
-    """The frames that are stored on the way, by name."""
+    """The frames that are stored on the way, by name, the last of each."""
     staged = {}
+
+    def watch(real):
+        def keep(df, name):
+            staged[name] = real(df, name)
+            return staged[name]
+
+        return keep
+
     for module in modules:
-        real = module.stage
-        monkeypatch.setattr(module, "stage", lambda df, name, real=real: staged.setdefault(name, real(df, name)))
+        monkeypatch.setattr(module, "stage", watch(module.stage))
     return staged
 
 
