@@ -14,11 +14,13 @@ way, that set is a sequence of an optimal packing and is fixed.
 """
 
 import re
+import string
 import zlib
 from bisect import bisect_left, bisect_right
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,128 +37,163 @@ from postline.session import stage
 CAPACITY = 2048
 END = 0
 ID_BYTES = 4
-# Encoded stretches of text that a task remembers, and those that are encoded at once.
-REMEMBERED = 3 << 16
+# Encoded parts of texts that a Python worker remembers over its tasks, none longer than so many bytes, and those
+# that are encoded at once.
+REMEMBERED = 8 << 16
+LONGEST = 64
 TOGETHER = 20_000
 # A place in a text before ASCII white space and behind what is surely none. The tokenizer's pattern never
 # reaches over such a place, so stretches between them are encoded one by one.
 CUT = re.compile(r"(?<=[!-~\w])(?=[ \t\n\r])")
-# Pairs of which the second space may belong to the white space before it, and signs that may be white space.
-RUNS = ("  ", "\n ", "\t ", "\r ")
-ODD_SPACE = re.compile(r"[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]")
-# Nor does it reach from a letter to a sign behind it.
-WORD_AND_SIGNS = re.compile(r"([ \n]?[A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
-# A stretch that neither begins nor ends with what may be white space.
-LINE = re.compile(r"[!-~\w](?:.*[!-~\w])?", re.DOTALL)
+# Pairs of which the second sign may belong to the white space before it, and signs that may be white space.
+RUNS = ("  ", "\n ", "\t ", "\r ", " \n")
+ODD = r"\x0b\x0c\x1c-\x1f\x85\xa0\x{1680}\x{180e}\x{2000}-\x{200b}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}"
+ODD_SPACE = re.compile(f"[{re.sub(r'x{(....)}', r'u\1', ODD)}]")
+# Nor does it reach from a letter or digit to a sign behind it; from what is neither of them to the end there are signs.
+WORD = r"^[ \t\n\r]*[0-9A-Za-zÀ-ÖØ-öø-ÿ]+$"
+WORD_SIGNS = " \t\n\r" + "".join(c for c in map(chr, range(256)) if re.match("[0-9A-Za-zÀ-ÖØ-öø-ÿ]", c))
+# What may go to the tokenizer in one text with others: it ends with what is surely no white space, and begins with
+# such, or with white space of ASCII.
+TOGETHER_WITH = rf"^[^{ODD}](?s:.*)[^ \t\n\r{ODD}]$|^[^ \t\n\r{ODD}]$"
+SPACED = r"^[ \t\n\r]"
 # Characters that are encoded at once.
-CHARS = 4_000_000
+CHARS = 8_000_000
 # Numbers of a row: the task above this bit, the row in it below.
 TASK_BITS = 40
 
+# Literals of Arrow's wide types.
+NOTHING, SPACE, BREAK = (pa.scalar(sign, pa.large_string()) for sign in ("", " ", "\n"))
+NO_IDS = pa.scalar(b"", pa.large_binary())
+
 Run = tuple[int, tuple[int, ...]]
 
 
 def _is_plain(text: str) -> bool:
-    """Whether every space of the text surely stands behind a sign or letter."""
-    return not (text.startswith(" ") or any(run in text for run in RUNS) or ODD_SPACE.search(text))
+    """Whether every space of the text surely stands behind a sign or letter, and before no line break."""
+    return not (text.startswith((" ", "\n")) or any(run in text for run in RUNS) or ODD_SPACE.search(text))
+
+
+def _with_spaces(text: str) -> str:
+    """A plain text with a space put before each run of line breaks, unless other white space may belong to one."""
+    if "\n" not in text or "\r\n" in text or "\t\n" in text:
+        return text
+    # The first time leaves runs of two at most apart, the second none.
+    return text.replace("\n", " \n").replace("\n \n", "\n\n").replace("\n \n", "\n\n")
 
 
 class Encoder:
-    """Ids of texts as little-endian unsigned 32-bit numbers, by a tokenizer of bytes; remembers stretches."""
+    """Ids of texts as little-endian unsigned 32-bit numbers, by a tokenizer of bytes; remembers parts of texts."""
 
     def __init__(self, tokenizer):
         self.tokenizer = tokenizer
-        self.known: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}
+        # What was met last comes last.
+        self.known = pa.array([], pa.large_string())
+        self.known_ids = pa.array([], pa.large_binary())
         # A token is written with a sign per byte.
         self.bytes_of = np.zeros(tokenizer.get_vocab_size(), np.int64)
         for token, number in tokenizer.get_vocab().items():
             self.bytes_of[number] = len(token)
 
-    def _encode_words(self, words: list[str]) -> None:
-        """Remember the ids of words, each behind white space: they go to the tokenizer as one text."""
-        for start in range(0, len(words), TOGETHER):
-            some = words[start : start + TOGETHER]
-            found = self.tokenizer.encode_batch_fast(["".join(some)], add_special_tokens=False)[0].ids
-            ids = np.array(found, "<u4")
-            text = np.frombuffer("".join(some).encode(), np.uint8)
-            signs = np.r_[np.flatnonzero((text & 0xC0) != 0x80), len(text)]
-            ends = signs[np.cumsum(np.fromiter(map(len, some), np.int64, len(some)))]
-            places = np.searchsorted(np.cumsum(self.bytes_of[ids]), ends) + 1
-            raw, at = ids.tobytes(), 0
-            for word, end in zip(some, (places * ID_BYTES).tolist(), strict=True):
-                self.known[word] = raw[at:end]
-                at = end
-
-    def _encode_stretches(self, stretches: list[str]) -> None:
-        """Remember the ids of other stretches. A line break cuts off what it stands before, so most can go together, too."""
-        lines = [s for s in stretches if LINE.fullmatch(s)]
-        self._encode_words([part for line in lines for part in ("\n", line)])
-        together = set(lines)
-        stretches = [s for s in stretches if s not in together]
-        for start in range(0, len(stretches), TOGETHER):
-            some = stretches[start : start + TOGETHER]
-            for stretch, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                self.known[stretch] = np.array(found.ids, "<u4").tobytes()
-
-    def _ids(self, stretches: list[str]) -> list[bytes]:
-        """The ids of each stretch. Words and signs are remembered, not what they are put together to."""
-        if len(self.known) > REMEMBERED:
-            # What has been met of late is known for another while.
-            self.before, self.known = self.known, {}
-        known, before = self.known, self.before
-        words, others, composed = set(), set(), {}
-        for stretch in stretches:
-            if stretch in known:
-                continue
-            if stretch in before:
-                known[stretch] = before[stretch]
-                continue
-            match = WORD_AND_SIGNS.fullmatch(stretch)
-            if not match:
-                others.add(stretch)
-                continue
-            word, signs = match.groups()
-            if signs:
-                composed[stretch] = (word, signs)
-            for part in (word, signs) if signs else (word,):
-                if part in before:
-                    known[part] = before[part]
-                elif part not in known:
-                    (words if part[0] in " \n" else others).add(part)
-        self._encode_words(list(words))
-        self._encode_stretches(list(others))
-        put = {stretch: known[word] + known[signs] for stretch, (word, signs) in composed.items()}
-        return [put[s] if s in put else known[s] for s in stretches]
+    def _together(self, parts: pa.Array) -> pa.Array:
+        """The ids of parts that may go to the tokenizer as one text.
+
+        White space cuts off what it stands before. A line break is put before parts without, and its id taken out.
+        """
+        spaced = pc.match_substring_regex(parts, SPACED)
+        text = pc.binary_join_element_wise(pc.if_else(spaced, NOTHING, BREAK), parts, NOTHING)
+        ends = np.cumsum(pc.binary_length(text).to_numpy())
+        whole = pc.binary_join(pa.LargeListArray.from_arrays([0, len(text)], text), NOTHING)[0].as_py()
+        ids = np.array(self.tokenizer.encode_batch_fast([whole], add_special_tokens=False)[0].ids, "<u4")
+        places = np.r_[0, np.searchsorted(np.cumsum(self.bytes_of[ids]), ends) + 1]
+        added = ~spaced.to_numpy(zero_copy_only=False)
+        ids = np.delete(ids, places[:-1][added])
+        return _binary(ids, places - np.r_[0, np.cumsum(added)])
+
+    def _encode(self, parts: pa.Array) -> pa.Array:
+        found = [pa.array([], pa.large_binary())]
+        together = pc.match_substring_regex(parts, TOGETHER_WITH)
+        many, others = parts.filter(together), parts.filter(pc.invert(together)).to_pylist()
+        for start in range(0, len(many), TOGETHER):
+            found.append(self._together(many.slice(start, TOGETHER)))
+        for start in range(0, len(others), TOGETHER):
+            alone = self.tokenizer.encode_batch_fast(others[start : start + TOGETHER], add_special_tokens=False)
+            found.append(pa.array([np.array(each.ids, "<u4").tobytes() for each in alone], pa.large_binary()))
+        is_many = together.to_numpy(zero_copy_only=False)
+        order = np.where(is_many, np.cumsum(is_many) - 1, len(many) + np.cumsum(~is_many) - 1)
+        return pa.concat_arrays(found).take(pa.array(order))
+
+    def _remembered(self, parts: pa.Array) -> pa.Array:
+        """The ids of parts, all different."""
+        at = pc.index_in(parts, value_set=self.known).fill_null(-1).to_numpy().astype(np.int64)
+        new = at < 0
+        ids = pa.concat_arrays([self.known_ids, self._encode(parts.filter(pa.array(new)))])
+        at[new] = np.arange(len(self.known), len(ids))
+        found = ids.take(pa.array(at))
+        # What is met again comes last, too; what has not been met for the longest time is forgotten.
+        idle = np.ones(len(self.known), bool)
+        idle[at[~new]] = False
+        idle, short = pa.array(idle), pc.less_equal(pc.binary_length(parts), LONGEST)
+        self.known, self.known_ids = (
+            pa.concat_arrays([old.filter(idle), met.filter(short)])[-REMEMBERED:]
+            for old, met in ((self.known, parts), (self.known_ids, found))
+        )
+        return found
+
+    def _ids(self, stretches: pa.Array) -> pa.Array:
+        """The ids of each stretch. Words and the signs behind them are remembered, not what they are put together to."""
+        words = pc.utf8_rtrim(stretches, string.punctuation)
+        cut = pc.match_substring_regex(words, WORD)
+        signs = pc.utf8_ltrim(pc.if_else(cut, stretches, NOTHING), WORD_SIGNS)
+        parts = pa.concat_arrays([pc.if_else(cut, words, stretches), signs]).dictionary_encode()
+        ids = self._remembered(parts.dictionary).take(parts.indices)
+        return pc.binary_join_element_wise(ids[: len(words)], ids[len(words) :], NO_IDS)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        plain = [i for i, text in enumerate(texts) if text and _is_plain(text)]
-        found = dict(zip(plain, self._plain([texts[i] for i in plain]), strict=True)) if plain else {}
-        return [found[i] if i in found else self._careful(text) for i, text in enumerate(texts)]
+        plain, others = [], []
+        for i, text in enumerate(texts):
+            (plain if _is_plain(text) else others).append(i)
+        found = [b""] * len(texts)
+        for some, encode in ((plain, self._plain), (others, self._careful)):
+            if some:
+                for i, ids in zip(some, encode([texts[i] for i in some]), strict=True):
+                    found[i] = ids
+        return found
 
     def _plain(self, texts: list[str]) -> list[bytes]:
-        """Of texts in which every space stands behind a sign or letter: each word with the space before it is a stretch."""
-        cut = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        """Of plain texts: a stretch is each word with the space before it, or with the line breaks if there are some."""
+        cut = pc.split_pattern(pa.array(map(_with_spaces, texts), pa.large_string()), " ")
         edges = cut.offsets.to_numpy()
         words = cut.flatten()
         coded = words.dictionary_encode()
-        stretches = [f" {word}" for word in coded.dictionary.to_numpy(zero_copy_only=False).tolist()]
-        heads = words.take(pa.array(edges[:-1])).to_pylist()
-        stretches += heads
-        found = self._ids(stretches)
+        space = pc.if_else(pc.starts_with(coded.dictionary, "\n"), NOTHING, SPACE)
+        heads = words.take(pa.array(edges[:-1]))
+        stretches = pa.concat_arrays([pc.binary_join_element_wise(space, coded.dictionary, NOTHING), heads])
         order = coded.indices.to_numpy().astype(np.int64)
         order[edges[:-1]] = np.arange(len(stretches) - len(heads), len(stretches))
-        ids = pa.array(found, pa.large_binary()).take(pa.array(order))
-        ends = np.frombuffer(ids.buffers()[1], np.int64, len(ids) + 1, ids.offset * 8)
-        raw = ids.buffers()[2]
-        return [raw[a:b].to_pybytes() for a, b in zip(ends[edges[:-1]].tolist(), ends[edges[1:]].tolist(), strict=True)]
+        return _joined(self._ids(stretches).take(pa.array(order)), edges)
+
+    def _careful(self, texts: list[str]) -> list[bytes]:
+        cut = [CUT.split(text) for text in texts]
+        coded = pa.array([part for parts in cut for part in parts], pa.large_string()).dictionary_encode()
+        edges = np.cumsum([0, *map(len, cut)])
+        return _joined(self._ids(coded.dictionary).take(coded.indices), edges)
+
+
+def _binary(ids: np.ndarray, edges: np.ndarray) -> pa.Array:
+    """The ids between every two edges."""
+    offsets = pa.array(edges * ID_BYTES, pa.int64()).buffers()[1]
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(edges) - 1, [None, offsets, pa.py_buffer(ids.tobytes())])
+
 
-    def _careful(self, text: str) -> bytes:
-        return b"".join(self._ids(CUT.split(text))) if text else b""
+def _joined(ids: pa.Array, edges: np.ndarray) -> list[bytes]:
+    """The ids of what stands between every two edges, as one."""
+    whole = pa.LargeListArray.from_arrays(pa.array(edges, pa.int64()), ids)
+    return pc.binary_join(whole, NO_IDS).to_pylist()
 
 
+@lru_cache(maxsize=1)
 def tokenizer_encoder(data: str) -> Encoder:
-    """The encoder of a tokenizer given as the text of its file, without added special tokens."""
+    """The encoder of a tokenizer given as the text of its file, without added special tokens; kept for further tasks."""
     from tokenizers import Tokenizer
 
     return Encoder(Tokenizer.from_str(data))

@@ -129,6 +129,62 @@ def test_what_is_forgotten_is_encoded_again(tokenizer, monkeypatch):
         assert np.frombuffer(encoder([text])[0], "<u4").tolist() == want
 
 
+class Counting:
+    """A tokenizer that counts the characters that it is given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.given = tokenizer, 0
+
+    def __getattr__(self, name):
+        return getattr(self.tokenizer, name)
+
+    def encode_batch_fast(self, texts, **options):
+        self.given += sum(map(len, texts))
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+@pytest.mark.parametrize("between", [".\n", ".\n\n", ". ", ".  "])
+def test_words_are_encoded_once_whatever_they_meet(tokenizer, between):
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefghij", k=8)) for _ in range(60)]
+    counting = Counting(tokenizer)
+    encoder = packing.Encoder(counting)
+    texts = [between.join(rng.sample(words, 60)) for _ in range(50)]
+    found = [ids for text in texts for ids in encoder([text])]
+    want = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in found] == want
+    # At the head of a text, behind a space and behind line breaks a word is another part.
+    assert counting.given < 3 * 60 * 16
+
+
+def test_long_parts_are_not_remembered(tokenizer):
+    encoder = packing.Encoder(tokenizer)
+    texts = ["a" * 5000 + " b", "é" * packing.LONGEST + "\nb", "b " + "中" * packing.LONGEST]
+    for _ in range(2):
+        want = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in encoder(texts)] == want
+    assert 0 < len(encoder.known) < 8
+    assert max(len(part.encode()) for part in encoder.known.to_pylist()) <= packing.LONGEST
+
+
+def test_a_worker_keeps_its_encoder(make, tokenizer):
+    with open(TOKENIZER_FILE, encoding="utf-8") as file:
+        data = file.read()
+    assert packing.tokenizer_encoder(data) is packing.tokenizer_encoder(data)
+    texts = [(i, f"word{i % 7}, " * (i % 40)) for i in range(400)]
+    for _ in range(2):
+        check(packing.pack(make(*texts).repartition(8), TOKENIZER_FILE).collect(), texts, tokenizer)
+
+
+@pytest.mark.parametrize("space", ["\n", "\n\n", "\n\n\n\n\n", " \n", "\r\n", "\t\n", "\n ", "  ", "\xa0\n", "\u3000 ", "\x1c"])
+def test_white_space_between_words(tokenizer, space):
+    words = ["Wort,", "été", "12).", "x'", "|<|endoftext|>", "”", "\u0301"]
+    texts = [space.join([a, b, a]) for a in words for b in words] + [space, f"{space}a", f"a{space}", f"a {space}b{space} c"]
+    want = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    found = packing.Encoder(tokenizer)(texts)
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in found] == want
+
+
 def check(rows, texts, tokenizer, capacity=2048):
     """The rows are the pieces of the texts, each in a place of its own, without gaps."""
     wanted = Counter()
